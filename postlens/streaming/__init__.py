@@ -1,0 +1,3 @@
+"""Streaming: the reference has no stream processing.  The only streaming
+use here is applying an already fitted scorer to posts arriving as files
+(see ``score_stream``), reusing the batch operators unchanged."""
