@@ -57,14 +57,20 @@ def bucket_expr(score_col: str, splits: list[float]):
 
 
 def auc_by_group(scored: DataFrame, group_cols: list[str], score_col: str = "prob", label_col: str = "label",
-                 n_buckets: int | None = None) -> DataFrame:
+                 n_buckets: int | None = None, unit_interval: bool = True) -> DataFrame:
     """Rank-statistic AUC (ties count 1/2) per group, without a window
-    over all rows of a group."""
+    over all rows of a group.  Scores known to lie in [0, 1] use
+    fixed-width buckets; others get quantile split points (one extra
+    pass)."""
     agg = (scored.groupBy(*group_cols, score_col)
            .agg(F.sum(F.when(F.col(label_col) == 1, 1).otherwise(0)).cast("double").alias("_pos"),
                 F.sum(F.when(F.col(label_col) == 1, 0).otherwise(1)).cast("double").alias("_neg")))
-    splits = score_buckets(scored.select(score_col), score_col, n_buckets)
-    agg = agg.withColumn("_b", bucket_expr(score_col, splits))
+    if unit_interval:
+        nb = n_buckets or default_buckets(scored.sparkSession)
+        bexpr = F.least(F.greatest(F.floor(F.col(score_col) * nb), F.lit(0)), F.lit(nb - 1))
+    else:
+        bexpr = bucket_expr(score_col, score_buckets(scored.select(score_col), score_col, n_buckets))
+    agg = agg.withColumn("_b", bexpr)
     bt = agg.groupBy(*group_cols, "_b").agg(F.sum("_neg").alias("_bneg"))
     wb = Window.partitionBy(*group_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     bt = bt.withColumn("_boff", F.coalesce(F.sum("_bneg").over(wb), F.lit(0.0))).drop("_bneg")

@@ -7,6 +7,7 @@ stratified_split -> build_vocabulary (train rows) -> multinomial NB
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,9 @@ def nb_scores(spark: SparkSession, sf_dir: str, p: dict = FLAGSHIP) -> DataFrame
     posts = train_posts(spark, sf_dir).withColumn("clean", clean_post("post"))
     posts = stratified_split(posts, p["val_frac"], p["seed"])
     toks = tokenize_words(posts, "clean")
-    counts = term_counts(toks.select("id", "tokens"))
+    # reused by vocabulary, fit and scoring: keep it (recomputed from
+    # lineage if an executor is lost)
+    counts = term_counts(toks.select("id", "tokens")).persist(StorageLevel.MEMORY_AND_DISK)
     train = posts.filter(F.col("split") == "train").select("id", "label")
     val = posts.filter(F.col("split") == "val").select("id", "label")
     train_counts = counts.join(train.select("id"), "id", "left_semi")
@@ -40,7 +43,7 @@ def nb_scores(spark: SparkSession, sf_dir: str, p: dict = FLAGSHIP) -> DataFrame
 
 def flagship(spark: SparkSession, sf_dir: str, p: dict = FLAGSHIP) -> DataFrame:
     """binary metrics of the NB model per document language."""
-    s = nb_scores(spark, sf_dir, p)
+    s = nb_scores(spark, sf_dir, p).persist(StorageLevel.MEMORY_AND_DISK)
     lang = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang")
     m = binary_metrics(s.join(lang, "id"), ["lang"])
     return m.select("lang", "n", *[F.round(c, 6).alias(c) for c in
