@@ -24,26 +24,32 @@ def tokenize_words(df: DataFrame, text_col: str = "post", out: str = "tokens",
 
 def word_ngrams(df: DataFrame, tokens_col: str = "tokens", n_min: int = 1, n_max: int = 2,
                 out: str = "ngrams") -> DataFrame:
-    """n-grams joined by one blank, built after stop-word removal."""
-    t = F.col(tokens_col)
-    parts = []
+    """n-grams joined by one blank, built after stop-word removal (MLlib
+    ``NGram``: the token array is handed over once per row, never
+    re-evaluated per position)."""
+    from pyspark.ml.feature import NGram
+
+    x = df
+    cols = []
     for n in range(n_min, n_max + 1):
-        grams = F.transform(F.sequence(F.lit(1), F.size(t) - n + 1),
-                            lambda i, n=n: F.array_join(F.slice(t, i, n), " "))
-        parts.append(F.when(F.size(t) >= n, grams).otherwise(F.array().cast("array<string>")))
-    return df.withColumn(out, F.concat(*parts) if len(parts) > 1 else parts[0])
+        c = f"_ng{n}"
+        x = NGram(n=n, inputCol=tokens_col, outputCol=c).transform(x)
+        cols.append(c)
+    return x.withColumn(out, F.concat(*[F.col(c) for c in cols])).drop(*cols)
 
 
 def char_ngrams(df: DataFrame, text_col: str = "post", n_min: int = 2, n_max: int = 6,
-                out: str = "char_ngrams") -> DataFrame:
-    """Character n-grams of the lower-cased text after runs of two or more
-    whitespace characters become one blank."""
+                id_col: str = "id") -> DataFrame:
+    """Long ``(id, term)`` rows of character n-grams of the lower-cased text
+    after runs of two or more whitespace characters become one blank.
+    Generators keep the normalised text an attribute, so it is computed
+    once per post (not once per position)."""
     t = F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), "[ \\t\\n\\x0B\\f\\r]{2,}", " ")
-    parts = []
-    for n in range(n_min, n_max + 1):
-        grams = F.transform(F.sequence(F.lit(1), F.length(t) - n + 1), lambda i, n=n: F.substring(t, i, n))
-        parts.append(F.when(F.length(t) >= n, grams).otherwise(F.array().cast("array<string>")))
-    return df.withColumn(out, F.concat(*parts))
+    x = df.select(id_col, t.alias("_t"))
+    x = x.select(id_col, "_t", F.explode(F.sequence(F.lit(n_min), F.lit(n_max))).alias("_n"))
+    x = x.filter(F.length("_t") >= F.col("_n"))
+    x = x.select(id_col, "_t", "_n", F.explode(F.sequence(F.lit(1), F.length("_t") - F.col("_n") + 1)).alias("_i"))
+    return x.select(id_col, F.expr("substring(_t, _i, _n)").alias("term"))
 
 
 def term_counts(df: DataFrame, id_col: str = "id", terms_col: str = "tokens") -> DataFrame:
@@ -128,15 +134,16 @@ def pad_sequences(seq_col: str, length: int = 40):
 def embedding_lookup(vocab: DataFrame, vectors: DataFrame, dim: int, word_col: str = "term") -> DataFrame:
     """Vocabulary left-joined to word vectors; zeros where missing."""
     v = vectors.select(F.col("word").alias(word_col), F.col("vec"))
-    return vocab.join(v, word_col, "left").withColumn(
+    return vocab.join(v, word_col, "left").select(
+        "*", F.col("vec").isNotNull().cast("int").alias("known")).withColumn(
         "vec", F.coalesce(F.col("vec"), F.array_repeat(F.lit(0.0), dim)))
 
 
 def mean_pool_embeddings(doc_terms: DataFrame, vectors: DataFrame, id_col: str = "id") -> DataFrame:
     """Average of the known-token vectors of each document (null if none):
     a join plus a ``(id, pos)`` aggregation -- no per-document Python."""
-    j = doc_terms.select(id_col, F.col("term").alias("word")).join(vectors, "word")
-    p = j.select(id_col, F.posexplode("vec").alias("pos", "x"))
-    m = p.groupBy(id_col, "pos").agg(F.avg("x").alias("x"))
+    j = doc_terms.select(id_col, F.col("term").alias("word"), "tf").join(vectors, "word")
+    p = j.select(id_col, "tf", F.posexplode("vec").alias("pos", "x"))
+    m = p.groupBy(id_col, "pos").agg((F.sum(F.col("x") * F.col("tf")) / F.sum("tf")).alias("x"))
     return m.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("_s")).select(
         id_col, F.transform("_s", lambda s: s["x"]).alias("embedding"))

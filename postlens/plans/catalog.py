@@ -291,3 +291,167 @@ def all_queries():
 
 def all_oracles():
     return ORACLES
+
+
+# ---------------------------------------------------------------- 2.3 tokens and text features
+def _toks_sql(stop=True):
+    return f"SELECT id, label, {S.tokens_sql('post', stop)} AS tokens FROM ({S.POSTS})"
+
+
+def _toks(spark, sf, stop=True):
+    return FE.tokenize_words(train_posts(spark, sf), "post", remove_stop_words=stop)
+
+
+@register("tokenize_words", f"SELECT id, len(tokens)::BIGINT AS n_tokens, array_to_string(tokens, ' ') AS joined FROM ({_toks_sql()})")
+def q_tokenize(spark, sf):
+    t = _toks(spark, sf)
+    return t.select("id", F.size("tokens").cast("long").alias("n_tokens"), F.array_join("tokens", " ").alias("joined"))
+
+
+@register("word_ngrams", f"""
+SELECT term, count(*) AS cf FROM (
+  SELECT unnest(list_transform(range(1, len(tokens) - n + 2), lambda i: array_to_string(tokens[i:i + n - 1], ' '))) AS term
+  FROM ({_toks_sql()}), (VALUES (1), (2), (3)) g(n) WHERE len(tokens) >= n)
+GROUP BY term HAVING count(*) >= 3""")
+def q_word_ngrams(spark, sf):
+    t = FE.word_ngrams(_toks(spark, sf), "tokens", 1, 3)
+    return t.select(F.explode("ngrams").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("cf")).filter("cf >= 3")
+
+
+@register("char_ngrams", f"""
+WITH t AS (SELECT id, regexp_replace(lower(coalesce(post, '')), '{S.WS}{{2,}}', ' ', 'g') AS t FROM ({S.POSTS}))
+SELECT g AS term, count(*) AS cf FROM (
+  SELECT unnest(list_transform(range(1, length(t) - n + 2), lambda i: substr(t, i, n))) AS g FROM t, (VALUES (2), (3), (4)) v(n) WHERE length(t) >= n)
+GROUP BY g HAVING count(*) >= 50""")
+def q_char_ngrams(spark, sf):
+    c = FE.char_ngrams(train_posts(spark, sf), "post", 2, 4)
+    return c.groupBy("term").agg(F.count(F.lit(1)).alias("cf")).filter("cf >= 50")
+
+
+def _counts_sql(stop=True):
+    return f"SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(tokens) AS term FROM ({_toks_sql(stop)})) GROUP BY id, term"
+
+
+@register("term_counts", _counts_sql())
+def q_term_counts(spark, sf):
+    return FE.term_counts(_toks(spark, sf))
+
+
+@register("binary_counts", f"SELECT id, term, least(tf, 1)::BIGINT AS tf FROM ({_counts_sql()})")
+def q_binary_counts(spark, sf):
+    return FE.binary_counts(FE.term_counts(_toks(spark, sf)))
+
+
+VOCAB = dict(min_df=2, max_df=0.95, max_features=3000)
+
+
+def _vocab_sql():
+    return f"""SELECT term, df, cf, (row_number() OVER (ORDER BY cf DESC, term ASC) - 1)::INT AS idx FROM (
+  SELECT term, count(*) AS df, sum(tf) AS cf FROM ({_counts_sql()}) GROUP BY term
+  HAVING count(*) >= {VOCAB['min_df']} AND count(*) <= floor({VOCAB['max_df']} * (SELECT count(DISTINCT id) FROM ({_counts_sql()})))
+  ORDER BY cf DESC, term ASC LIMIT {VOCAB['max_features']})"""
+
+
+def _vocab(spark, sf):
+    c = FE.term_counts(_toks(spark, sf))
+    return c, FE.build_vocabulary(c, min_df=VOCAB["min_df"], max_df=VOCAB["max_df"], max_features=VOCAB["max_features"])
+
+
+@register("build_vocabulary", _vocab_sql())
+def q_vocab(spark, sf):
+    return _vocab(spark, sf)[1]
+
+
+def _tfidf_sql(sublinear: bool):
+    tf = "(1.0 + ln(c.tf))" if sublinear else "c.tf::DOUBLE"
+    return f"""WITH c AS ({_counts_sql()}), v AS ({_vocab_sql()}),
+n AS (SELECT count(DISTINCT id) AS n FROM c),
+x AS (SELECT c.id, c.term, {tf} * (ln((1.0 + n.n) / (1.0 + v.df)) + 1.0) AS w FROM c JOIN v ON c.term = v.term, n)
+SELECT id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY id)), 6) AS value FROM x"""
+
+
+def _tfidf(spark, sf, sublinear):
+    c, v = _vocab(spark, sf)
+    n = c.select("id").distinct().count()
+    t = FE.tfidf(c, v, n, sublinear=sublinear)
+    return t.select("id", "term", F.round("value", 6).alias("value"))
+
+
+@register("tfidf", _tfidf_sql(False))
+def q_tfidf(spark, sf):
+    return _tfidf(spark, sf, False)
+
+
+@register("tfidf_sublinear", _tfidf_sql(True))
+def q_tfidf_sublinear(spark, sf):
+    return _tfidf(spark, sf, True)
+
+
+@register("hashed_counts")
+def q_hashed(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+
+    h = FE.hashed_counts(_toks(spark, sf), "tokens", 1 << 10)
+    return h.select("id", F.round(F.aggregate(vector_to_array("hashed"), F.lit(0.0), lambda s, x: s + x * x), 6).alias("sq_norm"))
+
+
+@register("multi_view_features")
+def q_multi_view(spark, sf):
+    from postlens.plans.views import multi_view_features
+
+    return multi_view_features(spark, sf).select("id", F.col("features").alias("features"))
+
+
+@register("token_index", f"""SELECT token, count(*) AS freq, row_number() OVER (ORDER BY count(*) DESC, token ASC)::INT AS token_id
+FROM (SELECT unnest(tokens) AS token FROM ({_toks_sql(False)})) GROUP BY token""")
+def q_token_index(spark, sf):
+    return FE.token_index(_toks(spark, sf, stop=False))
+
+
+@register("pad_sequences", f"""
+WITH ti AS (SELECT token, row_number() OVER (ORDER BY count(*) DESC, token ASC)::INT AS token_id
+            FROM (SELECT unnest(tokens) AS token FROM ({_toks_sql(False)})) GROUP BY token),
+seq AS (SELECT t.id, list(ti.token_id ORDER BY t.pos) AS s FROM
+        (SELECT id, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM ({_toks_sql(False)})) t JOIN ti ON t.token = ti.token GROUP BY t.id),
+pad AS (SELECT id, CASE WHEN len(s) > 40 THEN s[len(s) - 39:] ELSE s END AS k FROM seq)
+SELECT id, array_to_string(list_concat(list_transform(range(greatest(0, 40 - len(k))), lambda i: 0), k), ',') AS padded FROM pad""")
+def q_pad(spark, sf):
+    t = _toks(spark, sf, stop=False)
+    ti = FE.token_index(t)
+    seq = (t.select("id", F.posexplode("tokens").alias("pos", "token")).join(ti, "token")
+           .groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "token_id"))).alias("_s"))
+           .select("id", F.transform("_s", lambda s: s["token_id"]).alias("seq")))
+    return seq.select("id", F.array_join(FE.pad_sequences("seq", 40).cast("array<string>"), ",").alias("padded"))
+
+
+def _word_vectors_sql():
+    # derived word vectors: each frequent token gets the embedding row whose
+    # vec_id equals its frequency rank (a deterministic stand-in for pretrained vectors)
+    return f"""SELECT ti.token AS word, e.embedding AS vec FROM
+      (SELECT token, (row_number() OVER (ORDER BY count(*) DESC, token ASC) - 1) AS r FROM (SELECT unnest(tokens) AS token FROM ({_toks_sql()})) GROUP BY token) ti
+      JOIN embeddings e ON e.vec_id = ti.r WHERE ti.r % 2 = 0"""
+
+
+def word_vectors(spark, sf):
+    ti = FE.token_index(_toks(spark, sf)).withColumn("r", F.col("token_id") - 1)
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("r"), F.col("embedding").alias("vec"))
+    return ti.join(e, "r").filter(F.col("r") % 2 == 0).select(F.col("token").alias("word"),
+                                                                 F.col("vec").cast("array<double>").alias("vec"))
+
+
+@register("embedding_lookup", f"""WITH v AS ({_vocab_sql()}), wv AS ({_word_vectors_sql()})
+SELECT v.term, round(list_sum(coalesce(wv.vec::DOUBLE[], list_transform(range(64), lambda i: 0.0::DOUBLE))), 6) AS vec_sum,
+       CASE WHEN wv.vec IS NULL THEN 0 ELSE 1 END AS known FROM v LEFT JOIN wv ON v.term = wv.word""")
+def q_embedding_lookup(spark, sf):
+    _, v = _vocab(spark, sf)
+    x = FE.embedding_lookup(v.select("term"), word_vectors(spark, sf), 64)
+    return x.select("term", F.round(F.aggregate("vec", F.lit(0.0), lambda s, a: s + a), 6).alias("vec_sum"), "known")
+
+
+@register("mean_pool_embeddings", f"""WITH c AS ({_counts_sql()}), wv AS ({_word_vectors_sql()}),
+j AS (SELECT c.id, c.tf, unnest(wv.vec::DOUBLE[]) AS x, generate_subscripts(wv.vec, 1) AS pos FROM c JOIN wv ON c.term = wv.word)
+SELECT id, round(sum(x) / count(*), 6) AS pooled_sum FROM (SELECT id, pos, sum(x * tf) / sum(tf) AS x FROM j GROUP BY id, pos) GROUP BY id""")
+def q_mean_pool(spark, sf):
+    c = FE.term_counts(_toks(spark, sf))
+    m = FE.mean_pool_embeddings(c, word_vectors(spark, sf))
+    return m.select("id", F.round(F.aggregate("embedding", F.lit(0.0), lambda s, a: s + a) / F.size("embedding"), 6).alias("pooled_sum"))
