@@ -455,3 +455,226 @@ def q_mean_pool(spark, sf):
     c = FE.term_counts(_toks(spark, sf))
     m = FE.mean_pool_embeddings(c, word_vectors(spark, sf))
     return m.select("id", F.round(F.aggregate("embedding", F.lit(0.0), lambda s, a: s + a) / F.size("embedding"), 6).alias("pooled_sum"))
+
+
+# ---------------------------------------------------------------- 2.9 / 2.10 on the derived scores fixture
+from postlens.operators import combine as CB  # noqa: E402
+from postlens.operators import evaluate as EV  # noqa: E402
+from postlens.plans.fixtures import SCORE_MODELS, TIED_MODEL, scores as fx_scores, scores_sql  # noqa: E402
+
+MODELS = sorted(list(SCORE_MODELS) + [TIED_MODEL])
+SC = scores_sql()
+VOTES = f"(SELECT id, model, prob, label, CASE WHEN prob >= 0.5 THEN 1 ELSE 0 END AS prediction FROM {SC})"
+
+
+def _votes(spark, sf):
+    return CB.threshold_predict(fx_scores(spark, sf))
+
+
+@register("threshold_predict", f"SELECT id, model, prediction FROM {VOTES}")
+def q_threshold_predict(spark, sf):
+    return _votes(spark, sf).select("id", "model", "prediction")
+
+
+@register("soft_vote", f"SELECT id, round(avg(prob), 6) AS prob, CASE WHEN avg(prob) >= 0.5 THEN 1 ELSE 0 END AS prediction FROM {SC} GROUP BY id")
+def q_soft_vote(spark, sf):
+    v = CB.soft_vote(fx_scores(spark, sf))
+    return v.select("id", F.round("prob", 6).alias("prob"), "prediction")
+
+
+@register("hard_vote", f"SELECT id, CASE WHEN sum(prediction) * 2 > count(*) THEN 1 ELSE 0 END AS prediction FROM {VOTES} GROUP BY id")
+def q_hard_vote(spark, sf):
+    return CB.hard_vote(_votes(spark, sf))
+
+
+@register("quorum_vote", f"SELECT id, CASE WHEN sum(prediction) >= 2 THEN 1 ELSE 0 END AS prediction FROM {VOTES} GROUP BY id")
+def q_quorum_vote(spark, sf):
+    return CB.quorum_vote(_votes(spark, sf), 2)
+
+
+_METRICS_SQL = f"SELECT {S.metrics_select_sql(['model'])} FROM ({S.confusion_sql(VOTES, ['model'])})"
+_MCOLS = ("accuracy", "precision", "recall", "f1", "macro_f1", "weighted_f1", "kappa", "mcc")
+
+
+@register("confusion_matrix", f"SELECT model, label AS actual, prediction AS predicted, count(*) AS n FROM {VOTES} GROUP BY 1, 2, 3")
+def q_confusion(spark, sf):
+    return EV.confusion_matrix(_votes(spark, sf), ["model"])
+
+
+@register("binary_metrics", f"""SELECT m.model, m.n, {', '.join(R6('m.' + c) + ' AS ' + c for c in _MCOLS)}, {R6('a.auc')} AS auc
+FROM ({_METRICS_SQL}) m LEFT JOIN ({S.auc_sql(VOTES, ['model'])}) a ON m.model = a.model""")
+def q_binary_metrics(spark, sf):
+    m = EV.binary_metrics(_votes(spark, sf), ["model"])
+    return r6(m, set(_MCOLS) | {"auc"})
+
+
+for _k, _c in {"accuracy": "accuracy", "f1_per_class": "f1", "macro_f1": "macro_f1", "weighted_prf": "weighted_f1",
+               "kappa_mcc": "kappa"}.items():
+    _cols = [_c] + (["mcc"] if _k == "kappa_mcc" else []) + (["precision", "recall"] if _k == "weighted_prf" else [])
+    register(_k, f"SELECT model, {', '.join(R6(c) + ' AS ' + c for c in _cols)} FROM ({_METRICS_SQL})")(
+        (lambda cols: lambda spark, sf: r6(EV.binary_metrics(_votes(spark, sf), ["model"], prob_col=None).select("model", *cols), cols))(_cols))
+
+
+@register("roc_auc", f"SELECT model, {R6('auc')} AS auc FROM ({S.auc_sql(SC, ['model'])})")
+def q_roc_auc(spark, sf):
+    from postlens.operators.ranking import auc_by_group
+
+    return r6(auc_by_group(fx_scores(spark, sf), ["model"]), {"auc"})
+
+
+@register("classification_report", f"""WITH c AS ({S.confusion_sql(VOTES, [])}),
+per AS (SELECT '0' AS class, CASE WHEN tn + fn > 0 THEN tn / (tn + fn) ELSE 0.0 END AS precision, CASE WHEN tn + fp > 0 THEN tn / (tn + fp) ELSE 0.0 END AS recall,
+               CASE WHEN tn + 0.5 * (fn + fp) > 0 THEN tn / (tn + 0.5 * (fn + fp)) ELSE 0.0 END AS f1, (tn + fp)::DOUBLE AS support FROM (SELECT tp::DOUBLE tp, fp::DOUBLE fp, fn::DOUBLE fn, tn::DOUBLE tn FROM c)
+        UNION ALL
+        SELECT '1', CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END,
+               CASE WHEN tp + 0.5 * (fp + fn) > 0 THEN tp / (tp + 0.5 * (fp + fn)) ELSE 0.0 END, (tp + fn)::DOUBLE FROM (SELECT tp::DOUBLE tp, fp::DOUBLE fp, fn::DOUBLE fn, tn::DOUBLE tn FROM c)),
+allr AS (SELECT * FROM per UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM per
+         UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support), sum(f1 * support) / sum(support), sum(support) FROM per)
+SELECT class, {R6('precision')} AS precision, {R6('recall')} AS recall, {R6('f1')} AS f1, support FROM allr""")
+def q_class_report(spark, sf):
+    r = EV.per_class_report(_votes(spark, sf))
+    return r6(r, {"precision", "recall", "f1"})
+
+
+def _scan_sql(lo, hi, step, metric):
+    grid = ", ".join(f"({j}, {k}/100.0)" for j, k in enumerate(range(lo, hi + 1, step)))
+    return f"""WITH g AS (SELECT j, t::DOUBLE AS threshold FROM (VALUES {grid}) v(j, t)),
+pr AS (SELECT s.model, g.threshold, s.label, CASE WHEN s.prob >= g.threshold THEN 1 ELSE 0 END AS prediction FROM {SC} s, g),
+m AS (SELECT {S.metrics_select_sql(['model', 'threshold'])} FROM ({S.confusion_sql('pr', ['model', 'threshold'])})),
+r AS (SELECT model, threshold, {metric}, row_number() OVER (PARTITION BY model ORDER BY {metric} DESC, threshold ASC) AS rk FROM m)
+SELECT model, round(threshold, 2) AS best_threshold, {R6(metric)} AS best_{metric} FROM r WHERE rk = 1"""
+
+
+def _scan_q(lo, hi, step, metric):
+    def fn(spark, sf):
+        s = EV.threshold_scan(fx_scores(spark, sf), EV.threshold_grid(lo, hi, step), group_cols=["model"])
+        b = EV.best_threshold(s, metric, group_cols=["model"])
+        return b.select("model", F.round("best_threshold", 2).alias("best_threshold"), F.round(f"best_{metric}", 6).alias(f"best_{metric}"))
+    return fn
+
+
+register("threshold_scan_f1", _scan_sql(10, 85, 5, "macro_f1"))(_scan_q(10, 85, 5, "macro_f1"))
+register("threshold_scan_accuracy", _scan_sql(10, 90, 1, "accuracy"))(_scan_q(10, 90, 1, "accuracy"))
+
+
+@register("threshold_counts", f"""SELECT model, t::DOUBLE AS threshold, sum(CASE WHEN prob >= t THEN 1 ELSE 0 END)::BIGINT AS n_pos, sum(CASE WHEN prob >= t THEN 0 ELSE 1 END)::BIGINT AS n_neg
+FROM {SC}, (VALUES (0.3), (0.4), (0.5), (0.6), (0.7)) v(t) GROUP BY model, t""")
+def q_threshold_counts(spark, sf):
+    return _tc(spark, sf)
+
+
+def _tc(spark, sf):
+    from postlens.operators.evaluate import threshold_grid
+
+    sc = fx_scores(spark, sf)
+    grid = threshold_grid(30, 70, 10)
+    # with every label set to 1, tp / fn at a threshold are the predicted positives / negatives
+    s = EV.threshold_scan(sc.withColumn("label", F.lit(1)), grid, group_cols=["model"])
+    return s.select("model", F.round("threshold", 2).alias("threshold"),
+                    F.round(F.col("recall") * F.col("n")).cast("long").alias("n_pos"),
+                    (F.col("n") - F.round(F.col("recall") * F.col("n")).cast("long")).alias("n_neg"))
+
+
+@register("prediction_distribution", f"SELECT prediction AS predicted, count(*) AS n, {R6('count(*) * 100.0 / sum(count(*)) OVER ()')} AS percent FROM (SELECT id, CASE WHEN avg(prob) >= 0.5 THEN 1 ELSE 0 END AS prediction FROM {SC} GROUP BY id) GROUP BY 1")
+def q_pred_dist(spark, sf):
+    return r6(EV.prediction_distribution(CB.soft_vote(fx_scores(spark, sf))), {"percent"})
+
+
+@register("confidence_summary", f"""SELECT {R6('avg(c)')} AS mean_confidence, {R6('median(c)')} AS median_confidence,
+ sum(CASE WHEN c > 0.8 THEN 1 ELSE 0 END)::BIGINT AS n_high, sum(CASE WHEN c < 0.6 THEN 1 ELSE 0 END)::BIGINT AS n_low,
+ {R6('avg(CASE WHEN c > 0.8 THEN 1.0 ELSE 0.0 END) * 100')} AS pct_high, {R6('avg(CASE WHEN c < 0.6 THEN 1.0 ELSE 0.0 END) * 100')} AS pct_low
+FROM (SELECT greatest(avg(prob), 1.0 - avg(prob)) AS c FROM {SC} GROUP BY id)""")
+def q_conf_summary(spark, sf):
+    c = EV.confidence_summary(CB.soft_vote(fx_scores(spark, sf)))
+    return r6(c, {"mean_confidence", "median_confidence", "pct_high", "pct_low"})
+
+
+@register("log_loss", f"SELECT model, {R6('-avg(label * ln(least(greatest(prob, 1e-15), 1 - 1e-15)) + (1 - label) * ln(1 - least(greatest(prob, 1e-15), 1 - 1e-15)))')} AS log_loss FROM {SC} GROUP BY model")
+def q_log_loss(spark, sf):
+    sc = fx_scores(spark, sf)
+    p = F.least(F.greatest(F.col("prob"), F.lit(1e-15)), F.lit(1 - 1e-15))
+    y = F.col("label").cast("double")
+    return sc.groupBy("model").agg(F.round(-F.avg(y * F.log(p) + (1 - y) * F.log(1 - p)), 6).alias("log_loss"))
+
+
+_MF = ["model_disagreement", "confidence_gap", "prediction_variance", "mean_prediction", "median_prediction", "prediction_range"]
+
+
+@register("meta_features", f"""SELECT id, {', '.join(f"{R6(f'max(CASE WHEN model = {S.q(m)} THEN prob END)')} AS {m}_pred" for m in MODELS)},
+ {R6('stddev_pop(prob)')} AS model_disagreement, {R6('max(prob) - min(prob)')} AS confidence_gap, {R6('var_pop(prob)')} AS prediction_variance,
+ {R6('avg(prob)')} AS mean_prediction, {R6('median(prob)')} AS median_prediction, {R6('max(prob) - min(prob)')} AS prediction_range,
+ sum(CASE WHEN prob > 0.5 THEN 1 ELSE 0 END)::BIGINT AS models_above_threshold FROM {SC} GROUP BY id""")
+def q_meta(spark, sf):
+    m = CB.meta_features(fx_scores(spark, sf), MODELS)
+    return r6(m, set(_MF) | {f"{x}_pred" for x in MODELS})
+
+
+@register("f1_weights", f"SELECT model, {R6('f1 / sum(f1) OVER ()')} AS weight FROM ({_METRICS_SQL})")
+def q_f1_weights(spark, sf):
+    m = EV.binary_metrics(_votes(spark, sf), ["model"], prob_col=None)
+    return r6(CB.f1_weights(m), {"weight"})
+
+
+@register("weighted_average", f"""WITH w AS (SELECT model, f1 / sum(f1) OVER () AS weight FROM ({_METRICS_SQL}))
+SELECT s.id, {R6('sum(w.weight * s.prob)')} AS prob, CASE WHEN sum(w.weight * s.prob) > 0.5 THEN 1 ELSE 0 END AS prediction FROM {SC} s JOIN w ON s.model = w.model GROUP BY s.id""")
+def q_weighted_average(spark, sf):
+    m = EV.binary_metrics(_votes(spark, sf), ["model"], prob_col=None)
+    x = CB.weighted_average(fx_scores(spark, sf), CB.f1_weights(m))
+    return x.select("id", F.round("prob", 6).alias("prob"), "prediction")
+
+
+@register("agreement_matrix", f"""SELECT a.model AS model_a, b.model AS model_b, {R6('avg(CASE WHEN a.prediction = b.prediction THEN 1.0 ELSE 0.0 END)')} AS agreement
+FROM {VOTES} a JOIN {VOTES} b ON a.id = b.id GROUP BY 1, 2""")
+def q_agreement(spark, sf):
+    return r6(CB.agreement_matrix(_votes(spark, sf), MODELS), {"agreement"})
+
+
+@register("agreement_summary", f"""SELECT {R6('avg(ag)')} AS mean_agreement, {R6('stddev_pop(ag)')} AS std_agreement FROM (
+SELECT a.model AS ma, b.model AS mb, avg(CASE WHEN a.prediction = b.prediction THEN 1.0 ELSE 0.0 END) AS ag
+FROM {VOTES} a JOIN {VOTES} b ON a.id = b.id WHERE a.model < b.model GROUP BY 1, 2)""")
+def q_agreement_summary(spark, sf):
+    return r6(CB.agreement_summary(CB.agreement_matrix(_votes(spark, sf), MODELS)), {"mean_agreement", "std_agreement"})
+
+
+_CORR_MODELS = sorted(SCORE_MODELS)
+
+
+@register("prediction_correlation", f"""SELECT a.model AS model_a, b.model AS model_b, {R6('corr(a.prob, b.prob)')} AS correlation
+FROM {SC} a JOIN {SC} b ON a.id = b.id WHERE a.model < b.model AND a.model <> '{TIED_MODEL}' AND b.model <> '{TIED_MODEL}' GROUP BY 1, 2""")
+def q_corr(spark, sf):
+    return r6(CB.prediction_correlation(fx_scores(spark, sf), _CORR_MODELS), {"correlation"})
+
+
+@register("disagreement_rows", f"""SELECT sum(CASE WHEN a.prediction <> b.prediction THEN 1 ELSE 0 END)::BIGINT AS n_disagree
+FROM {VOTES} a JOIN {VOTES} b ON a.id = b.id WHERE a.model = 'm_len' AND b.model = 'm_upper'""")
+def q_disagree(spark, sf):
+    return CB.disagreement_rows(_votes(spark, sf), "m_len", "m_upper")
+
+
+@register("estimator_variance", f"SELECT id, {R6('var_pop(prediction::DOUBLE)')} AS variance FROM {VOTES} GROUP BY id")
+def q_est_var(spark, sf):
+    return r6(CB.estimator_variance(_votes(spark, sf)), {"variance"})
+
+
+@register("consensus_analysis", f"""WITH f AS (SELECT id, prediction AS first FROM {VOTES} WHERE model = '{MODELS[0]}')
+SELECT v.id, {R6('avg(v.prediction)')} AS consensus_ratio, sum(CASE WHEN v.prediction = f.first THEN 1 ELSE 0 END)::BIGINT AS agreement_count,
+ {R6('1.0 - sum(CASE WHEN v.prediction = f.first THEN 1 ELSE 0 END) / count(*)')} AS disagreement_ratio FROM {VOTES} v JOIN f ON v.id = f.id GROUP BY v.id""")
+def q_consensus(spark, sf):
+    return r6(CB.consensus_analysis(_votes(spark, sf), MODELS[0]), {"consensus_ratio", "disagreement_ratio"})
+
+
+@register("minmax_scores", f"""SELECT s.id, s.model, {R6('CASE WHEN m.mx > m.mn THEN (s.prob - m.mn) / (m.mx - m.mn) ELSE 0.0 END')} AS prob
+FROM {SC} s JOIN (SELECT model, min(prob) AS mn, max(prob) AS mx FROM {SC} GROUP BY model) m ON s.model = m.model""")
+def q_minmax(spark, sf):
+    return r6(CB.minmax_scores(fx_scores(spark, sf)).select("id", "model", "prob"), {"prob"})
+
+
+@register("vector_stats", f"""SELECT model, {R6('avg(prob)')} AS mean, {R6('stddev_pop(prob)')} AS std, {R6('median(prob)')} AS median,
+ {R6('min(prob)')} AS min, {R6('max(prob)')} AS max, {R6('sum(abs(prob))')} AS l1, {R6('sqrt(sum(prob * prob))')} AS l2 FROM {SC} GROUP BY model""")
+def q_vector_stats(spark, sf):
+    sc = fx_scores(spark, sf)
+    out = None
+    for m in MODELS:
+        v = EDA.vector_stats(sc.filter(F.col("model") == m), "prob").select(F.lit(m).alias("model"), "*")
+        out = v if out is None else out.unionByName(v)
+    return r6(out, {"mean", "std", "median", "min", "max", "l1", "l2"})
