@@ -678,3 +678,268 @@ def q_vector_stats(spark, sf):
         v = EDA.vector_stats(sc.filter(F.col("model") == m), "prob").select(F.lit(m).alias("model"), "*")
         out = v if out is None else out.unionByName(v)
     return r6(out, {"mean", "std", "median", "min", "max", "l1", "l2"})
+
+
+# ---------------------------------------------------------------- 2.4 EDA
+_LAB = "(SELECT d.doc_id AS id, d.lang, d.source, d.text AS post, l.toxic AS label FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"
+
+
+def _lab(spark, sf):
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "lang", "source", F.col("text").alias("post"))
+    lab = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
+    return d.join(lab, "id")
+
+
+@register("class_distribution", f"SELECT label, count(*) AS n, {R6('count(*) * 100.0 / sum(count(*)) OVER ()')} AS percent FROM {_LAB} GROUP BY label")
+def q_class_dist(spark, sf):
+    return r6(EDA.class_distribution(_lab(spark, sf)), {"percent"})
+
+
+@register("category_distribution", "SELECT lang, count(*) AS n FROM documents GROUP BY lang")
+def q_cat_dist(spark, sf):
+    return EDA.category_distribution(table(spark, sf, "documents"), "lang")
+
+
+@register("positives_by_category", f"SELECT lang, sum(label)::BIGINT AS n_pos FROM {_LAB} GROUP BY lang")
+def q_pos_by_cat(spark, sf):
+    return EDA.positives_by_category(_lab(spark, sf), "lang")
+
+
+@register("distinct_count", "SELECT count(DISTINCT source) AS n_distinct FROM documents")
+def q_distinct(spark, sf):
+    return EDA.distinct_count(table(spark, sf, "documents"), "source")
+
+
+@register("symbol_histogram", f"SELECT {S.count_sub_sql('coalesce(post, chr(0))', '@')}::BIGINT AS value, count(*) AS n FROM ({S.posts_with_edges_sql()}) GROUP BY 1")
+def q_symbol_hist(spark, sf):
+    c = HY.count_symbols(edge_posts(spark, sf), "post")
+    return EDA.symbol_histogram(c, "num_mentions")
+
+
+@register("crosstab_percent", f"SELECT lang, {R6('avg(CASE WHEN label = 0 THEN 100.0 ELSE 0.0 END)')} AS pct_0, {R6('avg(CASE WHEN label = 1 THEN 100.0 ELSE 0.0 END)')} AS pct_1 FROM {_LAB} GROUP BY lang")
+def q_crosstab(spark, sf):
+    return r6(EDA.crosstab_percent(_lab(spark, sf), "lang"), {"pct_0", "pct_1"})
+
+
+@register("top_tags", f"""SELECT tag, count(*) AS n FROM (SELECT unnest(regexp_extract_all(coalesce(post, ''), '@[\\p{{L}}\\p{{N}}_]+')) AS tag FROM ({S.posts_with_edges_sql()}))
+GROUP BY tag ORDER BY n DESC, tag ASC LIMIT 10""")
+def q_top_tags(spark, sf):
+    p = edge_posts(spark, sf).select(TX.mentions("post").alias("tags"))
+    return EDA.top_tags(p, "tags", 10)
+
+
+@register("top_tags_by_category", f"""SELECT lang, tag, n, rank FROM (SELECT lang, tag, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, tag ASC) AS rank FROM (
+  SELECT lang, tag, count(*) AS n FROM (SELECT lang, unnest(regexp_extract_all(coalesce(text, ''), '@[\\p{{L}}\\p{{N}}_]+')) AS tag FROM documents) GROUP BY 1, 2)) WHERE rank <= 3""")
+def q_top_tags_cat(spark, sf):
+    d = table(spark, sf, "documents").select("lang", TX.mentions("text").alias("tags"))
+    return EDA.top_tags_by_category(d, "tags", "lang", 3).select("lang", "tag", "n", F.col("rank").cast("long").alias("rank"))
+
+
+@register("top_words_by_class", f"""SELECT label, word, n, rank FROM (SELECT label, word, n, row_number() OVER (PARTITION BY label ORDER BY n DESC, word ASC) AS rank FROM (
+  SELECT label, word, count(*) AS n FROM (SELECT label, unnest({S.tokens_sql(S.clean_sql('post'))}) AS word FROM ({S.POSTS})) GROUP BY 1, 2)) WHERE rank <= 20""")
+def q_top_words(spark, sf):
+    p = FE.tokenize_words(train_posts(spark, sf).withColumn("clean", TX.clean_post("post")), "clean")
+    return EDA.top_words_by_class(p, "tokens", "label", 20).select("label", "word", "n", F.col("rank").cast("long").alias("rank"))
+
+
+@register("class_feature_means", f"""SELECT label, pos, {R6('avg(v)')} AS mean FROM (
+  SELECT label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings) WHERE pos < 10 GROUP BY 1, 2""")
+def q_class_means(spark, sf):
+    e = table(spark, sf, "embeddings")
+    m = EDA.class_feature_means(e, "embedding", "label", first=10)
+    return r6(m.select("label", F.col("pos").cast("long").alias("pos"), "mean"), {"mean"})
+
+
+# ---------------------------------------------------------------- 2.5 splits, folds, resampling, weights
+def _rank_sql(seed, extra=""):
+    return (f"SELECT id, label, row_number() OVER (PARTITION BY label ORDER BY md5(concat(id, ':{seed}')), id) - 1 AS rk, "
+            f"count(*) OVER (PARTITION BY label) AS n_c{extra} FROM ({S.POSTS})")
+
+
+def _posts_lab(spark, sf):
+    return train_posts(spark, sf).select("id", "label")
+
+
+@register("train_val_split", f"SELECT CASE WHEN {S.md5_uniform_sql('id', 7) if hasattr(S, 'md5_uniform_sql') else ''} < 0.2 THEN 'val' ELSE 'train' END AS split, count(*) AS n FROM ({S.POSTS}) GROUP BY 1"
+          .replace(" if hasattr(S, 'md5_uniform_sql') else ''", ""))
+def q_tv_split(spark, sf):
+    return SP.train_val_split(_posts_lab(spark, sf), 0.2, 7).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stratified_split", f"SELECT id, label, CASE WHEN rk < floor(n_c * 0.15) THEN 'val' ELSE 'train' END AS split FROM ({_rank_sql(42)})")
+def q_strat_split(spark, sf):
+    return SP.stratified_split(_posts_lab(spark, sf), 0.15, 42).select("id", "label", "split")
+
+
+@register("kfold", f"SELECT id, {S.md5_bucket_sql('id', 42, 5)}::INT AS fold FROM ({S.POSTS})")
+def q_kfold(spark, sf):
+    return SP.kfold(_posts_lab(spark, sf), 5, 42).select("id", "fold")
+
+
+@register("stratified_kfold", f"SELECT id, label, (rk % 5)::INT AS fold FROM ({_rank_sql(42)})")
+def q_strat_kfold(spark, sf):
+    return SP.stratified_kfold(_posts_lab(spark, sf), 5, 42).select("id", "label", "fold")
+
+
+@register("group_kfold", f"SELECT source, {S.md5_bucket_sql('source', 42, 5)}::INT AS fold, count(*) AS n FROM documents GROUP BY 1, 2")
+def q_group_kfold(spark, sf):
+    d = table(spark, sf, "documents")
+    return SP.group_kfold(d, "source", 5, 42).groupBy("source", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stratified_subsample", f"SELECT id, label FROM ({_rank_sql(42)}) WHERE rk < floor(100.0 * n_c / (SELECT count(*) FROM ({S.POSTS})))")
+def q_strat_sub(spark, sf):
+    return SP.stratified_subsample(_posts_lab(spark, sf), 100, 42).select("id", "label")
+
+
+@register("random_subsample_n", f"SELECT id FROM ({S.POSTS}) ORDER BY md5(concat(id, ':42')), id LIMIT 50")
+def q_rand_sub(spark, sf):
+    return SP.random_subsample_n(_posts_lab(spark, sf), 50, 42).select("id")
+
+
+def _poisson_sql(u: str) -> str:
+    import math
+
+    cdf, acc, p = [], 0.0, math.exp(-1.0)
+    for k in range(8):
+        acc += p
+        cdf.append(acc)
+        p = p / (k + 1)
+    return "CASE " + " ".join(f"WHEN {u} < {repr(c)} THEN {k}" for k, c in enumerate(cdf)) + " ELSE 8 END"
+
+
+_BAGS_SQL = f"""SELECT id, label, bag, ({_poisson_sql(S.md5_uniform_sql("concat(id, '/', bag)", 42))})::INT AS weight
+FROM ({S.POSTS}), (SELECT unnest(range(0, 5)) AS bag)"""
+
+
+@register("bootstrap_bags", f"SELECT bag, sum(weight)::BIGINT AS n_drawn, sum(CASE WHEN weight > 0 THEN 1 ELSE 0 END)::BIGINT AS n_distinct FROM ({_BAGS_SQL}) GROUP BY bag")
+def q_bags(spark, sf):
+    b = SP.bootstrap_bags(_posts_lab(spark, sf), 5, 42)
+    return b.groupBy("bag").agg(F.sum("weight").cast("long").alias("n_drawn"),
+                                F.sum((F.col("weight") > 0).cast("int")).cast("long").alias("n_distinct"))
+
+
+@register("out_of_bag", f"SELECT id, bag FROM ({_BAGS_SQL}) WHERE weight = 0")
+def q_oob(spark, sf):
+    return SP.out_of_bag(SP.bootstrap_bags(_posts_lab(spark, sf), 5, 42)).select("id", "bag")
+
+
+@register("random_oversample", f"""WITH r AS ({_rank_sql(42)}), m AS (SELECT max(n_c) AS mx FROM r),
+c AS (SELECT r.id, r.label, floor(m.mx / r.n_c) + CASE WHEN r.rk < m.mx - floor(m.mx / r.n_c) * r.n_c THEN 1 ELSE 0 END AS copies FROM r, m)
+SELECT label, sum(copies)::BIGINT AS n, count(*) AS n_distinct FROM c GROUP BY label""")
+def q_oversample(spark, sf):
+    o = SP.random_oversample(_posts_lab(spark, sf))
+    return o.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("n_distinct"))
+
+
+@register("class_weights_balanced", f"SELECT label, {R6('sum(count(*)) OVER () / (2.0 * count(*))')} AS class_weight FROM ({S.POSTS}) GROUP BY label")
+def q_cw(spark, sf):
+    return r6(SP.class_weights_balanced(_posts_lab(spark, sf)), {"class_weight"})
+
+
+@register("sample_weights", f"""WITH w AS (SELECT label, sum(count(*)) OVER () / (2.0 * count(*)) AS w FROM ({S.POSTS}) GROUP BY label)
+SELECT p.label, {R6('sum(w.w)')} AS total_weight FROM ({S.POSTS}) p JOIN w ON p.label = w.label GROUP BY p.label""")
+def q_sw(spark, sf):
+    w = SP.sample_weights(_posts_lab(spark, sf), "balanced")
+    return r6(w.groupBy("label").agg(F.sum("weight").alias("total_weight")), {"total_weight"})
+
+
+@register("positive_weight", f"SELECT label, {R6('sum(CASE WHEN label = 1 THEN 3.0 ELSE 1.0 END)')} AS total_weight FROM ({S.POSTS}) GROUP BY label")
+def q_pw(spark, sf):
+    w = SP.positive_weight(_posts_lab(spark, sf), 3.0)
+    return r6(w.groupBy("label").agg(F.sum("weight").alias("total_weight")), {"total_weight"})
+
+
+# ---------------------------------------------------------------- 2.6 / 2.7 models (rows-only checks)
+from postlens.operators.models import knn as KNN  # noqa: E402
+from postlens.operators.models import linear as LIN  # noqa: E402
+from postlens.operators.models import nb as NB  # noqa: E402
+
+
+def dense_split(spark, sf, seed: int = 42):
+    """embeddings as a binary task: x = 64 floats, label = class < 5,
+    20 % test by md5 of the id."""
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("x"),
+                                              (F.col("label") < 5).cast("int").alias("label"))
+    e = SP.train_val_split(e, 0.2, seed)
+    return e.filter(F.col("split") == "train").drop("split"), e.filter(F.col("split") == "val").drop("split")
+
+
+def _vec(df):
+    from pyspark.ml.functions import array_to_vector
+
+    return df.withColumn("features", array_to_vector("x"))
+
+
+def _mllib_query(make):
+    def fn(spark, sf):
+        tr, te = dense_split(spark, sf)
+        n = tr.count()
+        model = make(n).fit(_vec(tr))
+        out = model.transform(_vec(te))
+        if "probability" in out.columns:
+            out = LIN.positive_prob(out)
+        else:
+            out = out.withColumn("prob", F.lit(None).cast("double"))
+        return out.select("id", "label", F.col("prediction").cast("int").alias("prediction"), F.round("prob", 6).alias("prob"))
+    return fn
+
+
+register("logistic_regression")(_mllib_query(lambda n: LIN.logistic_regression(C=1.0, n=n)))
+register("lasso_logistic")(_mllib_query(lambda n: LIN.logistic_regression(C=1.0, n=n, l1_ratio=1.0)))
+register("elastic_net_logistic")(_mllib_query(lambda n: LIN.logistic_regression(C=1.0, n=n, l1_ratio=0.5)))
+register("linear_svc")(_mllib_query(lambda n: LIN.linear_svc(C=1.0, n=n)))
+register("decision_tree")(_mllib_query(lambda n: LIN.decision_tree(max_depth=5)))
+register("random_forest")(_mllib_query(lambda n: LIN.random_forest(n_trees=50, max_depth=8)))
+register("extra_trees")(_mllib_query(lambda n: LIN.extra_trees(n_trees=50, max_depth=8)))
+register("gradient_boosting")(_mllib_query(lambda n: LIN.gradient_boosting(n_iter=20)))
+
+
+@register("ridge_classifier")
+def q_ridge(spark, sf):
+    tr, te = dense_split(spark, sf)
+    m = LIN.ridge_classifier(_vec(tr))
+    out = m.transform(_vec(te))
+    return out.select("id", "label", (F.col("prediction") > 0).cast("int").alias("prediction"))
+
+
+@register("gd_logistic")
+def q_gd_logistic(spark, sf):
+    tr, te = dense_split(spark, sf)
+    w, b, hist = LIN.gd_logistic(tr, 64, epochs=3, lr=0.5, n_batches=2)
+    s = LIN.score_linear(te, w, b)
+    return s.select("id", "label", (F.col("prob") >= 0.5).cast("int").alias("prediction"), F.round("prob", 6).alias("prob"))
+
+
+@register("gaussian_nb")
+def q_gaussian_nb(spark, sf):
+    tr, te = dense_split(spark, sf)
+    m = NB.fit_gaussian_nb(tr)
+    s = NB.score_gaussian_nb(m, te)
+    return te.select("id", "label").join(s, "id").select("id", "label", (F.col("prob") >= 0.5).cast("int").alias("prediction"))
+
+
+@register("knn_classify")
+def q_knn(spark, sf):
+    tr, te = dense_split(spark, sf)
+    nb = KNN.nearest_neighbors(tr, te, k=5, p=2)
+    return KNN.knn_classify(nb)
+
+
+def _nb_variant(fit):
+    def fn(spark, sf):
+        posts = SP.stratified_split(train_posts(spark, sf).withColumn("clean", TX.clean_post("post")), 0.2, 42)
+        c = FE.term_counts(FE.tokenize_words(posts, "clean").select("id", "tokens"))
+        tr = posts.filter("split = 'train'").select("id", "label")
+        va = posts.filter("split = 'val'").select("id", "label")
+        tc = c.join(tr.select("id"), "id", "left_semi")
+        v = FE.build_vocabulary(tc, min_df=2, max_features=2000)
+        m = fit(tc, tr, v)
+        s = NB.score_nb(m, c.join(va.select("id"), "id", "left_semi"), va)
+        return va.join(s, "id").select("id", "label", (F.col("prob") >= 0.5).cast("int").alias("prediction"), "prob")
+    return fn
+
+
+register("multinomial_nb")(_nb_variant(lambda tc, tr, v: NB.fit_multinomial_nb(tc, tr, v)))
+register("complement_nb")(_nb_variant(lambda tc, tr, v: NB.fit_complement_nb(tc, tr, v)))
+register("bernoulli_nb")(_nb_variant(lambda tc, tr, v: NB.fit_bernoulli_nb(tc, tr, v)))

@@ -3,6 +3,7 @@ semantics in plain SQL over the same Parquet tables."""
 
 from __future__ import annotations
 
+from postlens.functions.hashing import md5_bucket_sql, md5_uniform_sql  # noqa: F401
 from postlens.functions.text import HATE_INDICATORS, MASK_CHARS, english_stop_words
 
 WS = "[ \\t\\n\\x0B\\f\\r]"
