@@ -45,11 +45,16 @@ def char_ngrams(df: DataFrame, text_col: str = "post", n_min: int = 2, n_max: in
     Generators keep the normalised text an attribute, so it is computed
     once per post (not once per position)."""
     t = F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), "[ \\t\\n\\x0B\\f\\r]{2,}", " ")
-    x = df.select(id_col, t.alias("_t"))
-    x = x.select(id_col, "_t", F.explode(F.sequence(F.lit(n_min), F.lit(n_max))).alias("_n"))
-    x = x.filter(F.length("_t") >= F.col("_n"))
-    x = x.select(id_col, "_t", "_n", F.explode(F.sequence(F.lit(1), F.length("_t") - F.col("_n") + 1)).alias("_i"))
-    return x.select(id_col, F.expr("substring(_t, _i, _n)").alias("term"))
+    # code points of the post, once per post ((?s). matches any code point)
+    x = df.select(id_col, F.regexp_extract_all(t, F.lit("(?s)."), 0).alias("_c"))
+    # the generator over n fences the array off as an attribute, so the
+    # lambda below indexes it instead of re-running the regex, and slicing
+    # an array is O(1) per position where substring() on UTF-8 would walk
+    # from the start of the text every time
+    x = x.select(id_col, "_c", F.explode(F.sequence(F.lit(n_min), F.lit(n_max))).alias("_n"))
+    grams = F.transform(F.sequence(F.lit(1), F.size("_c") - F.col("_n") + 1),
+                        lambda i: F.array_join(F.slice(F.col("_c"), i, F.col("_n")), ""))
+    return x.filter(F.size("_c") >= F.col("_n")).select(id_col, F.explode(grams).alias("term"))
 
 
 def term_counts(df: DataFrame, id_col: str = "id", terms_col: str = "tokens") -> DataFrame:
