@@ -943,3 +943,143 @@ def _nb_variant(fit):
 register("multinomial_nb")(_nb_variant(lambda tc, tr, v: NB.fit_multinomial_nb(tc, tr, v)))
 register("complement_nb")(_nb_variant(lambda tc, tr, v: NB.fit_complement_nb(tc, tr, v)))
 register("bernoulli_nb")(_nb_variant(lambda tc, tr, v: NB.fit_bernoulli_nb(tc, tr, v)))
+
+
+# ---------------------------------------------------------------- more 2.2 / 2.6 / 2.10
+from postlens.operators import scale as SCL  # noqa: E402
+
+# Derived fixtures (FIXTURES C): a small valence lexicon and a lemma
+# dictionary, drawn from words that occur in `documents`.
+LEXICON = [("the", 0.1), ("and", 0.2), ("is", -0.3), ("was", -0.5), ("with", 0.4), ("that", -0.2), ("for", 0.3),
+           ("this", 0.6), ("are", -0.4), ("de", 0.5), ("la", -0.6), ("der", 0.7), ("die", -1.2), ("que", 0.2)]
+LEMMAS = [("is", "be"), ("are", "be"), ("was", "be"), ("were", "be"), ("has", "have"), ("had", "have"),
+          ("does", "do"), ("did", "do")]
+
+
+def _vals(rows):
+    return ", ".join(f"({S.q(a)}, {b if not isinstance(b, str) else S.q(b)})" for a, b in rows)
+
+
+@register("sigmoid_clip", f"SELECT id, model, {R6(S.sigmoid_sql('(prob - 0.5) * 1000.0'))} AS s FROM {SC}")
+def q_sigmoid(spark, sf):
+    sc = fx_scores(spark, sf)
+    return sc.select("id", "model", F.round(TX.sigmoid_clip((F.col("prob") - 0.5) * 1000.0), 6).alias("s"))
+
+
+@register("activation_expand", f"""SELECT id, {R6('list_sum(list_transform(a, lambda x: greatest(x, 0.0)) || list_transform(a, lambda x: ' + S.sigmoid_sql('x') + ') || list_transform(a, lambda x: tanh(x)) || list_transform(a, lambda x: CASE WHEN x > 0 THEN x ELSE 0.01 * x END))')} AS act_sum
+FROM (SELECT id, list(prob * 4.0 - 2.0 ORDER BY model) AS a FROM {SC} GROUP BY id)""")
+def q_activation(spark, sf):
+    sc = fx_scores(spark, sf)
+    a = sc.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("model", (F.col("prob") * 4.0 - 2.0).alias("v")))).alias("_s"))
+    a = a.select("id", F.transform("_s", lambda s: s["v"]).alias("a"))
+    return a.select("id", F.round(F.aggregate(TX.activation_expand("a"), F.lit(0.0), lambda s, x: s + x), 6).alias("act_sum"))
+
+
+@register("one_hot", "SELECT doc_id, " + ", ".join(f"(lang = '{v}')::INT AS lang_{v}" for v in ("de", "en", "es", "fr")) + " FROM documents")
+def q_one_hot(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "lang")
+    return HY.one_hot(d, "lang", ["de", "en", "es", "fr"]).drop("lang")
+
+
+@register("binarize_features", "SELECT vec_id, list_sum(list_transform(embedding, lambda x: (x > 0)::INT))::BIGINT AS n_pos FROM embeddings")
+def q_binarize(spark, sf):
+    e = table(spark, sf, "embeddings")
+    return e.select("vec_id", F.aggregate(F.transform("embedding", lambda x: (x > 0).cast("long")), F.lit(0).cast("long"),
+                                          lambda s, x: s + x).alias("n_pos"))
+
+
+_LEX_SQL = f"""WITH lex(word, valence) AS (VALUES {_vals(LEXICON)}),
+w AS (SELECT d.doc_id AS id, regexp_replace(unnest({S.words_sql('d.text', lower=True)}), '^[^\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}]+$', '', 'g') AS word FROM documents d),
+s AS (SELECT w.id, sum(lex.valence) AS s FROM w JOIN lex ON w.word = lex.word GROUP BY w.id),
+c AS (SELECT d.doc_id AS id, coalesce(s.s, 0.0) AS s FROM documents d LEFT JOIN s ON d.doc_id = s.id)"""
+
+
+def _lex(spark, sf):
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("post"))
+    lex = spark.createDataFrame(LEXICON, "word string, valence double")
+    return HY.lexicon_sentiment(d, lex, "post")
+
+
+@register("lexicon_sentiment", f"{_LEX_SQL} SELECT id, {R6('s')} AS s, {R6('s / sqrt(s * s + 15.0)')} AS compound FROM c")
+def q_lexicon(spark, sf):
+    x = _lex(spark, sf)
+    return r6(x.select("id", "s", "compound"), {"s", "compound"})
+
+
+@register("sentiment_label", f"{_LEX_SQL} SELECT CASE WHEN round(s / sqrt(s * s + 15.0), 9) >= 0 THEN 'positive' ELSE 'negative' END AS sentiment, count(*) AS n FROM c GROUP BY 1")
+def q_sentiment_label(spark, sf):
+    # round before the sign test: valence sums that cancel to ~1e-17 must not
+    # depend on summation order
+    x = _lex(spark, sf).withColumn("compound", F.round("compound", 9))
+    return x.groupBy(HY.sentiment_label().alias("sentiment")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("dictionary_lemmatize", f"""WITH lem(word, lemma) AS (VALUES {_vals(LEMMAS)}),
+p AS (SELECT id, {S.clean_sql('post')} AS clean FROM ({S.POSTS})),
+w AS (SELECT id, unnest({S.words_sql('clean')}) AS word, generate_subscripts({S.words_sql('clean')}, 1) AS pos FROM p),
+j AS (SELECT w.id, string_agg(coalesce(lem.lemma, w.word), ' ' ORDER BY w.pos) AS lemmatized FROM w LEFT JOIN lem ON w.word = lem.word GROUP BY w.id)
+SELECT p.id, md5(coalesce(j.lemmatized, '')) AS lemmatized_md5, length(coalesce(j.lemmatized, '')) AS n_chars FROM p LEFT JOIN j ON p.id = j.id""")
+def q_lemmatize(spark, sf):
+    p = train_posts(spark, sf).select("id", TX.clean_post("post").alias("clean"))
+    lem = spark.createDataFrame(LEMMAS, "word string, lemma string")
+    x = HY.dictionary_lemmatize(p, lem, "clean")
+    return x.select("id", F.md5("lemmatized").alias("lemmatized_md5"), F.length("lemmatized").alias("n_chars"))
+
+
+def _dense_sql(split):
+    return (f"(SELECT vec_id AS id, embedding AS x FROM embeddings WHERE "
+            f"{'NOT ' if split == 'train' else ''}({S.md5_uniform_sql('vec_id', 42)} < 0.2))")
+
+
+@register("standard_scale", f"""WITH st AS (SELECT pos, avg(v) AS mu, CASE WHEN stddev_pop(v) = 0 OR stddev_pop(v) IS NULL THEN 1.0 ELSE stddev_pop(v) END AS sd
+  FROM (SELECT unnest(x)::DOUBLE AS v, generate_subscripts(x, 1) AS pos FROM {_dense_sql('train')}) GROUP BY pos),
+te AS (SELECT id, unnest(x)::DOUBLE AS v, generate_subscripts(x, 1) AS pos FROM {_dense_sql('val')})
+SELECT te.id, {R6('sum((te.v - st.mu) / st.sd)')} AS scaled_sum FROM te JOIN st ON te.pos = st.pos GROUP BY te.id""")
+def q_standard(spark, sf):
+    tr, te = dense_split(spark, sf)
+    x = SCL.standard_scale(te, SCL.fit_standard(tr))
+    return x.select("id", F.round(F.aggregate("x", F.lit(0.0), lambda s, v: s + v), 6).alias("scaled_sum"))
+
+
+@register("maxabs_scale", f"""WITH st AS (SELECT pos, CASE WHEN max(abs(v)) = 0 THEN 1.0 ELSE max(abs(v)) END AS m
+  FROM (SELECT unnest(x)::DOUBLE AS v, generate_subscripts(x, 1) AS pos FROM {_dense_sql('train')}) GROUP BY pos),
+te AS (SELECT id, unnest(x)::DOUBLE AS v, generate_subscripts(x, 1) AS pos FROM {_dense_sql('val')})
+SELECT te.id, {R6('sum(te.v / st.m)')} AS scaled_sum FROM te JOIN st ON te.pos = st.pos GROUP BY te.id""")
+def q_maxabs(spark, sf):
+    tr, te = dense_split(spark, sf)
+    x = SCL.maxabs_scale(te, SCL.fit_maxabs(tr))
+    return x.select("id", F.round(F.aggregate("x", F.lit(0.0), lambda s, v: s + v), 6).alias("scaled_sum"))
+
+
+def _conf_rows_sql(cond):
+    return f"""SELECT s.id, substr(p.post, 1, 100) AS text, s.label, {R6('greatest(s.prob, 1 - s.prob)')} AS confidence, {R6('1 - s.prob')} AS p0, {R6('s.prob')} AS p1
+FROM {SC} s JOIN ({S.POSTS}) p ON s.id = p.id WHERE s.model = 'm_len' AND {cond} ORDER BY s.id LIMIT 5"""
+
+
+def _conf_rows(spark, sf, cond):
+    sc = fx_scores(spark, sf).filter(F.col("model") == "m_len")
+    conf = F.greatest(F.col("prob"), 1 - F.col("prob"))
+    x = sc.join(train_posts(spark, sf).select("id", "post"), "id").filter(cond(conf)).orderBy("id").limit(5)
+    return x.select("id", F.substring("post", 1, 100).alias("text"), "label", F.round(conf, 6).alias("confidence"),
+                    F.round(1 - F.col("prob"), 6).alias("p0"), F.round("prob", 6).alias("p1"))
+
+
+@register("high_confidence_rows", _conf_rows_sql("greatest(s.prob, 1 - s.prob) > 0.9"))
+def q_high_conf(spark, sf):
+    return _conf_rows(spark, sf, lambda c: c > 0.9)
+
+
+@register("uncertain_rows", _conf_rows_sql("greatest(s.prob, 1 - s.prob) > 0.4 AND greatest(s.prob, 1 - s.prob) < 0.6"))
+def q_uncertain(spark, sf):
+    return _conf_rows(spark, sf, lambda c: (c > 0.4) & (c < 0.6))
+
+
+@register("cv_summary", f"""WITH f AS (SELECT id, (rk % 5)::INT AS fold FROM ({_rank_sql(42)})),
+v AS (SELECT v.*, f.fold FROM {VOTES} v JOIN f ON v.id = f.id),
+m AS (SELECT {S.metrics_select_sql(['model', 'fold'])} FROM ({S.confusion_sql('v', ['model', 'fold'])}))
+SELECT model, {R6('avg(f1)')} AS mean, {R6('stddev_pop(f1)')} AS std, {R6('avg(f1) - 2 * stddev_pop(f1)')} AS lo, {R6('avg(f1) + 2 * stddev_pop(f1)')} AS hi FROM m GROUP BY model""")
+def q_cv_summary(spark, sf):
+    folds = SP.stratified_kfold(_posts_lab(spark, sf), 5, 42).select("id", "fold")
+    v = _votes(spark, sf).join(folds, "id")
+    m = EV.binary_metrics(v, ["model", "fold"], prob_col=None)
+    return r6(EDA.cv_summary(m, ("model",), "f1"), {"mean", "std", "lo", "hi"})
