@@ -49,9 +49,9 @@ def R6(expr: str) -> str:
 
 
 # ---------------------------------------------------------------- flagship
-def _flagship_sql() -> str:
+def _flagship_sql(tail: str | None = None) -> str:
     p = FL.FLAGSHIP
-    return f"""
+    sql = f"""
 WITH posts AS (SELECT d.doc_id AS id, l.toxic AS label, d.text AS post, d.lang FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
 c AS (SELECT id, label, lang, {S.clean_sql('post')} AS clean, md5(concat(id, ':{p['seed']}')) AS h FROM posts),
 r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY h, id) - 1 AS rk, count(*) OVER (PARTITION BY label) AS n_c FROM c),
@@ -68,7 +68,7 @@ ct AS (SELECT t.label, c.term, sum(c.tf)::DOUBLE AS n_ct FROM tc c JOIN train t
 cc AS (SELECT g.term, g.label, coalesce(ct.n_ct, 0.0) AS n_ct FROM grid g LEFT JOIN ct ON g.label = ct.label AND g.term = ct.term),
 ll AS (SELECT term, label, ln((n_ct + {p['alpha']}) / (sum(n_ct) OVER (PARTITION BY label) + {p['alpha']} * count(*) OVER (PARTITION BY label))) AS logp FROM cc),
 pri AS (SELECT label, ln(count(*)::DOUBLE / sum(count(*)) OVER ()) AS lp FROM train GROUP BY label),
-vc AS (SELECT * FROM counts WHERE id IN (SELECT id FROM val)),
+{{TAIL}}vc AS (SELECT * FROM counts WHERE id IN (SELECT id FROM val)),
 s AS (SELECT vc.id, sum(CASE WHEN ll.label = 0 THEN vc.tf * ll.logp ELSE 0.0 END) AS c0,
              sum(CASE WHEN ll.label = 1 THEN vc.tf * ll.logp ELSE 0.0 END) AS c1 FROM vc JOIN ll ON vc.term = ll.term GROUP BY vc.id),
 scored AS (SELECT v.id, v.label, v.lang,
@@ -80,6 +80,10 @@ a AS ({S.auc_sql('pred', ['lang'])})
 SELECT m.lang, m.n, {', '.join(R6('m.' + x) + ' AS ' + x for x in ('accuracy', 'precision', 'recall', 'f1', 'macro_f1'))}, {R6('a.auc')} AS auc
 FROM m LEFT JOIN a ON m.lang = a.lang
 """
+    if tail is None:
+        return sql.replace("{TAIL}", "")
+    # the NB model tables only: cut the statement after the prior table
+    return sql[:sql.index("{TAIL}")].rstrip().rstrip(",") + "\n" + tail
 
 
 @register("flagship_nb_by_lang", _flagship_sql())
@@ -1083,3 +1087,114 @@ def q_cv_summary(spark, sf):
     v = _votes(spark, sf).join(folds, "id")
     m = EV.binary_metrics(v, ["model", "fold"], prob_col=None)
     return r6(EDA.cv_summary(m, ("model",), "f1"), {"mean", "std", "lo", "hi"})
+
+
+# ---------------------------------------------------------------- 2.11 inspection of the NB model
+@register("class_priors", _flagship_sql(f"SELECT label, {R6('exp(lp)')} AS prior FROM pri"))
+def q_priors(spark, sf):
+    m = FL.nb_model(spark, sf)
+    return m.prior.select("label", F.round(F.exp("logprior"), 6).alias("prior"))
+
+
+@register("nb_log_ratio", _flagship_sql(
+    f"SELECT term, {R6('abs(max(CASE WHEN label = 1 THEN logp END) - max(CASE WHEN label = 0 THEN logp END))')} AS log_ratio FROM ll GROUP BY term"))
+def q_nb_ratio(spark, sf):
+    m = FL.nb_model(spark, sf)
+    g = m.loglik.groupBy("term").agg(F.max(F.when(F.col("label") == 1, F.col("logp"))).alias("l1"),
+                                     F.max(F.when(F.col("label") == 0, F.col("logp"))).alias("l0"))
+    return g.select("term", F.round(F.abs(F.col("l1") - F.col("l0")), 6).alias("log_ratio"))
+
+
+@register("nb_top_features_per_class", _flagship_sql(
+    f"SELECT label, term, {R6('logp')} AS logp, rank FROM (SELECT label, term, logp, row_number() OVER (PARTITION BY label ORDER BY logp DESC, term ASC) AS rank FROM ll) WHERE rank <= 10"))
+def q_nb_top(spark, sf):
+    m = FL.nb_model(spark, sf)
+    t = EDA.top_per_group(m.loglik, "label", "term", "logp", 10)
+    return t.select("label", "term", F.round("logp", 6).alias("logp"), F.col("rank").cast("long").alias("rank"))
+
+
+# ---------------------------------------------------------------- 2.8 / 2.10 comparisons over seeds and splits
+def _seed_f1_sql(seeds):
+    parts = []
+    for sd in seeds:
+        parts.append(f"""SELECT {sd} AS seed, v.* FROM {VOTES} v JOIN (SELECT id FROM ({_rank_sql(sd)}) WHERE rk < floor(n_c * 0.2)) h ON v.id = h.id""")
+    src = "(" + " UNION ALL ".join(parts) + ")"
+    return f"SELECT {S.metrics_select_sql(['model', 'seed'])} FROM ({S.confusion_sql(src, ['model', 'seed'])})"
+
+
+def _seed_f1(spark, sf, seeds):
+    v = _votes(spark, sf)
+    out = None
+    for sd in seeds:
+        h = SP.stratified_split(_posts_lab(spark, sf), 0.2, sd).filter("split = 'val'").select("id")
+        x = v.join(h, "id").withColumn("seed", F.lit(sd))
+        out = x if out is None else out.unionByName(x)
+    return EV.binary_metrics(out, ["model", "seed"], prob_col=None)
+
+
+@register("experiment_summary", f"SELECT model AS algorithm, {R6('avg(f1)')} AS f1_mean, {R6('stddev_pop(f1)')} AS f1_std FROM ({_seed_f1_sql([1, 2, 3])}) GROUP BY model")
+def q_experiment_summary(spark, sf):
+    m = _seed_f1(spark, sf, [1, 2, 3])
+    g = m.groupBy(F.col("model").alias("algorithm")).agg(F.avg("f1").alias("f1_mean"), F.stddev_pop("f1").alias("f1_std"))
+    return r6(g, {"f1_mean", "f1_std"})
+
+
+@register("repeated_holdout", f"SELECT model, seed, {R6('macro_f1')} AS macro_f1 FROM ({_seed_f1_sql([1, 2, 3])})")
+def q_repeated_holdout(spark, sf):
+    return r6(_seed_f1(spark, sf, [1, 2, 3]).select("model", F.col("seed").cast("int").alias("seed"), "macro_f1"), {"macro_f1"})
+
+
+@register("train_test_gap", f"""WITH sp AS (SELECT id, CASE WHEN rk < floor(n_c * 0.2) THEN 'val' ELSE 'train' END AS split FROM ({_rank_sql(42)})),
+v AS (SELECT v.*, sp.split FROM {VOTES} v JOIN sp ON v.id = sp.id),
+m AS (SELECT {S.metrics_select_sql(['model', 'split'])} FROM ({S.confusion_sql('v', ['model', 'split'])}))
+SELECT model, {R6("max(CASE WHEN split = 'train' THEN f1 END) - max(CASE WHEN split = 'val' THEN f1 END)")} AS f1_gap FROM m GROUP BY model""")
+def q_gap(spark, sf):
+    sp = SP.stratified_split(_posts_lab(spark, sf), 0.2, 42).select("id", "split")
+    m = EV.binary_metrics(_votes(spark, sf).join(sp, "id"), ["model", "split"], prob_col=None)
+    g = m.groupBy("model").agg((F.max(F.when(F.col("split") == "train", F.col("f1"))) -
+                                F.max(F.when(F.col("split") == "val", F.col("f1")))).alias("f1_gap"))
+    return r6(g, {"f1_gap"})
+
+
+_ENS_SQL = f"""(SELECT 'soft_vote' AS model, label, CASE WHEN avg(prob) >= 0.5 THEN 1 ELSE 0 END AS prediction FROM {SC} GROUP BY id, label)"""
+_CMP_SQL = f"""SELECT {S.metrics_select_sql(['model'])} FROM ({S.confusion_sql(f"(SELECT model, label, prediction FROM {VOTES} UNION ALL SELECT * FROM {_ENS_SQL})", ['model'])})"""
+
+
+def _cmp(spark, sf):
+    v = _votes(spark, sf).select("model", "label", "prediction")
+    sc = fx_scores(spark, sf)
+    ens = CB.soft_vote(sc).join(sc.select("id", "label").distinct(), "id").select(F.lit("soft_vote").alias("model"), "label", "prediction")
+    return EV.binary_metrics(v.unionByName(ens), ["model"], prob_col=None)
+
+
+@register("compare_models", f"""SELECT model, {R6('accuracy')} AS accuracy, {R6('f1')} AS f1, (f1 = max(f1) OVER ())::INT AS is_best FROM ({_CMP_SQL})""")
+def q_compare(spark, sf):
+    from pyspark.sql import Window
+
+    m = _cmp(spark, sf)
+    return r6(m.select("model", "accuracy", "f1", (F.col("f1") == F.max("f1").over(Window.partitionBy())).cast("int").alias("is_best")),
+              {"accuracy", "f1"})
+
+
+@register("ensemble_gain", f"""SELECT {R6("max(CASE WHEN model = 'soft_vote' THEN f1 END) - max(CASE WHEN model <> 'soft_vote' THEN f1 END)")} AS f1_gain FROM ({_CMP_SQL})""")
+def q_gain(spark, sf):
+    m = _cmp(spark, sf)
+    return r6(m.agg((F.max(F.when(F.col("model") == "soft_vote", F.col("f1"))) -
+                     F.max(F.when(F.col("model") != "soft_vote", F.col("f1")))).alias("f1_gain")), {"f1_gain"})
+
+
+@register("tree_importance")
+def q_tree_importance(spark, sf):
+    tr, _ = dense_split(spark, sf)
+    m = LIN.random_forest(n_trees=20, max_depth=6).fit(_vec(tr))
+    imp = m.featureImportances.toArray().tolist()  # one value per feature: model-sized
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(imp)], "feature int, importance double").orderBy(F.desc("importance"))
+
+
+@register("coefficient_importance")
+def q_coef_importance(spark, sf):
+    tr, _ = dense_split(spark, sf)
+    m = LIN.logistic_regression(C=1.0, n=tr.count()).fit(_vec(tr))
+    coef = m.coefficients.toArray().tolist()
+    return spark.createDataFrame([(i, float(v), abs(float(v))) for i, v in enumerate(coef)],
+                                 "feature int, coef double, abs_coef double").orderBy(F.desc("abs_coef"))

@@ -41,6 +41,16 @@ def nb_scores(spark: SparkSession, sf_dir: str, p: dict = FLAGSHIP) -> DataFrame
             .select("id", "label", "prob", "prediction"))
 
 
+def nb_model(spark: SparkSession, sf_dir: str, p: dict = FLAGSHIP):
+    """The flagship's fitted NB model (likelihood and prior tables)."""
+    posts = stratified_split(train_posts(spark, sf_dir).withColumn("clean", clean_post("post")), p["val_frac"], p["seed"])
+    counts = term_counts(tokenize_words(posts, "clean").select("id", "tokens"))
+    train = posts.filter(F.col("split") == "train").select("id", "label")
+    train_counts = counts.join(train.select("id"), "id", "left_semi")
+    vocab = build_vocabulary(train_counts, min_df=p["min_df"], max_features=p["max_features"])
+    return fit_multinomial_nb(train_counts, train, vocab, alpha=p["alpha"])
+
+
 def flagship(spark: SparkSession, sf_dir: str, p: dict = FLAGSHIP) -> DataFrame:
     """binary metrics of the NB model per document language."""
     s = nb_scores(spark, sf_dir, p).persist(StorageLevel.MEMORY_AND_DISK)
