@@ -1198,3 +1198,66 @@ def q_coef_importance(spark, sf):
     coef = m.coefficients.toArray().tolist()
     return spark.createDataFrame([(i, float(v), abs(float(v))) for i, v in enumerate(coef)],
                                  "feature int, coef double, abs_coef double").orderBy(F.desc("abs_coef"))
+
+
+# ---------------------------------------------------------------- more 2.7 / 2.8 / 2.11
+@register("margin_to_probability", f"SELECT id, model, {R6(S.sigmoid_sql('(prob - 0.5) * 8.0'))} AS p1, {R6('1.0 - ' + S.sigmoid_sql('(prob - 0.5) * 8.0'))} AS p0 FROM {SC}")
+def q_margin_prob(spark, sf):
+    sc = fx_scores(spark, sf)
+    p1 = TX.sigmoid_clip((F.col("prob") - 0.5) * 8.0)
+    return sc.select("id", "model", F.round(p1, 6).alias("p1"), F.round(F.lit(1.0) - p1, 6).alias("p0"))
+
+
+@register("best_setting", f"""SELECT model, round(threshold, 2) AS threshold, {R6('macro_f1')} AS macro_f1 FROM (
+  SELECT *, row_number() OVER (ORDER BY macro_f1 DESC, model ASC, threshold ASC) AS rk FROM (
+  SELECT {S.metrics_select_sql(['model', 'threshold'])} FROM ({S.confusion_sql(
+      f"(SELECT s.model, g.t AS threshold, s.label, CASE WHEN s.prob >= g.t THEN 1 ELSE 0 END AS prediction FROM {SC} s, (SELECT unnest(range(10, 90, 5)) / 100.0 AS t) g)",
+      ['model', 'threshold'])}))) WHERE rk = 1""")
+def q_best_setting(spark, sf):
+    from pyspark.sql import Window
+
+    s = EV.threshold_scan(fx_scores(spark, sf), EV.threshold_grid(10, 85, 5), group_cols=["model"])
+    w = Window.orderBy(F.desc("macro_f1"), F.asc("model"), F.asc("threshold"))  # over the small results table
+    b = s.withColumn("_r", F.row_number().over(w)).filter("_r = 1")
+    return b.select("model", F.round("threshold", 2).alias("threshold"), F.round("macro_f1", 6).alias("macro_f1"))
+
+
+def _lasso_coefs(spark, sf):
+    tr, _ = dense_split(spark, sf)
+    m = LIN.logistic_regression(C=1.0, n=tr.count(), l1_ratio=1.0).fit(_vec(tr))
+    return [(i, float(v)) for i, v in enumerate(m.coefficients.toArray().tolist())]  # d values: model-sized
+
+
+@register("signed_top_features")
+def q_signed_top(spark, sf):
+    from pyspark.sql import Window
+
+    tr, _ = dense_split(spark, sf)
+    m = LIN.logistic_regression(C=1.0, n=tr.count()).fit(_vec(tr))
+    c = spark.createDataFrame([(i, float(v)) for i, v in enumerate(m.coefficients.toArray().tolist())], "feature int, coef double")
+    c = c.withColumn("sign", F.when(F.col("coef") >= 0, "positive").otherwise("negative"))
+    w = Window.partitionBy("sign").orderBy(F.desc(F.abs("coef")), "feature")
+    return c.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 5)
+
+
+@register("selected_features")
+def q_selected(spark, sf):
+    c = spark.createDataFrame(_lasso_coefs(spark, sf), "feature int, coef double")
+    return c.filter(F.abs("coef") > 1e-8)
+
+
+@register("sparsity_info")
+def q_sparsity(spark, sf):
+    c = spark.createDataFrame(_lasso_coefs(spark, sf), "feature int, coef double")
+    return c.agg(F.count(F.lit(1)).alias("total"), F.sum((F.abs("coef") > 1e-8).cast("int")).alias("non_zero"),
+                 F.sum((F.abs("coef") <= 1e-8).cast("int")).alias("zero"),
+                 F.avg((F.abs("coef") <= 1e-8).cast("double")).alias("sparsity_ratio"))
+
+
+@register("model_info")
+def q_model_info(spark, sf):
+    tr, _ = dense_split(spark, sf)
+    m = LIN.gradient_boosting(n_iter=20, lr=0.1, max_depth=3).fit(_vec(tr))
+    rows = [(p.name, str(v)) for p, v in m.extractParamMap().items()]
+    rows += [("total_num_nodes", str(m.totalNumNodes)), ("num_trees", str(m.getNumTrees))]
+    return spark.createDataFrame(rows, "param string, value string")
