@@ -8,9 +8,8 @@ instead of ``\\s``, Unicode classes instead of ``\\w``.
 from __future__ import annotations
 
 import unicodedata
-import zipfile
 from functools import lru_cache
-from pathlib import Path
+from importlib import resources
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,16 +44,10 @@ def _c(col) -> Column:
 
 @lru_cache(maxsize=1)
 def english_stop_words() -> tuple[str, ...]:
-    """Spark MLlib's English stop-word list, read from the MLlib jar so
-    that no JVM is needed (the oracle SQL embeds the same list)."""
-    import pyspark
-
-    jars = Path(pyspark.__file__).parent / "jars"
-    for jar in sorted(jars.glob("spark-mllib_*.jar")):
-        with zipfile.ZipFile(jar) as z:
-            data = z.read("org/apache/spark/ml/feature/stopwords/english.txt")
-            return tuple(w for w in data.decode("utf-8").split() if w)
-    raise FileNotFoundError("spark-mllib jar with stop words not found")
+    """Spark MLlib's English stop-word list, shipped as package data (the
+    oracle SQL embeds the same list)."""
+    data = resources.files("postlens.functions").joinpath("english_stop_words.txt").read_text(encoding="utf-8")
+    return tuple(w for w in data.splitlines() if w and not w.startswith("#"))
 
 
 def clean_post(col) -> Column:

@@ -11,15 +11,14 @@ from postlens.functions import text as TX
 
 def clean_labels(df: DataFrame, label_col: str = "label") -> DataFrame:
     """Drop stray header rows and non-numeric labels, cast to int."""
-    num = F.expr(f"try_cast(`{label_col}` AS DOUBLE)")
-    return (df.filter(F.col(label_col).isNotNull() & (F.col(label_col) != F.lit(label_col)) & num.isNotNull())
-            .withColumn(label_col, num.cast("int")))
+    num = F.expr(f"try_cast(try_cast(`{label_col}` AS DOUBLE) AS INT)")  # null for 'NaN', 'inf', '1e20'
+    return df.withColumn(label_col, num).filter(F.col(label_col).isNotNull())
 
 
 def fill_or_drop_blank_posts(df: DataFrame, text_col: str = "post", mode: str = "fill") -> DataFrame:
     if mode == "fill":
         return df.withColumn(text_col, F.coalesce(F.col(text_col), F.lit("")))
-    return df.filter(F.col(text_col).isNotNull() & (F.trim(F.col(text_col)) != ""))
+    return df.filter(F.col(text_col).isNotNull() & F.col(text_col).rlike("[^\\s\\u000b\\u001c-\\u001f\\u0085\\p{Z}]"))
 
 
 def rename_drop_columns(df: DataFrame, drop=(), rename=None) -> DataFrame:
@@ -78,7 +77,8 @@ def text_stats(df: DataFrame, text_col: str = "post", names=None) -> DataFrame:
 def text_stat_vector(df: DataFrame, text_col: str = "post", names=None, out: str = "stats") -> DataFrame:
     """All statistics in fixed order as one vector column."""
     names = names or TX.STAT_NAMES
-    x = df.select("id", *[TX.text_stat_columns(text_col)[n].cast("double").alias(n) for n in names])
+    stats = TX.text_stat_columns(text_col)
+    x = df.select("id", *[stats[n].cast("double").alias(n) for n in names])
     return VectorAssembler(inputCols=names, outputCol=out).transform(x).select("id", out)
 
 

@@ -20,35 +20,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_by_id(df: DataFrame, id_col: str = "id") -> DataFrame:
-    """Hash-partition a text table by id when the scan yields fewer splits
-    than task slots: the regex work then uses every core, and later joins
-    and aggregations keyed by id reuse this partitioning (no re-shuffle).
-    On a cluster with many input files the scan is left as it is."""
-    spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), id_col)
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("post"), "lang", "source")
-    return spread_by_id(docs)
+    return docs
 
 
 def train_posts(spark: SparkSession, sf_dir: str, label_col: str = "toxic") -> DataFrame:
     """Labelled posts ``(id, label, post)``: documents JOIN labels."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("post"))
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col(label_col).alias("label"))
-    return spread_by_id(docs.join(labels, "id").select("id", "label", "post"))
+    return docs.join(labels, "id").select("id", "label", "post")
 
 
 def test_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unlabelled posts ``(id, post)``: documents LEFT ANTI labels."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("post"))
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"))
-    return spread_by_id(docs.join(labels, "id", "left_anti"))
+    return docs.join(labels, "id", "left_anti")
 
 
 def load_posts(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType = POST_SCHEMA) -> DataFrame:

@@ -91,3 +91,25 @@ def test_threshold_scan_edge_all_tied(spark):
     df = spark.createDataFrame([(i, 0.5, i % 2) for i in range(10)], "id long, prob double, label int")
     s = {round(r["threshold"], 2): r["n"] for r in threshold_scan(df, threshold_grid(10, 90, 10)).collect()}
     assert len(s) == 9 and set(s.values()) == {10}
+
+
+def test_entry_needs_no_jar(monkeypatch):
+    """Building queries and oracles reads nothing from the Spark installation."""
+    import pathlib
+    import zipfile
+
+    monkeypatch.setattr(zipfile, "ZipFile", None)
+    monkeypatch.setattr(pathlib.Path, "glob", lambda self, pat: iter(()))
+    from postlens.functions import text as TX
+
+    TX.english_stop_words.cache_clear()
+    assert len(TX.english_stop_words()) == 181
+
+
+def test_clean_labels_edge_rows(spark):
+    from postlens.operators.hygiene import clean_labels, fill_or_drop_blank_posts
+
+    df = spark.createDataFrame([("1",), ("0",), ("label",), ("abc",), (None,), ("NaN",), ("inf",), ("1e20",)], "label string")
+    assert sorted(r.label for r in clean_labels(df).collect()) == [0, 1]
+    posts = spark.createDataFrame([("\t\n",), (" ",), ("a",), (None,)], "post string")
+    assert [r.post for r in fill_or_drop_blank_posts(posts, mode="drop").collect()] == ["a"]
