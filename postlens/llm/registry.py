@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from postlens.llm import mixing
+from postlens.llm import mixing, simhash, topk
 
-QUERIES = {"op5_mix_sources": mixing.op5_mix_sources}
-ORACLES = {"op5_mix_sources": mixing.ORACLE}
+QUERIES = {
+    "op3_topk_search": topk.op3_topk_search,
+    "op5_mix_sources": mixing.op5_mix_sources,
+    "op9_simhash_dedup": simhash.op9_simhash_dedup,
+}
+ORACLES = {"op3_topk_search": topk.ORACLE, "op5_mix_sources": mixing.ORACLE}
 
 
 def all_queries():
