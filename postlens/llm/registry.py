@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from postlens.llm import mixing, simhash, topk
+from postlens.llm import langid, mixing, quality, simhash, topk
 
 QUERIES = {
     "op3_topk_search": topk.op3_topk_search,
     "op5_mix_sources": mixing.op5_mix_sources,
+    "op8_quality": quality.op8_quality,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
+    "op10_langid": langid.op10_langid,
 }
 ORACLES = {"op3_topk_search": topk.ORACLE, "op5_mix_sources": mixing.ORACLE}
 
