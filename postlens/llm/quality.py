@@ -19,7 +19,7 @@ THRESHOLD, FOLDS = 0.3, 5
 CHUNK_BYTES = 1 << 21
 #: Byte classes of a line.
 KINDS = ("lower", "upper", "digit", "blank", "plain mark", "!", "|", "other mark", "lead byte", "other")
-OWN = len(KINDS) + 4
+OWN = len(KINDS) + 5
 
 
 def _byte_kinds() -> np.ndarray:
@@ -36,6 +36,27 @@ def _byte_kinds() -> np.ndarray:
 KIND = _byte_kinds()
 
 
+_rng = np.random.Generator(np.random.Philox(key=[3, 8]))
+_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+_TURN = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
+
+
+def repeated_words(buf: np.ndarray, line: np.ndarray, n: int) -> np.ndarray:
+    """Per line the share of its words that equal the word before them."""
+    gap = (buf == 32) | (buf == 9) | (buf == 10)
+    begin = np.flatnonzero(~gap & np.concatenate(([True], gap[:-1])))
+    if not len(begin):
+        return np.zeros(n)
+    inside = np.arange(begin[0], len(buf)) - np.repeat(begin, np.diff(np.append(begin, len(buf))))
+    value = _BYTE[buf]
+    value[begin[0]:] *= _TURN[inside & 63]
+    value[gap] = 0
+    word = np.add.reduceat(value, begin)
+    at = line[begin]
+    same = np.concatenate(([False], (word[1:] == word[:-1]) & (at[1:] == at[:-1])))
+    return np.bincount(at[same], minlength=n) / np.maximum(np.bincount(at, minlength=n), 1)
+
+
 def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of a batch of texts: features of every line (its own, the previous and the
     next line's, zeros beyond the text's ends), line lengths in bytes, lines per
@@ -49,7 +70,7 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     size = table_.sum(axis=1)
     den = np.maximum(size, 1)
     words = table_[:, 3] + 1
-    own = np.column_stack([table_ / den[:, None], np.log1p(size) / 8, np.minimum(den / words, 30) / 10, size == 0, size < 20])
+    own = np.column_stack([table_ / den[:, None], np.log1p(size) / 8, np.minimum(den / words, 30) / 10, size == 0, size < 20, repeated_words(buf, line, n)])
     first = np.zeros(n, bool)
     first[np.cumsum(counts)[:-1]] = True
     first[0] = True
@@ -71,10 +92,6 @@ class Chain:
     prior: float
 
 
-def _logadd(a, b):
-    return np.logaddexp(a, b)
-
-
 def marginals(score: np.ndarray, counts: np.ndarray, pair: np.ndarray, edges: bool = False):
     """P(good) of every line by forward-backward; with ``edges`` also the log
     partition sums and the summed expected transitions.  Texts run side by side,
@@ -88,15 +105,15 @@ def marginals(score: np.ndarray, counts: np.ndarray, pair: np.ndarray, edges: bo
     for t in range(1, int(length[0])):
         at = start[:alive[t]] + t
         p = fwd[at - 1]
-        fwd[at, 0] = _logadd(p[:, 0] + pair[0, 0], p[:, 1] + pair[1, 0])
-        fwd[at, 1] = _logadd(p[:, 0] + pair[0, 1], p[:, 1] + pair[1, 1]) + score[at]
+        fwd[at, 0] = np.logaddexp(p[:, 0] + pair[0, 0], p[:, 1] + pair[1, 0])
+        fwd[at, 1] = np.logaddexp(p[:, 0] + pair[0, 1], p[:, 1] + pair[1, 1]) + score[at]
     for t in range(int(length[0]) - 1, 0, -1):
         at = start[:alive[t]] + t
         b0, b1 = bwd[at, 0], bwd[at, 1] + score[at]
-        bwd[at - 1, 0] = _logadd(pair[0, 0] + b0, pair[0, 1] + b1)
-        bwd[at - 1, 1] = _logadd(pair[1, 0] + b0, pair[1, 1] + b1)
+        bwd[at - 1, 0] = np.logaddexp(pair[0, 0] + b0, pair[0, 1] + b1)
+        bwd[at - 1, 1] = np.logaddexp(pair[1, 0] + b0, pair[1, 1] + b1)
     both = fwd + bwd
-    z = _logadd(both[:, 0], both[:, 1])
+    z = np.logaddexp(both[:, 0], both[:, 1])
     good = np.exp(both[:, 1] - z)
     if not edges:
         return good
@@ -108,11 +125,14 @@ def marginals(score: np.ndarray, counts: np.ndarray, pair: np.ndarray, edges: bo
 
 
 def fit(x: np.ndarray, counts: np.ndarray, y: np.ndarray, steps: int = STEPS, l2: float = L2) -> Chain:
-    """Maximum likelihood of a text's label on all of its lines, by Adam.  Both
-    classes weigh the same, lines of a text share its weight."""
+    """Maximum likelihood of a text's label on all of its lines, by Adam over
+    features scaled to unit deviation."""
     labels = np.unique(y)
     if len(labels) < 2:
         return Chain(None, np.zeros((2, 2)), float((y.sum() + 1) / (len(y) + 2)))
+    scale = x.std(axis=0)
+    scale[scale == 0] = 1
+    x = x / scale
     line_y = np.repeat(y, counts)
     rng_n = len(y)
     inner = np.ones(len(x), bool)
@@ -132,7 +152,7 @@ def fit(x: np.ndarray, counts: np.ndarray, y: np.ndarray, steps: int = STEPS, l2
                 pair = pair + move
             else:
                 w = w + move
-    return Chain(w, pair, 0.5)
+    return Chain(w / scale, pair, 0.5)
 
 
 def score_texts(texts: list[bytes], model: Chain) -> np.ndarray:
