@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from postlens.llm import langid, mixing, quality, simhash, topk
+from postlens.llm import decontaminate, langid, lines, mixing, quality, simhash, topk
 
 QUERIES = {
+    "op1_line_dedup": lines.op1_line_dedup,
     "op3_topk_search": topk.op3_topk_search,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op8_quality": quality.op8_quality,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
     "op10_langid": langid.op10_langid,
 }
-ORACLES = {"op3_topk_search": topk.ORACLE, "op5_mix_sources": mixing.ORACLE}
+ORACLES = {"op1_line_dedup": lines.ORACLE, "op4_decontaminate": decontaminate.ORACLE,
+           "op3_topk_search": topk.ORACLE, "op5_mix_sources": mixing.ORACLE}
 
 
 def all_queries():
