@@ -11,8 +11,8 @@ from postlens.llm.common import keep, table, with_row_key
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The same words before lower-casing.
-RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Its complement's runs are the same words before lower-casing.
+RAW_NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Words of a window, words of a shingle, windows that are broadcast at once.
 WINDOW, SHINGLE, PASS_WINDOWS = 10, 3, 200_000
@@ -90,7 +90,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
            .groupBy("_id", "_th").agg(F.count(F.lit(1)).alias("n_hit")))
     which = occ.select("_id", "_th", "item").distinct().groupBy("_id", "_th").agg(F.sort_array(F.collect_list("item")).alias("items"))
     per = hit.join(which, ["_id", "_th"])
-    d = with_row_key(docs, id_col, text_col).select("doc_id", "_id", "_th", F.regexp_count("text", F.lit(RAW_WORD)).cast("long").alias("n_words"))
+    d = with_row_key(docs, id_col, text_col).select("doc_id", "_id", "_th", F.size(F.filter(F.split("text", RAW_NOT_WORD, -1), lambda w: w != "")).cast("long").alias("n_words"))
     j = d.join(per, ["_id", "_th"], "left")
     return j.select(F.col("doc_id").cast("long").alias("doc_id"), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
