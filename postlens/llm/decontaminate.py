@@ -14,8 +14,8 @@ NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Its complement's runs are the same words before lower-casing.
 RAW_NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Words of a window, words of a shingle, windows that are broadcast at once.
-WINDOW, SHINGLE, PASS_WINDOWS = 10, 3, 200_000
+#: Words of a window, words of a shingle, windows that one pass looks for.
+WINDOW, SHINGLE, PASS_WINDOWS = 10, 3, 20_000
 
 
 def lower_ascii(text: Column) -> Column:
@@ -33,6 +33,17 @@ def _shingles(words: str, size: int) -> str:
     return f"if(size({words}) >= {size}, transform(sequence(0, size({words}) - {size}), i -> xxhash64({args})), array())"
 
 
+def _known(words: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
+    """``words`` with one row for each shingle that ``wanted.h`` has, as ``x.at``,
+    ``x.h``.  The hashes (a pass's windows bound their number) are a literal set,
+    so all other shingles go while they are still array elements."""
+    keys = [r["h"] for r in wanted.distinct().collect()]
+    if not keys:
+        return words.withColumn("x", F.struct(F.lit(0).alias("at"), F.lit(0).cast("long").alias("h"))).limit(0)
+    grams = F.transform(F.expr(_shingles("w", size)), lambda h, i: F.struct(i.alias("at"), h.alias("h")))
+    return words.withColumn("x", F.explode(F.filter(grams, lambda g: g["h"].isin(keys))))
+
+
 def item_windows(items: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
     """``(item, len, win)``: the distinct windows of every item; an item of fewer
     words, but not none, is one window."""
@@ -49,8 +60,9 @@ def find_windows(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingl
     shingle: the one rarest over all documents (ties: the first).  Documents'
     shingles meet the prefixes alone; the shingle's place in the window gives the
     only possible start, which must leave room for the whole window, and the words
-    there must equal the window's.  The prefixes are broadcast, at most
-    ``pass_windows`` at a time; a larger benchmark takes more passes."""
+    there must equal the window's.  A pass looks for ``pass_windows``
+    windows at most, so that what it broadcasts is bounded; a larger benchmark takes
+    more passes."""
     win = keep(item_windows(items, window, item_id_col, item_text_col), "windows")
     sizes = {min(r["len"], shingle) for r in win.select("len").distinct().collect()}  # at most `window` lengths
     passes = max(1, -(-win.count() // pass_windows))
@@ -61,15 +73,14 @@ def find_windows(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingl
         own = win.filter(exact).withColumn("h", F.expr(_shingles("win", size)))
         for p in range(passes):
             part = own.filter(F.pmod(F.xxhash64("win"), F.lit(passes)) == p)
-            keys = part.select(F.explode("h").alias("h")).distinct()
-            grams = words.select("_id", "_th", "w", F.expr(f"posexplode({_shingles('w', size)})").alias("at", "h"))
-            often = grams.select("h").join(F.broadcast(keys), "h").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+            often = _known(words, size, part.select(F.explode("h").alias("h"))).select("x.h").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
             ranked = part.select("item", "win", "len", F.posexplode("h").alias("off", "h")).join(often, "h", "left")
             prefix = (ranked.groupBy("item", "win", "len")
                       .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", "h")).alias("m"))
                       .filter("m.n > 0").select("item", "win", "len", "m.off", "m.h"))
             prefix = keep(prefix, "prefixes")
-            hit = grams.join(F.broadcast(prefix), "h").withColumn("start", F.col("at") - F.col("off"))
+            hit = _known(words, size, prefix.select("h")).select("_id", "_th", "w", "x.at", "x.h").join(F.broadcast(prefix), "h")
+            hit = hit.withColumn("start", F.col("at") - F.col("off"))
             found.append(hit.filter("start >= 0 and start + len <= size(w)").filter("slice(w, start + 1, len) = win")
                          .select("_id", "_th", "item", "start", "len"))
     if not found:
