@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from postlens.llm import decontaminate, langid, lines, mixing, quality, simhash, topk
+from postlens.llm import decontaminate, langid, lines, mixing, pii, quality, simhash, topk
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
+    "op2_pii": pii.op2_pii,
     "op3_topk_search": topk.op3_topk_search,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_mix_sources": mixing.op5_mix_sources,
