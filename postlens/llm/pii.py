@@ -38,7 +38,7 @@ CONTEXT = {
     "phone": r"(?i)(?:phone|call|tel|mobile|cell|fax|sms|whatsapp)\P{L}*$",
 }
 AGAINST = r"(?:[=\"'/$#_€]|\bv(?:er)?\.?\s?)$"
-NEAR, ROUNDS, ACCEPT = 24, 50, 0.5
+NEAR, ROUNDS, ACCEPT = 24, 50, 0.9
 ABSTAIN = 2  # votes: 0 against, 1 for, 2 none
 LABELERS = 3
 
@@ -100,7 +100,10 @@ def _candidates(text: Column, kind: str) -> Column:
     valid base match, loose ones on which it abstains."""
     vote = lambda yes: F.when(yes, 1).otherwise(0)
     shape = lambda s, base, v: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["t"].alias("t"), base.alias("base"), v.alias("v1"))
-    sure = F.transform(matches(text, BASE[kind]), lambda s: shape(s, valid(kind, s["t"]), vote(valid(kind, s["t"]))))
+    found = matches(text, BASE[kind])
+    if kind == "card":  # shorter and longer runs of digits are no candidates at all
+        found = F.filter(found, lambda s: F.length(_digits(s["t"])).between(12, 19))
+    sure = F.transform(found, lambda s: shape(s, valid(kind, s["t"]), vote(valid(kind, s["t"]))))
     if kind in LOOSE:
         sure = F.concat(sure, F.transform(matches(text, LOOSE[kind]), lambda s: shape(s, F.lit(False), F.lit(ABSTAIN))))
     return F.transform(sure, lambda s: F.struct(F.lit(KINDS.index(kind)).alias("kind"), *[s[c].alias(c) for c in ("start", "end", "t", "base", "v1")]))
