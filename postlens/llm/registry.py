@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from postlens.llm import decontaminate, langid, lines, mixing, pii, quality, simhash, topk
+from postlens.llm import bwt, decontaminate, langid, lines, mixing, pii, quality, simhash, suffix_tree, topk
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
@@ -10,6 +10,8 @@ QUERIES = {
     "op3_topk_search": topk.op3_topk_search,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_mix_sources": mixing.op5_mix_sources,
+    "op6_substring_dedup": suffix_tree.op6_substring_dedup,
+    "op7_suffix_array_dedup": bwt.op7_suffix_array_dedup,
     "op8_quality": quality.op8_quality,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
     "op10_langid": langid.op10_langid,
