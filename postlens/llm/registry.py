@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from postlens.llm import bwt, decontaminate, langid, lines, mixing, pii, quality, simhash, suffix_tree, topk
 
 QUERIES = {
@@ -15,9 +16,12 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
     "op10_langid": langid.op10_langid,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {"op1_line_dedup": lines.ORACLE, "op4_decontaminate": decontaminate.ORACLE,
            "op3_topk_search": topk.ORACLE, "op5_mix_sources": mixing.ORACLE}
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
 
 
 def all_queries():

@@ -221,5 +221,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     return fp.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component of ``docs``, unchanged: that of the least id.  Rows
+    that repeat an id are one document; rows without an id go by their text hash."""
+    key = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    found = near_duplicates(docs.select(key.alias("doc_id"), F.col(text_col).alias("text")), shingle, max_bits)
+    first = keep(found.filter("doc_id = component_id").select(F.col("doc_id").alias("__first")).distinct(), "first")
+    named = docs.withColumn("__key", key)
+    return named.join(first, named["__key"] == first["__first"], "left_semi").dropDuplicates(["__key"]).drop("__key")
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
