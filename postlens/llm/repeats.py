@@ -122,7 +122,8 @@ def repeated_spans(docs: DataFrame, window: int, gram: int, symbols: Callable[[b
 
     # hashed twice rather than stored: the anchors of all texts take as much room as the texts
     anchors = text.mapInPandas(find, f"{key}, h long, c long, lo int, hi int")
-    twice = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
+    # a table of its own, so that a hot anchor's partition of the join can be split
+    twice = keep(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), f"{name}-twice")
     met = keep(anchors.join(twice, "h"), f"{name}-anchors")
     contexts = met.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_id", "_th", "lo", "hi")).alias("at"))
     contexts = keep(contexts.select("h", "c", "n", "at.*"), f"{name}-contexts")
