@@ -31,9 +31,10 @@ def repeated_lines(docs: DataFrame, gram: int = GRAM, grams: int = GRAMS, id_col
     w = d.select("_id", "_th", F.expr(win).alias("x")).select("_id", "_th", "x.m.f", "x.m.p", "x.a", "x.b", "x.at")
     w = keep(w, "line-windows")
     where = F.struct("_id", "_th", "p")
-    shared = w.groupBy("f").agg(F.min(where).alias("lo"), F.max(where).alias("hi")).filter("lo <> hi").select("f")
+    # tables of their own, so that a hot line's partition of a join can be split
+    shared = keep(w.groupBy("f").agg(F.min(where).alias("lo"), F.max(where).alias("hi")).filter("lo <> hi").select("f"), "line-prints")
     near = w.join(shared, "f", "left_semi")
-    first = near.groupBy("a", "b").agg(F.min(F.struct("_id", "_th", "at")).alias("first"))
+    first = keep(near.groupBy("a", "b").agg(F.min(F.struct("_id", "_th", "at")).alias("first")), "line-firsts")
     later = near.join(first, ["a", "b"]).filter(F.struct("_id", "_th", "at") > F.col("first"))
     return later.select("_id", "_th", F.explode("at").alias("i")).groupBy("_id", "_th").agg(F.collect_set("i").alias("drop"))
 
