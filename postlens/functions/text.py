@@ -69,22 +69,23 @@ def squeeze_whitespace(col) -> Column:
 
 @lru_cache(maxsize=1)
 def _accent_table() -> tuple[str, str]:
-    """Accent map built by rule: every Latin-1 / Latin Extended-A letter
-    whose NFKD form minus combining marks is one ASCII letter."""
+    """Accent map built by rule: every code point of the Latin blocks, and of the
+    compatibility forms, whose NFKD form minus what is not ASCII is one character."""
     src, dst = [], []
-    for cp in range(0x00C0, 0x0180):
+    for cp in (*range(0x00A0, 0x0250), *range(0x1E00, 0x2150), *range(0x2460, 0x2500), *range(0xFF01, 0xFF5F)):
         ch = chr(cp)
-        base = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
-        if len(base) == 1 and base.isascii() and base != ch:
+        base = "".join(c for c in unicodedata.normalize("NFKD", ch) if c.isascii())
+        if len(base) == 1:
             src.append(ch)
             dst.append(base)
     return "".join(src), "".join(dst)
 
 
 def strip_accents_lower(col) -> Column:
+    """Accents folded to their ASCII letter, all else that is not ASCII dropped,
+    lower-cased."""
     src, dst = _accent_table()
-    t = F.regexp_replace(_c(col), "\\p{M}", "")
-    return F.lower(F.translate(t, src, dst))
+    return F.lower(F.regexp_replace(F.translate(_c(col), src, dst), "[^\\x00-\\x7F]", ""))
 
 
 def words(col, lower: bool = False) -> Column:

@@ -26,7 +26,7 @@ def soft_vote(scores: DataFrame, weights: DataFrame | None = None, threshold: fl
     if weights is None:
         g = scores.groupBy("id").agg(F.avg("prob").alias("prob"))
     else:  # weights: (model, weight) -- one row per model
-        x = scores.join(F.broadcast(weights), "model")
+        x = scores.join(weights, "model")
         g = x.groupBy("id").agg((F.sum(F.col("weight") * F.col("prob")) / F.sum("weight")).alias("prob"))
     return g.withColumn("prediction", (F.col("prob") >= threshold).cast("int"))
 
@@ -50,7 +50,7 @@ def f1_weights(metrics: DataFrame, metric: str = "f1") -> DataFrame:
 def weighted_average(scores: DataFrame, weights: DataFrame, threshold: float = 0.5) -> DataFrame:
     """sum_i w_i p_i, predicted 1 when strictly above the threshold;
     models without a weight count 1.0."""
-    x = scores.join(F.broadcast(weights), "model", "left").fillna(1.0, ["weight"])
+    x = scores.join(weights, "model", "left").fillna(1.0, ["weight"])
     g = x.groupBy("id").agg(F.sum(F.col("weight") * F.col("prob")).alias("prob"))
     return g.withColumn("prediction", (F.col("prob") > threshold).cast("int"))
 
@@ -119,6 +119,35 @@ def minmax_scores(scores: DataFrame, col="prob", by=("model",)) -> DataFrame:
     """(s - min) / (max - min) per model over the scored batch (window
     per model -> use an aggregate + join so no model sits in one task)."""
     mm = scores.groupBy(*by).agg(F.min(col).alias("_mn"), F.max(col).alias("_mx"))
-    x = scores.join(F.broadcast(mm), list(by))
+    x = scores.join(mm, list(by))
     return x.withColumn(col, F.when(F.col("_mx") > F.col("_mn"), (F.col(col) - F.col("_mn")) / (F.col("_mx") - F.col("_mn")))
                         .otherwise(F.lit(0.0))).drop("_mn", "_mx")
+
+
+def set_weights(scores: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """Adds the user's weight of each model; every model needs exactly one."""
+    models = {r["model"] for r in scores.select("model").distinct().collect()}  # one row per model
+    if models != set(weights):
+        raise ValueError(f"weights for {sorted(weights)}, models are {sorted(models)}")
+    w = scores.sparkSession.createDataFrame(sorted((m, float(x)) for m, x in weights.items()), "model string, weight double")
+    return scores.join(w, "model")
+
+
+def weighted_meta_features(scores: DataFrame, weights: DataFrame, models: list[str]) -> DataFrame:
+    """The meta features of p_i scaled by its model's weight (1.0 where it has none)."""
+    x = scores.join(weights, "model", "left").fillna(1.0, ["weight"])
+    return meta_features(x.withColumn("prob", F.col("prob") * F.col("weight")), models)
+
+
+def prediction_analysis(posts: DataFrame, scored: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """``id, post, label, prediction, confidence, p0, p1`` of every scored post."""
+    p = F.col("prob")
+    return posts.select("id", "post").join(scored.select("id", "label", "prob"), "id").select(
+        "id", "post", "label", (p >= threshold).cast("int").alias("prediction"), F.greatest(p, 1 - p).alias("confidence"),
+        (1 - p).alias("p0"), p.alias("p1"))
+
+
+def example_predictions(scored: DataFrame, n: int = 10, seed: int = 42, threshold: float = 0.5) -> DataFrame:
+    """``n`` sampled rows (the least seeded hashes): truth, prediction, probability."""
+    pick = scored.withColumn("_h", F.md5(F.concat(F.col("id").cast("string"), F.lit(f":{seed}")))).orderBy("_h", "id").limit(n)
+    return pick.select("id", "label", (F.col("prob") >= threshold).cast("int").alias("prediction"), "prob")

@@ -72,9 +72,10 @@ def class_feature_means(df: DataFrame, array_col: str, label_col: str = "label",
     return e.groupBy(label_col, "pos").agg(F.avg("v").alias("mean"))
 
 
-def vector_stats(df: DataFrame, col: str) -> DataFrame:
+def vector_stats(df: DataFrame, col: str, by=()) -> DataFrame:
+    """Summary of a score column, one row per group, in one aggregation."""
     x = F.col(col).cast("double")
-    return df.agg(F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.median(x).alias("median"),
+    return df.groupBy(*by).agg(F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.median(x).alias("median"),
                   F.min(x).alias("min"), F.max(x).alias("max"), F.sum(F.abs(x)).alias("l1"),
                   F.sqrt(F.sum(x * x)).alias("l2"))
 

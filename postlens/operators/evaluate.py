@@ -47,6 +47,10 @@ def metrics_from_counts(c: DataFrame, group_cols=()) -> DataFrame:
         _safe_div(tp, tp + fp).alias("precision"),
         _safe_div(tp, tp + fn).alias("recall"),
         f1_1.alias("f1"),
+        f1_0.alias("f1_0"),
+        # averages over both classes by their support
+        _safe_div(_safe_div(tp, tp + fp) * (tp + fn) + _safe_div(tn, tn + fn) * (tn + fp), n).alias("weighted_precision"),
+        _safe_div(_safe_div(tp, tp + fn) * (tp + fn) + _safe_div(tn, tn + fp) * (tn + fp), n).alias("weighted_recall"),
         ((f1_0 + f1_1) / 2).alias("macro_f1"),
         _safe_div(f1_1 * (tp + fn) + f1_0 * (tn + fp), n).alias("weighted_f1"),
         F.when(F.lit(1.0) - pe != 0, (po - pe) / (F.lit(1.0) - pe)).otherwise(F.lit(0.0)).alias("kappa"),

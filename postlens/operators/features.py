@@ -83,7 +83,6 @@ def build_vocabulary(counts: DataFrame, n_docs: int | None = None, min_df: float
         top = stats.orderBy(F.desc("cf"), F.asc("term")).limit(max_features)
         w = Window.orderBy(F.desc("cf"), F.asc("term"))
         return top.withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
-    from postlens.operators.ranking import rank_by_hash  # noqa: F401  (bounded-window variant)
     w = Window.orderBy(F.desc("cf"), F.asc("term"))
     return stats.withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
 
@@ -109,10 +108,14 @@ def _sparse(size, idx, vals):
     return SparseVector(size, [p[0] for p in pairs], [float(p[1]) for p in pairs])
 
 
-def to_vectors(long_df: DataFrame, size: int, id_col: str = "id", out: str = "features") -> DataFrame:
+def to_vectors(long_df: DataFrame, size: int, id_col: str = "id", out: str = "features", ids: DataFrame | None = None) -> DataFrame:
     """Long ``(id, idx, value)`` -> one SparseVector per id (per-document
-    group, bounded by the vocabulary size)."""
+    group, bounded by the vocabulary size); ``ids`` names the rows that must
+    come out, empty if nothing is known of them."""
     g = long_df.groupBy(id_col).agg(F.collect_list("idx").alias("_i"), F.collect_list("value").alias("_v"))
+    if ids is not None:
+        g = ids.join(g, id_col, "left").select(id_col, F.coalesce("_i", F.expr("cast(array() as array<int>)")).alias("_i"),
+                                               F.coalesce("_v", F.expr("cast(array() as array<double>)")).alias("_v"))
     return g.select(id_col, _sparse(F.lit(size), "_i", "_v").alias(out))
 
 

@@ -89,8 +89,7 @@ def lexicon_sentiment(df: DataFrame, lexicon: DataFrame, text_col: str = "post",
     hit get 0."""
     w = df.select(id_col, F.explode(TX.words(text_col, lower=True)).alias("word"))
     w = w.withColumn("word", F.regexp_replace("word", "^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$", ""))
-    # the lexicon is a fixed word list: its size does not grow with the data
-    s = w.join(F.broadcast(lexicon), "word").groupBy(id_col).agg(F.sum("valence").alias("s"),
+    s = w.join(lexicon, "word").groupBy(id_col).agg(F.sum("valence").alias("s"),
                                                                   F.count(F.lit(1)).alias("hits"))
     out = df.select(id_col).join(s, id_col, "left").fillna(0, ["s", "hits"])
     return out.withColumn("compound", F.col("s") / F.sqrt(F.col("s") * F.col("s") + F.lit(alpha)))
@@ -105,16 +104,18 @@ def dictionary_lemmatize(df: DataFrame, lemmas: DataFrame, text_col: str = "clea
     """Replace every word by its dictionary lemma and re-join in order
     (posexplode + left join + ordered collect per post)."""
     w = df.select(id_col, F.posexplode(TX.words(text_col)).alias("pos", "word"))
-    j = w.join(F.broadcast(lemmas), "word", "left").withColumn("tok", F.coalesce("lemma", "word"))
+    j = w.join(lemmas, "word", "left").withColumn("tok", F.coalesce("lemma", "word"))
     g = j.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "tok"))).alias("_s"))
     lem = g.select(id_col, F.array_join(F.transform("_s", lambda s: s["tok"]), " ").alias(out))
     return df.join(lem, id_col, "left").withColumn(out, F.coalesce(F.col(out), F.lit("")))
 
 
-def one_hot(df: DataFrame, col: str, values: list[str], prefix: str | None = None) -> DataFrame:
-    """category -> 0/1 columns ``prefix_value`` (values are a known list)."""
-    prefix = prefix or col
-    return df.select("*", *[(F.col(col) == v).cast("int").alias(f"{prefix}_{v}") for v in values])
+def one_hot(df: DataFrame, col: str, id_col: str = "id") -> DataFrame:
+    """``(id, category, hot)``: one 0/1 row per category that occurs in ``df``; a
+    null value has no hot row."""
+    cats = sorted(r[0] for r in df.select(col).na.drop().distinct().collect())  # a category column's few values
+    each = df.select(id_col, col, F.explode(F.lit(cats)).alias("category"))
+    return each.select(id_col, "category", (F.col(col) == F.col("category")).cast("int").alias("hot"))
 
 
 def binarize(col: str, threshold: float = 0.0):

@@ -117,7 +117,7 @@ def sample_weights(df: DataFrame, mode="balanced", label_col: str = "label") ->
         return df.withColumn("weight", F.lit(1.0))
     if mode == "balanced":
         w = class_weights_balanced(df, label_col)
-        return df.join(F.broadcast(w), label_col, "left").withColumnRenamed("class_weight", "weight")
+        return df.join(w, label_col, "left").withColumnRenamed("class_weight", "weight")
     expr = F.lit(1.0)
     for k, v in mode.items():
         expr = F.when(F.col(label_col) == k, F.lit(float(v))).otherwise(expr)
@@ -126,3 +126,11 @@ def sample_weights(df: DataFrame, mode="balanced", label_col: str = "label") ->
 
 def positive_weight(df: DataFrame, w: float, label_col: str = "label") -> DataFrame:
     return df.withColumn("weight", F.when(F.col(label_col) == 1, F.lit(float(w))).otherwise(F.lit(1.0)))
+
+
+def balanced_subsample_weights(bagged: DataFrame, label_col: str = "label") -> DataFrame:
+    """Class weights recomputed inside each bag: n_bag / (classes * n_bag_class),
+    counting every row with its multiplicity.  One row per (bag, label)."""
+    g = bagged.groupBy("bag", label_col).agg(F.sum("weight").cast("long").alias("n")).filter("n > 0")
+    bag = Window.partitionBy("bag")  # a bag's classes
+    return g.withColumn("class_weight", F.sum("n").over(bag) / (F.count(F.lit(1)).over(bag) * F.col("n")))

@@ -100,7 +100,7 @@ def q_load_posts(spark, sf):
 
 
 @register("load_feature_matrix",
-          "SELECT vec_id AS id, (label < 5)::INT AS label, round(list_sum(list_transform(embedding, lambda x: coalesce(CASE WHEN isnan(x) THEN 0.0 ELSE x::DOUBLE END, 0.0))), 6) AS feature_sum, len(embedding) AS dim FROM embeddings")
+          "SELECT vec_id AS id, (label < 5)::INT AS label, generate_subscripts(embedding, 1) - 1 AS pos, round(unnest(list_transform(embedding, lambda x: coalesce(CASE WHEN isnan(x) THEN 0.0 ELSE x::DOUBLE END, 0.0))), 6) AS value FROM embeddings")
 def q_load_feature_matrix(spark, sf):
     from pyspark.ml.functions import vector_to_array
 
@@ -109,8 +109,8 @@ def q_load_feature_matrix(spark, sf):
     e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), (F.col("label") < 5).cast("int").alias("label"), "embedding")
     m = load_feature_matrix(e, array_col="embedding")
     a = vector_to_array("features")
-    return m.select("id", "label", F.round(F.aggregate(a, F.lit(0.0), lambda s, x: s + x), 6).alias("feature_sum"),
-                    F.size(a).alias("dim"))
+    m = m.select("id", "label", F.posexplode(a).alias("pos", "value"))
+    return m.select("id", "label", F.col("pos").cast("long").alias("pos"), F.round("value", 6).alias("value"))
 
 
 @register("attach_labels", f"SELECT count(*) AS n, count(DISTINCT d.doc_id) AS n_ids FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
@@ -198,7 +198,7 @@ def q_squeeze(spark, sf):
 
 def _accent_sql(col: str) -> str:
     src, dst = TX._accent_table()
-    return f"lower(translate(regexp_replace({col}, '\\p{{M}}', '', 'g'), {S.q(src)}, {S.q(dst)}))"
+    return f"lower(regexp_replace(translate({col}, {S.q(src)}, {S.q(dst)}), '[^\\x00-\\x7F]', '', 'g'))"
 
 
 @register("strip_accents_lower", f"SELECT id, {_accent_sql('post')} AS folded FROM ({S.posts_with_edges_sql()}) WHERE post IS NOT NULL")
@@ -316,20 +316,20 @@ def q_tokenize(spark, sf):
 SELECT term, count(*) AS cf FROM (
   SELECT unnest(list_transform(range(1, len(tokens) - n + 2), lambda i: array_to_string(tokens[i:i + n - 1], ' '))) AS term
   FROM ({_toks_sql()}), (VALUES (1), (2), (3)) g(n) WHERE len(tokens) >= n)
-GROUP BY term HAVING count(*) >= 3""")
+GROUP BY term""")
 def q_word_ngrams(spark, sf):
     t = FE.word_ngrams(_toks(spark, sf), "tokens", 1, 3)
-    return t.select(F.explode("ngrams").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("cf")).filter("cf >= 3")
+    return t.select(F.explode("ngrams").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
 
 
 @register("char_ngrams", f"""
 WITH t AS (SELECT id, regexp_replace(lower(coalesce(post, '')), '{S.WS}{{2,}}', ' ', 'g') AS t FROM ({S.POSTS}))
 SELECT g AS term, count(*) AS cf FROM (
-  SELECT unnest(list_transform(range(1, length(t) - n + 2), lambda i: substr(t, i, n))) AS g FROM t, (VALUES (2), (3), (4)) v(n) WHERE length(t) >= n)
-GROUP BY g HAVING count(*) >= 50""")
+  SELECT unnest(list_transform(range(1, length(t) - n + 2), lambda i: substr(t, i, n))) AS g FROM t, (VALUES (2), (3), (4), (5), (6)) v(n) WHERE length(t) >= n)
+GROUP BY g""")
 def q_char_ngrams(spark, sf):
-    c = FE.char_ngrams(train_posts(spark, sf), "post", 2, 4)
-    return c.groupBy("term").agg(F.count(F.lit(1)).alias("cf")).filter("cf >= 50")
+    c = FE.char_ngrams(train_posts(spark, sf), "post", 2, 6)
+    return c.groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
 
 
 def _counts_sql(stop=True):
@@ -351,14 +351,19 @@ VOCAB = dict(min_df=2, max_df=0.95, max_features=3000)
 
 def _vocab_sql():
     return f"""SELECT term, df, cf, (row_number() OVER (ORDER BY cf DESC, term ASC) - 1)::INT AS idx FROM (
-  SELECT term, count(*) AS df, sum(tf) AS cf FROM ({_counts_sql()}) GROUP BY term
-  HAVING count(*) >= {VOCAB['min_df']} AND count(*) <= floor({VOCAB['max_df']} * (SELECT count(DISTINCT id) FROM ({_counts_sql()})))
+  SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM ({_counts_sql()}) GROUP BY term
+  HAVING count(*) >= {VOCAB['min_df']} AND count(*) <= floor({VOCAB['max_df']} * (SELECT count(*) FROM ({S.POSTS})))
   ORDER BY cf DESC, term ASC LIMIT {VOCAB['max_features']})"""
 
 
+def _n_posts(spark, sf):
+    """All labelled posts, also those without a token."""
+    return train_posts(spark, sf).count()
+
+
 def _vocab(spark, sf):
     c = FE.term_counts(_toks(spark, sf))
-    return c, FE.build_vocabulary(c, min_df=VOCAB["min_df"], max_df=VOCAB["max_df"], max_features=VOCAB["max_features"])
+    return c, FE.build_vocabulary(c, n_docs=_n_posts(spark, sf), min_df=VOCAB["min_df"], max_df=VOCAB["max_df"], max_features=VOCAB["max_features"])
 
 
 @register("build_vocabulary", _vocab_sql())
@@ -369,14 +374,14 @@ def q_vocab(spark, sf):
 def _tfidf_sql(sublinear: bool):
     tf = "(1.0 + ln(c.tf))" if sublinear else "c.tf::DOUBLE"
     return f"""WITH c AS ({_counts_sql()}), v AS ({_vocab_sql()}),
-n AS (SELECT count(DISTINCT id) AS n FROM c),
+n AS (SELECT count(*) AS n FROM ({S.POSTS})),
 x AS (SELECT c.id, c.term, {tf} * (ln((1.0 + n.n) / (1.0 + v.df)) + 1.0) AS w FROM c JOIN v ON c.term = v.term, n)
 SELECT id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY id)), 6) AS value FROM x"""
 
 
 def _tfidf(spark, sf, sublinear):
     c, v = _vocab(spark, sf)
-    n = c.select("id").distinct().count()
+    n = _n_posts(spark, sf)
     t = FE.tfidf(c, v, n, sublinear=sublinear)
     return t.select("id", "term", F.round("value", 6).alias("value"))
 
@@ -433,32 +438,33 @@ def _word_vectors_sql():
     # vec_id equals its frequency rank (a deterministic stand-in for pretrained vectors)
     return f"""SELECT ti.token AS word, e.embedding AS vec FROM
       (SELECT token, (row_number() OVER (ORDER BY count(*) DESC, token ASC) - 1) AS r FROM (SELECT unnest(tokens) AS token FROM ({_toks_sql()})) GROUP BY token) ti
-      JOIN embeddings e ON e.vec_id = ti.r WHERE ti.r % 2 = 0"""
+      JOIN embeddings e ON e.vec_id = ti.r"""
 
 
 def word_vectors(spark, sf):
     ti = FE.token_index(_toks(spark, sf)).withColumn("r", F.col("token_id") - 1)
     e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("r"), F.col("embedding").alias("vec"))
-    return ti.join(e, "r").filter(F.col("r") % 2 == 0).select(F.col("token").alias("word"),
+    return ti.join(e, "r").select(F.col("token").alias("word"),
                                                                  F.col("vec").cast("array<double>").alias("vec"))
 
 
 @register("embedding_lookup", f"""WITH v AS ({_vocab_sql()}), wv AS ({_word_vectors_sql()})
-SELECT v.term, round(list_sum(coalesce(wv.vec::DOUBLE[], list_transform(range(64), lambda i: 0.0::DOUBLE))), 6) AS vec_sum,
+SELECT v.term, generate_subscripts(range(64), 1) - 1 AS pos, round(unnest(coalesce(wv.vec::DOUBLE[], list_transform(range(64), lambda i: 0.0::DOUBLE))), 6) AS value,
        CASE WHEN wv.vec IS NULL THEN 0 ELSE 1 END AS known FROM v LEFT JOIN wv ON v.term = wv.word""")
 def q_embedding_lookup(spark, sf):
     _, v = _vocab(spark, sf)
     x = FE.embedding_lookup(v.select("term"), word_vectors(spark, sf), 64)
-    return x.select("term", F.round(F.aggregate("vec", F.lit(0.0), lambda s, a: s + a), 6).alias("vec_sum"), "known")
+    x = x.select("term", "known", F.posexplode("vec").alias("pos", "value"))
+    return x.select("term", F.col("pos").cast("long").alias("pos"), F.round("value", 6).alias("value"), "known")
 
 
 @register("mean_pool_embeddings", f"""WITH c AS ({_counts_sql()}), wv AS ({_word_vectors_sql()}),
 j AS (SELECT c.id, c.tf, unnest(wv.vec::DOUBLE[]) AS x, generate_subscripts(wv.vec, 1) AS pos FROM c JOIN wv ON c.term = wv.word)
-SELECT id, round(sum(x) / count(*), 6) AS pooled_sum FROM (SELECT id, pos, sum(x * tf) / sum(tf) AS x FROM j GROUP BY id, pos) GROUP BY id""")
+SELECT id, pos - 1 AS pos, round(sum(x * tf) / sum(tf), 6) AS value FROM j GROUP BY id, pos""")
 def q_mean_pool(spark, sf):
     c = FE.term_counts(_toks(spark, sf))
-    m = FE.mean_pool_embeddings(c, word_vectors(spark, sf))
-    return m.select("id", F.round(F.aggregate("embedding", F.lit(0.0), lambda s, a: s + a) / F.size("embedding"), 6).alias("pooled_sum"))
+    m = FE.mean_pool_embeddings(c, word_vectors(spark, sf)).select("id", F.posexplode("embedding").alias("pos", "value"))
+    return m.select("id", F.col("pos").cast("long").alias("pos"), F.round("value", 6).alias("value"))
 
 
 # ---------------------------------------------------------------- 2.9 / 2.10 on the derived scores fixture
@@ -497,7 +503,7 @@ def q_quorum_vote(spark, sf):
 
 
 _METRICS_SQL = f"SELECT {S.metrics_select_sql(['model'])} FROM ({S.confusion_sql(VOTES, ['model'])})"
-_MCOLS = ("accuracy", "precision", "recall", "f1", "macro_f1", "weighted_f1", "kappa", "mcc")
+_MCOLS = ("accuracy", "precision", "recall", "f1", "f1_0", "weighted_precision", "weighted_recall", "macro_f1", "weighted_f1", "kappa", "mcc")
 
 
 @register("confusion_matrix", f"SELECT model, label AS actual, prediction AS predicted, count(*) AS n FROM {VOTES} GROUP BY 1, 2, 3")
@@ -514,7 +520,7 @@ def q_binary_metrics(spark, sf):
 
 for _k, _c in {"accuracy": "accuracy", "f1_per_class": "f1", "macro_f1": "macro_f1", "weighted_prf": "weighted_f1",
                "kappa_mcc": "kappa"}.items():
-    _cols = [_c] + (["mcc"] if _k == "kappa_mcc" else []) + (["precision", "recall"] if _k == "weighted_prf" else [])
+    _cols = [_c] + {"kappa_mcc": ["mcc"], "f1_per_class": ["f1_0"], "weighted_prf": ["weighted_precision", "weighted_recall"]}.get(_k, [])
     register(_k, f"SELECT model, {', '.join(R6(c) + ' AS ' + c for c in _cols)} FROM ({_METRICS_SQL})")(
         (lambda cols: lambda spark, sf: r6(EV.binary_metrics(_votes(spark, sf), ["model"], prob_col=None).select("model", *cols), cols))(_cols))
 
@@ -676,12 +682,7 @@ def q_minmax(spark, sf):
 @register("vector_stats", f"""SELECT model, {R6('avg(prob)')} AS mean, {R6('stddev_pop(prob)')} AS std, {R6('median(prob)')} AS median,
  {R6('min(prob)')} AS min, {R6('max(prob)')} AS max, {R6('sum(abs(prob))')} AS l1, {R6('sqrt(sum(prob * prob))')} AS l2 FROM {SC} GROUP BY model""")
 def q_vector_stats(spark, sf):
-    sc = fx_scores(spark, sf)
-    out = None
-    for m in MODELS:
-        v = EDA.vector_stats(sc.filter(F.col("model") == m), "prob").select(F.lit(m).alias("model"), "*")
-        out = v if out is None else out.unionByName(v)
-    return r6(out, {"mean", "std", "median", "min", "max", "l1", "l2"})
+    return r6(EDA.vector_stats(fx_scores(spark, sf), "prob", ["model"]), {"mean", "std", "median", "min", "max", "l1", "l2"})
 
 
 # ---------------------------------------------------------------- 2.4 EDA
@@ -714,10 +715,11 @@ def q_distinct(spark, sf):
     return EDA.distinct_count(table(spark, sf, "documents"), "source")
 
 
-@register("symbol_histogram", f"SELECT {S.count_sub_sql('coalesce(post, chr(0))', '@')}::BIGINT AS value, count(*) AS n FROM ({S.posts_with_edges_sql()}) GROUP BY 1")
+@register("symbol_histogram", " UNION ALL ".join(f"SELECT '{c}' AS symbol, {S.count_sub_sql('coalesce(post, chr(0))', c)}::BIGINT AS value, count(*) AS n FROM ({S.posts_with_edges_sql()}) GROUP BY 2" for c in "#@"))
 def q_symbol_hist(spark, sf):
     c = HY.count_symbols(edge_posts(spark, sf), "post")
-    return EDA.symbol_histogram(c, "num_mentions")
+    both = [EDA.symbol_histogram(c, n).select(F.lit(s).alias("symbol"), "value", "n") for s, n in (("#", "num_hashtags"), ("@", "num_mentions"))]
+    return both[0].unionByName(both[1])
 
 
 @register("crosstab_percent", f"SELECT lang, {R6('avg(CASE WHEN label = 0 THEN 100.0 ELSE 0.0 END)')} AS pct_0, {R6('avg(CASE WHEN label = 1 THEN 100.0 ELSE 0.0 END)')} AS pct_1 FROM {_LAB} GROUP BY lang")
@@ -725,18 +727,29 @@ def q_crosstab(spark, sf):
     return r6(EDA.crosstab_percent(_lab(spark, sf), "lang"), {"pct_0", "pct_1"})
 
 
-@register("top_tags", f"""SELECT tag, count(*) AS n FROM (SELECT unnest(regexp_extract_all(coalesce(post, ''), '@[\\p{{L}}\\p{{N}}_]+')) AS tag FROM ({S.posts_with_edges_sql()}))
-GROUP BY tag ORDER BY n DESC, tag ASC LIMIT 10""")
+def _tags_sql(col: str, sym: str) -> str:
+    return f"regexp_extract_all(coalesce({col}, ''), '{sym}[\\p{{L}}\\p{{N}}_]+')"
+
+
+_TAG_KINDS = {"#": TX.hashtags, "@": TX.mentions}
+
+
+@register("top_tags", " UNION ALL ".join(f"""SELECT * FROM (SELECT '{s}' AS symbol, tag, count(*) AS n FROM (SELECT unnest({_tags_sql('post', s)}) AS tag FROM ({S.posts_with_edges_sql()}))
+GROUP BY tag ORDER BY n DESC, tag ASC LIMIT 10)""" for s in _TAG_KINDS))
 def q_top_tags(spark, sf):
-    p = edge_posts(spark, sf).select(TX.mentions("post").alias("tags"))
-    return EDA.top_tags(p, "tags", 10)
+    parts = [EDA.top_tags(edge_posts(spark, sf).select(f("post").alias("tags")), "tags", 10).select(F.lit(s).alias("symbol"), "tag", "n")
+             for s, f in _TAG_KINDS.items()]
+    return parts[0].unionByName(parts[1])
 
 
-@register("top_tags_by_category", f"""SELECT lang, tag, n, rank FROM (SELECT lang, tag, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, tag ASC) AS rank FROM (
-  SELECT lang, tag, count(*) AS n FROM (SELECT lang, unnest(regexp_extract_all(coalesce(text, ''), '@[\\p{{L}}\\p{{N}}_]+')) AS tag FROM documents) GROUP BY 1, 2)) WHERE rank <= 3""")
+@register("top_tags_by_category", f"""SELECT symbol, lang, tag, n, rank FROM (SELECT *, row_number() OVER (PARTITION BY symbol, lang ORDER BY n DESC, tag ASC) AS rank FROM (
+  SELECT symbol, lang, tag, count(*) AS n FROM ({' UNION ALL '.join(f"SELECT '{s}' AS symbol, lang, unnest({_tags_sql('text', s)}) AS tag FROM documents" for s in _TAG_KINDS)}) GROUP BY 1, 2, 3)) WHERE rank <= 10""")
 def q_top_tags_cat(spark, sf):
-    d = table(spark, sf, "documents").select("lang", TX.mentions("text").alias("tags"))
-    return EDA.top_tags_by_category(d, "tags", "lang", 3).select("lang", "tag", "n", F.col("rank").cast("long").alias("rank"))
+    parts = []
+    for s, f in _TAG_KINDS.items():
+        d = table(spark, sf, "documents").select("lang", f("text").alias("tags"))
+        parts.append(EDA.top_tags_by_category(d, "tags", "lang", 10).select(F.lit(s).alias("symbol"), "lang", "tag", "n", F.col("rank").cast("long").alias("rank")))
+    return parts[0].unionByName(parts[1])
 
 
 @register("top_words_by_class", f"""SELECT label, word, n, rank FROM (SELECT label, word, n, row_number() OVER (PARTITION BY label ORDER BY n DESC, word ASC) AS rank FROM (
@@ -747,10 +760,10 @@ def q_top_words(spark, sf):
 
 
 @register("class_feature_means", f"""SELECT label, pos, {R6('avg(v)')} AS mean FROM (
-  SELECT label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings) WHERE pos < 10 GROUP BY 1, 2""")
+  SELECT label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings) GROUP BY 1, 2""")
 def q_class_means(spark, sf):
     e = table(spark, sf, "embeddings")
-    m = EDA.class_feature_means(e, "embedding", "label", first=10)
+    m = EDA.class_feature_means(e, "embedding", "label")
     return r6(m.select("label", F.col("pos").cast("long").alias("pos"), "mean"), {"mean"})
 
 
@@ -816,14 +829,14 @@ _BAGS_SQL = f"""SELECT id, label, bag, ({_poisson_sql(S.md5_uniform_sql("concat(
 FROM ({S.POSTS}), (SELECT unnest(range(0, 5)) AS bag)"""
 
 
-@register("bootstrap_bags", f"SELECT bag, sum(weight)::BIGINT AS n_drawn, sum(CASE WHEN weight > 0 THEN 1 ELSE 0 END)::BIGINT AS n_distinct FROM ({_BAGS_SQL}) GROUP BY bag")
+@register("bootstrap_bags", f"SELECT bag::INT AS bag, sum(weight)::BIGINT AS n_drawn, sum(CASE WHEN weight > 0 THEN 1 ELSE 0 END)::BIGINT AS n_distinct FROM ({_BAGS_SQL}) GROUP BY bag")
 def q_bags(spark, sf):
     b = SP.bootstrap_bags(_posts_lab(spark, sf), 5, 42)
     return b.groupBy("bag").agg(F.sum("weight").cast("long").alias("n_drawn"),
                                 F.sum((F.col("weight") > 0).cast("int")).cast("long").alias("n_distinct"))
 
 
-@register("out_of_bag", f"SELECT id, bag FROM ({_BAGS_SQL}) WHERE weight = 0")
+@register("out_of_bag", f"SELECT id, bag::INT AS bag FROM ({_BAGS_SQL}) WHERE weight = 0")
 def q_oob(spark, sf):
     return SP.out_of_bag(SP.bootstrap_bags(_posts_lab(spark, sf), 5, 42)).select("id", "bag")
 
@@ -848,7 +861,7 @@ def q_sw(spark, sf):
     return r6(w.groupBy("label").agg(F.sum("weight").alias("total_weight")), {"total_weight"})
 
 
-@register("positive_weight", f"SELECT label, {R6('sum(CASE WHEN label = 1 THEN 3.0 ELSE 1.0 END)')} AS total_weight FROM ({S.POSTS}) GROUP BY label")
+@register("positive_weight", f"SELECT label, {R6('sum(CASE WHEN label = 1 THEN 3.0::DOUBLE ELSE 1.0::DOUBLE END)')} AS total_weight FROM ({S.POSTS}) GROUP BY label")
 def q_pw(spark, sf):
     w = SP.positive_weight(_posts_lab(spark, sf), 3.0)
     return r6(w.groupBy("label").agg(F.sum("weight").alias("total_weight")), {"total_weight"})
@@ -979,10 +992,10 @@ def q_activation(spark, sf):
     return a.select("id", F.round(F.aggregate(TX.activation_expand("a"), F.lit(0.0), lambda s, x: s + x), 6).alias("act_sum"))
 
 
-@register("one_hot", "SELECT doc_id, " + ", ".join(f"(lang = '{v}')::INT AS lang_{v}" for v in ("de", "en", "es", "fr")) + " FROM documents")
+@register("one_hot", "SELECT d.doc_id, v.lang AS category, (d.lang = v.lang)::INT AS hot FROM documents d, (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL) v")
 def q_one_hot(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "lang")
-    return HY.one_hot(d, "lang", ["de", "en", "es", "fr"]).drop("lang")
+    return HY.one_hot(d, "lang", "doc_id")
 
 
 @register("binarize_features", "SELECT vec_id, list_sum(list_transform(embedding, lambda x: (x > 0)::INT))::BIGINT AS n_pos FROM embeddings")
@@ -994,8 +1007,8 @@ def q_binarize(spark, sf):
 
 _LEX_SQL = f"""WITH lex(word, valence) AS (VALUES {_vals(LEXICON)}),
 w AS (SELECT d.doc_id AS id, regexp_replace(unnest({S.words_sql('d.text', lower=True)}), '^[^\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}]+$', '', 'g') AS word FROM documents d),
-s AS (SELECT w.id, sum(lex.valence) AS s FROM w JOIN lex ON w.word = lex.word GROUP BY w.id),
-c AS (SELECT d.doc_id AS id, coalesce(s.s, 0.0) AS s FROM documents d LEFT JOIN s ON d.doc_id = s.id)"""
+s AS (SELECT w.id, sum(lex.valence::DOUBLE) AS s FROM w JOIN lex ON w.word = lex.word GROUP BY w.id),
+c AS (SELECT d.doc_id AS id, coalesce(s.s, 0.0)::DOUBLE AS s FROM documents d LEFT JOIN s ON d.doc_id = s.id)"""
 
 
 def _lex(spark, sf):
@@ -1004,10 +1017,11 @@ def _lex(spark, sf):
     return HY.lexicon_sentiment(d, lex, "post")
 
 
-@register("lexicon_sentiment", f"{_LEX_SQL} SELECT id, {R6('s')} AS s, {R6('s / sqrt(s * s + 15.0)')} AS compound FROM c")
+@register("lexicon_sentiment", f"{_LEX_SQL} SELECT id, {R6('s')} + 0.0::DOUBLE AS s, {R6('s / sqrt(s * s + 15.0)')} + 0.0::DOUBLE AS compound FROM c")
 def q_lexicon(spark, sf):
     x = _lex(spark, sf)
-    return r6(x.select("id", "s", "compound"), {"s", "compound"})
+    # + 0.0: a sum that cancels to -0.0 is 0.0
+    return x.select("id", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in ("s", "compound")])
 
 
 @register("sentiment_label", f"{_LEX_SQL} SELECT CASE WHEN round(s / sqrt(s * s + 15.0), 9) >= 0 THEN 'positive' ELSE 'negative' END AS sentiment, count(*) AS n FROM c GROUP BY 1")
@@ -1027,7 +1041,7 @@ def q_lemmatize(spark, sf):
     p = train_posts(spark, sf).select("id", TX.clean_post("post").alias("clean"))
     lem = spark.createDataFrame(LEMMAS, "word string, lemma string")
     x = HY.dictionary_lemmatize(p, lem, "clean")
-    return x.select("id", F.md5("lemmatized").alias("lemmatized_md5"), F.length("lemmatized").alias("n_chars"))
+    return x.select("id", F.md5("lemmatized").alias("lemmatized_md5"), F.length("lemmatized").cast("long").alias("n_chars"))
 
 
 def _dense_sql(split):

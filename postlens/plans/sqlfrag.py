@@ -117,7 +117,9 @@ def metrics_select_sql(group_cols: list[str]) -> str:
     po = sd(f"{tp} + {tn}", n)
     pe = sd(f"({tp} + {fp}) * ({tp} + {fn}) + ({tn} + {fn}) * ({tn} + {fp})", f"{n} * {n}")
     return (f"{g}{n}::BIGINT AS n, {po} AS accuracy, {sd(tp, f'{tp} + {fp}')} AS precision, "
-            f"{sd(tp, f'{tp} + {fn}')} AS recall, {f1_1} AS f1, ({f1_0} + {f1_1}) / 2 AS macro_f1, "
+            f"{sd(tp, f'{tp} + {fn}')} AS recall, {f1_1} AS f1, {f1_0} AS f1_0, "
+            f"{sd(sd(tp, f'{tp} + {fp}') + f' * ({tp} + {fn}) + ' + sd(tn, f'{tn} + {fn}') + f' * ({tn} + {fp})', n)} AS weighted_precision, "
+            f"{sd(sd(tp, f'{tp} + {fn}') + f' * ({tp} + {fn}) + ' + sd(tn, f'{tn} + {fp}') + f' * ({tn} + {fp})', n)} AS weighted_recall, ({f1_0} + {f1_1}) / 2 AS macro_f1, "
             f"{sd(f'{f1_1} * ({tp} + {fn}) + {f1_0} * ({tn} + {fp})', n)} AS weighted_f1, "
             f"CASE WHEN 1.0 - {pe} <> 0 THEN ({po} - {pe}) / (1.0 - {pe}) ELSE 0.0 END AS kappa, "
             f"{sd(f'{tp} * {tn} - {fp} * {fn}', f'sqrt(({tp} + {fp}) * ({tp} + {fn}) * ({tn} + {fp}) * ({tn} + {fn}))')} AS mcc")

@@ -16,14 +16,14 @@ def multi_view_features(spark: SparkSession, sf_dir: str, max_features: int = 20
     posts = train_posts(spark, sf_dir)
     toks = FE.tokenize_words(posts, "post")
     counts = FE.term_counts(toks)
-    vocab = FE.build_vocabulary(counts, min_df=2, max_df=0.95, max_features=max_features)
     n = posts.count()
+    vocab = FE.build_vocabulary(counts, n_docs=n, min_df=2, max_df=0.95, max_features=max_features)
     tf = FE.tfidf(counts, vocab, n, sublinear=True)
     size = vocab.count()
-    word = FE.to_vectors(tf.select("id", "idx", "value"), size, out="v_word")
+    word = FE.to_vectors(tf.select("id", "idx", "value"), size, out="v_word", ids=posts.select("id"))
     hashed = FE.hashed_counts(toks, "tokens", hash_features, out="v_hash").select("id", "v_hash")
     stats = text_stat_vector(posts, "post", out="v_stats")
-    x = posts.select("id", "label").join(word, "id", "left").join(hashed, "id").join(stats, "id")
-    x = x.na.drop(subset=["v_word"])
+    # a post without any word of the vocabulary keeps its row, with an empty vector
+    x = posts.select("id", "label").join(word, "id").join(hashed, "id").join(stats, "id")
     return VectorAssembler(inputCols=["v_word", "v_hash", "v_stats"], outputCol="features").transform(x).select(
         "id", "label", "features")

@@ -56,12 +56,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint (never a local one): survives executor loss."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
-
-
 def default_buckets(spark: SparkSession, factor: int = 4) -> int:
     """Bucket count for distributed prefix sums: scales with the cluster."""
     try:
