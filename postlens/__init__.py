@@ -10,6 +10,6 @@ throughout:
 Vectors only appear at the MLlib boundary.
 """
 
-from postlens.session import get_session, ensure_checkpoint_dir
+from postlens.session import get_session
 
-__all__ = ["get_session", "ensure_checkpoint_dir"]
+__all__ = ["get_session"]

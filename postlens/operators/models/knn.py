@@ -1,12 +1,10 @@
-"""Exact k nearest neighbours without emitting all pairs.
+"""Exact k nearest neighbours, block against block.
 
-The training rows are the kNN "model".  They are split into blocks whose
-size is checked against ``max_block_bytes``; each block is broadcast and
-every query partition computes its distances to that block with numpy
-inside ``mapInPandas`` (Arrow batches), keeping only its k best per
-query.  The per-block candidates (k per query per block) are merged with
-a top-k window per query.  Ties are broken by the smaller train id.
-"""
+Training rows and query rows are dealt into blocks of bounded size by a hash of
+their id; a task compares one query block with one training block and keeps the k
+best of each query, and the blocks' bests are merged by query.  Nothing passes
+through the driver, and a task holds one block and one row of distances.  Ties are
+broken by the smaller train id, also at the k-th place."""
 
 from __future__ import annotations
 
@@ -18,51 +16,33 @@ from pyspark.sql import functions as F
 OUT_SCHEMA = "qid long, nid long, distance double, nlabel int"
 
 
-def _block_fn(bc, k: int, p: int):
-    def fn(it):
-        tid, tx, ty = bc.value
-        for pdf in it:
-            if pdf.empty:
-                continue
-            q = np.stack(pdf["x"].to_numpy()).astype(np.float64)
-            if p == 2:
-                d = np.sqrt(np.maximum((q * q).sum(1)[:, None] + (tx * tx).sum(1)[None, :] - 2.0 * q @ tx.T, 0.0))
-            else:
-                d = np.abs(q[:, None, :] - tx[None, :, :]).sum(2)
-            kk = min(k, d.shape[1])
-            # stable order by (distance, id): sort candidates explicitly
-            idx = np.argpartition(d, kk - 1, axis=1)[:, :kk] if kk < d.shape[1] else np.tile(np.arange(d.shape[1]), (len(q), 1))
-            rows = []
-            for r in range(len(q)):
-                c = idx[r]
-                order = np.lexsort((tid[c], d[r, c]))
-                for j in c[order]:
-                    rows.append((int(pdf["id"].iat[r]), int(tid[j]), float(d[r, j]), int(ty[j])))
-            yield pd.DataFrame(rows, columns=["qid", "nid", "distance", "nlabel"])
+def _compare(k: int, p: int):
+    def fn(train: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(train) and len(query):
+            tid, ty = train["tid"].to_numpy(), train["ty"].to_numpy()
+            tx = np.stack(list(train["tx"])).astype(np.float64)
+            for qid, x in zip(query["qid"], query["qx"]):
+                gap = tx - np.asarray(x, np.float64)
+                d = np.sqrt((gap * gap).sum(axis=1)) if p == 2 else np.abs(gap).sum(axis=1)
+                at = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1]) if len(d) > k else np.arange(len(d))
+                at = at[np.lexsort((tid[at], d[at]))[:k]]
+                out.append(pd.DataFrame({"qid": qid, "nid": tid[at], "distance": d[at], "nlabel": ty[at]}))
+        return pd.concat(out) if out else pd.DataFrame({"qid": [], "nid": [], "distance": [], "nlabel": []})
     return fn
 
 
 def nearest_neighbors(train: DataFrame, query: DataFrame, k: int = 5, p: int = 2,
-                      max_block_bytes: int = 256 << 20) -> DataFrame:
-    """``(qid, nid, distance, nlabel, rank)`` for the k nearest train rows.
-    Both inputs: (id, x array<double>, label)."""
-    spark = train.sparkSession
-    n = train.count()
-    dim = len(train.select("x").first()["x"])
-    rows_per_block = max(1, int(max_block_bytes // (8 * (dim + 2))))
-    n_blocks = max(1, -(-n // rows_per_block))
-    tb = train.withColumn("_blk", (F.abs(F.xxhash64("id")) % n_blocks).cast("int"))
-    parts = []
-    for blk in range(n_blocks):
-        pdf = tb.filter(F.col("_blk") == blk).select("id", "x", "label").toPandas()  # one size-checked block
-        if pdf.empty:
-            continue
-        bc = spark.sparkContext.broadcast((pdf["id"].to_numpy(np.int64), np.stack(pdf["x"].to_numpy()).astype(np.float64),
-                                           pdf["label"].to_numpy(np.int64)))
-        parts.append(query.select("id", "x").mapInPandas(_block_fn(bc, k, p), OUT_SCHEMA))
-    cand = parts[0]
-    for c in parts[1:]:
-        cand = cand.unionByName(c)
+                      train_block: int = 8192, query_block: int = 2048) -> DataFrame:
+    """``(qid, nid, distance, nlabel, rank)`` for the k nearest train rows (all, if
+    fewer).  Both inputs: (id, x array<double>, label); a query that is itself a
+    training row finds itself."""
+    nt = max(1, -(-train.count() // train_block))
+    nq = max(1, -(-query.count() // query_block))
+    deal = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n)).cast("int")
+    t = train.select(deal(nt, 1).alias("tb"), F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("qb"), F.col("id").alias("tid"), F.col("x").alias("tx"), F.col("label").cast("int").alias("ty"))
+    q = query.select(F.explode(F.sequence(F.lit(0), F.lit(nt - 1))).alias("tb"), deal(nq, 2).alias("qb"), F.col("id").alias("qid"), F.col("x").alias("qx"))
+    cand = t.groupBy("tb", "qb").cogroup(q.groupBy("tb", "qb")).applyInPandas(_compare(k, p), OUT_SCHEMA)
     w = Window.partitionBy("qid").orderBy("distance", "nid")
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 

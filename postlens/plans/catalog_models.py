@@ -11,6 +11,7 @@ from postlens.operators import search as SE
 from postlens.operators import select as SEL
 from postlens.operators import split as SP
 from postlens.operators.models import discriminant as DA
+from postlens.operators.models import knn as KNN
 from postlens.operators.models import linear as LIN
 from postlens.operators.models import text_models as TM
 from postlens.plans import sqlfrag as S
@@ -94,6 +95,17 @@ def q_estimator_scores(spark, sf):
     return r6(fx_scores(spark, sf).select("id", "model", (F.col("prob") >= 0.5).cast("int").alias("prediction"), "prob"), {"prob"})
 
 
+_NEAR_SQL = f"""WITH e AS (SELECT vec_id AS id, embedding::DOUBLE[] AS x, {S.md5_uniform_sql('vec_id', 42)} < 0.2 AS test FROM embeddings),
+d AS (SELECT q.id AS qid, t.id AS nid, round(sqrt(list_sum(list_transform(list_zip(q.x, t.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))), 9) AS distance FROM e q JOIN e t ON q.test AND NOT t.test)
+SELECT qid, nid, {R6('distance')} AS distance, (row_number() OVER (PARTITION BY qid ORDER BY distance, nid))::INT AS rank FROM d QUALIFY rank <= 5"""
+
+
+@register("nearest_neighbors", _NEAR_SQL)
+def q_near(spark, sf):
+    tr, te = dense_split(spark, sf)
+    return r6(KNN.nearest_neighbors(tr, te, k=5).select("qid", "nid", "distance", "rank"), {"distance"})
+
+
 def _discriminant(quadratic: bool, reg: float):
     def fn(spark, sf):
         tr, te = dense_split(spark, sf)

@@ -1,14 +1,8 @@
-"""Session helpers.
-
-The library never invents cluster paths: the checkpoint folder is read
-from ``spark.checkpoint.dir``.  Only when that setting is absent (local
-tests, the bench) a private scratch folder is created.
-"""
+"""Session helpers of the tests, the tools and the bench."""
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -33,29 +27,9 @@ def get_session(master: str | None = None, app: str = "postlens",
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting one only if unset.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is
-    used as is.  Where it is unset (tests), a fresh scratch folder is
-    taken so that ``checkpoint()`` works.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="postlens-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
-
-
 def default_buckets(spark: SparkSession, factor: int = 4) -> int:
     """Bucket count for distributed prefix sums: scales with the cluster."""
     try:

@@ -18,9 +18,6 @@ def spark():
              .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="postlens-test-ckpt-", dir="/tmp"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    from postlens.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)
     yield spark
     spark.stop()
 

@@ -48,7 +48,7 @@ def test_knn_matches_brute_force(spark):
     tr, te = dense_split(spark, SF001)
     got = {(r["qid"], r["rank"]): r["nid"] for r in KNN.nearest_neighbors(tr, te, k=3).collect()}
     # small blocks force the multi-block merge path
-    got2 = {(r["qid"], r["rank"]): r["nid"] for r in KNN.nearest_neighbors(tr, te, k=3, max_block_bytes=8 * 66 * 50).collect()}
+    got2 = {(r["qid"], r["rank"]): r["nid"] for r in KNN.nearest_neighbors(tr, te, k=3, train_block=50, query_block=7).collect()}
     t = tr.toPandas()
     q = te.toPandas()
     tx = np.stack(t["x"].to_numpy())
