@@ -86,13 +86,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = TOP, scale: int = SCALE
     nr, nq = max(1, -(-n // row_block)), max(1, -(-m // query_block))
     deal = lambda blocks, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(blocks)).cast("int")
     rows = v.select(deal(nr, 1).alias("rb"), F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("qb"), "vec_id", "v")
-    asks = queries.select(F.explode(F.sequence(F.lit(0), F.lit(nr - 1))).alias("rb"), deal(nq, 2).alias("qb"), "vec_id", "v")
+    asks = queries.select(F.explode(F.sequence(F.lit(0), F.lit(nr - 1))).alias("rb"), deal(nq, 2).alias("qb"), F.col("vec_id").alias("query_id"), F.col("v").alias("w"))
 
     def score(rows: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
         if not len(rows) or not len(asks):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-        s = accumulate(list(asks["v"]), list(rows["v"]))
-        return best(s, asks["vec_id"].to_numpy(), rows["vec_id"].to_numpy(), k)
+        s = accumulate(list(asks["w"]), list(rows["v"]))
+        return best(s, asks["query_id"].to_numpy(), rows["vec_id"].to_numpy(), k)
 
     part = rows.groupBy("rb", "qb").cogroup(asks.groupBy("rb", "qb")).applyInPandas(score, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
