@@ -136,16 +136,21 @@ def repeated_spans(docs: DataFrame, window: int, gram: int, symbols: Callable[[b
     fetched = wanted.join(text, ["_id", "_th"])
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["_id", "_th", "h", "z", "n", "lo", "c"]
         for b in batches:
+            rows = []
             for i, th, t, w in zip(b["_id"], b["_th"], b["t"], b["w"]):
                 texts = part(t, [(x["lo"], x["hi"] + window) for x in w])
-                rows = []
                 for x, c in zip(w, texts):
                     if not x["crowded"]:
-                        rows.append((x["h"], 0, x["n"], x["lo"], c))
+                        rows.append((i, th, x["h"], 0, x["n"], x["lo"], c))
                     else:
-                        rows += [(a, z, x["n"], x["lo"] + k, None) for k, (a, z) in enumerate(zip(*map(np.ndarray.tolist, window_keys(symbols(c), window))))]
-                yield pd.DataFrame(rows, columns=["h", "z", "n", "lo", "c"]).assign(_id=i, _th=th)
+                        rows += [(i, th, a, z, x["n"], x["lo"] + k, None) for k, (a, z) in enumerate(zip(*map(np.ndarray.tolist, window_keys(symbols(c), window))))]
+                if len(rows) > 10_000:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
 
     found = keep(fetched.mapInPandas(fetch, f"{key}, h long, z long, n int, lo int, c binary"), f"{name}-texts")
     whole = found.filter("c is null").select("_id", "_th", "h", "z", "n", "lo")
