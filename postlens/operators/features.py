@@ -46,15 +46,13 @@ def char_ngrams(df: DataFrame, text_col: str = "post", n_min: int = 2, n_max: in
     once per post (not once per position)."""
     t = F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), "[ \\t\\n\\x0B\\f\\r]{2,}", " ")
     # code points of the post, once per post ((?s). matches any code point)
-    x = df.select(id_col, F.regexp_extract_all(t, F.lit("(?s)."), 0).alias("_c"))
-    # the generator over n fences the array off as an attribute, so the
-    # lambda below indexes it instead of re-running the regex, and slicing
-    # an array is O(1) per position where substring() on UTF-8 would walk
-    # from the start of the text every time
-    x = x.select(id_col, "_c", F.explode(F.sequence(F.lit(n_min), F.lit(n_max))).alias("_n"))
-    grams = F.transform(F.sequence(F.lit(1), F.size("_c") - F.col("_n") + 1),
-                        lambda i: F.array_join(F.slice(F.col("_c"), i, F.col("_n")), ""))
-    return x.filter(F.size("_c") >= F.col("_n")).select(id_col, F.explode(grams).alias("term"))
+    x = df.select(id_col, F.regexp_extract_all(t, F.lit("(?s)."), 0).alias("_g1"))
+    # an n-gram is an (n-1)-gram and one more code point; every length is a column
+    # of its own, used twice, so that none is evaluated again for the next
+    for n in range(2, n_max + 1):
+        left = F.greatest(F.size("_g1") - n + 1, F.lit(0))
+        x = x.withColumn(f"_g{n}", F.zip_with(F.slice(F.col(f"_g{n - 1}"), F.lit(1), left), F.slice(F.col("_g1"), F.lit(n), left), lambda a, b: F.concat(a, b)))
+    return x.select(id_col, F.explode(F.concat(*[F.col(f"_g{n}") for n in range(n_min, n_max + 1)])).alias("term"))
 
 
 def term_counts(df: DataFrame, id_col: str = "id", terms_col: str = "tokens") -> DataFrame:
