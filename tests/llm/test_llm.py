@@ -82,10 +82,25 @@ def brute_lines(docs, run=2):
             if key in seen:
                 gone |= set(at)
             seen.add(key)
+        for k in real:
+            if len(re.findall("[^\x20\x09-\x0D]+", lines[k])) > 50:
+                if (lines[k],) in seen:
+                    gone.add(k)
+                seen.add((lines[k],))
         out[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
     return out
 
 
+def test_long_line_is_a_run_by_itself(spark):
+    from postlens.llm.lines import dedup_lines
+
+    words = lambda n, sep=" ": sep.join(f"v{i}" for i in range(n))
+    rows = [(1, f"a\n{words(51)}\nb", ""), (2, f"c\n{words(51)}\nd", ""), (3, words(51), ""), (4, f"e\n{words(50)}", ""),
+            (5, f"f\n{words(50)}", ""), (6, words(50, "  ") + "  ", ""), (7, words(50, "  ") + "  ", ""), (8, "long" * 200, ""), (9, "long" * 200, "")]
+    got = {r.doc_id: r.text for r in dedup_lines(frame(spark, rows)).collect()}
+    assert got == {i: {2: "c\nd", 3: ""}.get(i, t) for i, t, _ in rows}
+
+
 def test_line_dedup(spark, edge, none):
     from postlens.llm.lines import dedup_lines, line_digest
 
