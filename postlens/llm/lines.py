@@ -15,8 +15,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def repeated_lines(docs: DataFrame, gram: int = GRAM, grams: int = GRAMS, long: int = LONG, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(_id, _th, drop)``: line numbers (from 0) that stand in a later copy of a
-    run of at least gram + grams - 1 lines, or of a line of over ``long`` words.
+    """``(_id, _th, drop)``: line numbers (from 0), blank lines between included,
+    that stand in a later copy of a run of at least gram + grams - 1 lines, or of a line of over ``long`` words.
 
     Winnowing: of every window of ``grams`` line-gram hashes the least is the
     fingerprint, so two equal runs of that length share one; a long line is a window
@@ -29,21 +29,21 @@ def repeated_lines(docs: DataFrame, gram: int = GRAM, grams: int = GRAMS, long:
                                   ((F.length(l) > 2 * long) & (F.regexp_count(l, F.lit(WORD)) > long)).alias("long"))
     ls = F.filter(F.transform(F.split("text", "\n", -1), line), lambda s: s["n"] > 0)
     d = with_row_key(docs, id_col, text_col).select("_id", "_th", ls.alias("ls"))
-    window = lambda n, m: f"""struct({m} AS m, xxhash64(slice(ls.a, j + 1, {n})) AS a, xxhash64(slice(ls.b, j + 1, {n})) AS b, slice(ls.i, j + 1, {n}) AS at)"""
+    window = lambda n, m: f"""struct({m} AS m, xxhash64(slice(ls.a, j + 1, {n})) AS a, xxhash64(slice(ls.b, j + 1, {n})) AS b, ls[j].i AS i, ls[j + {n} - 1].i AS j)"""
     print_ = lambda g, n: f"struct(xxhash64(slice(ls.a, {g} + 1, {n})) AS f, {g} AS p)"
     least = f"array_min(transform(sequence(j, j + {grams - 1}), g -> {print_('g', gram)}))"
     win = f"""explode(concat(
         if(size(ls) >= {run}, transform(sequence(0, size(ls) - {run}), j -> {window(run, least)}), array()),
         if(size(ls) > 0, transform(filter(sequence(0, size(ls) - 1), j -> ls[j].long), j -> {window(1, print_('j', 1))}), array())))"""
-    w = d.select("_id", "_th", F.expr(win).alias("x")).select("_id", "_th", "x.m.f", "x.m.p", "x.a", "x.b", "x.at")
+    w = d.select("_id", "_th", F.expr(win).alias("x")).select("_id", "_th", "x.m.f", "x.m.p", "x.a", "x.b", "x.i", "x.j")
     w = keep(w, "line-windows")
     where = F.struct("_id", "_th", "p")
     # tables of their own, so that a hot line's partition of a join can be split
     shared = keep(w.groupBy("f").agg(F.min(where).alias("lo"), F.max(where).alias("hi")).filter("lo <> hi").select("f"), "line-prints")
-    near = w.join(shared, "f", "left_semi")
-    first = keep(near.groupBy("a", "b").agg(F.min(F.struct("_id", "_th", "at")).alias("first")), "line-firsts")
-    later = near.join(first, ["a", "b"]).filter(F.struct("_id", "_th", "at") > F.col("first"))
-    return later.select("_id", "_th", F.explode("at").alias("i")).groupBy("_id", "_th").agg(F.collect_set("i").alias("drop"))
+    near = keep(w.join(shared, "f", "left_semi").select("_id", "_th", "a", "b", "i", "j"), "line-matches")
+    first = keep(near.groupBy("a", "b").agg(F.min(F.struct("_id", "_th", "i")).alias("first")), "line-firsts")
+    later = near.join(first, ["a", "b"]).filter(F.struct("_id", "_th", "i") > F.col("first"))
+    return later.select("_id", "_th", F.explode(F.sequence("i", "j")).alias("i")).groupBy("_id", "_th").agg(F.collect_set("i").alias("drop"))
 
 
 def dedup_lines(docs: DataFrame, gram: int = GRAM, grams: int = GRAMS, long: int = LONG, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -59,7 +59,7 @@ def dedup_lines(docs: DataFrame, gram: int = GRAM, grams: int = GRAMS, long: int
     drop = drop.select(F.col("_id").alias("__line_id"), F.col("_th").alias("__line_th"), F.col("drop").alias("__line_drop"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     same = (F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text)) == F.col("__line_id")) & (F.hash(text) == F.col("__line_th"))
-    left = F.filter(F.split(F.col(text_col), "\n", -1), lambda l, i: ~F.array_contains("__line_drop", i))
+    left = F.filter(F.split(F.col(text_col), "\n", -1), lambda l, i: ~F.array_contains("__line_drop", i) | (F.length(F.trim(l)) == 0))
     cut = F.when(F.col("__line_drop").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
     return docs.join(drop, same, "left").select(*[cut.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 
