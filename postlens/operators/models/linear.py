@@ -83,43 +83,45 @@ def gd_logistic(df: DataFrame, dim: int, epochs: int = 20, lr: float = 0.1, n_ba
     """Mini-batch gradient descent from zero weights.  Each epoch
     re-shuffles rows into ``n_batches`` md5 batches (seeded by epoch);
     every step is one distributed aggregation of the gradient over its
-    batch.  Returns (w, b, history) -- history is one loss per epoch."""
+    batch, from a cached input.  Returns (w, b, history) -- history is one
+    loss per epoch.  Stops when the loss changes by less than ``tol``."""
     w = np.zeros(dim)
     b = 0.0
     hist = []
     prev = None
-    base = df.select(features_col, F.col(label_col).cast("double").alias("_y"),
-                     (F.col(weight_col) if weight_col else F.lit(1.0)).alias("_w"),
-                     F.monotonically_increasing_id().alias("_rid") if "id" not in df.columns else F.col("id").alias("_rid"))
+    rid = F.col("id") if "id" in df.columns else F.xxhash64(features_col, label_col)
+    base = df.select(F.col(features_col).alias("_x"), F.col(label_col).cast("double").alias("_y"),
+                     (F.col(weight_col) if weight_col else F.lit(1.0)).alias("_w"), rid.alias("_rid")).persist()
     for ep in range(epochs):
         bat = base.withColumn("_bt", md5_bucket("_rid", seed * 1000 + ep, n_batches))
         for k in range(n_batches):
-            wl = F.array(*[F.lit(float(v)) for v in w])
-            z = F.aggregate(F.arrays_zip(F.col(features_col), wl), F.lit(0.0),
-                            lambda acc, t: acc + t[features_col] * t["1"]) + F.lit(b)
-            p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), z))))
-            err = (p - F.col("_y")) * F.col("_w")
-            g = bat.filter(F.col("_bt") == k).select(F.posexplode(features_col).alias("j", "v"), err.alias("e"))
-            grads = g.groupBy("j").agg(F.sum(F.col("v") * F.col("e")).alias("g")).collect()
-            gb = bat.filter(F.col("_bt") == k).agg(F.sum(err).alias("gb"), F.sum("_w").alias("n")).first()
-            nrm = gb["n"] or 1.0
-            gw = np.zeros(dim)
-            for r in grads:
-                gw[r["j"]] = r["g"]
-            w = w - lr * (gw / nrm + l2 * w)
-            b = b - lr * ((gb["gb"] or 0.0) / nrm)
-        wl = F.array(*[F.lit(float(v)) for v in w])
-        z = F.aggregate(F.arrays_zip(F.col(features_col), wl), F.lit(0.0), lambda acc, t: acc + t[features_col] * t["1"]) + F.lit(b)
-        p = F.least(F.greatest(F.lit(1.0) / (F.lit(1.0) + F.exp(-z)), F.lit(1e-15)), F.lit(1 - 1e-15))
+            err = (_linear_prob("_x", w, b) - F.col("_y")) * F.col("_w")
+            one = bat.filter(F.col("_bt") == k).select("_x", "_w", err.alias("_e"))
+            g = one.agg(*[F.sum(F.col("_x")[j] * F.col("_e")) for j in range(dim)], F.sum("_e"), F.sum("_w")).first()
+            if not g[dim + 1]:
+                continue
+            w = w - lr * (np.array(g[:dim], float) / g[dim + 1] + l2 * w)
+            b = b - lr * g[dim] / g[dim + 1]
+        p = F.least(F.greatest(_linear_prob("_x", w, b), F.lit(1e-15)), F.lit(1 - 1e-15))
         loss = base.agg((-F.sum(F.col("_w") * (F.col("_y") * F.log(p) + (1 - F.col("_y")) * F.log(1 - p))) / F.sum("_w")).alias("l")).first()["l"]
+        if loss is None:  # no rows
+            break
         hist.append((ep, float(loss)))
         if tol is not None and prev is not None and abs(prev - loss) < tol:
             break
         prev = loss
+    base.unpersist()
     return w, b, hist
 
 
+def _linear_prob(features_col: str, w, b: float):
+    """Sigmoid of w x + b.  Weights and offset are one folded array literal, so the
+    steps share their compiled code."""
+    wl = F.array(*[F.lit(float(v)) for v in w], F.lit(float(b)))
+    prods = F.zip_with(features_col, F.slice(wl, 1, len(w)), lambda x, v: x * v)
+    z = F.aggregate(prods, wl[len(w)], lambda acc, t: acc + t)
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), z))))
+
+
 def score_linear(df: DataFrame, w, b: float, features_col: str = "x") -> DataFrame:
-    wl = F.array(*[F.lit(float(v)) for v in w])
-    z = F.aggregate(F.arrays_zip(F.col(features_col), wl), F.lit(0.0), lambda acc, t: acc + t[features_col] * t["1"]) + F.lit(b)
-    return df.withColumn("prob", F.lit(1.0) / (F.lit(1.0) + F.exp(-z)))
+    return df.withColumn("prob", _linear_prob(features_col, w, b))
