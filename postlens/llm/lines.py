@@ -16,14 +16,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def repeated_lines(docs: DataFrame, gram: int = GRAM, grams: int = GRAMS, long: int = LONG, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(_id, _th, drop)``: line numbers (from 0), blank lines between included,
-    that stand in a later copy of a run of at least gram + grams - 1 lines, or of a line of over ``long`` words.
+    that stand in a later copy of a run of at least gram + grams - 1 lines, or of a
+    line of over ``long`` words.
 
     Winnowing: of every window of ``grams`` line-gram hashes the least is the
     fingerprint, so two equal runs of that length share one; a long line is a window
-    and its fingerprint at once.  Fingerprints met at one position only end here.  Around the others the run windows that hold them,
-    on both sides, are matched whole (128 hash bits); of equal windows the first in
-    (doc_id, text hash, line) order stays.  Longer matches are chains of such
-    windows.  Each window goes against the first of its group, never against all."""
+    and its fingerprint at once.  Fingerprints met at one position only end here.
+    Around the others the run windows that hold them, on both sides, are matched whole
+    (128 hash bits); of equal windows the first in (doc_id, text hash, line) order
+    stays.  Longer matches are chains of such windows.  Each window goes against the first of its group, never against all."""
     run = gram + grams - 1
     line = lambda l, i: F.struct(i.alias("i"), F.xxhash64(l).alias("a"), F.xxhash64(F.lit("#"), l).alias("b"), F.length(F.trim(l)).alias("n"),
                                   ((F.length(l) > 2 * long) & (F.regexp_count(l, F.lit(WORD)) > long)).alias("long"))
