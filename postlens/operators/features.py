@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import HashingTF, Normalizer
+from pyspark.ml.feature import HashingTF, Normalizer, Word2Vec
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -153,3 +154,14 @@ def mean_pool_embeddings(doc_terms: DataFrame, vectors: DataFrame, id_col: str =
     m = p.groupBy(id_col, "pos").agg((F.sum(F.col("x") * F.col("tf")) / F.sum("tf")).alias("x"))
     return m.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("_s")).select(
         id_col, F.transform("_s", lambda s: s["x"]).alias("embedding"))
+
+
+def word2vec_mean(df: DataFrame, size: int = 300, passes: int = 5, seed: int = 42, id_col: str = "id", tokens_col: str = "tokens") -> DataFrame:
+    """``id, embedding``: mean of the word vectors of a row's tokens, trained on these
+    rows; every token has a vector (min count 1), a row without tokens gets null.
+    Trained in as many tasks as ``df`` has partitions; MLlib averages their vectors
+    after each pass and holds those of the whole vocabulary on the driver and on
+    every executor."""
+    w2v = Word2Vec(vectorSize=size, minCount=1, maxIter=passes, numPartitions=max(1, df.rdd.getNumPartitions()), seed=seed,
+                   inputCol=tokens_col, outputCol="_v")
+    return w2v.fit(df).transform(df).select(id_col, F.when(F.size(tokens_col) > 0, vector_to_array("_v")).alias("embedding"))

@@ -259,14 +259,7 @@ def q_svd_lr(spark, sf):
 
 @register("word2vec_mean")
 def q_word2vec(spark, sf):
-    from pyspark.ml.feature import Word2Vec
-
-    toks = _toks(spark, sf)
-    model = Word2Vec(vectorSize=32, minCount=5, maxIter=1, seed=42, inputCol="tokens", outputCol="v").fit(toks)
-    from pyspark.ml.functions import vector_to_array
-
-    vectors = model.getVectors().select("word", vector_to_array("vector").alias("vec"))
-    return toks.select("id").join(FE.mean_pool_embeddings(FE.term_counts(toks), vectors), "id", "left").select("id", "embedding")
+    return FE.word2vec_mean(_toks(spark, sf).select("id", "tokens"))
 
 
 # ---------------------------------------------------------------- synthetic rows, batch scoring

@@ -180,3 +180,19 @@ def test_batch_scoring(spark):
 
     df = spark.createDataFrame([(1, "abc"), (2, None), (3, "")], "id long, post string")
     assert {r.id: r.prob for r in score_batch(df, lambda ts: [len(t) / 10 for t in ts]).collect()} == {1: 0.3, 2: 0.0, 3: 0.0}
+
+
+def test_word2vec_gives_every_token_a_vector(spark):
+    """Words met once have vectors too; the query has the reference's size."""
+    import __spark_entry__ as E
+    from postlens.operators.features import word2vec_mean
+    from tests.conftest import SF001
+
+    docs = [(i, ["sun", "sky"] if i % 2 else ["cow", "hay"]) for i in range(60)] + [(60, ["once"]), (61, ["once", "sun"]), (62, [])]
+    df = spark.createDataFrame(docs, "id long, tokens array<string>").repartition(4)
+    got = {r.id: r.embedding for r in word2vec_mean(df, size=8).collect()}
+    assert len(got) == 63 and got[62] is None and all(len(got[i]) == 8 for i in range(62)) and np.isfinite([got[i] for i in range(62)]).all()
+    assert np.allclose(got[1], got[3]) and any(got[60]) and not np.allclose(got[60], got[61])
+    out = E.queries()["word2vec_mean"](spark, SF001).join(E.queries()["tokenize_words"](spark, SF001), "id").collect()
+    assert len(out) == 87 and all((r.embedding is None) == (r.n_tokens == 0) for r in out)
+    assert {len(r.embedding) for r in out if r.embedding} == {300}
