@@ -106,8 +106,8 @@ def adaboost(train: DataFrame, rounds: int = 10, depth: int = 1, rate: float = 1
         alpha = rate * math.log((1 - error) / error)
         out.append((tree, alpha, error))
         mass = total - wrong + wrong * math.exp(alpha)
-        nxt = said.select("id", "label", "features", (F.col("w") * F.exp(alpha * miss) / mass).alias("w")).persist()
-        nxt.count()  # the next weights rest on these, not on the whole chain
+        nxt = said.select("id", "label", "features", (F.col("w") * F.exp(alpha * miss) / mass).alias("w"))
+        nxt = nxt.localCheckpoint()  # the next weights rest on these: a chain of 100 rounds overflows the scheduler
         cur.unpersist()
         cur = nxt
     cur.unpersist()

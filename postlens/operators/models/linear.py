@@ -5,7 +5,12 @@ weights)."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from hashlib import md5
+from itertools import islice
+
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
@@ -13,8 +18,6 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlens.functions.hashing import md5_bucket
-
 
 def logistic_regression(C: float = 1.0, n: int = 1, l1_ratio: float = 0.0, weight_col: str | None = None,
                         max_iter: int = 100):
@@ -77,41 +80,87 @@ def positive_prob(pred: DataFrame, prob_col: str = "probability") -> DataFrame:
     return pred.withColumn("prob", vector_to_array(prob_col)[1])
 
 
+#: Rows of a numpy block of gradient descent.
+BLOCK = 8192
+
+
+def _blocks(rows: Iterator, dim: int) -> Iterator[tuple]:
+    """``(x, y, weight, known, ids, folds)`` arrays of at most BLOCK rows."""
+    while part := list(islice(rows, BLOCK)):
+        known = np.array([None not in (r[0], r[1], r[2]) and None not in r[0] for r in part])
+        x = np.array([r[0] if k else [0.0] * dim for r, k in zip(part, known)], float)
+        y, wt = (np.array([r[i] or 0.0 for r in part], float) for i in (1, 2))
+        yield x, y, wt, known, [r[3] for r in part], np.array([-1 if r[4] is None else r[4] for r in part])
+
+
+def _step(blocks: Iterator[tuple], w, b, held, seed: int, n_batches: int, k: int, loss: bool) -> Iterator:
+    """One array ``(models, dim + 4)``: of the batch the gradient by weights and
+    offset and the sum of row weights, of all rows the loss and their weights."""
+    m, dim = w.shape
+    out = np.zeros((m, dim + 4))
+    for x, y, wt, known, ids, fold in blocks:
+        at = np.array([-1 if i is None else int.from_bytes(md5(f"{i}:{seed}".encode()).digest()[:2], "big") % n_batches for i in ids]) == k
+        own = wt[:, None] * (fold[:, None] != held[None, :])
+        sure = own * known[:, None]
+        some = slice(None) if loss else at
+        p = 1 / (1 + np.exp(-np.clip(x[some] @ w.T + b, -500, 500)))
+        e = (p - y[some, None]) * sure[some]
+        if loss:
+            q = np.clip(p, 1e-15, 1 - 1e-15)
+            out[:, dim + 2] -= (sure * (y[:, None] * np.log(q) + (1 - y[:, None]) * np.log(1 - q))).sum(0)
+            out[:, dim + 3] += own.sum(0)
+            e = e[at]
+        out[:, :dim] += e.T @ x[at]
+        out[:, dim] += e.sum(0)
+        out[:, dim + 1] += own[at].sum(0)
+    yield out
+
+
+def gd_logistic_many(df: DataFrame, dim: int, models: list[tuple[float, int | None]], epochs: int = 20, n_batches: int = 4, l2: float = 0.0,
+                     seed: int = 42, features_col: str = "x", label_col: str = "label", weight_col: str | None = None, fold_col: str | None = None,
+                     tol: float | None = None) -> list[tuple]:
+    """Mini-batch gradient descent from zero weights for several ``(rate, fold left
+    out or None)`` at once: ``(w, b, history)`` each, history one ``(epoch, loss)``
+    per epoch.  Each epoch re-shuffles rows into ``n_batches`` md5 batches (seeded by
+    epoch); every step is one distributed sum over cached numpy blocks, which also
+    gives the loss that the epoch before ended with.  Stops when no model's loss
+    changes by ``tol`` or more.  The driver holds the models only."""
+    rates, held = np.array([float(r) for r, _ in models]), np.array([-2 if f is None else f for _, f in models])
+    w, b, hist = np.zeros((len(models), dim)), np.zeros(len(models)), []
+    rid = F.col("id") if "id" in df.columns else F.xxhash64(features_col, label_col)
+    rows = df.select(F.col(features_col), F.col(label_col).cast("double"), (F.col(weight_col) if weight_col else F.lit(1.0)).cast("double"), rid.cast("string"),
+                     (F.col(fold_col) if fold_col else F.lit(None)).cast("int"))
+    base = rows.rdd.mapPartitions(lambda r: _blocks(r, dim)).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def total(ep, k, loss):
+        now = (w.copy(), b.copy(), held, seed * 1000 + ep, n_batches, k, loss)
+        return sum(base.mapPartitions(lambda x: _step(x, *now)).collect(), np.zeros((len(models), dim + 4)))
+
+    for ep in range(epochs + 1):
+        for k in range(n_batches if ep < epochs else 1):
+            g = total(ep, k, k == 0)
+            if k == 0 and not g[:, dim + 3].all():  # a model without rows
+                break
+            if k == 0 and ep > 0:
+                hist.append(g[:, dim + 2] / g[:, dim + 3])
+            if k == 0 and (ep == epochs or tol is not None and len(hist) > 1 and (np.abs(hist[-1] - hist[-2]) < tol).all()):
+                break
+            n = np.where(g[:, dim + 1] > 0, g[:, dim + 1], 1.0)
+            go = rates * (g[:, dim + 1] > 0)
+            w = w - go[:, None] * (g[:, :dim] / n[:, None] + l2 * w)
+            b = b - go * g[:, dim] / n
+        else:
+            continue
+        break
+    base.unpersist()
+    return [(w[i], float(b[i]), [(e, float(h[i])) for e, h in enumerate(hist)]) for i in range(len(models))]
+
+
 def gd_logistic(df: DataFrame, dim: int, epochs: int = 20, lr: float = 0.1, n_batches: int = 4, l2: float = 0.0,
                 seed: int = 42, features_col: str = "x", label_col: str = "label", weight_col: str | None = None,
                 tol: float | None = None):
-    """Mini-batch gradient descent from zero weights.  Each epoch
-    re-shuffles rows into ``n_batches`` md5 batches (seeded by epoch);
-    every step is one distributed aggregation of the gradient over its
-    batch, from a cached input.  Returns (w, b, history) -- history is one
-    loss per epoch.  Stops when the loss changes by less than ``tol``."""
-    w = np.zeros(dim)
-    b = 0.0
-    hist = []
-    prev = None
-    rid = F.col("id") if "id" in df.columns else F.xxhash64(features_col, label_col)
-    base = df.select(F.col(features_col).alias("_x"), F.col(label_col).cast("double").alias("_y"),
-                     (F.col(weight_col) if weight_col else F.lit(1.0)).alias("_w"), rid.alias("_rid")).persist()
-    for ep in range(epochs):
-        bat = base.withColumn("_bt", md5_bucket("_rid", seed * 1000 + ep, n_batches))
-        for k in range(n_batches):
-            err = (_linear_prob("_x", w, b) - F.col("_y")) * F.col("_w")
-            one = bat.filter(F.col("_bt") == k).select("_x", "_w", err.alias("_e"))
-            g = one.agg(*[F.sum(F.col("_x")[j] * F.col("_e")) for j in range(dim)], F.sum("_e"), F.sum("_w")).first()
-            if not g[dim + 1]:
-                continue
-            w = w - lr * (np.array(g[:dim], float) / g[dim + 1] + l2 * w)
-            b = b - lr * g[dim] / g[dim + 1]
-        p = F.least(F.greatest(_linear_prob("_x", w, b), F.lit(1e-15)), F.lit(1 - 1e-15))
-        loss = base.agg((-F.sum(F.col("_w") * (F.col("_y") * F.log(p) + (1 - F.col("_y")) * F.log(1 - p))) / F.sum("_w")).alias("l")).first()["l"]
-        if loss is None:  # no rows
-            break
-        hist.append((ep, float(loss)))
-        if tol is not None and prev is not None and abs(prev - loss) < tol:
-            break
-        prev = loss
-    base.unpersist()
-    return w, b, hist
+    """:func:`gd_logistic_many` for one model: (w, b, history)."""
+    return gd_logistic_many(df, dim, [(lr, None)], epochs, n_batches, l2, seed, features_col, label_col, weight_col, None, tol)[0]
 
 
 def _linear_prob(features_col: str, w, b: float):

@@ -41,7 +41,9 @@ def truncated_svd(vectors: DataFrame, k: int, col: str = "features") -> tuple[li
     from pyspark.mllib.linalg import Vectors
     from pyspark.mllib.linalg.distributed import RowMatrix
 
-    svd = RowMatrix(vectors.select(col).rdd.map(lambda r: Vectors.fromML(r[0]))).computeSVD(k)
+    rows = vectors.select(col).rdd.map(lambda r: Vectors.fromML(r[0])).persist()  # read again at every step
+    svd = RowMatrix(rows).computeSVD(k)
+    rows.unpersist()
     return svd.V.toArray().tolist(), svd.s.toArray().tolist()
 
 

@@ -909,7 +909,7 @@ register("linear_svc")(_mllib_query(lambda n: LIN.linear_svc(C=1.0, n=n)))
 register("decision_tree")(_mllib_query(lambda n: LIN.decision_tree(max_depth=5)))
 register("random_forest")(_mllib_query(lambda n: LIN.random_forest(n_trees=50, max_depth=8)))
 register("extra_trees")(_mllib_query(lambda n: LIN.extra_trees(n_trees=50, max_depth=8)))
-register("gradient_boosting")(_mllib_query(lambda n: LIN.gradient_boosting(n_iter=20)))
+register("gradient_boosting")(_mllib_query(lambda n: LIN.gradient_boosting(n_iter=100)))
 
 
 @register("ridge_classifier")
@@ -923,7 +923,7 @@ def q_ridge(spark, sf):
 @register("gd_logistic")
 def q_gd_logistic(spark, sf):
     tr, te = dense_split(spark, sf)
-    w, b, hist = LIN.gd_logistic(tr, 64, epochs=10, lr=0.5, n_batches=2)
+    w, b, hist = LIN.gd_logistic(tr, 64, epochs=1000, lr=0.5, n_batches=2)
     s = LIN.score_linear(te, w, b)
     return s.select("id", "label", (F.col("prob") >= 0.5).cast("int").alias("prediction"), F.round("prob", 6).alias("prob"))
 

@@ -53,7 +53,7 @@ def q_bagged_logistic(spark, sf):
 @register("adaboost")
 def q_adaboost(spark, sf):
     tr, te = _dense(spark, sf)
-    return EN.score_adaboost(EN.adaboost(tr, rounds=10, depth=1), te)
+    return EN.score_adaboost(EN.adaboost(tr, rounds=100, depth=3), te)
 
 
 @register("boosting_estimators")
@@ -62,12 +62,12 @@ def q_boosting_estimators(spark, sf):
     return spark.createDataFrame(rows, "estimator int, weight double, error double")
 
 
-_STAGES = (1, 5, 10, 20)
+_STAGES = (10, 50, 100)
 
 
 def _staged(spark, sf):
     tr, te = _dense(spark, sf)
-    return EN.staged_predictions(LIN.gradient_boosting(n_iter=20).fit(tr), te, _STAGES)
+    return EN.staged_predictions(LIN.gradient_boosting(n_iter=100).fit(tr), te, _STAGES)
 
 
 @register("staged_predictions")
@@ -136,7 +136,7 @@ def q_blend(spark, sf):
 
 @register("layered_stack")
 def q_layered(spark, sf):
-    return EN.layered_stack(*_dense(spark, sf))[0]
+    return EN.layered_stack(*_dense(spark, sf), layers=3, width=6)[0]
 
 
 @register("layer_score")
@@ -194,39 +194,37 @@ def _gd_verdict(te, w, b):
 @register("gd_logistic_l2")
 def q_gd_l2(spark, sf):
     tr, te = dense_split(spark, sf)
-    w, b, _ = LIN.gd_logistic(tr, DIM, epochs=10, lr=0.5, n_batches=2, l2=0.01, tol=1e-6)
+    w, b, _ = LIN.gd_logistic(tr, DIM, epochs=1000, lr=0.5, n_batches=2, l2=0.01, tol=1e-6)
     return _gd_verdict(te, w, b)
 
 
 @register("gd_logistic_weighted")
 def q_gd_weighted(spark, sf):
     tr, te = dense_split(spark, sf)
-    w, b, _ = LIN.gd_logistic(SP.sample_weights(tr), DIM, epochs=10, lr=0.5, n_batches=2, l2=0.01, weight_col="weight")
+    w, b, _ = LIN.gd_logistic(SP.sample_weights(tr), DIM, epochs=1000, lr=0.5, n_batches=2, l2=0.01, weight_col="weight")
     return _gd_verdict(te, w, b)
 
 
 @register("history_table")
 def q_history(spark, sf):
-    _, _, hist = LIN.gd_logistic(dense_split(spark, sf)[0], DIM, epochs=10, lr=0.5, n_batches=2)
+    _, _, hist = LIN.gd_logistic(dense_split(spark, sf)[0], DIM, epochs=1000, lr=0.5, n_batches=2)
     return spark.createDataFrame([(e, round(v, 6)) for e, v in hist], "epoch int, loss double")
 
 
 @register("lr_batch_sweep")
 def q_lr_batch(spark, sf):
-    tr = SP.stratified_kfold(dense_split(spark, sf)[0], FOLDS, 42).persist()
-    rows = []
-    for rate in (0.1, 1.0):
-        for batches in (1, 2):
-            for k in range(FOLDS):
-                w, b, hist = LIN.gd_logistic(tr.filter(F.col("fold") != k).drop("fold"), DIM, epochs=2, lr=rate, n_batches=batches)
-                m = EV.binary_metrics(_gd_verdict(tr.filter(F.col("fold") == k), w, b), prob_col=None).first()
-                rows.append((rate, batches, k, round(float(m["macro_f1"]), 6), round(hist[-1][1], 6)))
+    tr = SP.stratified_kfold(dense_split(spark, sf)[0], 5, 42).persist()
+    rows, models = [], [(rate, k) for rate in (0.001, 0.01, 0.1, 0.2) for k in range(5)]
+    for batches in (1, 2, 4):
+        for (rate, k), (w, b, hist) in zip(models, LIN.gd_logistic_many(tr, DIM, models, epochs=1000, n_batches=batches, fold_col="fold")):
+            m = EV.binary_metrics(_gd_verdict(tr.filter(F.col("fold") == k), w, b), prob_col=None).first()
+            rows.append((rate, batches, k, round(float(m["macro_f1"]), 6), round(hist[-1][1], 6)))
     tr.unpersist()
     return spark.createDataFrame(rows, "rate double, batches int, fold int, macro_f1 double, loss double")
 
 
 # ---------------------------------------------------------------- text reduction, vectors
-def _text_svd(spark, sf, k=20, max_features=1000):
+def _text_svd(spark, sf, k=100, max_features=5000):
     """``id, pcs``: posts on the first k right singular vectors of their TF-IDF
     (those of the training posts), and the singular values."""
     posts = SP.stratified_split(train_posts(spark, sf), 0.2, 42).select("id", "label", "split", "post")

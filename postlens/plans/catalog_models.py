@@ -202,7 +202,7 @@ def q_random(spark, sf):
     import random
 
     rng = random.Random(42)
-    return _search_table(spark, SE.search(_folded(spark, sf)[0], _lr, [{"C": 10 ** rng.uniform(-2, 2), "l1_ratio": rng.random()} for _ in range(5)], FOLDS))
+    return _search_table(spark, SE.search(_folded(spark, sf)[0], _lr, [{"C": 10 ** rng.uniform(-2, 2), "l1_ratio": rng.random()} for _ in range(20)], FOLDS))
 
 
 @register("halving_search")

@@ -196,3 +196,44 @@ def test_word2vec_gives_every_token_a_vector(spark):
     out = E.queries()["word2vec_mean"](spark, SF001).join(E.queries()["tokenize_words"](spark, SF001), "id").collect()
     assert len(out) == 87 and all((r.embedding is None) == (r.n_tokens == 0) for r in out)
     assert {len(r.embedding) for r in out if r.embedding} == {300}
+
+
+def test_descent_of_many_models_is_that_of_each(rows):
+    from postlens.operators.models.linear import gd_logistic, gd_logistic_many
+
+    many = gd_logistic_many(rows, DIM, [(0.5, None), (0.1, 0), (0.5, 2)], epochs=3, n_batches=2, l2=0.01, fold_col="fold")
+    for (w, b, hist), (rate, df) in zip(many, [(0.5, rows), (0.1, rows.filter("fold <> 0")), (0.5, rows.filter("fold <> 2"))]):
+        v, c, one = gd_logistic(df, DIM, epochs=3, lr=rate, n_batches=2, l2=0.01)
+        assert np.allclose(w, v) and abs(b - c) < 1e-12 and np.allclose(hist, one) and len(hist) == 3
+    stopped = gd_logistic(rows, DIM, epochs=1000, lr=0.5, n_batches=1, l2=0.1, tol=1e-6)[2]
+    assert 2 < len(stopped) < 1000 and abs(stopped[-1][1] - stopped[-2][1]) < 1e-6 <= abs(stopped[-2][1] - stopped[-3][1])
+
+
+def test_registered_effort(spark, monkeypatch):
+    """The queries ask for the reference's epochs, rounds, rates and folds."""
+    import __spark_entry__ as E
+    from postlens.operators import search as SE
+    from postlens.operators import synth as SY
+    from postlens.operators.models import ensembles as EN
+    from postlens.operators.models import linear as LIN
+    from tests.conftest import SF001
+
+    class Asked(Exception):
+        pass
+
+    def ask(*args, **named):
+        raise Asked(args, named)
+
+    for where, name in ((LIN, "gd_logistic"), (LIN, "gd_logistic_many"), (LIN, "gradient_boosting"), (EN, "adaboost"), (EN, "layered_stack"), (SE, "search"), (SY, "truncated_svd")):
+        monkeypatch.setattr(where, name, ask)
+
+    def asked(query):
+        with pytest.raises(Asked) as got:
+            E.queries()[query](spark, SF001)
+        return got.value.args
+
+    assert all(asked(q)[1]["epochs"] == 1000 for q in ("gd_logistic", "gd_logistic_l2", "gd_logistic_weighted", "history_table", "lr_batch_sweep"))
+    assert len(asked("lr_batch_sweep")[0][2]) == 4 * 5
+    assert all(asked(q)[1]["n_iter"] == 100 for q in ("gradient_boosting", "staged_predictions", "best_iteration"))
+    assert asked("adaboost")[1] == {"rounds": 100, "depth": 3} and asked("layered_stack")[1] == {"layers": 3, "width": 6}
+    assert len(asked("random_search")[0][2]) == 20 and asked("truncated_svd")[0][1] == 100
