@@ -51,3 +51,11 @@ def bounded_sample(df: DataFrame, key: Column, max_rows: int) -> DataFrame:
     if n > max_rows:
         df = df.filter(F.pmod(F.xxhash64(key), F.lit(1 << 32)) < F.lit(int(max_rows / n * (1 << 32))))
     return df.limit(2 * max_rows)
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB expression: the unsigned CRC-32 of a string's UTF-8 bytes."""
+    row = "list_reduce(list_prepend(i::BIGINT, [0::BIGINT for z in range(8)]), lambda x, z: xor(x >> 1, (x & 1) * 3988292384))"
+    codes = f"list_transform(range(256), lambda i: {row})"
+    of = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    return f"(SELECT xor(list_reduce(list_prepend(4294967295::BIGINT, {of}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) FROM (SELECT {codes} AS t))"
