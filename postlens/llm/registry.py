@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from postlens.llm import bwt, decontaminate, langid, lines, mixing, pii, quality, sharding, simhash, suffix_tree, topk
+from postlens.llm import bwt, decontaminate, langid, lines, mixing, pii, quality, repair, sharding, simhash, suffix_tree, topk
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
     "op10_langid": langid.op10_langid,
+    "op12_conversation_repair": repair.op12_conversation_repair,
     "op13_sharding": sharding.op13_sharding,
     "pipeline": corpus_pipeline.run,
 }
