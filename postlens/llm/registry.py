@@ -22,7 +22,7 @@ QUERIES = {
 }
 ORACLES = {"op1_line_dedup": lines.ORACLE, "op4_decontaminate": decontaminate.ORACLE,
            "op3_topk_search": topk.ORACLE, "op5_mix_sources": mixing.ORACLE,
-           "op13_sharding": sharding.ORACLE}
+           "op12_conversation_repair": repair.ORACLE, "op13_sharding": sharding.ORACLE}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
 

@@ -363,3 +363,40 @@ def repair_digest(conversations: DataFrame) -> DataFrame:
 
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_digest(table(spark, sf_dir, "conversations"))
+
+
+_DUE = "CASE st WHEN 'u' THEN 'a' ELSE 'u' END"
+_NAME = "CASE st WHEN 'u' THEN 'assistant' ELSE 'user' END"
+ORACLE = f"""
+WITH RECURSIVE d AS (SELECT coalesce(conv_id::VARCHAR, ' ') AS k, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text FROM conversations),
+m AS (SELECT *, {crc32_sql("k || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS m FROM d),
+x AS (SELECT k, turn, CASE m WHEN 4 THEN 'user' ELSE role END AS role,
+   CASE m WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+   FROM m, range(2) c(copy) WHERE m <> 0 AND (copy = 0 OR m = 3)),
+y AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM x),
+o AS (SELECT *, row_number() OVER (PARTITION BY k, role, text ORDER BY i) AS said, regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS e FROM y),
+f AS (SELECT k, i, turn, role, text, substr(role, 1, 1) AS c, CASE WHEN e = '' THEN 'b' WHEN said > 1 THEN 'd' WHEN e NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS f FROM o),
+p(k, i, st, v) AS (
+  SELECT DISTINCT k, 0::BIGINT, '', {{'c': 0::BIGINT, 'a': '', 'l': ''}} FROM f
+  UNION ALL
+  SELECT k, i, st, min(v) FROM (
+    SELECT k, i, z.st AS st, z.v AS v FROM (
+      SELECT q.k, q.i, unnest([
+        CASE WHEN NOT q.put THEN {{'st': q.st, 'v': {{'c': q.v.c + 4, 'a': q.v.a || 'D', 'l': q.v.l}}}} END,
+        CASE WHEN q.f NOT IN ('b', 'd') AND ((q.st = '' AND q.c IN ('s', 'u')) OR (q.st IN ('s', 'a') AND q.c = 'u') OR (q.st = 'u' AND q.c = 'a'))
+          THEN {{'st': q.c, 'v': {{'c': q.v.c + q.more, 'a': q.v.a || 'K', 'l': q.v.l || q.role || ':' || q.text || chr(10)}}}} END,
+        CASE WHEN q.f NOT IN ('b', 'd') THEN {{'st': {_DUE.replace("st", "q.st")}, 'v': {{'c': q.v.c + q.more + 3, 'a': q.v.a || 'R',
+          'l': q.v.l || {_NAME.replace("st W", "q.st W")} || ':' || q.text || chr(10)}}}} END]) AS z
+      FROM (SELECT f.k, f.i, f.c, f.f, f.role, f.text, CASE f.f WHEN 't' THEN 3 ELSE 0 END AS more, y.st, y.v, y.put FROM f JOIN (
+        SELECT k, i, st, v, false AS put FROM p UNION ALL
+        SELECT k, i, {_DUE} AS st, {{'c': v.c + 3, 'a': v.a || 'I', 'l': v.l || {_NAME} || ':' || chr(10)}} AS v, true AS put FROM p) y
+        ON f.k = y.k AND f.i = y.i + 1) q) WHERE z IS NOT NULL)
+  GROUP BY k, i, st),
+n AS (SELECT k, max(i) AS n, count(*) FILTER (f = 'b') AS blank, count(*) FILTER (f = 'd') AS duplicate, count(*) FILTER (f = 't') AS truncated,
+   coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps FROM f GROUP BY k),
+g AS (SELECT k, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM (SELECT k, lag(c) OVER (PARTITION BY k ORDER BY i) || c AS pair FROM f) GROUP BY k),
+z AS (SELECT p.k, min(CASE WHEN st = 'u' THEN {{'c': v.c + 3, 'a': v.a || 'I', 'l': v.l || 'assistant:' || chr(10)}} ELSE v END) AS v FROM p JOIN n ON p.k = n.k AND p.i = n.n WHERE st <> 's' GROUP BY p.k)
+SELECT u.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+   coalesce(illegal, 0) AS illegal, coalesce(v.c, 0) AS cost, coalesce(v.a, '') AS audit, sha256(coalesce(v.l[:length(v.l) - 1], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) u LEFT JOIN n ON coalesce(u.conv_id::VARCHAR, ' ') = n.k LEFT JOIN g ON n.k = g.k LEFT JOIN z ON n.k = z.k
+"""
