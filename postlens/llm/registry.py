@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from postlens.llm import bwt, decontaminate, langid, lines, mixing, pii, quality, repair, sharding, simhash, suffix_tree, topk
+from postlens.llm import bwt, decontaminate, langid, lines, mixing, pii, quality, repair, sharding, simhash, suffix_tree, topk, variants
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
@@ -16,13 +16,14 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
     "op10_langid": langid.op10_langid,
+    "op11_spelling_variants": variants.op11_spelling_variants,
     "op12_conversation_repair": repair.op12_conversation_repair,
     "op13_sharding": sharding.op13_sharding,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {"op1_line_dedup": lines.ORACLE, "op4_decontaminate": decontaminate.ORACLE,
            "op3_topk_search": topk.ORACLE, "op5_mix_sources": mixing.ORACLE,
-           "op12_conversation_repair": repair.ORACLE, "op13_sharding": sharding.ORACLE}
+           "op11_spelling_variants": variants.ORACLE, "op12_conversation_repair": repair.ORACLE, "op13_sharding": sharding.ORACLE}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
 
