@@ -237,9 +237,9 @@ def near_words(words: DataFrame, length: int = LENGTH, crowd: int = CROWD) -> Da
     agree or the last m - m // 2.  So the vocabulary is read forwards and backwards and
     the composition is cut into initial states (m, direction, head read so far); a
     word stands below four of them.  Partitions are composed in tasks, a few at a
-    time.  Where over ``crowd`` words share a head, the composition takes its next step
-    in Spark: heads grow by a symbol, and the states whose edit is that symbol become
-    groups by the rest still to read.  No pair is dropped."""
+    time.  Where over ``crowd`` words share a head, the composition takes its next steps
+    in Spark: heads grow by 1, 2, 4... symbols, and the states whose edit is one of them
+    become groups by the rest still to read.  No pair is dropped."""
     spark = words.sparkSession
     size, m = F.length("word"), F.col("m")
     s = words.select("word", "n", F.explode(F.array(size, size - 1)).alias("m")).filter(m >= length)
@@ -247,7 +247,7 @@ def near_words(words: DataFrame, length: int = LENGTH, crowd: int = CROWD) -> Da
     read, depth = F.when(F.col("back"), F.reverse("word")).otherwise(F.col("word")), F.when(F.col("back"), m - F.floor(m / 2)).otherwise(F.floor(m / 2)).cast("int")
     s = s.select("word", "n", "m", "back", F.substring(read, F.lit(1), depth).alias("head"), F.substring(read, depth + 1, size).alias("rest"))
     start = ["m", "back", "head"]
-    calm, edited = [], []
+    calm, edited, step = [], [], 1
     while True:
         s = keep(s, "variant-states")
         hot = keep(s.groupBy(*start).count().filter(F.col("count") > crowd).select(*start), "variant-crowds")
@@ -255,14 +255,20 @@ def near_words(words: DataFrame, length: int = LENGTH, crowd: int = CROWD) -> Da
         if hot.isEmpty():
             break
         s = s.join(hot, start, "left_semi")
+        left = F.length("rest")
+        e = s.withColumn("k", F.explode(F.sequence(F.lit(0), F.least(F.lit(step - 1), left))))
+        e = e.withColumn("head", F.concat("head", F.substring("rest", F.lit(1), F.col("k")))).withColumn("rest", F.substring("rest", F.col("k") + 1, size))
         tail, whole = F.substring("rest", F.lit(2), size), size == m
-        one = lambda rest, longer, replaced: F.struct(rest.alias("rest"), longer.alias("longer"), F.lit(replaced).alias("replaced"))
-        ways = F.when(whole & (F.col("rest") == ""), F.array(one(F.col("rest"), F.lit(False), False))).when(
-            whole, F.array(one(F.col("rest"), F.lit(False), False), one(tail, F.lit(False), True))).otherwise(F.array(one(tail, F.lit(True), False)))
-        e = s.select("word", "n", *start, F.explode(ways).alias("x")).groupBy(*start, "x.rest", "x.replaced")
+        way = lambda rest, longer, replaced: F.struct(rest.alias("rest"), F.lit(longer).alias("longer"), F.lit(replaced).alias("replaced"))
+        # of a run of equal symbols the last one is the one that is lacking
+        last = F.substring("rest", 1, 1) != F.substring("rest", 2, 1)
+        kept, gone, changed = way(F.col("rest"), False, False), way(tail, True, False), way(tail, False, True)
+        ways = F.when(whole & (F.col("rest") == ""), F.array(kept)).when(whole, F.array(kept, changed)).when(~whole & last, F.array(gone))
+        e = e.select("word", "n", *start, F.explode(ways).alias("x")).groupBy(*start, "x.rest", "x.replaced")
         edited.append(e.agg(F.collect_list("word").alias("words"), F.collect_list("n").alias("ns"), F.collect_list("x.longer").alias("longer"))
                       .filter(F.size("words") > 1).select("words", "ns", "longer", "replaced", "m", "back"))
-        s = s.filter("rest <> ''").select("word", "n", "m", "back", F.concat("head", F.substring("rest", 1, 1)).alias("head"), tail.alias("rest"))
+        s = s.filter(left >= step).select("word", "n", "m", "back", F.concat("head", F.substring("rest", 1, step)).alias("head"), F.substring("rest", F.lit(step + 1), size).alias("rest"))
+        step *= 2
     parts = calm[0]
     for c in calm[1:]:
         parts = parts.unionByName(c)
