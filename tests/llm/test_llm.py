@@ -50,7 +50,7 @@ def docs_of(df):
 
 
 # ------------------------------------------------------------------ oracles
-@pytest.mark.parametrize("sf", [SF001])
+@pytest.mark.parametrize("sf", [SF001, SF01])
 @pytest.mark.parametrize("key", ["op1_line_dedup", "op3_topk_search", "op4_decontaminate", "op5_mix_sources"])
 def test_oracle(spark, key, sf):
     import duckdb
@@ -69,8 +69,8 @@ def test_oracle(spark, key, sf):
 
 
 # ------------------------------------------------------------------ op1
-def brute_lines(docs, run=2):
-    """Unique (doc_id, text) in order; removed line numbers of later copies."""
+def brute_lines(docs, run=2, long=3):
+    """Unique (doc_id, text) in order; later copies removed: ``{id: (text, lines removed)}``."""
     out, seen = {}, set()
     for i, t in sorted(set((i, t or "") for i, t in docs if i is not None)):
         lines = t.split("\n")
@@ -83,11 +83,11 @@ def brute_lines(docs, run=2):
                 gone |= set(at)
             seen.add(key)
         for k in real:
-            if len(re.findall("[^\x20\x09-\x0D]+", lines[k])) > 50:
+            if len(re.findall("[^\x20\x09-\x0D]+", lines[k])) > long:
                 if (lines[k],) in seen:
                     gone.add(k)
                 seen.add((lines[k],))
-        out[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+        out[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone), len(gone)
     return out
 
 
@@ -97,10 +97,48 @@ def test_long_line_is_a_run_by_itself(spark):
     words = lambda n, sep=" ": sep.join(f"v{i}" for i in range(n))
     rows = [(1, f"a\n{words(51)}\nb", ""), (2, f"c\n{words(51)}\nd", ""), (3, words(51), ""), (4, f"e\n{words(50)}", ""),
             (5, f"f\n{words(50)}", ""), (6, words(50, "  ") + "  ", ""), (7, words(50, "  ") + "  ", ""), (8, "long" * 200, ""), (9, "long" * 200, "")]
-    got = {r.doc_id: r.text for r in dedup_lines(frame(spark, rows)).collect()}
+    got = {r.doc_id: r.text for r in dedup_lines(frame(spark, rows), long=50).collect()}
     assert got == {i: {2: "c\nd", 3: ""}.get(i, t) for i, t, _ in rows}
 
 
+def test_line_digest(spark):
+    """Whole texts gone, line ends, blank lines inside runs, two texts of one id."""
+    from postlens.llm.lines import line_digest
+
+    texts = ["A\nB\n", "A\nB\n", "A\nB", "\nA\n  \nB\n\n", "x\nA\nB", "one two three four", "one two three four", "one two three", "one two three",
+             "q\none two three four\n", "", None, "\n", "A\nB\nA\nB\nA\nB", "l1\nl2\nl3\nl1\nl2\nl3\nl1\n"]
+    rows = [(i, t, "") for i, t in enumerate(texts)] + [(99, "A\nB", ""), (99, "z\nz\nz", ""), (99, "z\nz\nz", "")]
+    got = Counter((r.doc_id, r.n_lines, r.n_removed, r.kept_sha256) for r in line_digest(frame(spark, rows)).collect())
+    want = Counter()
+    # rows of one id in the order of Spark's text hash
+    from pyspark.sql import functions as F
+
+    marks = {r.text: r.h for r in spark.createDataFrame([(t or "",) for _, t, _ in rows], "text string").select("text", F.hash("text").alias("h")).collect()}
+    place = {k: n for n, k in enumerate(sorted({(i, marks[t or ""], t or "") for i, t, _ in rows}))}
+    cut = brute_lines([(n, k[2]) for k, n in place.items()])
+    for i, t, _ in rows:
+        text, gone = cut[place[i, marks[t or ""], t or ""]]
+        want[i, (t or "").count("\n") + 1, gone, hashlib.sha256(text.encode()).hexdigest()] += 1
+    assert got == want
+    assert [g[2] for g in sorted(got) if g[0] in (1, 2, 3)] == [2, 2, 2]
+
+
+def test_lines_of_one_long_text(spark):
+    """Twice the lines, about twice the work."""
+    import time
+
+    from postlens.llm.lines import line_digest
+
+    took = []
+    for n in (1_000, 20_000, 40_000):
+        text = "\n".join(f"line {i} of {n}" if i % 3 else "again and again it comes" for i in range(n))
+        df = frame(spark, [(1, text, ""), (2, text, "")])
+        start = time.monotonic()
+        assert {(r.doc_id, r.n_removed) for r in line_digest(df).collect()} == {(1, n // 3 + (n % 3 > 0) - 1), (2, n)}
+        took.append(time.monotonic() - start)
+    assert took[2] < 2.5 * took[1], took
+
+
 def test_line_dedup(spark, edge, none):
     from postlens.llm.lines import dedup_lines, line_digest
 
@@ -109,13 +147,13 @@ def test_line_dedup(spark, edge, none):
     want = brute_lines(docs_of(edge))
     for r in got.collect():
         if r.doc_id is not None:
-            assert (r.text or "") == want[r.doc_id], r.doc_id
+            assert (r.text or "") == want[r.doc_id][0], r.doc_id
     assert [r.text for r in got.filter("doc_id = 11").collect()] == ["zz\nqq"]
     assert got.filter("doc_id = 0").first().text is None
     assert dedup_lines(none).count() == 0 and line_digest(none).count() == 0
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
-    want = brute_lines(docs_of(docs), 4)
-    assert {r.doc_id: r.text for r in dedup_lines(docs, gram=2, grams=3).collect()} == want
+    want = {i: t for i, (t, _) in brute_lines(docs_of(docs), 4, 50).items()}
+    assert {r.doc_id: r.text for r in dedup_lines(docs, gram=2, grams=3, long=50).collect()} == want
 
 
 # ------------------------------------------------------------------ op2
@@ -498,7 +536,7 @@ def test_pipeline(spark):
             assert set(known[known.quality == 1].index) <= set(after)
             assert len(set(known[known.quality == 0].index) & set(after)) <= 2
         elif name == "line dedup":
-            assert after == brute_lines(before.items())
+            assert after == {i: t for i, (t, _) in brute_lines(before.items()).items()}
         elif name == "SimHash near-dedup":
             ids = sorted(before)
             assert set(after) == {ids[r] for r in brute_components([brute_fingerprint(before[i]) for i in ids])}
