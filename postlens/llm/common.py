@@ -14,10 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all machines share: ``spark.checkpoint.dir``.  Only where the
-    session names none (local tests) a scratch folder is taken."""
+    """The folder all machines share: ``spark.checkpoint.dir``.  Only a local session
+    that names none (tests) takes a scratch folder; on a cluster it must be named."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         named = tempfile.mkdtemp(prefix="postlens-")
         spark.sparkContext.setCheckpointDir(named)
     return named

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from postlens.llm.common import bounded_sample, table
 
 #: Labelled documents the model is fitted on (a hash sample of that size, twice at
-#: most), lines of one of them that are used, and steps of the optimiser.
-MAX_DOCS, MAX_LINES, STEPS, L2 = 3000, 200, 150, 1e-3
+#: most; whole texts of no more than MAX_LINES lines in all), and steps of the optimiser.
+MAX_DOCS, MAX_LINES, STEPS, L2 = 3000, 300_000, 150, 1e-3
 THRESHOLD, FOLDS = 0.3, 5
 CHUNK_BYTES = 1 << 21
 #: Byte classes of a line.
@@ -195,19 +195,30 @@ def held_out(id_col: str = "doc_id", folds: int = FOLDS, fold: int = 0) -> Colum
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_docs: int = MAX_DOCS, max_lines: int = MAX_LINES,
           id_col: str = "doc_id", text_col: str = "text") -> Chain:
     """Fit on a bounded hash sample of the labelled rows outside the held-out fold.
-    Only line features travel to the driver.  A doc_id with several labels counts
-    with the least; null labels are left out.  No labelled rows: every score is 0.5."""
+    Only line features of whole texts travel to the driver; the sample's documents are
+    taken in the order of their hashes, one that would bring its lines above
+    ``max_lines`` is left out.  A doc_id with several labels counts with the least; null
+    labels are left out.  No labelled rows: every score is 0.5."""
     lab = labels.filter(~held_out(id_col) & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     lab = lab.groupBy(F.col(id_col).alias("_id")).agg(F.min(label_col).alias("_y"))
     lab = bounded_sample(lab, F.col("_id"), max_docs)
     d = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
     d = d.join(F.broadcast(lab), "_id").select("_id", "_y", "t")  # at most 2 * max_docs small rows
+    sizes = d.groupBy("_id").agg(F.sum(F.regexp_count(F.col("t").cast("string"), F.lit("\n")) + 1).alias("n")).orderBy(F.xxhash64("_id"), "_id").collect()
+    total, left_out = 0, []
+    for r in sizes:
+        if total + r["n"] > max_lines:
+            left_out.append(r["_id"])
+        else:
+            total += r["n"]
+    if left_out:
+        d = d.filter(~F.col("_id").isin(left_out))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for i, y, t in zip(b["_id"], b["_y"], b["t"]):
                 x, _, _ = line_features([t])
-                yield pd.DataFrame({"_id": [i], "y": [int(y)], "x": [x[:max_lines].astype("<f4").tobytes()]})
+                yield pd.DataFrame({"_id": [i], "y": [int(y)], "x": [x.astype("<f4").tobytes()]})
 
     got = d.mapInPandas(features, "_id long, y int, x binary").collect()
     got.sort(key=lambda r: (r["_id"], bytes(r["x"])))

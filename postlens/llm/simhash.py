@@ -203,6 +203,18 @@ def components(links: DataFrame) -> DataFrame:
     return e.select("u", F.col("v").alias("root"))
 
 
+def _linked(docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, th, fp, least`` for every row: the text's hash, the fingerprint, and of
+    its component the least (id is null, id, text hash)."""
+    th = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    fp = keep(docs.select(F.col(id_col).cast("long").alias("doc_id"), th.alias("th"), fingerprint_column(text_col, shingle).alias("fp")), "fingerprints")
+    classes = keep(fp.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("least")), "classes")
+    root = components(near_links(classes.select("fp"), max_bits))
+    member = classes.join(root.withColumnRenamed("u", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    least = member.groupBy("root").agg(F.min("least").alias("least"))
+    return fp.join(member.select("fp", "root").join(least, "root").select("fp", "least"), "fp")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row of ``docs``.
 
@@ -212,23 +224,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     other.  Repeated rows are rows of one component.  A null id takes part in
     links but is nobody's ``component_id`` unless all ids of the component are
     null.  Empty table: no rows.  Other columns are not read."""
-    fp = keep(docs.select(F.col(id_col).cast("long").alias("doc_id"), fingerprint_column(text_col, shingle).alias("fp")), "fingerprints")
-    classes = keep(fp.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    root = components(near_links(classes.select("fp"), max_bits))
-    member = classes.join(root.withColumnRenamed("u", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = member.join(least, "root").select("fp", "component_id")
-    return fp.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return _linked(docs, shingle, max_bits, id_col, text_col).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least.doc_id").alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component of ``docs``, unchanged: that of the least id.  Rows
-    that repeat an id are one document; rows without an id go by their text hash."""
-    key = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    found = near_duplicates(docs.select(key.alias("doc_id"), F.col(text_col).alias("text")), shingle, max_bits)
-    first = keep(found.filter("doc_id = component_id").select(F.col("doc_id").alias("__first")).distinct(), "first")
-    named = docs.withColumn("__key", key)
-    return named.join(first, named["__key"] == first["__first"], "left_semi").dropDuplicates(["__key"]).drop("__key")
+    """One row of each component of ``docs``, unchanged: that of the least (id, text
+    hash), rows without an id last.  Other texts of one id are documents of their own;
+    of rows that repeat id and text the one with the least other columns stays."""
+    at = F.col("least")
+    first = _linked(docs, shingle, max_bits, id_col, text_col).filter(F.col("doc_id").eqNullSafe(at["doc_id"]) & (F.col("th") == at["th"]))
+    first = keep(first.select(F.col("doc_id").alias("__first"), F.col("th").alias("__th")).distinct(), "first")
+    named = docs.withColumn("__id", F.col(id_col).cast("long")).withColumn("__key", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    named = named.join(first, named["__id"].eqNullSafe(first["__first"]) & (named["__key"] == first["__th"]), "left_semi")
+    rest = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]))
+    one = named.groupBy("__id", "__key").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), rest).alias("__row"))
+    return one.select(*[F.col("__row")[c].alias(c) for c in docs.columns])
 
 
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

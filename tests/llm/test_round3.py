@@ -261,3 +261,33 @@ def test_shard_table(spark, tmp_path):
     write_shards(df, f"{tmp_path}/s", topology(16))
     back = spark.read.parquet(f"{tmp_path}/s")
     assert Counter((r.doc_id, r.text, r.shard) for r in back.collect()) == Counter((i, t, next(iter(at[i]))[0]) for i, t, _ in rows)
+
+
+# ------------------------------------------------------------------ mended operators
+def test_near_duplicates_of_one_id(spark):
+    """Other texts of one id are other documents; the least (id, text hash) stays."""
+    from postlens.llm.simhash import drop_near_duplicates
+
+    rows = [(5, "one two three four", "b"), (5, "quite another text here now", "a"), (6, "one two three four", "a"), (None, "one two three four", "z"),
+            (5, "quite another text here now", "0"), (None, "no id at all here", "q"), (7, None, "n"), (8, "", "m")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "map('k', source) AS fp")
+    got = drop_near_duplicates(df)
+    assert got.columns == df.columns
+    assert {(r.doc_id, r.text, r.source) for r in got.collect()} == {rows[0], rows[4], rows[5], rows[6]}
+    assert drop_near_duplicates(df.repartition(7)).count() == 4
+
+
+def test_quality_learns_from_whole_texts(spark):
+    """Junk behind many clean lines is learnt from; a bound on lines leaves documents out, not lines."""
+    from postlens.llm.quality import quality_scores, train
+
+    good = "A plain sentence stands here, as it should.\n"
+    rows = [(i, good * (300 if i < 150 else 3) + ("$$$ !!! 000 ||| @@@\n" * 900 if i < 150 else "")) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i >= 150)) for i, _ in rows], "doc_id long, quality int")
+    model = train(docs, labels)
+    assert model.unary is not None
+    probe = spark.createDataFrame([(1, good * 40), (2, "$$$ !!! 000 ||| @@@\n" * 40)], "doc_id long, text string")
+    score = {r.doc_id: r.score for r in quality_scores(docs, labels).filter("doc_id in (0, 1, 298, 299)").collect()}
+    assert score[0] < 0.3 and score[299] > 0.5
+    assert train(docs, labels, max_lines=10) is not None and probe.count() == 2
