@@ -1,16 +1,15 @@
 """Linear models and trees: MLlib estimators with the reference's
 parameter mapping, plus the from-scratch gradient-descent logistic
-regression as distributed aggregations (the driver keeps only the d
-weights)."""
+regression as local descent with averaged models (the driver keeps only
+the d weights)."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import md5
-from itertools import islice
 
 import numpy as np
-from pyspark import StorageLevel
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
@@ -80,87 +79,140 @@ def positive_prob(pred: DataFrame, prob_col: str = "probability") -> DataFrame:
     return pred.withColumn("prob", vector_to_array(prob_col)[1])
 
 
-#: Rows of a numpy block of gradient descent.
-BLOCK = 8192
-
-
-def _blocks(rows: Iterator, dim: int) -> Iterator[tuple]:
-    """``(x, y, weight, known, ids, folds)`` arrays of at most BLOCK rows."""
-    while part := list(islice(rows, BLOCK)):
-        known = np.array([None not in (r[0], r[1], r[2]) and None not in r[0] for r in part])
-        x = np.array([r[0] if k else [0.0] * dim for r, k in zip(part, known)], float)
-        y, wt = (np.array([r[i] or 0.0 for r in part], float) for i in (1, 2))
-        yield x, y, wt, known, [r[3] for r in part], np.array([-1 if r[4] is None else r[4] for r in part])
-
-
-def _step(blocks: Iterator[tuple], w, b, held, seed: int, n_batches: int, k: int, loss: bool) -> Iterator:
-    """One array ``(models, dim + 4)``: of the batch the gradient by weights and
-    offset and the sum of row weights, of all rows the loss and their weights."""
-    m, dim = w.shape
-    out = np.zeros((m, dim + 4))
-    for x, y, wt, known, ids, fold in blocks:
-        at = np.array([-1 if i is None else int.from_bytes(md5(f"{i}:{seed}".encode()).digest()[:2], "big") % n_batches for i in ids]) == k
-        own = wt[:, None] * (fold[:, None] != held[None, :])
-        sure = own * known[:, None]
-        some = slice(None) if loss else at
-        p = 1 / (1 + np.exp(-np.clip(x[some] @ w.T + b, -500, 500)))
-        e = (p - y[some, None]) * sure[some]
-        if loss:
-            q = np.clip(p, 1e-15, 1 - 1e-15)
-            out[:, dim + 2] -= (sure * (y[:, None] * np.log(q) + (1 - y[:, None]) * np.log(1 - q))).sum(0)
-            out[:, dim + 3] += own.sum(0)
-            e = e[at]
-        out[:, :dim] += e.T @ x[at]
-        out[:, dim] += e.sum(0)
-        out[:, dim + 1] += own[at].sum(0)
-    yield out
-
-
-def gd_logistic_many(df: DataFrame, dim: int, models: list[tuple[float, int | None]], epochs: int = 20, n_batches: int = 4, l2: float = 0.0,
-                     seed: int = 42, features_col: str = "x", label_col: str = "label", weight_col: str | None = None, fold_col: str | None = None,
-                     tol: float | None = None) -> list[tuple]:
-    """Mini-batch gradient descent from zero weights for several ``(rate, fold left
-    out or None)`` at once: ``(w, b, history)`` each, history one ``(epoch, loss)``
-    per epoch.  Each epoch re-shuffles rows into ``n_batches`` md5 batches (seeded by
-    epoch); every step is one distributed sum over cached numpy blocks, which also
-    gives the loss that the epoch before ended with.  Stops when no model's loss
-    changes by ``tol`` or more.  The driver holds the models only."""
-    rates, held = np.array([float(r) for r, _ in models]), np.array([-2 if f is None else f for _, f in models])
-    w, b, hist = np.zeros((len(models), dim)), np.zeros(len(models)), []
-    rid = F.col("id") if "id" in df.columns else F.xxhash64(features_col, label_col)
-    rows = df.select(F.col(features_col), F.col(label_col).cast("double"), (F.col(weight_col) if weight_col else F.lit(1.0)).cast("double"), rid.cast("string"),
-                     (F.col(fold_col) if fold_col else F.lit(None)).cast("int"))
-    base = rows.rdd.mapPartitions(lambda r: _blocks(r, dim)).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def total(ep, k, loss):
-        now = (w.copy(), b.copy(), held, seed * 1000 + ep, n_batches, k, loss)
-        return sum(base.mapPartitions(lambda x: _step(x, *now)).collect(), np.zeros((len(models), dim + 4)))
-
-    for ep in range(epochs + 1):
-        for k in range(n_batches if ep < epochs else 1):
-            g = total(ep, k, k == 0)
-            if k == 0 and not g[:, dim + 3].all():  # a model without rows
-                break
-            if k == 0 and ep > 0:
-                hist.append(g[:, dim + 2] / g[:, dim + 3])
-            if k == 0 and (ep == epochs or tol is not None and len(hist) > 1 and (np.abs(hist[-1] - hist[-2]) < tol).all()):
-                break
-            n = np.where(g[:, dim + 1] > 0, g[:, dim + 1], 1.0)
-            go = rates * (g[:, dim + 1] > 0)
-            w = w - go[:, None] * (g[:, :dim] / n[:, None] + l2 * w)
-            b = b - go * g[:, dim] / n
-        else:
-            continue
-        break
+#: Rows a partition of gradient descent has at least, so that its own batches say something.
+LOCAL_ROWS = 50_000
+
+
+def _descend(x, y, wt, w, b, rates, batch, l2, epochs, shuffles, tol):
+    """``epochs`` of mini-batches over one partition's rows, all models (one row of ``w``
+    each) at once.  Returns the models and the summed loss before each epoch and at
+    the end; stops where no loss changes by ``tol`` times the weights."""
+    n, total = len(x), wt.sum()
+    batch = batch or n
+
+    def loss():
+        q = np.clip(1 / (1 + np.exp(-np.clip(x @ w.T + b, -500, 500))), 1e-15, 1 - 1e-15)
+        return -(wt[:, None] * np.where(y[:, None] > 0, np.log(q), np.log(1 - q))).sum(0)
+
+    seen = [loss()]
+    for epoch in range(epochs):
+        order = np.arange(n) if batch >= n else shuffles(epoch).permutation(n)
+        xe, ye, we = x[order], y[order, None], wt[order, None]
+        for s in range(0, n, batch):
+            xb, wb = xe[s:s + batch], we[s:s + batch]
+            if (sw := wb.sum()) > 0:
+                e = (1 / (1 + np.exp(-np.clip(xb @ w.T + b, -500, 500))) - ye[s:s + batch]) * wb
+                w, b = w - rates[:, None] * (e.T @ xb / sw + l2 * w), b - rates * e.sum(0) / sw
+        seen.append(loss())
+        if tol is not None and epoch and (np.abs(seen[-1] - seen[-2]) < tol * total).all():
+            break
+    return w, b, seen
+
+
+def gd_logistic_many(df: DataFrame, dim: int, models: list[tuple[float, int | None, int | None]], epochs: int = 20, l2: float = 0.0, seed: int = 42,
+                     features_col: str = "x", label_col: str = "label", weight_col: str | None = None, fold_col: str | None = None,
+                     tol: float | None = None, partitions: int | None = None) -> list[tuple]:
+    """Mini-batch gradient descent from zero weights for several ``(rate, batch size or
+    None for all rows, fold left out or None)`` at once: ``(w, b, history)`` each,
+    history one ``(epoch, loss)`` per epoch.
+
+    Local descent with model averaging: in a job every partition runs an epoch of its
+    own shuffled batches for all models, then the models meet as a mean weighted by the
+    partitions' row weights, summed map-side first; the number of jobs does not grow with
+    rows or models.  A partition has ``LOCAL_ROWS`` rows at least, so a small table is one
+    partition, its descent the plain one, and all its epochs one job.  Whole-table batches
+    are exact for any number of partitions, as the mean of their steps is the step of all.
+
+    Rows with a null label, weight or feature are left out.  A model stops when its
+    loss, or that of all models of its batch size and fold, changes by less than ``tol``.
+    No rows: zero weights, empty history.  The driver holds the models only."""
+    rid = F.col("id").cast("string") if "id" in df.columns else F.xxhash64(features_col, label_col).cast("string")
+    rows = df.select(F.col(features_col).cast("array<double>").alias("x"), F.col(label_col).cast("double").alias("y"), (F.col(weight_col) if weight_col else F.lit(1.0)).cast("double").alias("wt"),
+                     F.coalesce((F.col(fold_col) if fold_col else F.lit(-1)).cast("int"), F.lit(-1)).alias("fold"), rid.alias("rid"))
+    rows = rows.filter(F.col("x").isNotNull() & F.col("y").isNotNull() & F.col("wt").isNotNull() & ~F.exists("x", lambda v: v.isNull()))
+    if partitions is None:
+        partitions = max(1, min(df.sparkSession.sparkContext.defaultParallelism * 4, rows.count() // LOCAL_ROWS))
+    groups: dict[tuple, list[int]] = {}
+    for i, (_, batch, fold) in enumerate(models):
+        groups.setdefault((batch, fold), []).append(i)
+    # of a table of one partition every group of models gets a copy, so that the groups run side by side
+    place = F.explode(F.sequence(F.lit(0), F.lit(len(groups) - 1))) if partitions == 1 else F.lit(-1)
+    base = rows.withColumn("g", place).repartition(max(partitions, len(groups) if partitions == 1 else 1), *(["g"] if partitions == 1 else ["rid"])).sortWithinPartitions("g", "rid").persist()
+    rates = np.array([float(r) for r, _, _ in models])
+
+    def job(now: dict, first: int, count: int) -> dict[int, dict[int, tuple[float, float]]]:
+        """Of each model and place (weights, offset, then losses by epoch as negative
+        numbers) the sum and its weight, from one pass over all partitions."""
+
+        def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            held_rows = list(batches)  # a partition's rows
+            for g, b in pd.concat(held_rows).groupby("g") if held_rows else ():
+                yield from train(b, list(groups.items()) if g < 0 else [list(groups.items())[g]], TaskContext.get().partitionId() if g < 0 else 0)
+
+        def train(b: pd.DataFrame, some: list, part: int) -> Iterator[pd.DataFrame]:
+            x, y, wt, fold = np.stack(b["x"].to_numpy()), b["y"].to_numpy(float), b["wt"].to_numpy(float), b["fold"].to_numpy(int)
+            for (batch, held), at in some:
+                if at[0] not in now:
+                    continue
+                own = slice(None) if held is None else fold != held
+                if not (n := wt[own].sum()) > 0:
+                    continue
+                w, c, seen = _descend(x[own], y[own], wt[own], np.array([now[i][0] for i in at]), np.array([now[i][1] for i in at]), rates[at], batch, l2, count,
+                                      lambda e, batch=batch: np.random.default_rng([seed, first + e, part, batch or 0]), tol if partitions == 1 else None)
+                for j, i in enumerate(at):
+                    places = np.concatenate([np.arange(dim + 1), -1 - first - np.arange(len(seen))])
+                    yield pd.DataFrame({"model": i, "place": places, "v": np.concatenate([w[j] * n, [c[j] * n], [s[j] for s in seen]]), "n": n})
+
+        got: dict[int, dict[int, tuple[float, float]]] = {}
+        summed = base.mapInPandas(local, "model int, place long, v double, n double").groupBy("model", "place").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
+        for r in summed.collect():  # models * (dim + 1 + epochs) numbers, whatever the rows
+            got.setdefault(r["model"], {})[r["place"]] = (r["v"], r["n"])
+        return got
+
+    state = {i: (np.zeros(dim), 0.0) for i in range(len(models))}
+    hist: list[list[float]] = [[] for _ in models]
+    going = {i for at in groups.values() for i in at}
+    ep, count = 0, epochs if partitions == 1 else 1
+    while going:
+        done = job({i: state[i] for i in going}, ep, count if ep < epochs else 0)
+        for i in list(going):
+            told = done.get(i)
+            if told is None:  # a model without rows
+                going.discard(i)
+                continue
+            losses = [told[p][0] / told[p][1] for p in sorted((p for p in told if p < 0), reverse=True)]
+            if partitions > 1:  # a loss after the local epoch is that of no model
+                losses = losses[:1]
+            hist[i] += losses[0 if ep and partitions > 1 else 1:]
+            if ep < epochs:
+                state[i] = (np.array([told[k][0] / told[k][1] for k in range(dim)]), told[dim][0] / told[dim][1])
+        if partitions == 1 or ep >= epochs:
+            break
+        if tol is not None:
+            for at in groups.values():
+                if all(len(hist[i]) > 1 and abs(hist[i][-1] - hist[i][-2]) < tol for i in at if i in going):
+                    going -= set(at)
+        ep += 1
     base.unpersist()
-    return [(w[i], float(b[i]), [(e, float(h[i])) for e, h in enumerate(hist)]) for i in range(len(models))]
+    return [(*state[i], [(e, float(h)) for e, h in enumerate(hist[i])]) for i in range(len(models))]
 
 
-def gd_logistic(df: DataFrame, dim: int, epochs: int = 20, lr: float = 0.1, n_batches: int = 4, l2: float = 0.0,
-                seed: int = 42, features_col: str = "x", label_col: str = "label", weight_col: str | None = None,
-                tol: float | None = None):
+def gd_logistic(df: DataFrame, dim: int, epochs: int = 20, lr: float = 0.01, batch: int | None = 64, l2: float = 0.0, seed: int = 42, features_col: str = "x",
+                label_col: str = "label", weight_col: str | None = None, tol: float | None = None, partitions: int | None = None):
     """:func:`gd_logistic_many` for one model: (w, b, history)."""
-    return gd_logistic_many(df, dim, [(lr, None)], epochs, n_batches, l2, seed, features_col, label_col, weight_col, None, tol)[0]
+    return gd_logistic_many(df, dim, [(lr, batch, None)], epochs, l2, seed, features_col, label_col, weight_col, None, tol, partitions)[0]
+
+
+def score_many(df: DataFrame, models: list[tuple], keys: list[tuple], schema: str, features_col: str = "x") -> DataFrame:
+    """Rows of ``df`` with a probability ``prob`` for every one of ``models`` (w, b, ...),
+    whose ``keys`` (columns ``schema``) come along; keys that are columns of ``df`` too
+    are joined on.  The table of models is as large as the models."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    held = df.sparkSession.createDataFrame([(*k, [float(v) for v in m[0]], float(m[1])) for k, m in zip(keys, models)], f"{schema}, _w array<double>, _b double")
+    on = [c for c in names if c in df.columns]
+    x = df.join(F.broadcast(held), on) if on else df.crossJoin(F.broadcast(held))
+    z = F.aggregate(F.zip_with(features_col, "_w", lambda a, c: a * c), F.col("_b"), lambda acc, t: acc + t)
+    return x.withColumn("prob", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), z))))).drop("_w", "_b")
 
 
 def _linear_prob(features_col: str, w, b: float):

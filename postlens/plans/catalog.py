@@ -923,7 +923,7 @@ def q_ridge(spark, sf):
 @register("gd_logistic")
 def q_gd_logistic(spark, sf):
     tr, te = dense_split(spark, sf)
-    w, b, hist = LIN.gd_logistic(tr, 64, epochs=1000, lr=0.5, n_batches=2)
+    w, b, hist = LIN.gd_logistic(tr, 64, epochs=1000, lr=0.01, batch=64)
     s = LIN.score_linear(te, w, b)
     return s.select("id", "label", (F.col("prob") >= 0.5).cast("int").alias("prediction"), F.round("prob", 6).alias("prob"))
 

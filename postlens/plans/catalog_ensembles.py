@@ -194,33 +194,48 @@ def _gd_verdict(te, w, b):
 @register("gd_logistic_l2")
 def q_gd_l2(spark, sf):
     tr, te = dense_split(spark, sf)
-    w, b, _ = LIN.gd_logistic(tr, DIM, epochs=1000, lr=0.5, n_batches=2, l2=0.01, tol=1e-6)
+    w, b, _ = LIN.gd_logistic(tr, DIM, epochs=1000, lr=0.01, batch=64, l2=0.01, tol=1e-6)
     return _gd_verdict(te, w, b)
 
 
 @register("gd_logistic_weighted")
 def q_gd_weighted(spark, sf):
     tr, te = dense_split(spark, sf)
-    w, b, _ = LIN.gd_logistic(SP.sample_weights(tr), DIM, epochs=1000, lr=0.5, n_batches=2, l2=0.01, weight_col="weight")
+    w, b, _ = LIN.gd_logistic(SP.sample_weights(tr), DIM, epochs=1000, lr=0.01, batch=64, l2=0.01, weight_col="weight")
     return _gd_verdict(te, w, b)
 
 
 @register("history_table")
 def q_history(spark, sf):
-    _, _, hist = LIN.gd_logistic(dense_split(spark, sf)[0], DIM, epochs=1000, lr=0.5, n_batches=2)
+    _, _, hist = LIN.gd_logistic(dense_split(spark, sf)[0], DIM, epochs=1000, lr=0.01, batch=64)
     return spark.createDataFrame([(e, round(v, 6)) for e, v in hist], "epoch int, loss double")
 
 
 @register("lr_batch_sweep")
 def q_lr_batch(spark, sf):
-    tr = SP.stratified_kfold(dense_split(spark, sf)[0], 5, 42).persist()
-    rows, models = [], [(rate, k) for rate in (0.001, 0.01, 0.1, 0.2) for k in range(5)]
-    for batches in (1, 2, 4):
-        for (rate, k), (w, b, hist) in zip(models, LIN.gd_logistic_many(tr, DIM, models, epochs=1000, n_batches=batches, fold_col="fold")):
-            m = EV.binary_metrics(_gd_verdict(tr.filter(F.col("fold") == k), w, b), prob_col=None).first()
-            rows.append((rate, batches, k, round(float(m["macro_f1"]), 6), round(hist[-1][1], 6)))
-    tr.unpersist()
-    return spark.createDataFrame(rows, "rate double, batches int, fold int, macro_f1 double, loss double")
+    tr = SP.stratified_kfold(dense_split(spark, sf)[0], 5, 42)
+    grid = [(rate, batch, k) for rate in (0.001, 0.01, 0.1, 0.2) for batch in (16, 32, 64) for k in range(5)]
+    found = LIN.gd_logistic_many(tr, DIM, grid, epochs=1000, fold_col="fold")
+    keys = [(rate, batch, k, round(hist[-1][1], 6) if hist else None) for (rate, batch, k), (_, _, hist) in zip(grid, found)]
+    scored = LIN.score_many(tr, found, keys, "rate double, batch int, fold int, loss double")
+    scored = scored.withColumn("prediction", (F.col("prob") >= 0.5).cast("int"))
+    return r6(EV.binary_metrics(scored, ["rate", "batch", "fold", "loss"], prob_col=None).select("rate", "batch", "fold", "macro_f1", "loss"), {"macro_f1"})
+
+
+_STEP_SQL = f"""
+WITH t AS (SELECT embedding::DOUBLE[] AS x, CASE WHEN label < 5 THEN 1.0 ELSE 0.0 END AS y FROM embeddings WHERE NOT ({S.md5_uniform_sql('vec_id', 42)} < 0.2)),
+i AS (SELECT unnest(range(1, {DIM + 1})) AS i),
+w1 AS (SELECT list(0.5 * g ORDER BY i) AS w, 0.5 * any_value(h) AS b FROM (SELECT i, avg((y - 0.5) * x[i]) AS g, avg(y - 0.5) AS h FROM t, i GROUP BY i)),
+p AS (SELECT x, y, y - 1 / (1 + exp(-(list_dot_product(x, w) + b))) AS e FROM t, w1)
+SELECT (i - 1)::INT AS feature, {R6('any_value(w[i]) + 0.5 * avg(e * x[i])')} AS weight FROM p, i, w1 GROUP BY i
+UNION ALL SELECT {DIM} AS feature, {R6('any_value(b) + 0.5 * avg(e)')} AS weight FROM p, w1
+"""
+
+
+@register("gd_full_batch_weights", _STEP_SQL)
+def q_gd_full(spark, sf):
+    w, b, _ = LIN.gd_logistic(dense_split(spark, sf)[0], DIM, epochs=2, lr=0.5, batch=None, partitions=3)
+    return spark.createDataFrame([(i, round(float(v), 6)) for i, v in enumerate([*w, b])], "feature int, weight double")
 
 
 # ---------------------------------------------------------------- text reduction, vectors
