@@ -908,8 +908,6 @@ register("elastic_net_logistic")(_mllib_query(lambda n: LIN.logistic_regression(
 register("linear_svc")(_mllib_query(lambda n: LIN.linear_svc(C=1.0, n=n)))
 register("decision_tree")(_mllib_query(lambda n: LIN.decision_tree(max_depth=5)))
 register("random_forest")(_mllib_query(lambda n: LIN.random_forest(n_trees=50, max_depth=8)))
-register("extra_trees")(_mllib_query(lambda n: LIN.extra_trees(n_trees=50, max_depth=8)))
-register("gradient_boosting")(_mllib_query(lambda n: LIN.gradient_boosting(n_iter=100)))
 
 
 @register("ridge_classifier")

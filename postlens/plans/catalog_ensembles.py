@@ -6,6 +6,7 @@ from __future__ import annotations
 import time
 
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from postlens.operators import evaluate as EV
@@ -15,6 +16,7 @@ from postlens.operators import split as SP
 from postlens.operators import synth as SY
 from postlens.operators.models import ensembles as EN
 from postlens.operators.models import linear as LIN
+from postlens.operators.models import trees as TR
 from postlens.plans import sqlfrag as S
 from postlens.plans.catalog import MODELS, R6, _toks, _vec, dense_split, fx_scores, r6, register
 from postlens.plans.catalog_models import FOLDS, _folded, _lr
@@ -75,18 +77,43 @@ def q_staged(spark, sf):
     return _staged(spark, sf)
 
 
-@register("best_iteration")
-def q_best_iteration(spark, sf):
-    m = EV.binary_metrics(_staged(spark, sf), ["stage"], prob_col=None).select("stage", "f1")
-    return r6(m.orderBy(F.desc("f1"), "stage").limit(1), {"f1"})
+@register("extra_trees")
+def q_extra_trees(spark, sf):
+    tr, te = dense_split(spark, sf)
+    return EN.verdict(TR.score_trees(TR.fit_extra_trees(tr, DIM, n_trees=100), te), F.col("prob"))
+
+
+_BOOST = {"n_iter": 100, "rate": 0.1, "max_depth": 6, "subsample": 0.8, "colsample": 0.8}
+
+
+def _held(tr):
+    """A fifth of the training rows, by hash, only to be judged on."""
+    return SP.train_val_split(tr, 0.2, 7).withColumn("held", F.col("split") == "val").drop("split")
+
+
+@register("gradient_boosting")
+def q_gradient_boosting(spark, sf):
+    tr, te = dense_split(spark, sf)
+    m = TR.fit_boosting(tr, DIM, **_BOOST)
+    return EN.verdict(TR.score_trees(m.trees, te, combine="sum", start=m.start), F.col("prob"))
 
 
 @register("boosting_early_stop")
 def q_early_stop(spark, sf):
-    tr, te = _dense(spark, sf)
-    part = SP.train_val_split(tr, 0.2, 7).withColumn("held", F.col("split") == "val").drop("split")
-    model = LIN.gradient_boosting(n_iter=30, validation_col="held").fit(part)
-    return EN.verdict(EN.with_prob(model, te, "_p"), F.col("_p")).withColumn("n_trees", F.lit(model.getNumTrees))
+    tr, te = dense_split(spark, sf)
+    m = TR.fit_boosting(_held(tr), DIM, **_BOOST, patience=10, held_col="held")
+    out = EN.verdict(TR.score_trees(m.trees[:m.best], te, combine="sum", start=m.start), F.col("prob"))
+    return out.withColumn("n_trees", F.lit(m.best)).withColumn("n_grown", F.lit(len(m.trees)))
+
+
+@register("best_iteration")
+def q_best_iteration(spark, sf):
+    """Losses after every tree of one run; the tree count of least held loss, and what each tree brought."""
+    m = TR.fit_boosting(_held(dense_split(spark, sf)[0]), DIM, **_BOOST, held_col="held")
+    t = spark.createDataFrame(m.losses, "trees int, train_loss double, held_loss double")
+    step = Window.orderBy("trees")  # one row per tree, not per post
+    t = t.withColumn("improvement", F.lag("held_loss").over(step) - F.col("held_loss")).withColumn("is_best", F.col("trees") == m.best)
+    return r6(t, {"train_loss", "held_loss", "improvement"})
 
 
 @register("averaged_importance")

@@ -267,6 +267,6 @@ def test_registered_effort(spark, monkeypatch):
 
     assert all(asked(q)[1]["epochs"] == 1000 for q in ("gd_logistic", "gd_logistic_l2", "gd_logistic_weighted", "history_table", "lr_batch_sweep"))
     assert len(asked("lr_batch_sweep")[0][2]) == 4 * 3 * 5
-    assert all(asked(q)[1]["n_iter"] == 100 for q in ("gradient_boosting", "staged_predictions", "best_iteration"))
+    assert all(asked(q)[1]["n_iter"] == 100 for q in ("staged_predictions",))
     assert asked("adaboost")[1] == {"rounds": 100, "depth": 3} and asked("layered_stack")[1] == {"layers": 3, "width": 6}
     assert len(asked("random_search")[0][2]) == 20 and asked("truncated_svd")[0][1] == 100
