@@ -4,6 +4,9 @@ from data at scale."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,3 +122,19 @@ def load_model(path: str):
     from pyspark.ml import PipelineModel
 
     return PipelineModel.load(path)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the folder that all machines share (``spark.checkpoint.dir``),
+    read back: its lineage ends there and survives lost executors.  Only a local
+    session that names no folder takes a scratch one."""
+    spark = df.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        shared = tempfile.mkdtemp(prefix="postlens-")
+        spark.sparkContext.setCheckpointDir(shared)
+    path = f"{shared}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
