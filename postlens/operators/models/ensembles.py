@@ -17,11 +17,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlens.sources import written
 from postlens.functions.hashing import md5_bucket, md5_uniform
 from postlens.functions.text import activation_expand
 from postlens.operators import evaluate as EV
 from postlens.operators.split import bootstrap_bags
+from postlens.sources import written
 
 
 def with_prob(model, df: DataFrame, out: str) -> DataFrame:
@@ -108,7 +108,11 @@ def adaboost(train: DataFrame, rounds: int = 10, depth: int = 1, rate: float = 1
         out.append((tree, alpha, error))
         mass = total - wrong + wrong * math.exp(alpha)
         nxt = said.select("id", "label", "features", (F.col("w") * F.exp(alpha * miss) / mass).alias("w"))
-        nxt = written(nxt)  # the next weights rest on these: a chain of 100 rounds overflows the scheduler
+        # the next weights rest on these: a chain of 100 rounds overflows the scheduler, ten do not
+        if len(out) % 10 == 0:
+            nxt = written(nxt)
+        else:
+            nxt.persist().count()
         cur.unpersist()
         cur = nxt
     cur.unpersist()
