@@ -6,6 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlens.operators.ranking import exact_medians
+from postlens.sources import written
+
 
 def class_distribution(df: DataFrame, label_col: str = "label") -> DataFrame:
     c = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
@@ -73,11 +76,13 @@ def class_feature_means(df: DataFrame, array_col: str, label_col: str = "label",
 
 
 def vector_stats(df: DataFrame, col: str, by=()) -> DataFrame:
-    """Summary of a score column, one row per group, in one aggregation."""
-    x = F.col(col).cast("double")
-    return df.groupBy(*by).agg(F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.median(x).alias("median"),
-                  F.min(x).alias("min"), F.max(x).alias("max"), F.sum(F.abs(x)).alias("l1"),
-                  F.sqrt(F.sum(x * x)).alias("l2"))
+    """Summary of a score column, one row per group; the median is exact, found by
+    buckets."""
+    x = F.col("_x")
+    values = written(df.select(*by, F.col(col).cast("double").alias("_x")))
+    aggs = [F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"),
+            F.sum(F.abs(x)).alias("l1"), F.sqrt(F.sum(x * x)).alias("l2")]
+    return exact_medians(values, "_x", by, aggs).select(*by, "mean", "std", "median", "min", "max", "l1", "l2")
 
 
 def experiment_summary(results: DataFrame, by: str = "algorithm") -> DataFrame:

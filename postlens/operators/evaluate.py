@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.operators.ranking import auc_by_group
+from postlens.operators.ranking import auc_by_group, exact_medians
+from postlens.sources import written
 
 
 def _confusion_cols(y="label", p="prediction"):
@@ -140,12 +141,13 @@ def prediction_distribution(pred: DataFrame, pred_col="prediction") -> DataFrame
 
 def confidence_summary(scored: DataFrame, prob_col="prob") -> DataFrame:
     conf = F.greatest(F.col(prob_col), F.lit(1.0) - F.col(prob_col))
-    x = scored.select(conf.alias("c"))
-    return x.agg(F.avg("c").alias("mean_confidence"), F.median("c").alias("median_confidence"),
-                 F.sum(F.when(F.col("c") > 0.8, 1).otherwise(0)).cast("long").alias("n_high"),
-                 F.sum(F.when(F.col("c") < 0.6, 1).otherwise(0)).cast("long").alias("n_low"),
-                 (F.avg(F.when(F.col("c") > 0.8, 1.0).otherwise(0.0)) * 100).alias("pct_high"),
-                 (F.avg(F.when(F.col("c") < 0.6, 1.0).otherwise(0.0)) * 100).alias("pct_low"))
+    aggs = [F.avg("c").alias("mean_confidence"),
+            F.sum(F.when(F.col("c") > 0.8, 1).otherwise(0)).cast("long").alias("n_high"),
+            F.sum(F.when(F.col("c") < 0.6, 1).otherwise(0)).cast("long").alias("n_low"),
+            (F.avg(F.when(F.col("c") > 0.8, 1.0).otherwise(0.0)) * 100).alias("pct_high"),
+            (F.avg(F.when(F.col("c") < 0.6, 1.0).otherwise(0.0)) * 100).alias("pct_low")]
+    m = exact_medians(written(scored.select(conf.alias("c"))), "c", aggs=aggs)
+    return m.select("mean_confidence", F.col("median").alias("median_confidence"), "n_high", "n_low", "pct_high", "pct_low")
 
 
 def log_loss(scored: DataFrame, label_col="label", prob_col="prob", weight_col: str | None = None) -> DataFrame:

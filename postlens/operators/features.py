@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.text import english_stop_words, tokens as tokens_expr
+from postlens.operators.ranking import global_rank
 
 
 def tokenize_words(df: DataFrame, text_col: str = "post", out: str = "tokens",
@@ -82,8 +83,7 @@ def build_vocabulary(counts: DataFrame, n_docs: int | None = None, min_df: float
         top = stats.orderBy(F.desc("cf"), F.asc("term")).limit(max_features)
         w = Window.orderBy(F.desc("cf"), F.asc("term"))
         return top.withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
-    w = Window.orderBy(F.desc("cf"), F.asc("term"))
-    return stats.withColumn("idx", (F.row_number().over(w) - 1).cast("int"))
+    return global_rank(stats, [F.desc("cf"), F.asc("term")], "idx").withColumn("idx", F.col("idx").cast("int"))
 
 
 def tfidf(counts: DataFrame, vocab: DataFrame, n_docs: int, sublinear: bool = False, norm: bool = True,
@@ -127,8 +127,7 @@ def hashed_counts(df: DataFrame, terms_col: str = "tokens", n_features: int = 1
 def token_index(df: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     """1-based integer id per token by descending frequency (ties: token)."""
     c = df.select(F.explode(tokens_col).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
-    w = Window.orderBy(F.desc("freq"), F.asc("token"))
-    return c.withColumn("token_id", F.row_number().over(w).cast("int"))
+    return global_rank(c, [F.desc("freq"), F.asc("token")], "token_id").withColumn("token_id", (F.col("token_id") + 1).cast("int"))
 
 
 def pad_sequences(seq_col: str, length: int = 40):
