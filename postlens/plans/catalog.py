@@ -926,7 +926,19 @@ def q_gd_logistic(spark, sf):
     return s.select("id", "label", (F.col("prob") >= 0.5).cast("int").alias("prediction"), F.round("prob", 6).alias("prob"))
 
 
-@register("gaussian_nb")
+_DENSE_SQL = f"(SELECT vec_id AS id, embedding::DOUBLE[] AS x, (label < 5)::INT AS label, {S.md5_uniform_sql('vec_id', 42)} < 0.2 AS test FROM embeddings)"
+
+_GAUSSIAN_SQL = f"""WITH d AS {_DENSE_SQL},
+e AS (SELECT id, label, test, unnest(x) AS v, generate_subscripts(x, 1) AS pos FROM d),
+mx AS (SELECT max(fv) AS mx FROM (SELECT var_pop(v) AS fv FROM e WHERE NOT test GROUP BY pos)),
+m AS (SELECT label, pos, avg(v) AS mu, var_pop(v) + 1e-9 * any_value(mx) AS var FROM e, mx WHERE NOT test GROUP BY label, pos),
+pri AS (SELECT label, ln(count(*)::DOUBLE / sum(count(*)) OVER ()) AS lp FROM d WHERE NOT test GROUP BY label),
+s AS (SELECT e.id, m.label AS c, sum(-0.5 * ln(2 * 3.141592653589793 * m.var) - (e.v - m.mu) * (e.v - m.mu) / (2 * m.var)) AS ll FROM e JOIN m ON e.pos = m.pos WHERE e.test GROUP BY 1, 2),
+w AS (SELECT s.id, sum(CASE WHEN s.c = 0 THEN s.ll + lp END) AS s0, sum(CASE WHEN s.c = 1 THEN s.ll + lp END) AS s1 FROM s JOIN pri ON s.c = pri.label GROUP BY s.id)
+SELECT d.id, d.label, (1.0 / (1.0 + exp(s0 - s1)) >= 0.5)::INT AS prediction FROM d JOIN w ON d.id = w.id"""
+
+
+@register("gaussian_nb", _GAUSSIAN_SQL)
 def q_gaussian_nb(spark, sf):
     tr, te = dense_split(spark, sf)
     m = NB.fit_gaussian_nb(tr)
@@ -934,30 +946,72 @@ def q_gaussian_nb(spark, sf):
     return te.select("id", "label").join(s, "id").select("id", "label", (F.col("prob") >= 0.5).cast("int").alias("prediction"))
 
 
-@register("knn_classify")
+_KNN_SQL = f"""WITH d AS {_DENSE_SQL},
+n AS (SELECT q.id, t.id AS nid, t.label, sqrt(list_sum(list_transform(list_zip(q.x, t.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS distance FROM d q JOIN d t ON q.test AND NOT t.test),
+k AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY id ORDER BY round(distance, 12), nid) <= 5)
+SELECT id, (avg(label) > 0.5)::INT AS prediction, avg(label)::DOUBLE AS prob FROM k GROUP BY id"""
+
+
+@register("knn_classify", _KNN_SQL)
 def q_knn(spark, sf):
     tr, te = dense_split(spark, sf)
     nb = KNN.nearest_neighbors(tr, te, k=5, p=2)
     return KNN.knn_classify(nb)
 
 
-def _nb_variant(fit):
+def _nb_sql(kind: str) -> str:
+    """The NB family on the training posts' 2,000 most frequent tokens, alpha 1."""
+    tf = "1" if kind == "bernoulli" else "tf"
+    weight = {
+        "multinomial": "SELECT term, label, ln((n_ct + 1.0) / (sum(n_ct) OVER (PARTITION BY label) + count(*) OVER (PARTITION BY label))) AS w, 0.0 AS absent FROM cc",
+        "complement": "SELECT term, label, -ln((rest + 1.0) / (sum(rest) OVER (PARTITION BY label) + count(*) OVER (PARTITION BY label))) AS w, 0.0 AS absent FROM (SELECT *, sum(n_ct) OVER (PARTITION BY term) - n_ct AS rest FROM cc)",
+        "bernoulli": "SELECT term, label, ln(p) - ln(1 - p) AS w, ln(1 - p) AS absent FROM (SELECT cc.*, (n_ct + 1.0) / (n + 2.0) AS p FROM cc JOIN nc ON cc.label = nc.label)",
+    }[kind]
+    prior = "0.0" if kind == "complement" else "ln(n / sum(n) OVER ())"
+    return f"""
+WITH c AS (SELECT d.doc_id AS id, l.toxic AS label, {S.clean_sql('d.text')} AS clean, md5(concat(d.doc_id, ':42')) AS h FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+sp AS (SELECT id, label, clean, row_number() OVER (PARTITION BY label ORDER BY h, id) - 1 < floor(count(*) OVER (PARTITION BY label) * 0.2) AS val FROM c),
+counts AS (SELECT id, label, val, term, count(*) AS tf FROM (SELECT id, label, val, unnest({S.tokens_sql('clean')}) AS term FROM sp) GROUP BY ALL),
+vocab AS (SELECT term FROM counts WHERE NOT val GROUP BY term HAVING count(*) >= 2 ORDER BY sum(tf) DESC, term LIMIT 2000),
+nc AS (SELECT label, count(*)::DOUBLE AS n FROM sp WHERE NOT val GROUP BY label),
+ct AS (SELECT label, term, sum({tf})::DOUBLE AS n_ct FROM counts WHERE NOT val GROUP BY label, term),
+cc AS (SELECT v.term, g.label, coalesce(ct.n_ct, 0.0) AS n_ct FROM vocab v CROSS JOIN (VALUES (0), (1)) g(label) LEFT JOIN ct ON ct.label = g.label AND ct.term = v.term),
+ll AS ({weight}),
+pri AS (SELECT label, lp + (SELECT sum(absent) FROM ll WHERE ll.label = p.label) AS lp FROM (SELECT label, {prior} AS lp FROM nc) p),
+s AS (SELECT id, sum(CASE WHEN ll.label = 0 THEN {tf} * w ELSE 0.0 END) AS s0, sum(CASE WHEN ll.label = 1 THEN {tf} * w ELSE 0.0 END) AS s1
+      FROM counts JOIN ll ON counts.term = ll.term WHERE val GROUP BY id),
+p AS (SELECT sp.id, sp.label, round(1.0 / (1.0 + exp((SELECT lp FROM pri WHERE label = 0) + coalesce(s0, 0.0) - (SELECT lp FROM pri WHERE label = 1) - coalesce(s1, 0.0))), 9) AS prob
+      FROM sp LEFT JOIN s ON sp.id = s.id WHERE val)
+SELECT id, label, CASE WHEN prob >= 0.5 THEN 1 ELSE 0 END AS prediction, {R6('prob')} AS prob FROM p"""
+
+
+def nb_data(spark, sf):
+    """Token counts, training rows, validation rows and vocabulary of the NB queries."""
+    posts = SP.stratified_split(train_posts(spark, sf).withColumn("clean", TX.clean_post("post")), 0.2, 42)
+    c = FE.term_counts(FE.tokenize_words(posts, "clean").select("id", "tokens"))
+    tr = posts.filter("split = 'train'").select("id", "label")
+    va = posts.filter("split = 'val'").select("id", "label")
+    tc = c.join(tr.select("id"), "id", "left_semi")
+    return c, tc, tr, va, FE.build_vocabulary(tc, min_df=2, max_features=2000)
+
+
+def nb_verdicts(model, c, va):
+    s = NB.score_nb(model, c.join(va.select("id"), "id", "left_semi"), va)
+    return r6(va.join(s, "id").select("id", "label", (F.col("prob") >= 0.5).cast("int").alias("prediction"), "prob"), {"prob"})
+
+
+NB_FITS = {"multinomial": NB.fit_multinomial_nb, "complement": NB.fit_complement_nb, "bernoulli": NB.fit_bernoulli_nb}
+
+
+def _nb_variant(kind):
     def fn(spark, sf):
-        posts = SP.stratified_split(train_posts(spark, sf).withColumn("clean", TX.clean_post("post")), 0.2, 42)
-        c = FE.term_counts(FE.tokenize_words(posts, "clean").select("id", "tokens"))
-        tr = posts.filter("split = 'train'").select("id", "label")
-        va = posts.filter("split = 'val'").select("id", "label")
-        tc = c.join(tr.select("id"), "id", "left_semi")
-        v = FE.build_vocabulary(tc, min_df=2, max_features=2000)
-        m = fit(tc, tr, v)
-        s = NB.score_nb(m, c.join(va.select("id"), "id", "left_semi"), va)
-        return va.join(s, "id").select("id", "label", (F.col("prob") >= 0.5).cast("int").alias("prediction"), "prob")
+        c, tc, tr, va, v = nb_data(spark, sf)
+        return nb_verdicts(NB_FITS[kind](tc, tr, v), c, va)
     return fn
 
 
-register("multinomial_nb")(_nb_variant(lambda tc, tr, v: NB.fit_multinomial_nb(tc, tr, v)))
-register("complement_nb")(_nb_variant(lambda tc, tr, v: NB.fit_complement_nb(tc, tr, v)))
-register("bernoulli_nb")(_nb_variant(lambda tc, tr, v: NB.fit_bernoulli_nb(tc, tr, v)))
+for _kind in NB_FITS:
+    register(f"{_kind}_nb", _nb_sql(_kind))(_nb_variant(_kind))
 
 
 # ---------------------------------------------------------------- more 2.2 / 2.6 / 2.10

@@ -1,5 +1,5 @@
 """Scans and sinks: posts, feature matrices, metric JSON, training logs,
-prediction CSVs, saved pipelines.  Schemas are declared, never inferred
+prediction CSVs (fitted models: ``models``).  Schemas are declared, never inferred
 from data at scale."""
 
 from __future__ import annotations
@@ -114,27 +114,22 @@ def write_report(report: DataFrame, path: str, fmt: str = "json") -> None:
     report.write.mode("overwrite").format(fmt).option("header", True).save(path)
 
 
-def save_model(model, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str):
-    from pyspark.ml import PipelineModel
-
-    return PipelineModel.load(path)
-
-
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the folder that all machines share (``spark.checkpoint.dir``),
-    read back: its lineage ends there and survives lost executors.  Only a local
-    session that names no folder takes a scratch one."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all machines share (``spark.checkpoint.dir``).  Only a local
+    session that names none takes a scratch one."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         shared = tempfile.mkdtemp(prefix="postlens-")
         spark.sparkContext.setCheckpointDir(shared)
-    path = f"{shared}/table-{uuid.uuid4().hex}"
+    return shared
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder, read back: its lineage ends there and
+    survives lost executors."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
