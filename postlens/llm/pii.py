@@ -39,25 +39,46 @@ CONTEXT = {
 }
 AGAINST = r"(?:[=\"'/$#_€]|\bv(?:er)?\.?\s?)$"
 NEAR, ROUNDS, ACCEPT = 24, 50, 0.9
+BLOCK = 256  # matches a block, in prefix sums and overlaps
 ABSTAIN = 2  # votes: 0 against, 1 for, 2 none
 LABELERS = 3
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """All matches, leftmost and not overlapping, as (start, end, t) in code points:
-    the pieces between them and their own lengths add up to the positions."""
+def pieces(text: Column, pattern: str) -> Column:
+    """The text cut at its matches, which are leftmost and do not overlap: (g, w, t) =
+    length of the gap, its last characters, the match after it (null after the last)."""
     rows = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-                      lambda gap, t: F.struct(F.length(gap).alias("g"), t.alias("t")))
-    none = F.expr("cast(array() as array<struct<start:int,end:int,t:string>>)")
+                      lambda gap, t: F.struct(F.length(gap).alias("g"), F.right(gap, F.lit(NEAR)).alias("w"), t.alias("t")))
+    return F.when(text.rlike(pattern), rows).otherwise(F.expr("cast(array() as array<struct<g:int,w:string,t:string>>)"))
 
-    def step(acc, x):
-        start = acc["at"] + x["g"]
-        end = start + F.coalesce(F.length(x["t"]), F.lit(0))
-        span = F.struct(start.alias("start"), end.alias("end"), x["t"].alias("t"))
-        return F.struct(end.alias("at"), F.when(x["t"].isNull(), acc["s"]).otherwise(F.concat(acc["s"], F.array(span))).alias("s"))
 
-    found = F.aggregate(rows, F.struct(F.lit(0).alias("at"), none.alias("s")), step, lambda acc: acc["s"])
-    return F.when(text.rlike(pattern), found).otherwise(none)
+def blocks(a: Column) -> Column:
+    """An array in slices of ``BLOCK``; one empty slice of an empty one."""
+    last = F.floor(F.greatest(F.size(a) - 1, F.lit(0)) / BLOCK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(a, b * BLOCK + 1, BLOCK))
+
+
+def starts(p: Column) -> Column:
+    """Code points before each match of ``pieces``: prefix sums, block by block, so that
+    no array grows longer than a block or the number of blocks."""
+    width = lambda x: x["g"] + F.coalesce(F.length(x["t"]), F.lit(0))
+    none = F.expr("cast(array() as array<int>)")
+
+    def sums(rows, at, add, here):
+        begin = F.struct(at.alias("at"), none.alias("s"))
+        step = lambda acc, x: F.struct((acc["at"] + add(x)).alias("at"), F.concat(acc["s"], F.array(acc["at"] + here(x))).alias("s"))
+        return F.aggregate(rows, begin, step, lambda acc: acc["s"])
+
+    totals = F.transform(blocks(p), lambda b: F.aggregate(b, F.lit(0), lambda acc, x: acc + width(x)))
+    offsets = sums(totals, F.lit(0), lambda x: x, lambda x: F.lit(0))
+    return F.flatten(F.zip_with(blocks(p), offsets, lambda b, at: sums(b, at, width, lambda x: x["g"])))
+
+
+def before(p: Column, i: Column) -> Column:
+    """The ``NEAR`` code points before match ``i``, from its gap and the pieces ahead of
+    it; a match and the gap before it have at least 3, or it is the first."""
+    prior = [F.coalesce(F.concat(F.get(p, i - j)["w"], F.right(F.get(p, i - j)["t"], F.lit(NEAR))), F.lit("")) for j in range(NEAR // 3, 0, -1)]
+    return F.right(F.concat(*prior, F.get(p, i)["w"]), F.lit(NEAR))
 
 
 def _digits(t: Column) -> Column:
@@ -95,37 +116,44 @@ def _known(kind: str, t: Column) -> Column:
     return F.regexp_replace(t, "[^0-9+]", "").rlike(CALLING)
 
 
-def _candidates(text: Column, kind: str) -> Column:
-    """Base matches with the regex labeler's vote and, where they do not overlap a
-    valid base match, loose ones on which it abstains."""
-    vote = lambda yes: F.when(yes, 1).otherwise(0)
-    shape = lambda s, base, v: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["t"].alias("t"), base.alias("base"), v.alias("v1"))
-    found = matches(text, BASE[kind])
-    if kind == "card":  # shorter and longer runs of digits are no candidates at all
-        found = F.filter(found, lambda s: F.length(_digits(s["t"])).between(12, 19))
-    sure = F.transform(found, lambda s: shape(s, valid(kind, s["t"]), vote(valid(kind, s["t"]))))
-    if kind in LOOSE:
-        sure = F.concat(sure, F.transform(matches(text, LOOSE[kind]), lambda s: shape(s, F.lit(False), F.lit(ABSTAIN))))
-    return F.transform(sure, lambda s: F.struct(F.lit(KINDS.index(kind)).alias("kind"), *[s[c].alias(c) for c in ("start", "end", "t", "base", "v1")]))
+def _fence(df: DataFrame, keep_cols: list[str], **cols: Column) -> DataFrame:
+    """Adds columns behind a generator, so that none is put into another's lambda, where
+    it would be evaluated once per element."""
+    made = F.struct(*[c.alias(n) for n, c in cols.items()])
+    return df.select(*keep_cols, F.explode(F.array(made)).alias("_m")).select(*keep_cols, *[F.col(f"_m.{n}").alias(n) for n in cols])
+
+
+def _spans(kind: str, p: Column, s: Column, base: bool) -> Column:
+    """Matches as spans: base ones with the regex labeler's vote, loose ones on which it
+    abstains."""
+    found = F.filter(F.transform(p, lambda x, i: F.struct(F.get(s, i).alias("start"), x["t"].alias("t"), i.alias("i"))), lambda m: m["t"].isNotNull())
+    if base and kind == "card":  # shorter and longer runs of digits are no candidates at all
+        found = F.filter(found, lambda m: F.length(_digits(m["t"])).between(12, 19))
+    good = lambda m: valid(kind, m["t"]) if base else F.lit(False)
+    vote = lambda m: F.when(valid(kind, m["t"]), 1).otherwise(0) if base else F.lit(ABSTAIN)
+    return F.transform(found, lambda m: F.struct(F.lit(KINDS.index(kind)).alias("kind"), m["start"].alias("start"), (m["start"] + F.length(m["t"])).alias("end"), m["t"].alias("t"),
+                                                 good(m).alias("base"), vote(m).alias("v1"), before(p, m["i"]).alias("before")))
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, spans``: array of (kind, start, end, base, v1, v2, v3, size) of
-    every row of ``docs``."""
+    every row of ``docs``; of each kind base spans first, in the text's order."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    d = d.select("doc_id", "text", F.explode(F.array(F.concat(*[_candidates(F.col("text"), k) for k in KINDS]))).alias("c"))
+    patterns = {f"{k}_{b}": (BASE if b else LOOSE)[k] for k in KINDS for b in (1, 0) if b or k in LOOSE}
+    d = _fence(d, ["doc_id"], **{n: pieces(F.col("text"), x) for n, x in patterns.items()})
+    d = _fence(d, ["doc_id", *patterns], **{f"{n}_at": starts(F.col(n)) for n in patterns})
+    every = F.concat(*[_spans(n[:-2], F.col(n), F.col(f"{n}_at"), n.endswith("1")) for n in patterns])
 
     def finish(s):
-        before = F.substring(F.col("text"), F.greatest(s["start"] - NEAR, F.lit(0)) + 1, F.least(s["start"], F.lit(NEAR)))
         by_kind = lambda f: F.coalesce(*[F.when(s["kind"] == i, f(k)) for i, k in enumerate(KINDS)])
         known = by_kind(lambda k: _known(k, s["t"]))
-        says = by_kind(lambda k: before.rlike(CONTEXT[k]))
-        context = F.when(before.rlike(AGAINST), 0).when(says, 1).otherwise(ABSTAIN)
+        says = by_kind(lambda k: s["before"].rlike(CONTEXT[k]))
+        context = F.when(s["before"].rlike(AGAINST), 0).when(says, 1).otherwise(ABSTAIN)
         size = F.least(F.floor((s["end"] - s["start"]) / 8), F.lit(3)).cast("int")
         return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["base"].alias("base"), s["v1"].alias("v1"),
                         known.cast("int").alias("v2"), context.alias("v3"), size.alias("size"))
 
-    return d.select("doc_id", F.transform("c", finish).alias("spans"))
+    return d.select("doc_id", F.transform(every, finish).alias("spans"))
 
 
 def reliabilities(cells: dict[tuple, float], rounds: int = ROUNDS) -> dict[tuple, float]:
@@ -188,6 +216,9 @@ def find_pii(docs: DataFrame, accept: float = ACCEPT, id_col: str = "doc_id", te
     span.  What is learnt is learnt from the vote counts of all documents: a table
     of a few hundred cells.
 
+    A text's matches are numbered and compared in blocks: work on a long text is linear
+    in its length and, but for a 256th of their square, in its matches.
+
     Null and empty texts have no spans.  Repeated rows, null ids: one result each.
     Empty table: no rows.  Other columns are not read."""
     c = keep(candidates(docs, id_col, text_col), "pii")
@@ -199,14 +230,19 @@ def find_pii(docs: DataFrame, accept: float = ACCEPT, id_col: str = "doc_id", te
     code = lambda s: (((s["kind"] * 3 + s["v1"]) * 3 + s["v2"]) * 3 + s["v3"]) * 4 + s["size"]
     codes = [(((k * 3 + a) * 3 + b) * 3 + d) * 4 + z for k, a, b, d, z in good]
     base = F.filter("spans", lambda s: s["base"])
-    free = F.filter("spans", lambda s: ~s["base"] & code(s).isin(codes) & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    meets = lambda s, lo, hi: (lo < s["end"]) & (s["start"] < hi)
+    inside = lambda s: F.coalesce(F.exists("blocks", lambda b: meets(s, b["lo"], b["hi"]) & F.exists(b["rows"], lambda x: meets(s, x["start"], x["end"]))), F.lit(False))
+    free = F.filter("spans", lambda s: ~s["base"] & code(s).isin(codes) & ~inside(s))
     name = F.array(*[F.lit(k) for k in KINDS])
 
     def text_of(spans):
         order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))))
         return F.array_join(F.transform(order, lambda s: F.concat_ws(":", F.element_at(name, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
-    c = c.withColumn("base", base)
+    c = _fence(c, ["doc_id", "spans"], base=base)
+    # spans are in order of kind and start: a block of them lies close together
+    ranges = F.transform(blocks(F.col("base")), lambda b: F.struct(F.array_min(F.transform(b, lambda x: x["start"])).alias("lo"), F.array_max(F.transform(b, lambda x: x["end"])).alias("hi"), b.alias("rows")))
+    c = _fence(c, ["doc_id", "spans", "base"], blocks=ranges)
     number = lambda i: F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long")
     return c.select("doc_id", *[number(i).alias(f"n_{k}") for i, k in enumerate(KINDS)], F.sha2(text_of(F.col("base")), 256).alias("base_sha256"),
                     text_of(F.concat("base", free)).alias("spans"))

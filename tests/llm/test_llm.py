@@ -195,6 +195,40 @@ def test_pii(spark, edge, none):
     assert find_pii(none).count() == 0
 
 
+def test_pii_positions_and_contexts_of_many_matches(spark):
+    from pyspark.sql import functions as F
+
+    from postlens.llm.pii import BASE, NEAR, _fence, before, pieces, starts
+
+    rng = np.random.default_rng(11)
+    bits = ["12", "4111 1111 1111 1111", ",", ", ", "é日", "+1 555 123 4567", "a@b.c", "@", " card ", "1.2.3.4", "", "x" * 30]
+    texts = ["".join(rng.choice(bits, n)) for n in (0, 1, 5, 40, 700, 700, 3000)] + ["12,34," * 600]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for kind, pattern in BASE.items():
+        x = _fence(d, ["doc_id"], p=pieces(F.col("text"), pattern))
+        x = _fence(x, ["doc_id", "p"], s=starts(F.col("p")))
+        got = x.select("doc_id", F.transform("p", lambda m, i: F.struct(F.get("s", i).alias("at"), m["t"].alias("t"), before(F.col("p"), i).alias("b"))).alias("m")).collect()
+        for r in got:
+            t = texts[r.doc_id]
+            found = [m for m in r.m if m.t is not None]
+            assert all(t[m.at:m.at + len(m.t)] == m.t and t[max(0, m.at - NEAR):m.at] == m.b for m in found), kind
+            assert all(a.at + len(a.t) <= b.at for a, b in zip(found, found[1:]))
+            if r.doc_id == 6:
+                assert len(found) > 200  # more than one block, or nearly
+
+
+def test_pii_loose_spans_give_way_to_base_ones(spark, monkeypatch):
+    from postlens.llm import pii
+
+    # all loose candidates are accepted: only the overlap with base spans decides
+    monkeypatch.setattr(pii, "train_classifier", lambda cells, post: [100.0] * 200)
+    one = "+1 (555) 123-4567 then (212) 555-1234; "
+    got = pii.find_pii(spark.createDataFrame([(1, one * 400), (2, "(212) 555-1234")], "doc_id long, text string")).collect()
+    spans = {r.doc_id: r.spans.split(",") for r in got}
+    want = sorted(x for i in range(400) for x in ((len(one) * i, len(one) * i + 17), (len(one) * i + 23, len(one) * i + 37)))
+    assert spans[1] == [f"phone:{a}:{b}" for a, b in want] and spans[2] == ["phone:0:14"]
+
+
 def test_pii_labelers_outvote_a_broken_one():
     from postlens.llm.pii import _features, reliabilities, train_classifier
 
