@@ -46,16 +46,16 @@ def search(df: DataFrame, make: Callable, candidates: list[dict], k: int, metric
     return sorted(scored, key=lambda x: -x[1])
 
 
-def halving_search(df: DataFrame, make: Callable, candidates: list[dict], k: int, factor: int = 2, start: float = 0.25,
+def halving_search(df: DataFrame, make: Callable, candidates: list[dict], k: int, factor: int = 3, start: float = 1 / 9,
                    metric: str = "macro_f1", fold_col: str = "fold", id_col: str = "id") -> list[tuple[int, float, dict, float]]:
     """Successive halving: ``(round, share of rows, candidate, metric)``; each round
     the best 1/factor go on with factor times the rows (by a hash of the id)."""
     history, share, level = [], start, 0
     while True:
-        part = df if share >= 1 else df.filter(F.pmod(F.xxhash64(id_col), F.lit(10_000)) < int(share * 10_000))
+        part = df if share >= 1 - 1e-9 else df.filter(F.pmod(F.xxhash64(id_col), F.lit(10_000)) < int(share * 10_000))
         scored = search(part, make, candidates, k, metric, fold_col)
         history += [(level, min(share, 1.0), c, m) for c, m in scored]
-        if len(scored) == 1 or share >= 1:
+        if len(scored) == 1 or share >= 1 - 1e-9:
             return history
         candidates = [c for c, _ in scored[:max(1, len(scored) // factor)]]
         share, level = share * factor, level + 1

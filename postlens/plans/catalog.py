@@ -1035,13 +1035,14 @@ def q_sigmoid(spark, sf):
     return sc.select("id", "model", F.round(TX.sigmoid_clip((F.col("prob") - 0.5) * 1000.0), 6).alias("s"))
 
 
-@register("activation_expand", f"""SELECT id, {R6('list_sum(list_transform(a, lambda x: greatest(x, 0.0)) || list_transform(a, lambda x: ' + S.sigmoid_sql('x') + ') || list_transform(a, lambda x: tanh(x)) || list_transform(a, lambda x: CASE WHEN x > 0 THEN x ELSE 0.01 * x END))')} AS act_sum
-FROM (SELECT id, list(prob * 4.0 - 2.0 ORDER BY model) AS a FROM {SC} GROUP BY id)""")
+@register("activation_expand", f"""WITH a AS (SELECT id, list(prob * 4.0 - 2.0 ORDER BY model) AS a FROM {SC} GROUP BY id),
+e AS (SELECT id, list_transform(a, lambda x: greatest(x, 0.0)) || list_transform(a, lambda x: {S.sigmoid_sql('x')}) || list_transform(a, lambda x: tanh(x)) || list_transform(a, lambda x: CASE WHEN x > 0 THEN x ELSE 0.01 * x END) AS e FROM a)
+SELECT id, generate_subscripts(e, 1) - 1 AS pos, {R6('unnest(e)')} AS value FROM e""")
 def q_activation(spark, sf):
     sc = fx_scores(spark, sf)
     a = sc.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("model", (F.col("prob") * 4.0 - 2.0).alias("v")))).alias("_s"))
     a = a.select("id", F.transform("_s", lambda s: s["v"]).alias("a"))
-    return a.select("id", F.round(F.aggregate(TX.activation_expand("a"), F.lit(0.0), lambda s, x: s + x), 6).alias("act_sum"))
+    return _each(a.select("id", TX.activation_expand("a").alias("e")), "e", "value")
 
 
 @register("one_hot", "SELECT d.doc_id, v.lang AS category, (d.lang = v.lang)::INT AS hot FROM documents d, (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL) v")
@@ -1101,24 +1102,29 @@ def _dense_sql(split):
             f"{'NOT ' if split == 'train' else ''}({S.md5_uniform_sql('vec_id', 42)} < 0.2))")
 
 
+def _each(df, array: str, out: str):
+    """``id, pos`` and every value of an array."""
+    return df.select("id", F.posexplode(array).alias("pos", "v")).select("id", F.col("pos").cast("long").alias("pos"), F.round("v", 6).alias(out))
+
+
 @register("standard_scale", f"""WITH st AS (SELECT pos, avg(v) AS mu, CASE WHEN stddev_pop(v) = 0 OR stddev_pop(v) IS NULL THEN 1.0 ELSE stddev_pop(v) END AS sd
   FROM (SELECT unnest(x)::DOUBLE AS v, generate_subscripts(x, 1) AS pos FROM {_dense_sql('train')}) GROUP BY pos),
 te AS (SELECT id, unnest(x)::DOUBLE AS v, generate_subscripts(x, 1) AS pos FROM {_dense_sql('val')})
-SELECT te.id, {R6('sum((te.v - st.mu) / st.sd)')} AS scaled_sum FROM te JOIN st ON te.pos = st.pos GROUP BY te.id""")
+SELECT te.id, te.pos - 1 AS pos, {R6('(te.v - st.mu) / st.sd')} AS scaled FROM te JOIN st ON te.pos = st.pos""")
 def q_standard(spark, sf):
     tr, te = dense_split(spark, sf)
     x = SCL.standard_scale(te, SCL.fit_standard(tr))
-    return x.select("id", F.round(F.aggregate("x", F.lit(0.0), lambda s, v: s + v), 6).alias("scaled_sum"))
+    return _each(x, "x", "scaled")
 
 
 @register("maxabs_scale", f"""WITH st AS (SELECT pos, CASE WHEN max(abs(v)) = 0 THEN 1.0 ELSE max(abs(v)) END AS m
   FROM (SELECT unnest(x)::DOUBLE AS v, generate_subscripts(x, 1) AS pos FROM {_dense_sql('train')}) GROUP BY pos),
 te AS (SELECT id, unnest(x)::DOUBLE AS v, generate_subscripts(x, 1) AS pos FROM {_dense_sql('val')})
-SELECT te.id, {R6('sum(te.v / st.m)')} AS scaled_sum FROM te JOIN st ON te.pos = st.pos GROUP BY te.id""")
+SELECT te.id, te.pos - 1 AS pos, {R6('te.v / st.m')} AS scaled FROM te JOIN st ON te.pos = st.pos""")
 def q_maxabs(spark, sf):
     tr, te = dense_split(spark, sf)
     x = SCL.maxabs_scale(te, SCL.fit_maxabs(tr))
-    return x.select("id", F.round(F.aggregate("x", F.lit(0.0), lambda s, v: s + v), 6).alias("scaled_sum"))
+    return _each(x, "x", "scaled")
 
 
 def _conf_rows_sql(cond):

@@ -207,7 +207,7 @@ def q_random(spark, sf):
 
 @register("halving_search")
 def q_halving(spark, sf):
-    h = SE.halving_search(_folded(spark, sf)[0], _lr, SE.grid({"C": [0.1, 1.0, 10.0, 100.0]}), FOLDS)
+    h = SE.halving_search(_folded(spark, sf)[0], _lr, SE.grid({"C": [10.0 ** (i / 2) for i in range(-4, 5)]}), FOLDS, factor=3, start=1 / 9)
     return spark.createDataFrame([(r, s, str(sorted(c.items())), round(m, 6)) for r, s, c, m in h], "round int, share double, params string, macro_f1 double")
 
 
