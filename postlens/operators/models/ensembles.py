@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from postlens.functions.hashing import md5_bucket, md5_uniform
 from postlens.functions.text import activation_expand
 from postlens.operators import evaluate as EV
+from postlens.operators.models.linear import LOCAL_ROWS
 from postlens.operators.split import bootstrap_bags
 from postlens.sources import written
 
@@ -91,7 +92,8 @@ def adaboost(train: DataFrame, rounds: int = 10, depth: int = 1, rate: float = 1
     without error ends the loop with weight 1; so does one no better than chance,
     which is left out unless it is the first."""
     n = train.count()
-    cur, out = train.select("id", "label", "features").withColumn("w", F.lit(1.0 / max(n, 1))).persist(), []
+    # a round is half a dozen jobs: a small table is one task in each of them
+    cur, out = train.select("id", "label", "features").coalesce(max(1, n // LOCAL_ROWS)).withColumn("w", F.lit(1.0 / max(n, 1))).persist(), []
     for _ in range(rounds):
         tree = DecisionTreeClassifier(maxDepth=depth, weightCol="w", seed=42).fit(cur)
         said = tree.copy().setProbabilityCol("").setRawPredictionCol("").transform(cur)
