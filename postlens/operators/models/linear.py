@@ -82,31 +82,54 @@ def positive_prob(pred: DataFrame, prob_col: str = "probability") -> DataFrame:
 #: Rows a partition of gradient descent has at least, so that its own batches say something.
 LOCAL_ROWS = 50_000
 
+#: Partial sums of the models that reach the driver.
+FAN = 64
 
-def _descend(x, y, wt, w, b, rates, batch, l2, epochs, shuffles, tol):
-    """``epochs`` of mini-batches over one partition's rows, all models (one row of ``w``
-    each) at once.  Returns the models and the summed loss before each epoch and at
-    the end; stops where no loss changes by ``tol`` times the weights."""
-    n, total = len(x), wt.sum()
+
+def _halved(x: np.ndarray) -> np.ndarray:
+    """Half of the rows and of a constant one: times a model, half of its scores."""
+    return np.concatenate([x * 0.5, np.full((len(x), 1), 0.5)], axis=1)
+
+
+def _descend(xh, y, wt, own, w, b, rates, batch, l2, epochs, shuffles, tol, after=True):
+    """``epochs`` of mini-batches over the rows ``own`` of one partition (``xh``: halved
+    rows), all models (one row of ``w`` each) at once.  Returns the models and the summed
+    loss before each epoch and, with ``after``, at the end; stops where no loss changes by
+    ``tol`` times the weights.
+
+    sigmoid(z) - y is (tanh(z / 2) - (2 y - 1)) / 2, so a step is a few calls on its batch."""
+    n, total = len(own), wt[own].sum()
     batch = batch or n
+    model = np.concatenate([w, b[:, None]], axis=1).T.copy()  # a column a model, the offset last
+    sign, heft, up, shift = np.where(y[own] > 0, -2.0, 2.0)[:, None], wt[own][:, None], rates[None, :], 2 * y - 1
+    decay = np.where(np.arange(len(model))[:, None] < len(model) - 1, 1 - up * l2, 1.0)
 
     def loss():
-        q = np.clip(1 / (1 + np.exp(-np.clip(x @ w.T + b, -500, 500))), 1e-15, 1 - 1e-15)
-        return -(wt[:, None] * np.where(y[:, None] > 0, np.log(q), np.log(1 - q))).sum(0)
+        return (heft * np.clip(np.logaddexp(0, sign * (xh @ model)[own]), 1e-15, -np.log(1e-15))).sum(0)
 
     seen = [loss()]
     for epoch in range(epochs):
-        order = np.arange(n) if batch >= n else shuffles(epoch).permutation(n)
-        xe, ye, we = x[order], y[order, None], wt[order, None]
-        for s in range(0, n, batch):
-            xb, wb = xe[s:s + batch], we[s:s + batch]
-            if (sw := wb.sum()) > 0:
-                e = (1 / (1 + np.exp(-np.clip(xb @ w.T + b, -500, 500))) - ye[s:s + batch]) * wb
-                w, b = w - rates[:, None] * (e.T @ xb / sw + l2 * w), b - rates * e.sum(0) / sw
-        seen.append(loss())
+        order = own if batch >= n else own[shuffles(epoch).permutation(n)]
+        starts = range(0, n, batch)
+        sums = np.add.reduceat(wt[order], starts)
+        share = (wt[order] / np.repeat(np.where(sums > 0, sums, 1.0), np.diff([*starts, n])))[:, None]
+        far = shift[order][:, None]
+        for s, sw in zip(starts, sums.tolist()):
+            if sw > 0:
+                xb = xh.take(order[s:s + batch], axis=0)
+                e = np.tanh(xb.dot(model))
+                e -= far[s:s + batch]
+                e *= share[s:s + batch]
+                step = xb.T.dot(e)
+                step *= up
+                if l2:
+                    model *= decay
+                model -= step
+        if after:
+            seen.append(loss())
         if tol is not None and epoch and (np.abs(seen[-1] - seen[-2]) < tol * total).all():
             break
-    return w, b, seen
+    return model[:-1].T, model[-1], seen
 
 
 def gd_logistic_many(df: DataFrame, dim: int, models: list[tuple[float, int | None, int | None]], epochs: int = 20, l2: float = 0.0, seed: int = 42,
@@ -118,14 +141,16 @@ def gd_logistic_many(df: DataFrame, dim: int, models: list[tuple[float, int | No
 
     Local descent with model averaging: in a job every partition runs an epoch of its
     own shuffled batches for all models, then the models meet as a mean weighted by the
-    partitions' row weights, summed map-side first; the number of jobs does not grow with
-    rows or models.  A partition has ``LOCAL_ROWS`` rows at least, so a small table is one
-    partition, its descent the plain one, and all its epochs one job.  Whole-table batches
-    are exact for any number of partitions, as the mean of their steps is the step of all.
+    partitions' row weights; the number of jobs does not grow with rows or models.  A
+    partition has ``LOCAL_ROWS`` rows at least, so a small table is one partition, its
+    descent the plain one, and all its epochs one job.  Whole-table batches are exact for
+    any number of partitions, as the mean of their steps is the step of all.  Rows are
+    cached as packed blocks, so that an epoch does not turn them into arrays again.
 
     Rows with a null label, weight or feature are left out.  A model stops when its
     loss, or that of all models of its batch size and fold, changes by less than ``tol``.
-    No rows: zero weights, empty history.  The driver holds the models only."""
+    No rows: zero weights, empty history.  The driver holds the models only, and once of
+    each of ``FAN`` groups of partitions."""
     rid = F.col("id").cast("string") if "id" in df.columns else F.xxhash64(features_col, label_col).cast("string")
     rows = df.select(F.col(features_col).cast("array<double>").alias("x"), F.col(label_col).cast("double").alias("y"), (F.col(weight_col) if weight_col else F.lit(1.0)).cast("double").alias("wt"),
                      F.coalesce((F.col(fold_col) if fold_col else F.lit(-1)).cast("int"), F.lit(-1)).alias("fold"), rid.alias("rid"))
@@ -135,66 +160,99 @@ def gd_logistic_many(df: DataFrame, dim: int, models: list[tuple[float, int | No
     groups: dict[tuple, list[int]] = {}
     for i, (_, batch, fold) in enumerate(models):
         groups.setdefault((batch, fold), []).append(i)
-    # of a table of one partition every group of models gets a copy, so that the groups run side by side
-    place = F.explode(F.sequence(F.lit(0), F.lit(len(groups) - 1))) if partitions == 1 else F.lit(-1)
-    base = rows.withColumn("g", place).repartition(max(partitions, len(groups) if partitions == 1 else 1), *(["g"] if partitions == 1 else ["rid"])).sortWithinPartitions("g", "rid").persist()
     rates = np.array([float(r) for r, _, _ in models])
+    run = _alone if partitions == 1 else _averaged
+    state, hist = run(rows, dim, groups, rates, epochs, l2, seed, tol, partitions, len(models))
+    return [(*state[i], [(e, float(h)) for e, h in enumerate(hist[i])]) for i in range(len(models))]
 
-    def job(now: dict, first: int, count: int) -> dict[int, dict[int, tuple[float, float]]]:
-        """Of each model and place (weights, offset, then losses by epoch as negative
-        numbers) the sum and its weight, from one pass over all partitions."""
 
-        def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            held_rows = list(batches)  # a partition's rows
-            for g, b in pd.concat(held_rows).groupby("g") if held_rows else ():
-                yield from train(b, list(groups.items()) if g < 0 else [list(groups.items())[g]], TaskContext.get().partitionId() if g < 0 else 0)
+def _alone(rows, dim, groups, rates, epochs, l2, seed, tol, partitions, n_models):
+    """The descent over a table of one partition: all epochs in one job, and a copy of the
+    rows for every group of models, so that the groups run side by side."""
+    base = rows.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(len(groups) - 1)))).repartition(len(groups), "g").sortWithinPartitions("g", "rid")
 
-        def train(b: pd.DataFrame, some: list, part: int) -> Iterator[pd.DataFrame]:
+    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held_rows = list(batches)  # a partition's rows
+        for g, b in pd.concat(held_rows).groupby("g") if held_rows else ():
+            (batch, held), at = list(groups.items())[g]
             x, y, wt, fold = np.stack(b["x"].to_numpy()), b["y"].to_numpy(float), b["wt"].to_numpy(float), b["fold"].to_numpy(int)
-            for (batch, held), at in some:
+            own = np.arange(len(y)) if held is None else np.flatnonzero(fold != held)
+            if not (n := wt[own].sum()) > 0:
+                continue
+            w, c, seen = _descend(_halved(x), y, wt, own, np.zeros((len(at), dim)), np.zeros(len(at)), rates[at], batch, l2, epochs,
+                                  lambda e: np.random.default_rng([seed, e, 0, batch or 0]), tol)
+            for j, i in enumerate(at):
+                yield pd.DataFrame({"model": [i], "w": [w[j].tolist()], "b": [c[j]], "seen": [[s[j] / n for s in seen[1:]]]})
+
+    state, hist = {i: (np.zeros(dim), 0.0) for i in range(n_models)}, [[] for _ in range(n_models)]
+    for r in base.mapInPandas(local, "model int, w array<double>, b double, seen array<double>").collect():  # the models and their losses
+        state[r["model"]], hist[r["model"]] = (np.array(r["w"]), r["b"]), list(r["seen"])
+    return state, hist
+
+
+def _averaged(rows, dim, groups, rates, epochs, l2, seed, tol, partitions, n_models):
+    """The descent over several partitions, a job an epoch."""
+    base = rows.repartition(partitions, "rid").sortWithinPartitions("rid").select("x", "y", "wt", "fold").mapInPandas(_packed, "n int, x binary, y binary, wt binary, fold binary").persist()
+
+    def job(now: dict, epoch: int, last: bool) -> dict[int, np.ndarray]:
+        """Of each model the sums over the partitions of weights, offset, loss before the
+        epoch and row weights, from one pass."""
+
+        def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            held_rows = list(batches)  # a partition's blocks
+            if not held_rows:
+                return
+            blocks, part = pd.concat(held_rows), TaskContext.get().partitionId()
+            x, y, wt, fold = (np.concatenate([np.frombuffer(v, kind) for v in blocks[c]]) for c, kind in (("x", float), ("y", float), ("wt", float), ("fold", np.int32)))
+            xh = _halved(x.reshape(len(y), -1))
+            for (batch, held), at in groups.items():
                 if at[0] not in now:
                     continue
-                own = slice(None) if held is None else fold != held
+                own = np.arange(len(y)) if held is None else np.flatnonzero(fold != held)
                 if not (n := wt[own].sum()) > 0:
                     continue
-                w, c, seen = _descend(x[own], y[own], wt[own], np.array([now[i][0] for i in at]), np.array([now[i][1] for i in at]), rates[at], batch, l2, count,
-                                      lambda e, batch=batch: np.random.default_rng([seed, first + e, part, batch or 0]), tol if partitions == 1 else None)
+                w, c, seen = _descend(xh, y, wt, own, np.array([now[i][0] for i in at]), np.array([now[i][1] for i in at]), rates[at], batch, l2, 0 if last else 1,
+                                      lambda e, batch=batch: np.random.default_rng([seed, epoch, part, batch or 0]), None, after=False)
                 for j, i in enumerate(at):
-                    places = np.concatenate([np.arange(dim + 1), -1 - first - np.arange(len(seen))])
-                    yield pd.DataFrame({"model": i, "place": places, "v": np.concatenate([w[j] * n, [c[j] * n], [s[j] for s in seen]]), "n": n})
+                    yield pd.DataFrame({"r": [part % FAN], "model": [i], "v": [np.concatenate([w[j] * n, [c[j] * n, seen[0][j], n]]).tobytes()]})
 
-        got: dict[int, dict[int, tuple[float, float]]] = {}
-        summed = base.mapInPandas(local, "model int, place long, v double, n double").groupBy("model", "place").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
-        for r in summed.collect():  # models * (dim + 1 + epochs) numbers, whatever the rows
-            got.setdefault(r["model"], {})[r["place"]] = (r["v"], r["n"])
+        def meet(b: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"r": b["r"][:1], "model": b["model"][:1], "v": [np.sum([np.frombuffer(v) for v in b["v"]], axis=0).tobytes()]})
+
+        told = base.mapInPandas(local, schema := "r int, model int, v binary")
+        if partitions > FAN:
+            told = told.groupBy("r", "model").applyInPandas(meet, schema)
+        got: dict[int, np.ndarray] = {}
+        for r in sorted(told.collect(), key=lambda r: (r["model"], r["r"])):  # FAN * models * (dim + 3) numbers, whatever the rows
+            got[r["model"]] = got.get(r["model"], 0.0) + np.frombuffer(r["v"])
         return got
 
-    state = {i: (np.zeros(dim), 0.0) for i in range(len(models))}
-    hist: list[list[float]] = [[] for _ in models]
-    going = {i for at in groups.values() for i in at}
-    ep, count = 0, epochs if partitions == 1 else 1
-    while going:
-        done = job({i: state[i] for i in going}, ep, count if ep < epochs else 0)
-        for i in list(going):
-            told = done.get(i)
-            if told is None:  # a model without rows
-                going.discard(i)
-                continue
-            losses = [told[p][0] / told[p][1] for p in sorted((p for p in told if p < 0), reverse=True)]
-            if partitions > 1:  # a loss after the local epoch is that of no model
-                losses = losses[:1]
-            hist[i] += losses[0 if ep and partitions > 1 else 1:]
+    state, hist = {i: (np.zeros(dim), 0.0) for i in range(n_models)}, [[] for _ in range(n_models)]
+    going = set(range(n_models))
+    for ep in range(epochs + 1):
+        done = job({i: state[i] for i in going}, ep, ep >= epochs)
+        going &= set(done)  # not a model without rows
+        for i in going:
+            if ep:
+                hist[i].append(done[i][-2] / done[i][-1])
             if ep < epochs:
-                state[i] = (np.array([told[k][0] / told[k][1] for k in range(dim)]), told[dim][0] / told[dim][1])
-        if partitions == 1 or ep >= epochs:
-            break
+                state[i] = done[i][:dim] / done[i][-1], float(done[i][dim] / done[i][-1])
         if tol is not None:
             for at in groups.values():
-                if all(len(hist[i]) > 1 and abs(hist[i][-1] - hist[i][-2]) < tol for i in at if i in going):
+                if ep < epochs and all(len(hist[i]) > 1 and abs(hist[i][-1] - hist[i][-2]) < tol for i in at if i in going):
                     going -= set(at)
-        ep += 1
+        if not going:
+            break
     base.unpersist()
-    return [(*state[i], [(e, float(h)) for e, h in enumerate(hist[i])]) for i in range(len(models))]
+    return state, hist
+
+
+def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows as blocks of plain bytes, a block a batch."""
+    for b in batches:
+        if len(b):
+            yield pd.DataFrame({"n": [len(b)], "x": [np.stack(b["x"].to_numpy()).astype(float).tobytes()], "y": [b["y"].to_numpy(float).tobytes()],
+                                "wt": [b["wt"].to_numpy(float).tobytes()], "fold": [b["fold"].to_numpy(np.int32).tobytes()]})
 
 
 def gd_logistic(df: DataFrame, dim: int, epochs: int = 20, lr: float = 0.01, batch: int | None = 64, l2: float = 0.0, seed: int = 42, features_col: str = "x",
