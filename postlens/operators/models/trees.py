@@ -45,14 +45,15 @@ class Tree:
                 column.append(empty)
         return kids
 
-    def walk(self, x: np.ndarray) -> np.ndarray:
-        """The node where each row stands."""
+    def walk(self, x: np.ndarray, which: np.ndarray | None = None, at: np.ndarray | None = None) -> np.ndarray:
+        """The node where each row stands; of the rows ``which`` only, on from the nodes ``at``."""
         feature, cut, left, right = (np.array(c) for c in (self.feature, self.cut, self.left, self.right))
-        at = np.zeros(len(x), np.int64)
-        rows = np.arange(len(x)) if feature[0] >= 0 else np.zeros(0, np.int64)
+        which = np.arange(len(x)) if which is None else which
+        at = np.zeros(len(which), np.int64) if at is None else at.copy()
+        rows = np.flatnonzero(feature[at] >= 0)
         while len(rows):
             f = feature[at[rows]]
-            go = x[rows, f] <= cut[at[rows]]
+            go = x[which[rows], f] <= cut[at[rows]]
             at[rows] = np.where(go, left[at[rows]], right[at[rows]])
             rows = rows[feature[at[rows]] >= 0]
         return at
@@ -62,9 +63,26 @@ def _arrays(b: pd.DataFrame) -> dict[str, np.ndarray]:
     return {"x": np.stack(b["x"].to_numpy()), "y": b["y"].to_numpy(float), "wt": b["wt"].to_numpy(float), "held": b["held"].to_numpy(bool), "rid": b["rid"].to_numpy(np.int64)}
 
 
+def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows as blocks of plain bytes, a block a batch."""
+    for b in batches:
+        if len(b):
+            yield pd.DataFrame({k: [v.tobytes()] for k, v in _arrays(b).items()})
+
+
+def _unpacked(blocks: pd.DataFrame) -> dict[str, np.ndarray]:
+    r = {k: np.concatenate([np.frombuffer(v, kind) for v in blocks[k]]) for k, kind in _KINDS.items() if k in blocks}
+    n = len(r["rid"])
+    return r | {"x": np.concatenate([np.frombuffer(v, np.float64 if "margin" not in blocks else np.uint16).reshape(len(rid) // 8, -1) for v, rid in zip(blocks["x"], blocks["rid"])]).reshape(n, -1)}
+
+
+_KINDS = {"y": np.float64, "wt": np.float64, "held": np.bool_, "rid": np.int64, "margin": np.float64}
+_BLOCK = "x binary, y binary, wt binary, held binary, rid binary"
+
+
 class Rows:
-    """``x, y, wt, rid`` of a table, dealt by id and cached; rows with a null or NaN
-    feature, a null label or weight are left out."""
+    """``x, y, wt, rid`` of a table, dealt by id and cached, in several partitions as
+    packed blocks; rows with a null or NaN feature, a null label or weight are left out."""
 
     def __init__(self, df: DataFrame, features_col: str, label_col: str, weight_col: str | None, held_col: str | None):
         rid = F.xxhash64("id") if "id" in df.columns else F.xxhash64(features_col)
@@ -74,34 +92,58 @@ class Rows:
         n = rows.count()
         self.partitions = max(1, min(df.sparkSession.sparkContext.defaultParallelism * 4, n // LOCAL_ROWS))
         self.base = rows.repartition(self.partitions, "rid").sortWithinPartitions("rid").persist()
+        self.blocks = self.base.mapInPandas(_packed, _BLOCK).persist() if self.partitions > 1 else None
+        self.binned: tuple[int, DataFrame] | None = None
 
-    def alone(self, fit: Callable[[Callable, int], object], copies: int = 1) -> list:
+    def free(self) -> None:
+        for held in (self.base, self.blocks, self.binned and self.binned[1]):
+            if held is not None:
+                held.unpersist()
+
+    def alone(self, fit: Callable[[Callable, int], object], copies: int = 1, ready: Callable[[dict], dict] = dict) -> list:
         """``fit(total, copy)`` in one task per copy, for a table of one partition: the same
-        passes, without a job for each."""
+        passes, without a job for each, over what ``ready`` makes of the rows."""
         rows = self.base.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).repartition(copies, "g")
 
         def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             held = list(batches)
             for g, b in pd.concat(held).sort_values("rid", kind="stable").groupby("g") if held else ():
-                r = _arrays(b)
+                r = ready(_arrays(b))
                 yield pd.DataFrame({"g": [int(g)], "v": [pickle.dumps(fit(lambda of, meet=None, r=r: np.ascontiguousarray(of(r), float), int(g)))]})
 
         return [pickle.loads(r["v"]) for r in rows.mapInPandas(local, "g int, v binary").orderBy("g").collect()]
 
+    def keep(self, version: int, ready: Callable[[dict], dict]) -> None:
+        """From now on ``total`` passes over what ``ready`` makes of the rows, with a margin;
+        cached in place of an earlier ``version``."""
+        if self.binned and self.binned[0] == version:
+            return
+        old = self.binned
+
+        def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                for i in range(len(b)):
+                    yield pd.DataFrame({k: [np.ascontiguousarray(v).tobytes()] for k, v in ready(_unpacked(b.iloc[i:i + 1])).items()})
+
+        self.binned = version, self.blocks.mapInPandas(local, _BLOCK + ", margin binary").persist()
+        if old:
+            old[1].unpersist()
+
     def total(self, of: Callable[[dict], np.ndarray], meet=np.add) -> np.ndarray | None:
         """``meet`` over all partitions of the array ``of`` gives for one's rows."""
+        packed = self.partitions > 1
 
         def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             held = list(batches)
             if held and sum(map(len, held)):
                 b = pd.concat(held)
-                got = of(_arrays(b))
+                got = of(_unpacked(b) if packed else _arrays(b))
                 yield pd.DataFrame({"r": [TaskContext.get().partitionId() % FAN], "v": [np.ascontiguousarray(got, float).tobytes()]})
 
-        got = self.base.mapInPandas(local, "r int, v binary")
+        got = (self.base if not packed else self.binned[1] if self.binned else self.blocks).mapInPandas(local, "r int, v binary")
         if self.partitions > FAN:
             got = got.groupBy("r").applyInPandas(lambda b: pd.DataFrame({"r": b["r"][:1], "v": [meet.reduce([np.frombuffer(v) for v in b["v"]]).tobytes()]}), "r int, v binary")
-        parts = [np.frombuffer(r["v"]) for r in got.orderBy("r").collect()]
+        parts = [np.frombuffer(r["v"]) for r in sorted(got.collect(), key=lambda r: r["r"])]
         return meet.reduce(parts) if parts else None
 
 
@@ -114,7 +156,12 @@ def gini_gain(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def candidates(seed: int, tree: int, path: str, dim: int, k: int) -> list[int]:
     """The features a node may split on: the first ``k`` by hash, in ascending order."""
-    return sorted(sorted(range(dim), key=lambda f: (uniform(seed, tree, path, f, "pick"), f))[:k])
+    start, order = md5(f"{seed}:{tree}:{path}:".encode()), []
+    for f in range(dim):
+        h = start.copy()
+        h.update(b"%d:pick" % f)
+        order.append((h.digest()[:6], f))  # as uniform(seed, tree, path, f, "pick")
+    return sorted(f for _, f in sorted(order)[:k])
 
 
 def _by_node(place: np.ndarray, v: np.ndarray, n: int, how) -> np.ndarray:
@@ -145,7 +192,7 @@ def fit_extra_trees(df: DataFrame, dim: int, n_trees: int = 100, max_depth: int
         copies = min(n_trees, df.sparkSession.sparkContext.defaultParallelism)
         parts = data.alone(lambda total, g: _grow(total, list(range(g, n_trees, copies)), dim, k, max_depth, min_split, seed), copies)
         trees = {t: tree for part in parts for t, tree in part.items()}
-    data.base.unpersist()
+    data.free()
     return [trees.get(t, Tree(value=[0.5])) for t in range(n_trees)]
 
 
@@ -166,20 +213,30 @@ def _grow(total: Callable, numbers: list[int], dim: int, k: int, max_depth: int
             of_tree.setdefault(t, {})[node] = i
         now = {t: trees[t] for t in of_tree}
 
-        def places(r, now=now, of_tree=of_tree) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            """By tree: the open nodes of the rows that stand in one, and those rows."""
+        span = {t: (min(nodes.values()), max(nodes.values()) + 1) for t, nodes in of_tree.items()}  # a tree's open nodes stand together
+
+        def places(r, now=now, of_tree=of_tree, span=span) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+            """By tree: the numbers of its open nodes, of the rows that stand in one the node
+            from the first on, and those rows.  Both are kept with the rows where these stay
+            between passes, so that a row walks a step a level."""
+            stand = r.setdefault("stand", {})
             for t, nodes in of_tree.items():
+                rows, node = stand.get(t) or (np.arange(len(r["y"])), np.zeros(len(r["y"]), np.int64))
+                node = now[t].walk(r["x"], rows, node)
+                first, end = span[t]
                 slot = np.full(len(now[t].feature), -1)
-                slot[list(nodes)] = list(nodes.values())
-                place = slot[now[t].walk(r["x"])]
-                rows = np.flatnonzero(place >= 0)
-                yield place[rows], rows
+                slot[list(nodes)] = np.array(list(nodes.values())) - first
+                place = slot[node]
+                order = np.argsort(np.where(place < 0, end, place), kind="stable")[:np.count_nonzero(place >= 0)]
+                rows, node = rows[order], node[order]
+                stand[t] = rows, node
+                yield first, end, place[order], rows
 
         def ranges(r, drawn=drawn, places=places):
             out = np.full((len(drawn), 2 * k), np.inf)
-            for place, rows in places(r):
-                v = r["x"][rows[:, None], drawn[place]]
-                out = np.minimum(out, _by_node(place, np.concatenate([v, -v], axis=1), len(drawn), np.minimum))
+            for first, end, place, rows in places(r):
+                v = r["x"][rows[:, None], drawn[first + place]]
+                out[first:end] = _by_node(place, np.concatenate([v, -v], axis=1), end - first, np.minimum)
             return out.ravel()
 
         got = total(ranges, np.minimum).reshape(len(open_), 2 * k)
@@ -189,10 +246,10 @@ def _grow(total: Callable, numbers: list[int], dim: int, k: int, max_depth: int
 
         def sides(r, drawn=drawn, places=places, cut=cut):
             out = np.zeros((len(drawn), 4 * k))
-            for place, rows in places(r):
-                go = r["x"][rows[:, None], drawn[place]] <= cut[place]
+            for first, end, place, rows in places(r):
+                go = r["x"][rows[:, None], drawn[first + place]] <= cut[first + place]
                 up, wt = (r["y"][rows] > 0)[:, None], r["wt"][rows][:, None]
-                out += _by_node(place, np.concatenate([wt * (go & ~up), wt * (go & up), wt * (~go & ~up), wt * (~go & up)], axis=1), len(drawn), np.add)
+                out[first:end] = _by_node(place, np.concatenate([wt * (go & ~up), wt * (go & up), wt * (~go & ~up), wt * (~go & up)], axis=1), end - first, np.add)
             return out.ravel()
 
         s = total(sides).reshape(len(open_), 2, 2, k).transpose(0, 3, 1, 2)  # node, feature, side, class
@@ -275,11 +332,12 @@ def fit_boosting(df: DataFrame, dim: int, n_iter: int = 100, rate: float = 0.1,
     fit ends when the held rows' loss has not fallen for so many trees; ``best`` is
     the number of trees of least held loss (all of them where nothing is held).
     One pass a level, the loss with the next tree's first one; in a table of one partition
-    all of them in one task.  A pass walks all trees grown so far."""
+    all of them in one task.  Rows hold the numbers of their bins and the margin
+    of the trees grown, in several partitions up to ``KEEP`` trees ago, so a pass walks few trees."""
     data = Rows(df, features_col, label_col, weight_col, held_col)
     sums = data.total(lambda r: np.array([(r["wt"] * r["y"] * ~r["held"]).sum(), (r["wt"] * ~r["held"]).sum()]))
     if sums is None or sums[1] == 0:
-        data.base.unpersist()
+        data.free()
         return Boosted([], 0.0, [], 0)
     p = min(max(sums[0] / sums[1], 1e-6), 1 - 1e-6)
     start = float(np.log(p / (1 - p)))
@@ -287,54 +345,78 @@ def fit_boosting(df: DataFrame, dim: int, n_iter: int = 100, rate: float = 0.1,
     flat = data.base.filter(~F.col("held")).select(*[F.col("x")[i].alias(f"f{i}") for i in range(dim)])
     found = flat.approxQuantile(flat.columns, [i / bins for i in range(1, bins)], 1.0 / (4 * bins))
     edges = [np.unique(q) for q in found]
-    said = (edges, start, dim, n_iter, rate, max_depth, subsample, colsample, penalty, gamma, min_weight, bins, patience, seed)
-    out = _boost(data.total, *said) if data.partitions > 1 else data.alone(lambda total, g: _boost(total, *said))[0]
-    data.base.unpersist()
+    said = ([len(e) for e in edges], dim, n_iter, rate, max_depth, subsample, colsample, penalty, gamma, min_weight, bins, patience, seed)
+
+    def ready(r: dict, trees: tuple[Tree, ...] = ()) -> dict:
+        """Features as the numbers of their bins, and the margin of ``trees``, whose cuts
+        are numbers of bins too: x <= edge b where the bin of x is b at most."""
+        x = np.stack([np.searchsorted(e, r["x"][:, f]) for f, e in enumerate(edges)], axis=1).astype(np.uint16)
+        return {"x": x, **{k: r[k] for k in ("y", "wt", "held", "rid")}, "margin": margin(x, trees, np.full(len(x), start))}
+
+    if data.partitions > 1:
+        out = _boost(data.total, lambda trees: data.keep(len(trees), lambda r: ready(r, trees)), start, *said)
+    else:
+        out = data.alone(lambda total, g: _boost(total, None, start, *said), ready=ready)[0]
+    data.free()
+    for tree in out.trees:
+        tree.cut = [float(edges[f][int(c)]) if f >= 0 else c for f, c in zip(tree.feature, tree.cut)]
     return out
 
 
-def _boost(total: Callable, edges: list[np.ndarray], start: float, dim: int, n_iter: int, rate: float, max_depth: int, subsample: float, colsample: float, penalty: float,
+#: The margins are cached anew after so many trees.
+KEEP = 5
+
+
+def margin(x: np.ndarray, trees, m: np.ndarray) -> np.ndarray:
+    for t in trees:
+        m = m + np.array(t.value)[t.walk(x)]
+    return m
+
+
+def _boost(total: Callable, keep: Callable | None, start: float, n_edges: list[int], dim: int, n_iter: int, rate: float, max_depth: int, subsample: float, colsample: float, penalty: float,
            gamma: float, min_weight: float, bins: int, patience: int | None, seed: int) -> Boosted:
     trees: list[Tree] = []
     losses: list[tuple[int, float, float | None]] = []
     best, best_loss = 0, np.inf
 
-    def margin(r, ts):  # kept with the rows where they stay between passes
-        done, m = r.get("margin", (0, np.full(len(r["y"]), start)))
-        for t in ts[done:]:
-            m = m + np.array(t.value)[t.walk(r["x"])]
-        r["margin"] = len(ts), m
-        return m
-
     def loss_of(r, m):
         q = np.logaddexp(0, m) - r["y"] * m
         return [(r["wt"] * q * ~r["held"]).sum(), (r["wt"] * ~r["held"]).sum(), (r["wt"] * q * r["held"]).sum(), (r["wt"] * r["held"]).sum()]
 
+    done, stay = 0, keep is None  # trees that the margin of the rows holds; one dict of rows for all passes
     for n in range(n_iter + 1):
         tree = Tree()
+        if keep and n % KEEP == 0:
+            keep(tuple(trees))
+            done = n
         cols = sorted(sorted(range(dim), key=lambda f: (uniform(seed, n, f, "column"), f))[:max(1, round(colsample * dim))])
         open_ = [0]
         for depth in range(max_depth):
-            def histogram(r, ts=tuple(trees), tree=tree, open_=tuple(open_), depth=depth):
-                m = margin(r, ts)
+            def histogram(r, ts=tuple(trees[done:]), tree=tree, open_=tuple(open_), depth=depth):
+                m = margin(r["x"], ts, r["margin"])
+                if stay and len(ts):  # the rows stay: their margin moves on
+                    r["margin"] = m
                 told = loss_of(r, m) if depth == 0 else []
                 if n == n_iter:
                     return np.array(told)
-                use = ~r["held"] & (_row_uniform(r["rid"], seed, n) < subsample)
-                q = 1 / (1 + np.exp(-m))
-                g, h = (r["wt"] * (q - r["y"]))[use], (r["wt"] * q * (1 - q))[use]
+                use = np.flatnonzero(~r["held"] & (_row_uniform(r["rid"], seed, n) < subsample))
                 slot = np.full(len(tree.feature), -1)
                 slot[list(open_)] = np.arange(len(open_))
-                place, x = slot[tree.walk(r["x"][use])], r["x"][use]
-                ok = place >= 0
+                place = slot[tree.walk(r["x"], use)]
+                use, place = use[place >= 0], place[place >= 0] * bins
+                q = 1 / (1 + np.exp(-m[use]))
+                g, h = r["wt"][use] * (q - r["y"][use]), r["wt"][use] * q * (1 - q)
+                x = r["x"][use]
                 out = np.zeros((2, len(cols), len(open_), bins))
                 for c, f in enumerate(cols):
-                    at = place[ok] * bins + np.searchsorted(edges[f], x[ok, f])
-                    out[0, c] = np.bincount(at, g[ok], len(open_) * bins).reshape(len(open_), bins)
-                    out[1, c] = np.bincount(at, h[ok], len(open_) * bins).reshape(len(open_), bins)
+                    at = place + x[:, f]
+                    out[0, c] = np.bincount(at, g, len(open_) * bins).reshape(len(open_), bins)
+                    out[1, c] = np.bincount(at, h, len(open_) * bins).reshape(len(open_), bins)
                 return np.append(told, out)
 
             got = total(histogram)
+            if stay:
+                done = n
             if depth == 0:
                 held_loss = got[2] / got[3] if got[3] > 0 else None
                 losses.append((n, float(got[0] / got[1]), None if held_loss is None else float(held_loss)))
@@ -347,7 +429,7 @@ def _boost(total: Callable, edges: list[np.ndarray], start: float, dim: int, n_i
             gain = split_gains(g, h, penalty, min_weight)
             # a cut needs an edge behind its bin
             for c, f in enumerate(cols):
-                gain[:, c, len(edges[f]):] = -np.inf
+                gain[:, c, n_edges[f]:] = -np.inf
             after = []
             leaf = lambda a, b: float(-rate * a / (b + penalty))
             if depth == 0:
@@ -356,7 +438,7 @@ def _boost(total: Callable, edges: list[np.ndarray], start: float, dim: int, n_i
                 c, b = divmod(int(np.round(gain[i], 9).argmax()), bins)
                 if gain[i, c, b] > gamma:
                     values = leaf(g[i, c, :b + 1].sum(), h[i, c, :b + 1].sum()), leaf(g[i, c, b + 1:].sum(), h[i, c, b + 1:].sum())
-                    after += tree.split(node, cols[c], float(edges[cols[c]][b]), values)
+                    after += tree.split(node, cols[c], float(b), values)
             open_ = after
             if not open_:
                 break

@@ -34,3 +34,39 @@ def test_a_descent_step_is_the_plain_one():
 class Plain:
     def permutation(self, n):
         return np.arange(n)
+
+
+def test_boosting_walks_few_trees_a_pass(monkeypatch):
+    """Of 20 trees a pass walks those since the margins were kept, not all."""
+    from postlens.operators.models import trees as TR
+
+    r, walked = rows_of(), []
+    edges = [np.unique(np.quantile(r["x"][:, f], np.arange(1, 16) / 16)) for f in range(5)]
+    bins = np.stack([np.searchsorted(e, r["x"][:, f]) for f, e in enumerate(edges)], axis=1).astype(np.uint16)
+    walk = TR.Tree.walk
+    monkeypatch.setattr(TR.Tree, "walk", lambda t, *a: walked.append(1) or walk(t, *a))
+    fits = []
+    for stay in (True, False):
+        at = {"r": {**r, "x": bins, "margin": np.zeros(400)}}
+
+        def keep(trees, at=at):
+            at["r"] = {**r, "x": bins, "margin": TR.margin(bins, trees, np.zeros(400))}
+
+        walked.clear()
+        fits.append(TR._boost(lambda of, at=at: np.array(of(at["r"] if stay else dict(at["r"])), float), None if stay else keep, 0.0, [len(e) for e in edges], 5, 20, 0.3, 3, 0.8, 0.8, 1.0, 0.0, 1.0, 16, None, 1))
+        assert len(walked) <= (20 + 60 if stay else 60 + 60 * TR.KEEP + 40)
+    assert fits[0].losses == fits[1].losses and fits[0].losses[-1][1] < fits[0].losses[0][1]
+
+
+def test_extra_trees_rows_walk_a_step_a_level(monkeypatch):
+    from postlens.operators.models import trees as TR
+
+    r, walk, given = rows_of(), TR.Tree.walk, []
+    monkeypatch.setattr(TR.Tree, "walk", lambda t, x, which=None, at=None: given.append(len(x) if which is None else len(which)) or walk(t, x, which, at))
+    grown = TR._grow(lambda of, meet=None: np.array(of(r), float), [0, 1], 5, 2, None, 2, 3)
+    fresh = TR._grow(lambda of, meet=None: np.array(of({k: v for k, v in r.items() if k != "stand"}), float), [0, 1], 5, 2, None, 2, 3)
+    assert grown == fresh
+    n = len(given) // 2
+    assert sum(given[:n]) < 0.6 * sum(given[n:])  # rows in leaves are left alone
+    plain = sorted(sorted(range(9), key=lambda f: (TR.uniform(1, 2, "LR", f, "pick"), f))[:3])
+    assert TR.candidates(1, 2, "LR", 9, 3) == plain
