@@ -3,7 +3,7 @@
 Training rows and query rows are dealt into blocks of bounded size by a hash of
 their id; a task compares one query block with one training block and keeps the k
 best of each query, and the blocks' bests are merged by query.  Nothing passes
-through the driver, and a task holds one block and one row of distances.  Ties are
+through the driver, and a task holds one block of each and the distances of 256 queries.  Ties are
 broken by the smaller train id, also at the k-th place."""
 
 from __future__ import annotations
@@ -16,24 +16,64 @@ from pyspark.sql import functions as F
 OUT_SCHEMA = "qid long, nid long, distance double, nlabel int"
 
 
+#: Queries compared at once inside a task; bounds the matrix of their distances.
+SLICE = 256
+
+
+def _distances(tx: np.ndarray, x: np.ndarray, p: int) -> np.ndarray:
+    gap = tx - x
+    return np.sqrt((gap * gap).sum(axis=1)) if p == 2 else np.abs(gap).sum(axis=1)
+
+
+def _best(tid, d, k):
+    at = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1]) if len(d) > k else np.arange(len(d))
+    return at[np.lexsort((tid[at], d[at]))[:k]]
+
+
 def _compare(k: int, p: int):
+    """The k best of each query.  Euclidean distances are first bounded by a matrix product
+    (squared norms less twice the product, its rounding error added), and only rows that may
+    be among the k best get the exact distance."""
     def fn(train: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
+        if not (len(train) and len(query)):
+            return pd.DataFrame({"qid": [], "nid": [], "distance": [], "nlabel": []})
+        tid, ty = train["tid"].to_numpy(), train["ty"].to_numpy()
+        tx, qx, qid = np.stack(list(train["tx"])).astype(np.float64), np.stack(list(query["qx"])).astype(np.float64), query["qid"].to_numpy()
         out = []
-        if len(train) and len(query):
-            tid, ty = train["tid"].to_numpy(), train["ty"].to_numpy()
-            tx = np.stack(list(train["tx"])).astype(np.float64)
-            for qid, x in zip(query["qid"], query["qx"]):
-                gap = tx - np.asarray(x, np.float64)
-                d = np.sqrt((gap * gap).sum(axis=1)) if p == 2 else np.abs(gap).sum(axis=1)
-                at = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1]) if len(d) > k else np.arange(len(d))
-                at = at[np.lexsort((tid[at], d[at]))[:k]]
-                out.append(pd.DataFrame({"qid": qid, "nid": tid[at], "distance": d[at], "nlabel": ty[at]}))
-        return pd.concat(out) if out else pd.DataFrame({"qid": [], "nid": [], "distance": [], "nlabel": []})
+        norm = (tx * tx).sum(axis=1)
+        for s in range(0, len(qx), SLICE):
+            xs = qx[s:s + SLICE]
+            rough = None
+            if p == 2 and len(tx) > k:
+                own = (xs * xs).sum(axis=1)
+                rough = norm - 2.0 * (xs @ tx.T) + own[:, None]
+                # a product of m terms is off by at most about m rounding errors of the norms' sum
+                slack = 4 * (tx.shape[1] + 4) * np.finfo(float).eps * (own + norm.max())
+                reach = _kth(rough, k) + 2 * slack
+            for i, x in enumerate(xs):
+                if rough is None or not np.isfinite(reach[i]):
+                    near = np.arange(len(tx))
+                else:
+                    near = np.flatnonzero(rough[i] <= reach[i])
+                d = _distances(tx[near], x, p)
+                at = _best(tid[near], d, k)
+                out.append((np.full(len(at), qid[s + i]), tid[near][at], d[at], ty[near][at]))
+        return pd.DataFrame({c: np.concatenate(v) for c, v in zip(("qid", "nid", "distance", "nlabel"), zip(*out))})
     return fn
 
 
+def _kth(rough: np.ndarray, k: int) -> np.ndarray:
+    """A bound on each row's k-th least value: the k-th least of the least values of k or
+    more strips, which costs one look at each value."""
+    strips = max(k, min(64, rough.shape[1] // 16))
+    if rough.shape[1] < 16 * strips:
+        return np.partition(rough, k - 1, axis=1)[:, k - 1]
+    least = np.minimum.reduceat(rough, np.arange(strips) * (rough.shape[1] // strips), axis=1)
+    return np.partition(least, k - 1, axis=1)[:, k - 1]
+
+
 def nearest_neighbors(train: DataFrame, query: DataFrame, k: int = 5, p: int = 2,
-                      train_block: int = 8192, query_block: int = 2048) -> DataFrame:
+                      train_block: int = 32768, query_block: int = 8192) -> DataFrame:
     """``(qid, nid, distance, nlabel, rank)`` for the k nearest train rows (all, if
     fewer).  Both inputs: (id, x array<double>, label); a query that is itself a
     training row finds itself."""

@@ -70,3 +70,21 @@ def test_extra_trees_rows_walk_a_step_a_level(monkeypatch):
     assert sum(given[:n]) < 0.6 * sum(given[n:])  # rows in leaves are left alone
     plain = sorted(sorted(range(9), key=lambda f: (TR.uniform(1, 2, "LR", f, "pick"), f))[:3])
     assert TR.candidates(1, 2, "LR", 9, 3) == plain
+
+
+def test_neighbours_through_products_are_exact():
+    """Also far from the origin, where the products lose most digits, and among ties."""
+    import pandas as pd
+
+    from postlens.operators.models import knn as KNN
+
+    rng = np.random.default_rng(0)
+    for shift, step in ((0.0, None), (1e6, None), (0.0, 1.0)):
+        x = rng.normal(size=(3000, 8)) + shift
+        x = np.round(x) if step else x
+        tid, q = rng.permutation(3000), np.concatenate([x[:20], rng.normal(size=(20, 8)) + shift])
+        got = KNN._compare(5, 2)(pd.DataFrame({"tid": tid, "tx": list(x), "ty": 0}), pd.DataFrame({"qid": np.arange(40), "qx": list(q)}))
+        for i, v in enumerate(q):
+            d = np.sqrt(((x - v) ** 2).sum(axis=1))
+            assert got[got["qid"] == i]["nid"].tolist() == tid[np.lexsort((tid, d))[:5]].tolist()
+    assert KNN._kth(rng.normal(size=(3, 4000)), 5).shape == (3,)
