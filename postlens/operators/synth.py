@@ -16,15 +16,17 @@ from postlens.operators.split import random_oversample
 def smote(df: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
     """Synthetic rows ``id, copy, neighbor, u, x, label`` that make all classes as
     large as the largest: x + u (neighbour - x), with one of the k nearest rows of
-    the same class and u uniform, both from hashes of (id, copy).  Input: (id, x
+    the same class and u uniform, both from hashes of (id, copy); only rows with a copy
+    look for neighbours.  Input: (id, x
     array<double>, label).  Rows without a neighbour in their class give none."""
     need = random_oversample(df.select("id", "label"), seed=seed).filter("copy > 0")
     key = F.concat(F.col("id").cast("string"), F.lit("/"), F.col("copy").cast("string"))
     need = need.select("id", "copy", "label", md5_bucket(key, seed, 1 << 16).alias("pick"), md5_uniform(key, seed + 1).alias("u")).persist()
+    asked = need.select("id").distinct()
     near = None
     for r in need.select("label").distinct().collect():  # one row per class
         own = df.filter(F.col("label") == r["label"])
-        one = nearest_neighbors(own, own, k=k + 1).filter("qid <> nid").select("qid", "nid", "distance")
+        one = nearest_neighbors(own, own.join(asked, "id", "left_semi"), k=k + 1).filter("qid <> nid").select("qid", "nid", "distance")
         near = one if near is None else near.unionByName(one)
     if near is None:
         return df.select("id", F.lit(0).alias("copy"), F.col("id").alias("neighbor"), F.lit(0.0).alias("u"), "x", "label").limit(0)

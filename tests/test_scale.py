@@ -72,6 +72,16 @@ def test_extra_trees_rows_walk_a_step_a_level(monkeypatch):
     assert TR.candidates(1, 2, "LR", 9, 3) == plain
 
 
+def test_smote_looks_up_copied_rows_only(spark, monkeypatch):
+    from postlens.operators import synth as SY
+
+    df = spark.createDataFrame([(i, [float(i % 7), float(i % 11)], int(i % 10 == 0)) for i in range(60)], "id long, x array<double>, label int")
+    asked, real = [], SY.nearest_neighbors
+    monkeypatch.setattr(SY, "nearest_neighbors", lambda t, q, **k: asked.append((t.count(), q.count())) or real(t, q, **k))
+    got = SY.smote(df, k=2)
+    assert asked == [(6, 6)] and got.count() == 48
+
+
 def test_neighbours_through_products_are_exact():
     """Also far from the origin, where the products lose most digits, and among ties."""
     import pandas as pd
