@@ -40,10 +40,11 @@ def smote(df: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
 def truncated_svd(vectors: DataFrame, k: int, col: str = "features") -> tuple[list[list[float]], list[float]]:
     """``(V, singular values)`` of the uncentred rows; V has one row per feature and
     is model-sized.  The largest part is a distributed Gram product."""
-    from pyspark.mllib.linalg import Vectors
     from pyspark.mllib.linalg.distributed import RowMatrix
+    from pyspark.mllib.util import MLUtils
 
-    rows = vectors.select(col).rdd.map(lambda r: Vectors.fromML(r[0])).persist()  # read again at every step
+    # read again at every step: cached in the JVM, where no step turns Python's objects into rows
+    rows = MLUtils.convertVectorColumnsFromML(vectors.select(col), col).persist()
     svd = RowMatrix(rows).computeSVD(k)
     rows.unpersist()
     return svd.V.toArray().tolist(), svd.s.toArray().tolist()

@@ -98,3 +98,17 @@ def test_neighbours_through_products_are_exact():
             d = np.sqrt(((x - v) ** 2).sum(axis=1))
             assert got[got["qid"] == i]["nid"].tolist() == tid[np.lexsort((tid, d))[:5]].tolist()
     assert KNN._kth(rng.normal(size=(3, 4000)), 5).shape == (3,)
+
+
+def test_svd_rows_stay_in_the_jvm(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+    from pyspark.mllib.linalg import distributed
+    from pyspark.sql import DataFrame
+
+    from postlens.operators.synth import truncated_svd
+
+    seen, real = [], distributed.RowMatrix
+    monkeypatch.setattr(distributed, "RowMatrix", lambda rows: seen.append(isinstance(rows, DataFrame)) or real(rows))
+    df = spark.createDataFrame([(Vectors.sparse(3, [0, 2], [1.0, 2.0]),), (Vectors.sparse(3, [1], [3.0]),), (Vectors.sparse(3, [], []),)], ["features"])
+    v, s = truncated_svd(df, 2)
+    assert seen == [True] and np.allclose(s, [3.0, 5 ** 0.5]) and len(v) == 3
