@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import HashingTF, Normalizer, Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector, VectorUDT
@@ -145,14 +147,62 @@ def embedding_lookup(vocab: DataFrame, vectors: DataFrame, dim: int, word_col: s
         "vec", F.coalesce(F.col("vec"), F.array_repeat(F.lit(0.0), dim)))
 
 
+#: Documents whose words meet their vectors in one task, about.
+POOL_DOCS = 8192
+
+
 def mean_pool_embeddings(doc_terms: DataFrame, vectors: DataFrame, id_col: str = "id") -> DataFrame:
-    """Average of the known-token vectors of each document (null if none):
-    a join plus a ``(id, pos)`` aggregation -- no per-document Python."""
-    j = doc_terms.select(id_col, F.col("term").alias("word"), "tf").join(vectors, "word")
-    p = j.select(id_col, "tf", F.posexplode("vec").alias("pos", "x"))
-    m = p.groupBy(id_col, "pos").agg((F.sum(F.col("x") * F.col("tf")) / F.sum("tf")).alias("x"))
-    return m.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("_s")).select(
-        id_col, F.transform("_s", lambda s: s["x"]).alias("embedding"))
+    """Average of the known-token vectors of each document (no row if it has none).
+
+    The vectors go to the documents: those are dealt by id into parts of about
+    ``POOL_DOCS``, a part gets each vector it has a word of once, and sums them in a task.
+    So a vector moves once per part, not once per word of a document.  A word with several
+    vectors counts with each; at a place a null adds nothing to the sum."""
+    kind = doc_terms.schema[id_col].dataType.simpleString()
+    t = doc_terms.select(F.col(id_col).alias("id"), F.col("term").alias("word"), F.col("tf").cast("double").alias("tf")).filter("word IS NOT NULL").persist()
+    docs = t.agg(F.approx_count_distinct("id")).first()[0]
+    t = t.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(max(1, -(-docs // POOL_DOCS)))).cast("int"))
+    known = vectors.select(F.col("word").alias("name"), F.transform("vec", lambda x: F.coalesce(x.cast("double"), F.lit(0.0))).alias("vec"), F.transform("vec", lambda x: x.isNull()).alias("gaps"))
+    known = known.withColumn("gaps", F.when(F.array_contains("gaps", True), F.col("gaps"))).filter(F.size("vec") > 0)
+    asked = t.select(F.col("part").alias("to"), F.col("word").alias("asked")).distinct()
+    sent = asked.join(known, F.col("asked") == F.col("name")).select("to", "name", "vec", "gaps")
+
+    def pool(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+        if not (len(docs) and len(words)):
+            return pd.DataFrame({id_col: docs["id"][:0], "embedding": pd.Series(dtype=object)})
+        longest = max(map(len, words["vec"]))
+        # a word's vectors summed: values, vectors that have the place, those that have a value there
+        number, names = pd.factorize(words["name"])
+        total = np.zeros((3, len(names), longest))
+        for i, v, gaps in zip(number, words["vec"], words["gaps"]):
+            total[0, i, :len(v)] += v
+            total[1, i, :len(v)] += 1
+            total[2, i, :len(v)] += 1 if gaps is None else ~np.asarray(gaps, bool)
+        plain = (total[1:] == total[1:, :, :1]).all() and (total[1] == total[2]).all()
+        docs = docs.assign(at=pd.Index(names).get_indexer(docs["word"]))
+        docs = docs[docs["at"] >= 0]
+        # rows of a document together (an unknown id is an id too), whole documents a slice
+        doc, ids = pd.factorize(docs["id"], use_na_sentinel=False)
+        order = np.argsort(doc, kind="stable")
+        doc, at, tf = doc[order], docs["at"].to_numpy()[order], docs["tf"].to_numpy()[order]
+        first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, int)
+        ends, rows, lo = np.append(first[1:], len(doc)), [], 0
+        while lo < len(first):
+            hi = max(lo + 1, int(np.searchsorted(ends, first[lo] + 20_000, "right")))
+            span, cuts = slice(first[lo], ends[hi - 1]), first[lo:hi] - first[lo]
+            sums = [np.add.reduceat(total[j][at[span]] * tf[span, None], cuts) for j in ([0] if plain else [0, 1, 2])]
+            if plain:
+                sums = [sums[0], np.repeat(np.add.reduceat(tf[span] * total[1][at[span], 0], cuts)[:, None], longest, axis=1)] + [np.ones_like(sums[0])]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                mean = sums[0] / sums[1]
+            if plain:
+                rows += mean.tolist()
+            else:
+                rows += [[v if n > 0 else None for v, n, d in zip(m, some, every) if d > 0] for m, some, every in zip(mean, sums[2], sums[1])]
+            lo = hi
+        return pd.DataFrame({id_col: ids, "embedding": pd.Series(rows, dtype=object)})
+
+    return t.groupBy("part").cogroup(sent.groupBy("to")).applyInPandas(pool, f"`{id_col}` {kind}, embedding array<double>")
 
 
 def word2vec_mean(df: DataFrame, size: int = 300, passes: int = 5, seed: int = 42, id_col: str = "id", tokens_col: str = "tokens") -> DataFrame:

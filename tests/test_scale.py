@@ -112,3 +112,17 @@ def test_svd_rows_stay_in_the_jvm(spark, monkeypatch):
     df = spark.createDataFrame([(Vectors.sparse(3, [0, 2], [1.0, 2.0]),), (Vectors.sparse(3, [1], [3.0]),), (Vectors.sparse(3, [], []),)], ["features"])
     v, s = truncated_svd(df, 2)
     assert seen == [True] and np.allclose(s, [3.0, 5 ** 0.5]) and len(v) == 3
+
+
+def test_mean_pool_of_odd_vectors(spark, monkeypatch):
+    """Repeated words, nulls, short and empty vectors, documents in several parts; vectors
+    move to parts of documents instead of a row per word and place."""
+    from postlens.operators import features as FE
+
+    monkeypatch.setattr(FE, "POOL_DOCS", 2)
+    terms = spark.createDataFrame([(1, "a", 2), (1, "b", 1), (1, "zz", 9), (2, "b", 3), (3, "c", 1), (4, "d", 1), (5, "e", 1), (6, "a", 1), (None, "a", 2), (7, None, 1)], "id long, term string, tf long")
+    vecs = spark.createDataFrame([("a", [1.0, 2.0]), ("a", [3.0, 4.0]), ("b", [None, 6.0]), ("c", [1.0]), ("d", []), ("e", None), (None, [9.0, 9.0])], "word string, vec array<double>")
+    got = {r.id: r.embedding for r in FE.mean_pool_embeddings(terms, vecs).collect()}
+    assert got == {1: [8 / 5, 18 / 5], 2: [None, 6.0], 3: [1.0], 6: [2.0, 3.0], None: [2.0, 3.0]}
+    plan = FE.mean_pool_embeddings(terms, vecs)._jdf.queryExecution().toString()
+    assert "FlatMapCoGroupsInPandas" in plan and "posexplode" not in plan
