@@ -43,22 +43,38 @@ def word_ngrams(df: DataFrame, tokens_col: str = "tokens", n_min: int = 1, n_max
 
 
 def char_ngrams(df: DataFrame, text_col: str = "post", n_min: int = 2, n_max: int = 6,
-                id_col: str = "id") -> DataFrame:
+                id_col: str = "id", longest: bool = False) -> DataFrame:
     """Long ``(id, term)`` rows of character n-grams of the lower-cased text
     after runs of two or more whitespace characters become one blank.
     Generators keep the normalised text an attribute, so it is computed
-    once per post (not once per position)."""
+    once per post (not once per position).  With ``longest`` only the longest gram that
+    starts at each place, of which the others are the beginnings."""
     t = F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), "[ \\t\\n\\x0B\\f\\r]{2,}", " ")
     # code points of the post, once per post ((?s). matches any code point)
     x = df.select(id_col, F.regexp_extract_all(t, F.lit("(?s)."), 0).alias("_g1"))
     # an n-gram is an (n-1)-gram and one more code point; every length is a column
     # of its own, used twice, so that none is evaluated again for the next
     for n in range(2, n_max + 1):
+        if longest:  # at the end of the text the gram stays as it is
+            x = x.withColumn(f"_g{n}", F.zip_with(F.col(f"_g{n - 1}"), F.slice(F.col("_g1"), F.lit(n), F.greatest(F.size("_g1") - n + 1, F.lit(0))), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))))
+            continue
         left = F.greatest(F.size("_g1") - n + 1, F.lit(0))
         x = x.withColumn(f"_g{n}", F.zip_with(F.slice(F.col(f"_g{n - 1}"), F.lit(1), left), F.slice(F.col("_g1"), F.lit(n), left), lambda a, b: F.concat(a, b)))
+    if longest:
+        kept = F.slice(F.col(f"_g{n_max}"), F.lit(1), F.greatest(F.size("_g1") - n_min + 1, F.lit(0)))
+        return x.select(id_col, F.explode(kept).alias("term"))
     return x.select(id_col, F.explode(F.concat(*[F.col(f"_g{n}") for n in range(n_min, n_max + 1)])).alias("term"))
 
 
+def char_ngram_counts(df: DataFrame, text_col: str = "post", n_min: int = 2, n_max: int = 6, id_col: str = "id") -> DataFrame:
+    """``(term, cf)`` of all grams of :func:`char_ngrams`: the longest gram of each place is
+    counted, then each distinct one hands its count to its beginnings, so that the texts give
+    one row a place instead of one a place and length."""
+    whole = char_ngrams(df, text_col, n_min, n_max, id_col, longest=True).groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
+    heads = F.transform(F.sequence(F.lit(n_min), F.length("term")), lambda n: F.substring(F.col("term"), F.lit(1), n))
+    return whole.select("cf", F.explode(heads).alias("term")).groupBy("term").agg(F.sum("cf").alias("cf"))
+
+
 def term_counts(df: DataFrame, id_col: str = "id", terms_col: str = "tokens") -> DataFrame:
     """Bag of words: ``(id, term, tf)`` (map-side combined)."""
     return (df.select(id_col, F.explode(terms_col).alias("term"))

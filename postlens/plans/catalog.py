@@ -328,8 +328,7 @@ SELECT g AS term, count(*) AS cf FROM (
   SELECT unnest(list_transform(range(1, length(t) - n + 2), lambda i: substr(t, i, n))) AS g FROM t, (VALUES (2), (3), (4), (5), (6)) v(n) WHERE length(t) >= n)
 GROUP BY g""")
 def q_char_ngrams(spark, sf):
-    c = FE.char_ngrams(train_posts(spark, sf), "post", 2, 6)
-    return c.groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
+    return FE.char_ngram_counts(train_posts(spark, sf), "post", 2, 6)
 
 
 def _counts_sql(stop=True):

@@ -126,3 +126,13 @@ def test_mean_pool_of_odd_vectors(spark, monkeypatch):
     assert got == {1: [8 / 5, 18 / 5], 2: [None, 6.0], 3: [1.0], 6: [2.0, 3.0], None: [2.0, 3.0]}
     plan = FE.mean_pool_embeddings(terms, vecs)._jdf.queryExecution().toString()
     assert "FlatMapCoGroupsInPandas" in plan and "posexplode" not in plan
+
+
+def test_char_ngram_counts_are_those_of_all_grams(spark):
+    from postlens.operators import features as FE
+
+    df = spark.createDataFrame([(1, "Ab ab  \t x"), (2, "a"), (3, ""), (4, None), (5, "\U0001F600e\u0301\U0001F600e\u0301!"), (6, "abab\nab"), (6, "xy")], "id long, post string")
+    for low, high in ((2, 6), (1, 3), (3, 3)):
+        plain = FE.char_ngrams(df, "post", low, high).groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
+        assert sorted(map(tuple, FE.char_ngram_counts(df, "post", low, high).collect())) == sorted(map(tuple, plain.collect()))
+    assert FE.char_ngrams(df, "post", 2, 6, longest=True).count() < 0.5 * FE.char_ngrams(df, "post", 2, 6).count()
