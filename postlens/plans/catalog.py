@@ -987,7 +987,10 @@ SELECT id, label, CASE WHEN prob >= 0.5 THEN 1 ELSE 0 END AS prediction, {R6('pr
 def nb_data(spark, sf):
     """Token counts, training rows, validation rows and vocabulary of the NB queries."""
     posts = SP.stratified_split(train_posts(spark, sf).withColumn("clean", TX.clean_post("post")), 0.2, 42)
-    c = FE.term_counts(FE.tokenize_words(posts, "clean").select("id", "tokens"))
+    # cleaned, split and tokenised once: the vocabulary, the fit and the scores all read the counts
+    posts = posts.select("id", "label", "split", "clean")
+    c = FE.term_counts(FE.tokenize_words(posts, "clean").select("id", "tokens")).persist()
+    posts = posts.select("id", "label", "split").persist()
     tr = posts.filter("split = 'train'").select("id", "label")
     va = posts.filter("split = 'val'").select("id", "label")
     tc = c.join(tr.select("id"), "id", "left_semi")

@@ -136,3 +136,10 @@ def test_char_ngram_counts_are_those_of_all_grams(spark):
         plain = FE.char_ngrams(df, "post", low, high).groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
         assert sorted(map(tuple, FE.char_ngram_counts(df, "post", low, high).collect())) == sorted(map(tuple, plain.collect()))
     assert FE.char_ngrams(df, "post", 2, 6, longest=True).count() < 0.5 * FE.char_ngrams(df, "post", 2, 6).count()
+
+
+def test_nb_counts_are_made_once(spark):
+    from postlens.plans.catalog import nb_data
+
+    counts = nb_data(spark, SF001)[0]
+    assert counts.storageLevel.useMemory
