@@ -23,11 +23,17 @@ SCALE = 4.0
 
 
 def post_words(df: DataFrame, text_col: str = "post", id_col: str = "id") -> DataFrame:
-    """``(id, word, n)``: lower-cased words without the marks around them, counted
-    per post.  Null and empty texts have none; words of marks alone are none."""
+    """``(id, word, n)``: the words of :func:`word_rows` counted per post.  The posts are
+    dealt by id before they are cut, so that a post moves as its text and its words stay."""
+    return word_rows(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("post")).repartition("id"), "post", "id").groupBy("id", "word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def word_rows(df: DataFrame, text_col: str = "post", id_col: str = "id") -> DataFrame:
+    """``(id, word)``: lower-cased words without the marks around them, repeats included.
+    Null and empty texts have none; words of marks alone are none."""
     w = df.select(F.col(id_col).alias("id"), F.explode(TX.words(text_col, lower=True)).alias("word"))
     w = w.withColumn("word", F.regexp_replace("word", "^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$", ""))
-    return w.filter(F.col("word") != "").groupBy("id", "word").agg(F.count(F.lit(1)).alias("n"))
+    return w.filter(F.col("word") != "")
 
 
 def induce_lexicon(words: DataFrame, labels: DataFrame, prior: float = 1000.0, min_posts: int = 3, z_min: float = 1.96) -> DataFrame:
@@ -100,13 +106,13 @@ def sign_test(sentiment: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def induce_lemmas(words: DataFrame, rules=None, min_stem: int = 3) -> DataFrame:
-    """``(word, lemma, n, lemma_n)`` from ``words`` (id, word, n).
+    """``(word, lemma, n, lemma_n)`` from ``words`` (word, n), whose counts of a word are summed.
 
     Each rule offers a word of letters the form with its suffix replaced, where at
     least ``min_stem`` letters stay before it.  The lemma is the offered form that is
     itself a word at least as frequent; among several the most frequent, then the
     first in code-point order.  One step only: a lemma may have one of its own."""
-    vocab = words.groupBy("word").agg(F.sum("n").alias("n"))
+    vocab = words.groupBy("word").agg(F.sum("n").alias("n")).persist()  # read twice
     stem = lambda s, r: F.concat(F.expr(f"substring(word, 1, length(word) - {len(s)})"), F.lit(r))
     offers = F.array(*[F.when(F.endswith("word", F.lit(s)) & (F.length("word") >= len(s) + min_stem), stem(s, r)) for s, r in rules or SUFFIX_RULES])
     offered = vocab.filter(F.col("word").rlike("^\\p{L}+$")).select("word", "n", F.explode(F.array_distinct(offers)).alias("lemma"))

@@ -106,7 +106,8 @@ lemmas AS (SELECT o.word, o.lemma, o.n, v.n AS lemma_n FROM offered o JOIN vocab
 
 
 def _lemmas(spark, sf):
-    return LX.induce_lemmas(LX.post_words(table(spark, sf, "documents"), "text", "doc_id"))
+    # every occurrence a row: words are summed over all posts, so no post's own counts are needed
+    return LX.induce_lemmas(LX.word_rows(table(spark, sf, "documents"), "text", "doc_id").select("word", F.lit(1).alias("n")))
 
 
 @register("induced_lemmas", f"WITH {_LEMMA_SQL} SELECT word, lemma, n, lemma_n FROM lemmas")

@@ -138,6 +138,18 @@ def test_char_ngram_counts_are_those_of_all_grams(spark):
     assert FE.char_ngrams(df, "post", 2, 6, longest=True).count() < 0.5 * FE.char_ngrams(df, "post", 2, 6).count()
 
 
+def test_words_do_not_move_by_post(spark):
+    """Words of a post are counted where the post is; lemmas need no post at all."""
+    from postlens.operators import lexicon as LX
+
+    df = spark.createDataFrame([(1, "Running, running (runs) run run"), (1, "run"), (2, None), (3, "run runs")], "id long, post string")
+    words = LX.post_words(df)
+    assert sorted(map(tuple, words.collect())) == [(1, "run", 3), (1, "running", 2), (1, "runs", 1), (3, "run", 1), (3, "runs", 1)]
+    assert str(words._jdf.queryExecution().optimizedPlan()).count("Repartition") == 1
+    lemmas = LX.induce_lemmas(LX.word_rows(df).select("word", F.lit(1).alias("n")))
+    assert sorted(map(tuple, lemmas.collect())) == sorted(map(tuple, LX.induce_lemmas(words).collect())) == [("runs", "run", 2, 4)]
+
+
 def test_nb_counts_are_made_once(spark):
     from postlens.plans.catalog import nb_data
 
