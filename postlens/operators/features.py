@@ -27,10 +27,18 @@ def tokenize_words(df: DataFrame, text_col: str = "post", out: str = "tokens",
 
 
 def word_ngrams(df: DataFrame, tokens_col: str = "tokens", n_min: int = 1, n_max: int = 2,
-                out: str = "ngrams") -> DataFrame:
+                out: str = "ngrams", longest: bool = False) -> DataFrame:
     """n-grams joined by one blank, built after stop-word removal (MLlib
     ``NGram``: the token array is handed over once per row, never
-    re-evaluated per position)."""
+    re-evaluated per position).  With ``longest`` long rows ``w1 .. w<n_max>`` in place of
+    the columns of ``df``: the words of the longest n-gram that starts at each place, null
+    behind the last word of a post."""
+    if longest:
+        words = [F.slice(tokens_col, F.lit(n), F.greatest(F.size(tokens_col) - n + 1, F.lit(0))).alias(f"w{n}") for n in range(1, n_max + 1)]
+        # outer: for a plain explode Spark would infer a filter on the tokens' size, push it
+        # below the join of posts and labels and make the tokens of all documents once more
+        x = df.select(tokens_col).select(F.explode_outer(F.arrays_zip(*words)).alias(out))
+        return x.select(*[F.col(out)[f"w{n}"].alias(f"w{n}") for n in range(1, n_max + 1)]).filter(F.col("w1").isNotNull())
     from pyspark.ml.feature import NGram
 
     x = df
@@ -42,6 +50,24 @@ def word_ngrams(df: DataFrame, tokens_col: str = "tokens", n_min: int = 1, n_max
     return x.withColumn(out, F.concat(*[F.col(c) for c in cols])).drop(*cols)
 
 
+def word_ngram_counts(df: DataFrame, tokens_col: str = "tokens", n_min: int = 1, n_max: int = 2) -> DataFrame:
+    """``(term, cf)`` of all grams of :func:`word_ngrams`, of tokens that are neither null nor hold
+    a blank: the longest gram of each place is counted, then each distinct one hands its count to
+    its beginnings, so that the posts give one row a place instead of one a place and length."""
+    w = [f"w{n}" for n in range(1, n_max + 1)]
+    size = F.aggregate(F.array(*w), F.lit(0), lambda n, x: n + F.when(x.isNotNull(), 1).otherwise(0))
+    # the size as an aggregate: as a filter on the words it would be pushed down, and the
+    # posts be read once for the whole grams and once for the others
+    whole = word_ngrams(df, tokens_col, n_min, n_max, longest=True).groupBy(*w).agg(F.count(F.lit(1)).alias("cf"), F.max(size).alias("n"))
+    gram = {n: F.concat(w[0], *[x for c in w[1:n] for x in (F.lit(" "), F.col(c))]) for n in range(n_min, n_max + 1)}
+    full = whole.filter(F.col("n") == n_max).select(gram[n_max].alias("term"), "cf")
+    if n_min == n_max:
+        return full
+    heads = F.array(*[F.when(F.col("n") >= n, gram[n]) for n in range(n_min, n_max)])
+    rest = whole.select("cf", F.explode(heads).alias("term")).filter(F.col("term").isNotNull()).groupBy("term").agg(F.sum("cf").alias("cf"))
+    return full.unionByName(rest)
+
+
 def char_ngrams(df: DataFrame, text_col: str = "post", n_min: int = 2, n_max: int = 6,
                 id_col: str = "id", longest: bool = False) -> DataFrame:
     """Long ``(id, term)`` rows of character n-grams of the lower-cased text

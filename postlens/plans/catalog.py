@@ -318,8 +318,7 @@ SELECT term, count(*) AS cf FROM (
   FROM ({_toks_sql()}), (VALUES (1), (2), (3)) g(n) WHERE len(tokens) >= n)
 GROUP BY term""")
 def q_word_ngrams(spark, sf):
-    t = FE.word_ngrams(_toks(spark, sf), "tokens", 1, 3)
-    return t.select(F.explode("ngrams").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
+    return FE.word_ngram_counts(_toks(spark, sf), "tokens", 1, 3)
 
 
 @register("char_ngrams", f"""

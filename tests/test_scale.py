@@ -138,6 +138,21 @@ def test_char_ngram_counts_are_those_of_all_grams(spark):
     assert FE.char_ngrams(df, "post", 2, 6, longest=True).count() < 0.5 * FE.char_ngrams(df, "post", 2, 6).count()
 
 
+def test_word_ngram_counts_are_those_of_all_grams(spark):
+    """One row a place leaves the posts; tokens are made once, behind the join with the labels."""
+    import __spark_entry__ as E
+    from postlens.operators import features as FE
+
+    df = spark.createDataFrame([(1, ["a", "b", "a", "b", "a"]), (2, ["a"]), (3, []), (5, ["b", "a"]), (6, ["x", "y", "z"]), (6, ["x", "y", "z"])], "id long, tokens array<string>")
+    for low, high in ((1, 3), (2, 3), (2, 2), (1, 1), (1, 6)):
+        plain = FE.word_ngrams(df, "tokens", low, high).select(F.explode("ngrams").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
+        assert sorted(map(tuple, FE.word_ngram_counts(df, "tokens", low, high).collect())) == sorted(map(tuple, plain.collect()))
+    assert FE.word_ngrams(df, "tokens", 1, 3, longest=True).count() == 14
+    plan = str(E.queries()["word_ngrams"](spark, SF001)._jdf.queryExecution().optimizedPlan()).splitlines()
+    made, joined = ([i for i, line in enumerate(plan) if sign in line] for sign in ("regexp_extract_all", "Join Inner"))
+    assert made and len(made) == len(joined) and all(m < j for m, j in zip(made, joined))
+
+
 def test_words_do_not_move_by_post(spark):
     """Words of a post are counted where the post is; lemmas need no post at all."""
     from postlens.operators import lexicon as LX
