@@ -119,11 +119,12 @@ register("qda_classifier")(_discriminant(True, 0.1))
 
 
 # ---------------------------------------------------------------- text -> TF-IDF -> model
-def _text_query(make):
+def _text_query(make, parts=lambda n: 1):
     def fn(spark, sf):
         posts = SP.stratified_split(train_posts(spark, sf), 0.2, 42)
         train, val = posts.filter("split = 'train'"), posts.filter("split = 'val'")
-        out = TM.predict_text_model(TM.fit_text_model(train, make(train.count())), val)
+        n = train.count()
+        out = TM.predict_text_model(TM.fit_text_model(train, make(n), parts=parts(n)), val)
         out = LIN.positive_prob(out) if "probability" in out.columns else out.withColumn("prob", F.lit(None).cast("double"))
         return out.select("id", "label", F.col("prediction").cast("int").alias("prediction"), F.round("prob", 6).alias("prob"))
     return fn
@@ -131,7 +132,7 @@ def _text_query(make):
 
 register("text_logistic_regression")(_text_query(lambda n: LIN.logistic_regression(C=100.0, n=n)))
 register("text_linear_svc")(_text_query(lambda n: LIN.linear_svc(C=100.0, n=n)))
-register("text_random_forest")(_text_query(lambda n: LIN.random_forest(n_trees=100, max_depth=10)))
+register("text_random_forest")(_text_query(lambda n: LIN.random_forest(n_trees=100, max_depth=10), parts=lambda n: -(-n // TM.FOREST_ROWS)))
 
 
 # ---------------------------------------------------------------- reduction

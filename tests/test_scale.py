@@ -153,6 +153,25 @@ def test_word_ngram_counts_are_those_of_all_grams(spark):
     assert made and len(made) == len(joined) and all(m < j for m, j in zip(made, joined))
 
 
+def test_forest_rows_are_dealt_out(spark, monkeypatch):
+    """Short posts in one partition once gave one task all dense rows of the forest."""
+    import __spark_entry__ as E
+    from postlens.operators.models import text_models as TM
+    from pyspark.ml.classification import RandomForestClassifier
+
+    seen, real = [], RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df, params=None: seen.append(df.rdd.glom().map(lambda rows: [r.id for r in rows]).collect()) or real(self, df))
+    query = E.queries()["text_random_forest"]
+    whole = query(spark, SF001).count()
+    monkeypatch.setattr(TM, "FOREST_ROWS", 10, raising=False)
+    out = query(spark, SF001).collect()
+    few, many = seen
+    n = sum(map(len, few))
+    assert len(many) == -(-n // 10) and max(map(len, many)) < 25 and all(ids == sorted(ids) for ids in many)
+    assert sorted(i for ids in many for i in ids) == sorted(i for ids in few for i in ids)
+    assert len(out) == whole and all(0 <= r.prob <= 1 and r.prediction in (0, 1) for r in out)
+
+
 def test_words_do_not_move_by_post(spark):
     """Words of a post are counted where the post is; lemmas need no post at all."""
     from postlens.operators import lexicon as LX
