@@ -199,6 +199,64 @@ def test_word2vec_gives_every_token_a_vector(spark):
     assert {len(r.embedding) for r in out if r.embedding} == {300}
 
 
+def test_word_vectors_stay_in_parts(spark):
+    """No result of the driver's holds a word; a task holds a part's words; averages are those of the
+    parts; reruns agree whatever the partitioning, rows with odd ids and without tokens kept."""
+    from unittest import mock
+
+    from pyspark.ml.feature import Word2Vec
+    from postlens.operators import word_vectors as W
+    from postlens.operators.features import word2vec_mean
+
+    rng = np.random.default_rng(3)
+    docs = [(i, [f"t{i % 4}w{k}" for k in rng.integers(0, 12, 30)]) for i in range(400)] + [(2**62 + 1, ["t0w1", "rare"]), (None, ["t1w1", None]), (None, None), (7, []), (7, ["rare"])]
+    df = spark.createDataFrame(docs, "id long, tokens array<string>")
+    with mock.patch.object(Word2Vec, "fit", side_effect=AssertionError("the vocabulary on the driver")):
+        one, many = (word2vec_mean(df.repartition(k), size=9, passes=8, part_tokens=most).collect() for k, most in ((3, None), (5, 2000)))
+        again = word2vec_mean(df.repartition(2), size=9, passes=8, part_tokens=2000).collect()
+    text = lambda rows: sorted(map(str, rows))
+    assert text(many) == text(again) and text(many) != text(one)
+    for got in (one, many):
+        assert sorted(str(r.id) for r in got) == sorted(str(i) for i, _ in docs) and sum(r.embedding is None for r in got) == 2
+        v = {r.id: np.array(r.embedding) for r in got if r.id is not None and r.id != 7}
+        m = np.stack([v[i] for i in range(400) if i != 7])
+        m /= np.linalg.norm(m, axis=1, keepdims=True)
+        c, topic = m @ m.T, np.array([i % 4 for i in range(400) if i != 7])
+        np.fill_diagonal(c, -2)
+        assert (topic[c.argmax(axis=1)] == topic).all()  # planted neighbours
+    # without passes the vectors are the words' first ones, in however many parts: the pooled mean of them
+    first = {k: {str((r.id, n)): r.embedding for n, r in enumerate(sorted(word2vec_mean(df, size=9, passes=0, part_tokens=k).collect(), key=str))} for k in (None, 2000)}
+    assert all((a is None) == (b is None) and (a is None or np.allclose(a, b, atol=1e-4 / 9)) for a, b in zip(first[None].values(), first[2000].values()))
+    x = np.concatenate([rng.normal(size=(50, 9)), np.zeros((1, 9))]).astype(np.float32)
+    assert (np.abs(W.unpacked(W.packed(x), 9) - x).max(axis=1) <= np.abs(x).max(axis=1) / 4000).all()
+
+
+def test_word_vectors_step_is_that_of_plain_cbow():
+    """A step over two posts against the sums of gradients written out."""
+    from postlens.operators import word_vectors as W
+
+    words, post = np.array([0, 1, 2, 0, 3, 1], np.int32), np.array([0, 0, 0, 0, 1, 1])
+    v = W.start_vectors(np.arange(4) * 7919, 6)
+    first = v.copy()
+    assert np.abs(first).max() <= 0.5 / 6 and len(np.unique(first)) == 24
+    W.train(words, post, v, 1, 1, 0, np.random.default_rng(0))
+    assert np.allclose(v, first)  # the outer vectors start at zero, so the first step moves these only
+    v = first.copy()
+    W.train(words, post, v, 2, 1, 0, np.random.default_rng(0))
+    near = {0: [1], 1: [0, 2], 2: [1, 3], 3: [2], 4: [5], 5: [4]}
+    outer, want = np.zeros((4, 6)), first.astype(float)
+    for rate in (0.025, 0.025 - (0.025 - 0.0001) / 2):
+        up, move = np.zeros((4, 6)), np.zeros((4, 6))
+        for i, c in near.items():
+            h = want[words[c]].mean(axis=0)
+            g = rate * (1 - 1 / (1 + np.exp(-h @ outer[words[i]])))
+            up[words[i]] += g * h
+            for j in c:
+                move[words[j]] += g * outer[words[i]] / len(c)
+        outer, want = outer + up, want + move
+    assert np.allclose(v, want, atol=1e-6) and not np.allclose(v, first, atol=1e-6)
+
+
 def test_descent_of_many_models_is_that_of_each(rows):
     from postlens.operators.models.linear import gd_logistic, gd_logistic_many
 
