@@ -3,12 +3,14 @@
 A level of all trees (or of one boosted tree) is one or two passes over the rows: tasks
 walk the trees grown so far, sum what the open nodes ask for into one array, and the
 arrays meet in a few partial sums before the driver reads one of them.  The driver
-holds the trees; rows stay in the tasks."""
+holds boosted trees; those of a forest stay in a table (:class:`Forest`), as unlimited
+depth makes them as large as the rows.  Rows stay in the tasks."""
 
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from hashlib import md5
 
@@ -21,6 +23,9 @@ from pyspark.sql import functions as F
 #: Partial sums that reach the driver; rows of a partition at least.
 FAN, LOCAL_ROWS = 16, 50_000
 
+#: Numbers a table has at most of which a task grows whole trees: 512 MB as float64, half of it as float32.
+WHOLE = 1 << 26
+
 
 def uniform(*what) -> float:
     """A number in [0, 1) by md5 of its arguments."""
@@ -63,6 +68,13 @@ def _arrays(b: pd.DataFrame) -> dict[str, np.ndarray]:
     return {"x": np.stack(b["x"].to_numpy()), "y": b["y"].to_numpy(float), "wt": b["wt"].to_numpy(float), "held": b["held"].to_numpy(bool), "rid": b["rid"].to_numpy(np.int64)}
 
 
+def _single(x: np.ndarray) -> np.ndarray:
+    """As float32 where no value changes."""
+    with np.errstate(over="ignore"):
+        y = x.astype(np.float32)
+    return y if (y == x).all() else x
+
+
 def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows as blocks of plain bytes, a block a batch."""
     for b in batches:
@@ -89,7 +101,7 @@ class Rows:
         rows = df.select(F.col(features_col).cast("array<double>").alias("x"), F.col(label_col).cast("double").alias("y"), (F.col(weight_col) if weight_col else F.lit(1.0)).cast("double").alias("wt"),
                          (F.coalesce(F.col(held_col), F.lit(False)) if held_col else F.lit(False)).alias("held"), rid.alias("rid"))
         rows = rows.filter(F.col("x").isNotNull() & F.col("y").isNotNull() & F.col("wt").isNotNull() & ~F.exists("x", lambda v: v.isNull() | F.isnan(v)))
-        n = rows.count()
+        self.rows = n = rows.count()
         self.partitions = max(1, min(df.sparkSession.sparkContext.defaultParallelism * 4, n // LOCAL_ROWS))
         self.base = rows.repartition(self.partitions, "rid").sortWithinPartitions("rid").persist()
         self.blocks = self.base.mapInPandas(_packed, _BLOCK).persist() if self.partitions > 1 else None
@@ -100,10 +112,32 @@ class Rows:
             if held is not None:
                 held.unpersist()
 
+    def apart(self, fit: Callable[[dict, int], Iterator[pd.DataFrame]], copies: int, schema: str) -> DataFrame:
+        """What ``fit(rows, copy)`` gives, a task for each copy of all rows, which are dealt in
+        packed blocks, their features in float32 where that holds them."""
+
+        def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                if len(b):
+                    r = _arrays(b)
+                    yield pd.DataFrame({"first": r["rid"][:1], "x": [_single(r["x"]).tobytes()]} | {k: [r[k].tobytes()] for k in ("y", "wt", "rid")})
+
+        def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            held = list(batches)
+            for g, b in pd.concat(held).sort_values("first", kind="stable").groupby("g") if held else ():
+                r = {k: np.concatenate([np.frombuffer(v, _KINDS[k]) for v in b[k]]) for k in ("y", "wt", "rid")}
+                x = [np.frombuffer(v, np.float32 if 4 * dim * len(rid) // 8 == len(v) else np.float64).reshape(-1, dim) for v, rid in zip(b["x"], b["rid"])]
+                held = b = None  # the blocks go before the trees come
+                yield from fit(r | {"x": np.concatenate(x)}, int(g))
+
+        dim = (self.base.filter(F.size("x") > 0).select(F.size("x")).first() or [1])[0]
+        blocks = self.base.mapInPandas(pack, "first long, x binary, y binary, wt binary, rid binary")
+        return blocks.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).repartitionById(copies, "g").mapInPandas(local, schema)
+
     def alone(self, fit: Callable[[Callable, int], object], copies: int = 1, ready: Callable[[dict], dict] = dict) -> list:
         """``fit(total, copy)`` in one task per copy, for a table of one partition: the same
         passes, without a job for each, over what ``ready`` makes of the rows."""
-        rows = self.base.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).repartition(copies, "g")
+        rows = self.base.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).repartitionById(copies, "g")
 
         def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             held = list(batches)
@@ -148,26 +182,112 @@ class Rows:
 
 
 # -------------------------------------------------------------- extremely randomised trees
+_NODES = {"feature": np.int32, "cut": np.float64, "left": np.int32, "right": np.int32, "value": np.float64}
+_TREE = ", ".join(f"{c} binary" for c in _NODES)
+
+
+@dataclass(eq=False)
+class Forest(Sequence):
+    """Trees in a cached table, a row each; the driver sees one when it asks for it.  A tree
+    without a row is a leaf of one half."""
+
+    table: DataFrame
+    n_trees: int
+
+    def __len__(self) -> int:
+        return self.n_trees
+
+    def __getitem__(self, i):
+        if isinstance(i, slice):
+            return [self[j] for j in range(*i.indices(self.n_trees))]
+        i = range(self.n_trees)[i]
+        row = self.table.filter(F.col("t") == i).first()
+        return Tree(**{c: np.frombuffer(row[c], kind).tolist() for c, kind in _NODES.items()}) if row else Tree(value=[0.5])
+
+    def __eq__(self, other) -> bool:
+        return isinstance(other, Sequence) and len(self) == len(other) and all(a == b for a, b in zip(self, other))
+
+
 def gini_gain(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Of class weights (..., 2) on both sides, what is to be made as large as possible."""
     side = lambda s: np.divide((s ** 2).sum(-1), s.sum(-1), out=np.zeros(s.shape[:-1]), where=s.sum(-1) > 0)
     return side(left) + side(right)
 
 
+_SHIFT = np.array([[7, 12, 17, 22], [5, 9, 14, 20], [4, 11, 16, 23], [6, 10, 15, 21]])
+_SINE = np.floor(np.abs(np.sin(np.arange(1, 65))) * 2.0 ** 32).astype(np.uint32)
+
+
+def _md5_uniform(text: np.ndarray) -> np.ndarray:
+    """:func:`uniform` of texts of one length, rows of bytes: md5 of all of them at once."""
+    n, size = text.shape
+    blocks = np.zeros((n, -(-(size + 9) // 64) * 64), np.uint8)
+    blocks[:, :size], blocks[:, size] = text, 128
+    blocks[:, -8:] = np.frombuffer((8 * size).to_bytes(8, "little"), np.uint8)
+    out = np.zeros(n)
+    for lo in range(0, n, 1 << 13):
+        words = np.ascontiguousarray(blocks[lo:lo + (1 << 13)].view("<u4").T)
+        held = [np.full(words.shape[1], v, np.uint32) for v in (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)]
+        for at in range(0, len(words), 16):
+            a, b, c, d = (h.copy() for h in held)
+            for i in range(64):
+                turn = i // 16
+                if turn == 0:
+                    f, g = d ^ (b & (c ^ d)), i
+                elif turn == 1:
+                    f, g = c ^ (d & (b ^ c)), (5 * i + 1) % 16
+                elif turn == 2:
+                    f, g = b ^ c ^ d, (3 * i + 5) % 16
+                else:
+                    f, g = c ^ (b | ~d), 7 * i % 16
+                f += a
+                f += _SINE[i]
+                f += words[at + g]
+                left = np.uint32(_SHIFT[turn, i % 4])
+                a = f << left
+                a |= f >> np.uint32(32 - left)
+                a += b
+                a, b, c, d = d, a, b, c
+            for h, v in zip(held, (a, b, c, d)):
+                h += v
+        high, low = held[0].byteswap().astype(np.uint64), held[1].byteswap() >> np.uint32(16)
+        out[lo:lo + (1 << 13)] = (high << np.uint64(16) | low) / 2.0 ** 48
+    return out
+
+
+def node_uniform(seed: int, nodes: list[tuple[int, str]], features: np.ndarray, what: str) -> np.ndarray:
+    """``uniform(seed, tree, path, f, what)`` of nodes (tree, path) by their own ``features``."""
+    out = np.zeros(features.shape)
+    heads = [f"{seed}:{t}:{path}:".encode() for t, path in nodes]
+    size, digits = np.array([len(h) for h in heads], int), np.searchsorted(10 ** np.arange(1, 18), features, "right") + 1
+    for length in np.unique(size):
+        at = np.flatnonzero(size == length)
+        head = np.frombuffer(b"".join(heads[i] for i in at), np.uint8).reshape(len(at), length)
+        for many in np.unique(digits[at]):
+            i, j = np.nonzero(digits[at] == many)
+            f = features[at[i], j]
+            tail = np.frombuffer(f":{what}".encode(), np.uint8)
+            number = np.stack([f // 10 ** k % 10 for k in range(many - 1, -1, -1)], axis=1).astype(np.uint8) + np.uint8(48)
+            out[at[i], j] = _md5_uniform(np.concatenate([head[i], number, np.broadcast_to(tail, (len(i), len(tail)))], axis=1))
+    return out
+
+
 def candidates(seed: int, tree: int, path: str, dim: int, k: int) -> list[int]:
     """The features a node may split on: the first ``k`` by hash, in ascending order."""
-    start, order = md5(f"{seed}:{tree}:{path}:".encode()), []
-    for f in range(dim):
-        h = start.copy()
-        h.update(b"%d:pick" % f)
-        order.append((h.digest()[:6], f))  # as uniform(seed, tree, path, f, "pick")
-    return sorted(f for _, f in sorted(order)[:k])
+    return _candidates(seed, [(tree, path)], dim, k)[0].tolist()
+
+
+def _candidates(seed: int, nodes: list[tuple[int, str]], dim: int, k: int) -> np.ndarray:
+    out = []
+    for lo in range(0, len(nodes), 2048):  # dim hashes a node
+        some = nodes[lo:lo + 2048]
+        order = node_uniform(seed, some, np.broadcast_to(np.arange(dim), (len(some), dim)), "pick")
+        out.append(np.sort(np.argsort(order, axis=1, kind="stable")[:, :k], axis=1))
+    return np.concatenate(out)
 
 
 def _by_node(place: np.ndarray, v: np.ndarray, n: int, how) -> np.ndarray:
-    """``how`` (add, minimum, maximum) of the rows of ``v`` by node."""
-    order = np.argsort(place, kind="stable")
-    place, v = place[order], v[order]
+    """``how`` (add, minimum, maximum) of the rows of ``v`` by node; ``place`` ascends."""
     first = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if len(place) else np.zeros(0, int)
     out = np.full((n, v.shape[1]), {np.add: 0.0, np.minimum: np.inf, np.maximum: -np.inf}[how])
     if len(first):
@@ -176,28 +296,37 @@ def _by_node(place: np.ndarray, v: np.ndarray, n: int, how) -> np.ndarray:
 
 
 def fit_extra_trees(df: DataFrame, dim: int, n_trees: int = 100, max_depth: int | None = None, min_split: float = 2, features: int | None = None, seed: int = 42,
-                    features_col: str = "x", label_col: str = "label", weight_col: str | None = None) -> list[Tree]:
+                    features_col: str = "x", label_col: str = "label", weight_col: str | None = None) -> Sequence[Tree]:
     """Trees on all rows (no bootstrap): a node draws ``features`` (default: the root of
     ``dim``) of them by hash, for each one cut point, uniform by hash between its least
     and greatest value in the node, and takes the cut of least Gini impurity (ties: the
     lowest feature).  Pure nodes, nodes of less than ``min_split`` weight, nodes whose
     drawn features are constant and nodes at ``max_depth`` (None: unlimited) are leaves.
-    Two passes a level for all trees; a table of one partition is not worth a job for
-    each, so tasks grow some of the trees on a copy.  No rows: leaves of probability one half."""
+    A task grows some of the trees, one after the other, on a copy of the rows (of up to
+    ``WHOLE`` numbers); more rows grow all trees at once, in two passes a level, held by the
+    driver.  No rows: leaves of probability one half."""
     k = features or max(1, int(dim ** 0.5))
     data = Rows(df, features_col, label_col, weight_col, None)
-    if data.partitions > 1:
+    if data.rows * dim > WHOLE:
         trees = _grow(data.total, list(range(n_trees)), dim, k, max_depth, min_split, seed)
-    else:
-        copies = min(n_trees, df.sparkSession.sparkContext.defaultParallelism)
-        parts = data.alone(lambda total, g: _grow(total, list(range(g, n_trees, copies)), dim, k, max_depth, min_split, seed), copies)
-        trees = {t: tree for part in parts for t, tree in part.items()}
+        data.free()
+        return [trees.get(t, Tree(value=[0.5])) for t in range(n_trees)]
+    copies = min(n_trees, df.sparkSession.sparkContext.defaultParallelism)
+
+    def some(r: dict, g: int) -> Iterator[pd.DataFrame]:
+        for t in range(g, n_trees, copies):
+            r.pop("stand", None)
+            tree = _grow(lambda of, meet=None: np.ascontiguousarray(of(r), float), [t], dim, k, max_depth, min_split, seed)[t]
+            yield pd.DataFrame({"t": [t]} | {c: [np.array(getattr(tree, c), kind).tobytes()] for c, kind in _NODES.items()})
+
+    forest = Forest(data.apart(some, copies, f"t int, {_TREE}").persist(), n_trees)
+    forest.table.count()
     data.free()
-    return [trees.get(t, Tree(value=[0.5])) for t in range(n_trees)]
+    return forest
 
 
 def _grow(total: Callable, numbers: list[int], dim: int, k: int, max_depth: int | None, min_split: float, seed: int) -> dict[int, Tree]:
-    trees = {t: Tree(value=[0.5]) for t in numbers}
+    trees = {t: Tree(array("q", [-1]), array("d", [0.0]), array("q", [0]), array("q", [0]), array("d", [0.5])) for t in numbers}
     start = total(lambda r: np.array([(r["wt"] * (r["y"] <= 0)).sum(), (r["wt"] * (r["y"] > 0)).sum()]))
     grows = lambda c: c.min() > 0 and c.sum() >= min_split
     open_: list[tuple[int, int, str]] = []
@@ -207,7 +336,8 @@ def _grow(total: Callable, numbers: list[int], dim: int, k: int, max_depth: int
         open_ = [(t, 0, "") for t in numbers] if grows(start) else []
     depth = 0
     while open_ and (max_depth is None or depth < max_depth):
-        drawn = np.array([candidates(seed, t, path, dim, k) for t, _, path in open_])
+        names = [(t, path) for t, _, path in open_]
+        drawn = _candidates(seed, names, dim, k)
         of_tree: dict[int, dict[int, int]] = {}
         for i, (t, node, _) in enumerate(open_):
             of_tree.setdefault(t, {})[node] = i
@@ -232,24 +362,34 @@ def _grow(total: Callable, numbers: list[int], dim: int, k: int, max_depth: int
                 stand[t] = rows, node
                 yield first, end, place[order], rows
 
-        def ranges(r, drawn=drawn, places=places):
+        def drawn_of(r, first, place, rows, drawn=drawn) -> np.ndarray:
+            return r["x"].ravel().take(rows[:, None] * dim + drawn[first + place])
+
+        def ranges(r, drawn=drawn, places=places, drawn_of=drawn_of):
             out = np.full((len(drawn), 2 * k), np.inf)
             for first, end, place, rows in places(r):
-                v = r["x"][rows[:, None], drawn[first + place]]
+                v = drawn_of(r, first, place, rows)
                 out[first:end] = _by_node(place, np.concatenate([v, -v], axis=1), end - first, np.minimum)
             return out.ravel()
 
         got = total(ranges, np.minimum).reshape(len(open_), 2 * k)
         lo, hi = got[:, :k], -got[:, k:]
-        u = np.array([[uniform(seed, t, path, f, "cut") for f in fs] for (t, _, path), fs in zip(open_, drawn.tolist())])
+        u = node_uniform(seed, names, drawn, "cut")
         cut = np.minimum(lo + u * (hi - lo), np.nextafter(hi, lo))
 
-        def sides(r, drawn=drawn, places=places, cut=cut):
+        def sides(r, drawn=drawn, places=places, cut=cut, drawn_of=drawn_of):
             out = np.zeros((len(drawn), 4 * k))
+            exact = (r["wt"] == np.rint(r["wt"])).all() and r["wt"].sum() < 2 ** 53  # a side is what the other leaves
             for first, end, place, rows in places(r):
-                go = r["x"][rows[:, None], drawn[first + place]] <= cut[first + place]
+                go = drawn_of(r, first, place, rows) <= cut[first + place]
                 up, wt = (r["y"][rows] > 0)[:, None], r["wt"][rows][:, None]
-                out[first:end] = _by_node(place, np.concatenate([wt * (go & ~up), wt * (go & up), wt * (~go & ~up), wt * (~go & up)], axis=1), end - first, np.add)
+                low, high = wt * ~up, wt * up
+                if exact:
+                    got = _by_node(place, np.concatenate([low * go, high * go, low, high], axis=1), end - first, np.add)
+                    out[first:end, :2 * k] = got[:, :2 * k]
+                    out[first:end, 2 * k:] = np.repeat(got[:, 2 * k:], k, axis=1) - got[:, :2 * k]
+                else:
+                    out[first:end] = _by_node(place, np.concatenate([low * go, high * go, low * ~go, high * ~go], axis=1), end - first, np.add)
             return out.ravel()
 
         s = total(sides).reshape(len(open_), 2, 2, k).transpose(0, 3, 1, 2)  # node, feature, side, class
@@ -264,15 +404,17 @@ def _grow(total: Callable, numbers: list[int], dim: int, k: int, max_depth: int
             kids = trees[t].split(node, int(drawn[i, j]), float(cut[i, j]), (float(left[1] / left.sum()), float(right[1] / right.sum())))
             after += [(t, kid, path + mark) for kid, mark, c in zip(kids, "LR", (left, right)) if grows(c)]
         open_, depth = after, depth + 1
-    return trees
+    return {t: Tree(*(c.tolist() for c in (tree.feature, tree.cut, tree.left, tree.right, tree.value))) for t, tree in trees.items()}
 
 
-def score_trees(trees: list[Tree], df: DataFrame, features_col: str = "x", combine: str = "mean", start: float = 0.0, upto: list[int] | None = None) -> DataFrame:
+def score_trees(trees: Sequence[Tree], df: DataFrame, features_col: str = "x", combine: str = "mean", start: float = 0.0, upto: list[int] | None = None) -> DataFrame:
     """``df`` with ``prob``: the mean of the trees' values, or (``sum``) the sigmoid of
     ``start`` plus their sum; with ``upto`` an array, one entry per number of trees.  A
     null vector or one that holds a null has no probability."""
     many = upto is not None
     ends = upto or [len(trees)]
+    if isinstance(trees, Forest):
+        return _score_forest(trees, df, features_col, combine, start, ends, many)
 
     @F.pandas_udf("array<double>")
     def apply(xs: pd.Series) -> pd.Series:
@@ -293,6 +435,45 @@ def score_trees(trees: list[Tree], df: DataFrame, features_col: str = "x", combi
     return df.withColumn("prob", apply(F.col(features_col).cast("array<double>")) if many else apply(F.col(features_col).cast("array<double>"))[0])
 
 
+def _score_forest(forest: Forest, df: DataFrame, features_col: str, combine: str, start: float, ends: list[int], many: bool) -> DataFrame:
+    """The vectors go to the trees: each distinct one once to each task that holds some of
+    them, which gives the sums of their values; these meet by the vector's hash."""
+    x = F.col(features_col).cast("array<double>")
+    key = [F.xxhash64(x).alias("_h"), F.xxhash64(F.lit(1), x).alias("_i")]
+    known = F.when(x.isNotNull() & ~F.exists(x, lambda v: v.isNull() | F.isnan(v)), x)
+    copies = min(forest.n_trees, df.sparkSession.sparkContext.defaultParallelism)
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for _, c in b.groupby(b["x"].map(len)):
+                yield pd.DataFrame({"h": [c["_h"].to_numpy(np.int64).tobytes()], "i": [c["_i"].to_numpy(np.int64).tobytes()], "x": [np.stack(c["x"].to_numpy()).astype(float).tobytes()]})
+
+    def some(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trees = []
+        for b in batches:
+            for r in b.itertuples(index=False):
+                if r.x is None:
+                    trees.append((r.t, Tree(**{c: np.frombuffer(getattr(r, c), kind) for c, kind in _NODES.items()})))
+                    continue
+                h, i = np.frombuffer(r.h, np.int64), np.frombuffer(r.i, np.int64)
+                rows, got = np.frombuffer(r.x).reshape(len(h), -1), np.zeros((len(h), len(ends)))
+                for t, tree in trees:
+                    got += tree.value[tree.walk(rows)][:, None] * (t < np.array(ends))
+                yield pd.DataFrame({"_h": h, "_i": i, "g": r.g, "v": got.tolist()})
+
+    rows = df.select(*key, known.alias("x")).filter(F.col("x").isNotNull()).dropDuplicates(["_h", "_i"]).mapInPandas(pack, "h binary, i binary, x binary")
+    rows = rows.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    ids = df.sparkSession.range(forest.n_trees).select(F.col("id").cast("int").alias("t"))
+    leaf = {c: F.lit(np.array(v, _NODES[c]).tobytes()) for c, v in Tree(value=[0.5]).__dict__.items()}  # of trees without a row
+    trees = ids.join(forest.table, "t", "left").select((F.col("t") % copies).alias("g"), "t", *[F.coalesce(F.col(c), leaf[c]).alias(c) for c in _NODES])
+    both = trees.unionByName(rows, allowMissingColumns=True).repartitionById(copies, "g").sortWithinPartitions(F.col("t").asc_nulls_last())
+    sums = both.mapInPandas(some, "_h long, _i long, g int, v array<double>").groupBy("_h", "_i").agg(F.array_sort(F.collect_list(F.struct("g", "v"))).alias("v"))
+    total = [F.aggregate(F.transform("v", lambda p: p["v"][e]), F.lit(float(start)), lambda s, v: s + v) for e in range(len(ends))]
+    prob = [t / F.lit(float(max(e, 1))) if combine == "mean" else F.lit(1.0) / (F.lit(1.0) + F.exp(-t)) for t, e in zip(total, ends)]
+    sums = sums.select("_h", "_i", (F.array(*prob) if many else prob[0]).alias("prob"))
+    return df.drop("prob").select("*", *key).join(sums, ["_h", "_i"], "left").drop("_h", "_i")
+
+
 # -------------------------------------------------------------- second-order boosting
 @dataclass
 class Boosted:

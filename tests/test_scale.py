@@ -189,3 +189,45 @@ def test_nb_counts_are_made_once(spark):
 
     counts = nb_data(spark, SF001)[0]
     assert counts.storageLevel.useMemory
+
+
+def test_a_forest_stays_off_the_driver(spark, monkeypatch):
+    """Trees of unlimited depth are as large as the rows: they are grown, kept and scored in
+    tasks, as the same trees that passes over partitions and a list of them give."""
+    from postlens.operators.models import trees as TR
+    from pyspark.sql import DataFrame
+
+    r = rows_of()
+    rows = [(i % 390, v, int(y), w) for i, (v, y, w) in enumerate(zip(r["x"].tolist(), r["y"], np.where(np.arange(400) % 3, 1.0, 0.3).tolist()))]
+    df = spark.createDataFrame(rows, "id int, x array<double>, label int, wt double").repartition(3)
+    single = df.withColumn("x", F.transform("x", lambda v: v.cast("float")))
+    read, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda d: read.append(d.columns) or collect(d))
+    forests = [TR.fit_extra_trees(d, 5, n_trees=11, weight_col=w) for d in (df, single) for w in (None, "wt")]
+    assert not read and all(isinstance(f, TR.Forest) for f in forests)
+    odd = df.select("id", "x").unionByName(spark.createDataFrame([(1, None), (2, [1.0, None, 0.0, 1.0, 2.0]), (3, [float("nan")] * 5), (4, [0.0] * 5), (4, [-0.0] * 5)], "id int, x array<double>"))
+    scored = TR.score_trees(forests[1], odd), TR.score_trees(forests[1], odd, combine="sum", start=0.2, upto=[0, 3, 11])
+    assert not read
+    monkeypatch.undo()
+    monkeypatch.setattr(TR, "WHOLE", 0)
+    monkeypatch.setattr(TR, "LOCAL_ROWS", 60)  # several partitions
+    plain = [TR.fit_extra_trees(d, 5, n_trees=11, weight_col=w) for d in (df, single) for w in (None, "wt")]
+    assert all(isinstance(p, list) for p in plain)
+    for f, p in zip(forests, plain):
+        assert all(a.feature == b.feature and a.cut == b.cut and np.allclose(a.value, b.value) for a, b in zip(f, p))
+    assert forests[0] == plain[0] and forests[0][-1] == plain[0][10] and forests[0][2:4] == plain[0][2:4]
+    for got, want in zip(scored, (TR.score_trees(plain[1], odd), TR.score_trees(plain[1], odd, combine="sum", start=0.2, upto=[0, 3, 11]))):
+        assert got.dtypes == want.dtypes
+        got, want = (sorted(map(tuple, d.select("id", "x", "prob").collect()), key=str) for d in (got, want))
+        assert len(got) == 405 and [g[:1] for g in got] == [w[:1] for w in want]
+        assert all((a[2] is None) == (b[2] is None) and (a[2] is None or np.allclose(a[2], b[2])) for a, b in zip(got, want))
+
+
+def test_node_draws_are_the_plain_ones():
+    from postlens.operators.models import trees as TR
+
+    nodes = [(0, ""), (7, "LR"), (12, "L" * 30 + "R"), (123, "RL" * 40)]
+    features = np.array([[0, 9, 10, 101]] * 4)
+    for what in ("pick", "cut"):
+        got = TR.node_uniform(42, nodes, features, what)
+        assert got.tolist() == [[TR.uniform(42, t, p, f, what) for f in fs] for (t, p), fs in zip(nodes, features.tolist())]
