@@ -91,44 +91,83 @@ def _halved(x: np.ndarray) -> np.ndarray:
     return np.concatenate([x * 0.5, np.full((len(x), 1), 0.5)], axis=1)
 
 
+#: Rows of a descent that lie in the processor's cache.
+CHUNK = 2048
+
+
+def _loss(z, weight, alike):
+    """Weighted sums of log(1 + exp(-z)) by model, each between 1e-15 and its opposite's log;
+    of rows of one weight sixteen to a logarithm."""
+    if not alike or np.abs(z).max(initial=0) > 34:
+        return (weight[:, None] * np.clip(np.logaddexp(0, -z), 1e-15, -np.log(1e-15))).sum(0)
+    q = np.exp(-z)
+    q += 1
+    most = len(q) // 16 * 16
+    return weight[0] * (np.log(q[:most].reshape(16, -1, q.shape[1]).prod(axis=0)).sum(0) + np.log(q[most:]).sum(0))
+
+
 def _descend(xh, y, wt, own, w, b, rates, batch, l2, epochs, shuffles, tol, after=True):
     """``epochs`` of mini-batches over the rows ``own`` of one partition (``xh``: halved
     rows), all models (one row of ``w`` each) at once.  Returns the models and the summed
     loss before each epoch and, with ``after``, at the end; stops where no loss changes by
     ``tol`` times the weights.
 
-    sigmoid(z) - y is (tanh(z / 2) - (2 y - 1)) / 2, so a step is a few calls on its batch."""
+    With rows of class 0 negated a step adds the rows times 1 / (1 + exp(score)), which is a
+    few calls on its batch.  Rows are fetched in chunks; the loss before an epoch comes from
+    the same chunks, unless ``tol`` asks for it first."""
     n, total = len(own), wt[own].sum()
     batch = batch or n
     model = np.concatenate([w, b[:, None]], axis=1).T.copy()  # a column a model, the offset last
-    sign, heft, up, shift = np.where(y[own] > 0, -2.0, 2.0)[:, None], wt[own][:, None], rates[None, :], 2 * y - 1
-    decay = np.where(np.arange(len(model))[:, None] < len(model) - 1, 1 - up * l2, 1.0)
+    alike = n > 0 and wt[own].min() == wt[own].max() > 0
+    sign = np.where(y > 0, 2.0, -2.0)
+    soft = (y - (y > 0)) * sign / 2 if ((y != 0) & (y != 1)).any() else None  # labels between the classes
+    decay = np.where(np.arange(len(model))[:, None] < len(model) - 1, 1 - rates[None, :] * l2, 1.0)
+    rows = max(batch, CHUNK // max(batch, 1) * batch, 1)
+    held = np.empty((min(n, rows), xh.shape[1]))
+
+    def chunks(order):
+        for lo in range(0, n, rows):
+            at = order[lo:lo + rows]
+            x = xh.take(at, axis=0, out=held[:len(at)], mode="clip")
+            x *= sign[at][:, None]
+            yield at, x
 
     def loss():
-        return (heft * np.clip(np.logaddexp(0, sign * (xh @ model)[own]), 1e-15, -np.log(1e-15))).sum(0)
-
-    seen = [loss()]
-    for epoch in range(epochs):
-        order = own if batch >= n else own[shuffles(epoch).permutation(n)]
-        starts = range(0, n, batch)
-        sums = np.add.reduceat(wt[order], starts)
-        share = (wt[order] / np.repeat(np.where(sums > 0, sums, 1.0), np.diff([*starts, n])))[:, None]
-        far = shift[order][:, None]
-        for s, sw in zip(starts, sums.tolist()):
-            if sw > 0:
-                xb = xh.take(order[s:s + batch], axis=0)
-                e = np.tanh(xb.dot(model))
-                e -= far[s:s + batch]
-                e *= share[s:s + batch]
-                step = xb.T.dot(e)
-                step *= up
-                if l2:
-                    model *= decay
-                model -= step
-        if after:
-            seen.append(loss())
-        if tol is not None and epoch and (np.abs(seen[-1] - seen[-2]) < tol * total).all():
-            break
+        return sum((_loss(x @ model, wt[at], alike) for at, x in chunks(own)), np.zeros(len(rates)))
+
+    seen = [loss()] if tol is not None else []
+    with np.errstate(over="ignore"):
+        for epoch in range(epochs):
+            order = own if batch >= n else own[shuffles(epoch).permutation(n)]
+            first, before, whole = model.copy(), np.zeros(len(rates)), rates / batch
+            for at, x in chunks(order):
+                if tol is None:
+                    before += _loss(x @ first, wt[at], alike)
+                for s in range(0, len(at), batch):
+                    xb = x[s:s + batch]
+                    e = xb.dot(model)
+                    np.exp(e, e)
+                    e += 1.0
+                    weight = None if alike else wt[at[s:s + batch]]
+                    if not alike and not (heft := weight.sum()) > 0:
+                        continue
+                    np.divide(whole if len(xb) == batch else rates / len(xb), e, e)
+                    if soft is not None:
+                        e += soft[at[s:s + batch]][:, None] * rates / len(xb)
+                    if not alike:
+                        e *= (weight * (len(xb) / heft))[:, None]
+                    step = xb.T.dot(e)
+                    if l2:
+                        model *= decay
+                    model += step
+            if tol is None:
+                seen.append(before)
+            elif after:
+                seen.append(loss())
+            if tol is not None and epoch and (np.abs(seen[-1] - seen[-2]) < tol * total).all():
+                break
+    if tol is None and (after or not epochs):
+        seen.append(loss())
     return model[:-1].T, model[-1], seen
 
 
@@ -169,7 +208,7 @@ def gd_logistic_many(df: DataFrame, dim: int, models: list[tuple[float, int | No
 def _alone(rows, dim, groups, rates, epochs, l2, seed, tol, partitions, n_models):
     """The descent over a table of one partition: all epochs in one job, and a copy of the
     rows for every group of models, so that the groups run side by side."""
-    base = rows.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(len(groups) - 1)))).repartition(len(groups), "g").sortWithinPartitions("g", "rid")
+    base = rows.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(len(groups) - 1)))).repartitionById(len(groups), "g").sortWithinPartitions("g", "rid")
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held_rows = list(batches)  # a partition's rows

@@ -231,3 +231,35 @@ def test_node_draws_are_the_plain_ones():
     for what in ("pick", "cut"):
         got = TR.node_uniform(42, nodes, features, what)
         assert got.tolist() == [[TR.uniform(42, t, p, f, what) for f in fs] for (t, p), fs in zip(nodes, features.tolist())]
+
+
+def test_descent_of_soft_labels_and_far_scores():
+    """Labels between the classes, scores past the loss's bounds, chunks smaller than the rows."""
+    from postlens.operators.models import linear as LIN
+
+    r, own = rows_of(), np.arange(400)
+    for y, wt, scale in ((np.where(np.arange(400) % 3, r["y"], 0.3), np.ones(400), 1.0), (r["y"], np.full(400, 2.0), 900.0), (r["y"], 1.0 + np.arange(400) % 2, 1.0)):
+        x = r["x"] * scale
+        w, b, seen = LIN._descend(LIN._halved(x), y, wt, own, np.zeros((1, 5)), np.zeros(1), np.array([0.3]), 16, 0.0, 3, lambda e: np.random.default_rng(e), None)
+        v, c, told = np.zeros(5), 0.0, []
+        for epoch in range(4):
+            z = np.clip(x @ v + c, -700, 700)
+            told.append((wt * np.clip(np.logaddexp(0, np.where(y > 0, -z, z)), 1e-15, -np.log(1e-15))).sum())
+            order = np.random.default_rng(epoch).permutation(400)
+            for s in range(0, 400 if epoch < 3 else 0, 16):
+                at = order[s:s + 16]
+                e = (1 / (1 + np.exp(-np.clip(x[at] @ v + c, -700, 700))) - y[at]) * wt[at]
+                v, c = v - 0.3 * (e @ x[at]) / wt[at].sum(), c - 0.3 * e.sum() / wt[at].sum()
+        assert np.allclose(w[0], v) and np.isclose(b[0], c) and np.allclose([s[0] for s in seen], told)
+
+
+def test_each_group_of_models_has_a_task(spark, monkeypatch):
+    """Groups dealt by hash met in a task by chance, one after the other."""
+    from postlens.operators.models import linear as LIN
+    from pyspark import TaskContext
+
+    r = rows_of()
+    df = spark.createDataFrame([(i, v, int(y), i % 5) for i, (v, y) in enumerate(zip(r["x"].tolist(), r["y"]))], "id int, x array<double>, label int, fold int")
+    monkeypatch.setattr(LIN, "_descend", lambda xh, y, wt, own, w, b, *a: (w, b + TaskContext.get().partitionId(), [[0.0]] * 2))
+    got = LIN.gd_logistic_many(df, 5, [(0.1, batch, k) for batch in (16, 32, 64) for k in range(5)], epochs=1, fold_col="fold")
+    assert sorted(b for _, b, _ in got) == list(range(15))
