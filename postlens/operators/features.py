@@ -10,6 +10,8 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector, VectorUDT
@@ -194,56 +196,69 @@ def embedding_lookup(vocab: DataFrame, vectors: DataFrame, dim: int, word_col: s
 POOL_DOCS = 8192
 
 
-def mean_pool_embeddings(doc_terms: DataFrame, vectors: DataFrame, id_col: str = "id") -> DataFrame:
+def mean_pool_embeddings(doc_terms: DataFrame, vectors: DataFrame, id_col: str = "id", n_docs: int | None = None) -> DataFrame:
     """Average of the known-token vectors of each document (no row if it has none).
 
     The vectors go to the documents: those are dealt by id into parts of about
-    ``POOL_DOCS``, a part gets each vector it has a word of once, and sums them in a task.
-    So a vector moves once per part, not once per word of a document.  A word with several
-    vectors counts with each; at a place a null adds nothing to the sum."""
-    kind = doc_terms.schema[id_col].dataType.simpleString()
-    t = doc_terms.select(F.col(id_col).alias("id"), F.col("term").alias("word"), F.col("tf").cast("double").alias("tf")).filter("word IS NOT NULL").persist()
-    docs = t.agg(F.approx_count_distinct("id")).first()[0]
-    t = t.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(max(1, -(-docs // POOL_DOCS)))).cast("int"))
-    known = vectors.select(F.col("word").alias("name"), F.transform("vec", lambda x: F.coalesce(x.cast("double"), F.lit(0.0))).alias("vec"), F.transform("vec", lambda x: x.isNull()).alias("gaps"))
-    known = known.withColumn("gaps", F.when(F.array_contains("gaps", True), F.col("gaps"))).filter(F.size("vec") > 0)
-    asked = t.select(F.col("part").alias("to"), F.col("word").alias("asked")).distinct()
-    sent = asked.join(known, F.col("asked") == F.col("name")).select("to", "name", "vec", "gaps")
+    ``POOL_DOCS`` (of ``n_docs``, counted if not given), a part gets each vector it has a
+    word of once, and sums them in a task.  So a vector moves once per part, not once per
+    word of a document, in float32 where that holds it; the words of a document are one
+    row.  A word with several vectors counts with each; at a place a null adds nothing to
+    the sum."""
+    t = doc_terms.select(F.col(id_col).alias("id"), F.col("term").alias("word"), F.col("tf").cast("double").alias("tf")).filter("word IS NOT NULL")
+    kind = t.schema["id"].dataType.simpleString()
+    docs = t.agg(F.approx_count_distinct("id")).first()[0] if n_docs is None else n_docs
+    parts = max(1, -(-docs // POOL_DOCS))
+    # one row a document; where the terms are dealt by id already, nothing moves for it
+    t = t.groupBy("id").agg(F.collect_list(F.struct("word", "tf")).alias("_t"))
+    t = t.select(F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"), "id", F.col("_t.word").alias("word"), F.col("_t.tf").alias("tf"))
+    asked = t.select(F.col("part").alias("to"), F.explode("word").alias("asked")).distinct()
+    t = t.select("part", "id", F.array_join("word", "").cast("binary").alias("words"), F.transform("word", lambda w: F.octet_length(w)).alias("size"), "tf")
+    wide = F.transform("vec", lambda x: F.coalesce(x.cast("double"), F.lit(0.0)))
+    known = vectors.select(F.col("word").alias("name"), wide.alias("wide"), F.transform("vec", lambda x: x.isNull()).alias("gaps"))
+    known = known.withColumn("gaps", F.when(F.array_contains("gaps", True), F.col("gaps"))).filter(F.size("wide") > 0)
+    single = F.col("wide").cast("array<float>")
+    known = known.withColumn("vec", F.when(F.forall(F.zip_with("wide", single.cast("array<double>"), lambda a, b: a == b), lambda same: same), single))
+    known = known.withColumn("wide", F.when(F.col("vec").isNull(), F.col("wide")))
+    sent = asked.join(known, F.col("asked") == F.col("name")).select("to", "name", "vec", "wide", "gaps")
 
     def pool(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({id_col: docs["id"][:0], "embedding": pd.Series(dtype=object)})
         if not (len(docs) and len(words)):
-            return pd.DataFrame({id_col: docs["id"][:0], "embedding": pd.Series(dtype=object)})
-        longest = max(map(len, words["vec"]))
-        # a word's vectors summed: values, vectors that have the place, those that have a value there
+            return none
         number, names = pd.factorize(words["name"])
-        total = np.zeros((3, len(names), longest))
-        for i, v, gaps in zip(number, words["vec"], words["gaps"]):
+        vecs = [v if v is not None else w for v, w in zip(words["vec"], words["wide"])]
+        size, longest = np.array([len(v) for v in vecs]), max(map(len, vecs))
+        plain, times = words["gaps"].isna().all() and (size == longest).all(), np.bincount(number)
+        # a word's vectors summed: values, and unless they are all alike vectors that have the place, those that have a value there
+        single = plain and (times == 1).all() and words["vec"].notna().all()
+        total = np.zeros((1 if plain else 3, len(names), longest), np.float32 if single else float)
+        for i, v, gaps in zip(number, vecs, words["gaps"]):
             total[0, i, :len(v)] += v
-            total[1, i, :len(v)] += 1
-            total[2, i, :len(v)] += 1 if gaps is None else ~np.asarray(gaps, bool)
-        plain = (total[1:] == total[1:, :, :1]).all() and (total[1] == total[2]).all()
-        docs = docs.assign(at=pd.Index(names).get_indexer(docs["word"]))
-        docs = docs[docs["at"] >= 0]
-        # rows of a document together (an unknown id is an id too), whole documents a slice
-        doc, ids = pd.factorize(docs["id"], use_na_sentinel=False)
-        order = np.argsort(doc, kind="stable")
-        doc, at, tf = doc[order], docs["at"].to_numpy()[order], docs["tf"].to_numpy()[order]
-        first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, int)
-        ends, rows, lo = np.append(first[1:], len(doc)), [], 0
-        while lo < len(first):
-            hi = max(lo + 1, int(np.searchsorted(ends, first[lo] + 20_000, "right")))
-            span, cuts = slice(first[lo], ends[hi - 1]), first[lo:hi] - first[lo]
-            sums = [np.add.reduceat(total[j][at[span]] * tf[span, None], cuts) for j in ([0] if plain else [0, 1, 2])]
-            if plain:
-                sums = [sums[0], np.repeat(np.add.reduceat(tf[span] * total[1][at[span], 0], cuts)[:, None], longest, axis=1)] + [np.ones_like(sums[0])]
+            if not plain:
+                total[1, i, :len(v)] += 1
+                total[2, i, :len(v)] += 1 if gaps is None else ~np.asarray(gaps, bool)
+        vecs, names, out = None, pa.array(names, pa.string()), []
+        for lo in range(0, len(docs), 256):  # whole documents a slice
+            some = docs.iloc[lo:lo + 256]
+            ends = np.cumsum(np.concatenate([[0], *some["size"]]))
+            text = pa.Array.from_buffers(pa.large_string(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(b"".join(some["words"]))])
+            at = pc.fill_null(pc.index_in(text, names.cast(pa.large_string())), -1).to_numpy()
+            doc, tf = np.repeat(np.arange(len(some)), some["size"].map(len)), np.concatenate(some["tf"].to_numpy())
+            doc, at, tf = doc[at >= 0], at[at >= 0], tf[at >= 0]
+            first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, int)
+            sums = np.zeros((len(total), len(first), longest))
+            for i, (start, end) in enumerate(zip(first, np.append(first[1:], len(doc)))):
+                for s in range(start, end, 20_000):
+                    part = slice(s, min(end, s + 20_000))
+                    sums[:, i] += (total[:, at[part]] * tf[part, None]).sum(axis=1)
             with np.errstate(divide="ignore", invalid="ignore"):
-                mean = sums[0] / sums[1]
-            if plain:
-                rows += mean.tolist()
-            else:
-                rows += [[v if n > 0 else None for v, n, d in zip(m, some, every) if d > 0] for m, some, every in zip(mean, sums[2], sums[1])]
-            lo = hi
-        return pd.DataFrame({id_col: ids, "embedding": pd.Series(rows, dtype=object)})
+                if plain and len(first):
+                    rows = (sums[0] / np.add.reduceat(tf * times[at], first)[:, None]).tolist()
+                else:
+                    rows = [[v if n > 0 else None for v, n, d in zip(m, known, every) if d > 0] for m, known, every in zip(sums[0] / sums[-2], sums[-1], sums[-2])] if len(first) else []
+            out.append(pd.DataFrame({id_col: some["id"].to_numpy()[doc[first]], "embedding": pd.Series(rows, dtype=object)}))
+        return pd.concat(out, ignore_index=True)
 
     return t.groupBy("part").cogroup(sent.groupBy("to")).applyInPandas(pool, f"`{id_col}` {kind}, embedding array<double>")
 

@@ -460,8 +460,9 @@ def q_embedding_lookup(spark, sf):
 j AS (SELECT c.id, c.tf, unnest(wv.vec::DOUBLE[]) AS x, generate_subscripts(wv.vec, 1) AS pos FROM c JOIN wv ON c.term = wv.word)
 SELECT id, pos - 1 AS pos, round(sum(x * tf) / sum(tf), 6) AS value FROM j GROUP BY id, pos""")
 def q_mean_pool(spark, sf):
-    c = FE.term_counts(_toks(spark, sf))
-    m = FE.mean_pool_embeddings(c, word_vectors(spark, sf)).select("id", F.posexplode("embedding").alias("pos", "value"))
+    posts = _toks(spark, sf)
+    c = FE.term_counts(posts)
+    m = FE.mean_pool_embeddings(c, word_vectors(spark, sf), n_docs=posts.count()).select("id", F.posexplode("embedding").alias("pos", "value"))
     return m.select("id", F.col("pos").cast("long").alias("pos"), F.round("value", 6).alias("value"))
 
 

@@ -296,3 +296,26 @@ def test_pooled_vectors_stay_packed():
             assert np.allclose(mean, (o + known[k + (n // 2 if p else 0)].sum(axis=0)) / m, atol=1e-3), i
     assert len(got) == len(said)
     assert [len(d) for d in W.pooled([posts.iloc[2:3].drop(columns=["vec"]).assign(vec=own[0].tobytes())], size)] == [1]  # no word is shared
+
+
+def test_mean_pool_moves_little(spark, monkeypatch):
+    """Vectors of float32 values move as such, a document's words as one row; nothing is cached,
+    and words may hold anything."""
+    from postlens.operators import features as FE
+
+    monkeypatch.setattr(FE, "POOL_DOCS", 3)
+    words = ["a", "b", "", "\u00e4\U0001F600", "a b", "ab", "c\x00d", "zz"]
+    rng = np.random.default_rng(4)
+    docs = [(i % 17, [words[k] for k in rng.integers(0, 8, 9)]) for i in range(30)] + [(50, ["zz"]), (51, []), (None, ["a", "zz"])]
+    v = {w: rng.normal(size=4).astype(np.float32 if i != 3 else float).tolist() for i, w in enumerate(words[:7])}
+    df = spark.createDataFrame(docs, "id long, tokens array<string>")
+    vecs = spark.createDataFrame(list(v.items()), "word string, vec array<double>")
+    out = FE.mean_pool_embeddings(FE.term_counts(df), vecs, n_docs=12)
+    want = {}
+    for i, tokens in docs:
+        want.setdefault(i, []).extend(v[w] for w in tokens if w in v)
+    got = out.collect()
+    assert len(got) == len({r.id for r in got}) == 18 and 50 not in {r.id for r in got}
+    assert all(np.allclose(r.embedding, np.mean(want[r.id], axis=0)) for r in got)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "InMemory" not in plan and "array<float>" in str(out._jdf.queryExecution().analyzed())
